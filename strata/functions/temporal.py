@@ -38,8 +38,8 @@ def epoch_micros(ts) -> Column:
 
 
 def minus_hours(ts, hours: int) -> Column:
-    return F.timestampadd("HOUR", F.lit(-hours), _c(ts))
+    return F.timestamp_add("HOUR", F.lit(-hours), _c(ts))
 
 
 def plus_minutes(ts, minutes) -> Column:
-    return F.timestampadd("MINUTE", _c(minutes).cast("int"), _c(ts))
+    return F.timestamp_add("MINUTE", _c(minutes).cast("int"), _c(ts))

@@ -86,7 +86,7 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: lis
     """
     src = df.select(*group_cols, F.col(value).cast("double").alias("_v"),
                     *( [F.col(key)] if key else [])).filter(F.col("_v").isNotNull())
-    order = [F.col("_v")] + ([F.col(key)] if key else [])
+    order = ["_v"] + ([key] if key else [])
     pos = positions(src, order, group_cols=group_cols, pos_col="_pos", size_col="_n")
     wanted = []
     for i, q in enumerate(probs):

@@ -55,26 +55,78 @@ def _num_buckets(df: DataFrame, buckets: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _order_spec(order) -> list[tuple[str, bool]]:
+    """Normalise ``order``: names ascending, ``(name, "desc")`` descending."""
+    out = []
+    for o in order:
+        if isinstance(o, str):
+            out.append((o, False))
+        else:
+            name, direction = o
+            out.append((name, str(direction).lower() == "desc"))
+    return out
+
+
+def _order_cols(spec) -> list[Column]:
+    return [F.col(n).desc() if desc else F.col(n).asc() for n, desc in spec]
+
+
+def _count_le(v: Column, splits: list[float], lo: int, hi: int) -> Column:
+    """Number of ``splits`` (sorted) that are <= v: a balanced CASE tree,
+    i.e. a binary search of depth log2(len(splits)) per row."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v < F.lit(splits[mid]), _count_le(v, splits, lo, mid)) \
+        .otherwise(_count_le(v, splits, mid + 1, hi))
+
+
+def value_buckets(df: DataFrame, col: str, buckets: int, descending: bool = False,
+                  rel_error: float = 1e-3) -> Column:
+    """Integer bucket of ``col`` that never decreases along the sort order.
+
+    Split points are approximate quantiles (``buckets - 1`` numbers, the
+    only data that reaches the driver), applied as literals in a binary
+    search expression: every row's bucket is a pure function of the row,
+    so any re-computation of a plan branch gives the same buckets.
+    """
+    v = F.col(col)
+    dtype = df.schema[col].dataType.typeName()
+    if dtype == "date":
+        v = F.unix_date(v).cast("double")
+    elif dtype.startswith("timestamp"):
+        v = F.unix_micros(v.cast("timestamp")).cast("double")
+    else:
+        v = v.cast("double")
+    qs = []
+    if buckets > 1:
+        qs = df.select(v.alias("_q")).approxQuantile("_q", [i / buckets for i in range(1, buckets)],
+                                                     rel_error)
+    splits = sorted(set(qs))
+    b = _count_le(v, splits, 0, len(splits)) if splits else F.lit(0)
+    b = F.when(v.isNull(), F.lit(-1)).otherwise(b)
+    return (-b if descending else b).cast("int")
+
+
 def positions(df: DataFrame, order: list, group_cols: list[str] | tuple = (),
               bucket: Column | None = None, buckets: int | None = None,
               pos_col: str = "pos", size_col: str | None = None) -> DataFrame:
     """Add the 0-based position of each row inside its group, in ``order``.
 
-    ``order`` must be a total order (end it with a unique key).  ``bucket``
-    is an optional integer column that is non-decreasing in ``order``
-    within a group; by default the rows are range-partitioned on
-    ``group_cols + order`` into ``buckets`` parts and the part id is used.
+    ``order`` lists column names (ascending) or ``(name, "desc")`` pairs and
+    must be a total order (end it with a unique key).  ``bucket`` is an
+    optional integer column that never decreases along ``order`` within a
+    group; by default it comes from approximate quantiles of the first
+    order column.  Rows are numbered inside (group, bucket) and shifted by
+    the row counts of the earlier buckets of their group.
     """
     group_cols = list(group_cols)
-    ordering = _cols(order)
+    spec = _order_spec(order)
+    ordering = _order_cols(spec)
     if bucket is None:
-        nb = _num_buckets(df, buckets)
-        # an explicit partition count keeps AQE from re-cutting the parts,
-        # so the part id is the same in both branches below
-        df = df.repartitionByRange(nb, *_cols(group_cols), *ordering)
-        df = df.withColumn("_bkt", F.spark_partition_id())
-    else:
-        df = df.withColumn("_bkt", bucket)
+        first, desc = spec[0]
+        bucket = value_buckets(df, first, _num_buckets(df, buckets), descending=desc)
+    df = df.withColumn("_bkt", bucket)
     local_w = Window.partitionBy(*group_cols, "_bkt").orderBy(*ordering)
     local = df.withColumn("_lpos", F.row_number().over(local_w) - 1)
 
@@ -106,7 +158,9 @@ def shuffle_positions(df: DataFrame, key: str, seed: int = 1, col: str = "shuffl
     """Seeded random permutation: ``col`` is each row's place in it."""
     nb = _num_buckets(df, buckets)
     bucket = F.floor(hash_unit(key, seed=seed) * nb).cast("int")
-    return positions(df, [hash_key(key, seed=seed), F.col(key)], bucket=bucket, pos_col=col)
+    hashed = df.withColumn("_hk", hash_key(key, seed=seed))
+    out = positions(hashed, ["_hk", key], bucket=bucket, pos_col=col)
+    return out.drop("_hk")
 
 
 def train_test_split(df: DataFrame, key: str, train_fraction: float = 0.7, seed: int = 1,
