@@ -25,7 +25,8 @@ def haversine(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Column
     p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
     dlat = p2 - p1
     dlon = F.radians(_c(lon2)) - F.radians(_c(lon1))
-    a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2), 2)
+    s1, s2 = F.sin(dlat / 2), F.sin(dlon / 2)
+    a = s1 * s1 + F.cos(p1) * F.cos(p2) * (s2 * s2)
     return F.lit(2.0 * radius) * F.asin(F.sqrt(a))
 
 

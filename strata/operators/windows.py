@@ -11,7 +11,8 @@ from strata.operators.joins import HOUR_US
 
 def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str, value: str,
                      hours: float = 3.0, keys: list[str] | tuple = (), bucket_hours: float = 24.0,
-                     mean_col: str = "mean_value", count_col: str = "n_in_window") -> DataFrame:
+                     mean_col: str = "mean_value", count_col: str = "n_in_window",
+                     decimal_scale: int | None = None) -> DataFrame:
     """For each row at ``probe_time`` t: mean and count of ``value`` over the
     rows whose ``fact_time`` lies in [t - hours, t] (inclusive), within equal
     ``keys``.  An empty window gives a NULL mean and count 0.
@@ -21,6 +22,10 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
     (keys, time bucket): every fact is copied into each bucket its span
     [t, t + hours] reaches, so a probe sees all its facts inside its own
     bucket and a hot key is cut into one task per bucket.
+
+    ``decimal_scale``: values carry that many decimals (money, durations
+    in cents); they are summed as exact decimals, so the mean does not
+    depend on the order rows are added in.
     """
     keys = list(keys)
     width = int(hours * HOUR_US)
@@ -41,17 +46,20 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
         "_bucket", F.explode(F.sequence(F.floor(F.col("_t") / bw), F.floor((F.col("_t") + width) / bw))))
     both = probes.unionByName(facts)
     w = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(-width, 0)
-    out = both.select(
-        "_id", *keys, "_probe",
-        F.avg("_v").over(w).alias(mean_col),
-        F.count("_v").over(w).alias(count_col))
+    n = F.count("_v").over(w)
+    if decimal_scale is None:
+        mean = F.avg("_v").over(w)
+    else:
+        total = F.sum(F.col("_v").cast(f"decimal(38,{decimal_scale})")).over(w)
+        mean = F.try_divide(total.cast("double"), n)
+    out = both.select("_id", *keys, "_probe", mean.alias(mean_col), n.alias(count_col))
     return out.filter(F.col("_probe")).drop("_probe").withColumnRenamed("_id", id_col)
 
 
 def rolling_lookback_by_join(df: DataFrame, id_col: str, probe_time: str, fact_time: str,
                              value: str, hours: float = 3.0, keys: list[str] | tuple = (),
                              bucket_hours: float = 24.0, mean_col: str = "mean_value",
-                             count_col: str = "n_in_window") -> DataFrame:
+                             count_col: str = "n_in_window", decimal_scale: int | None = None) -> DataFrame:
     """Same result as ``rolling_lookback`` via the bucketed range join plus a
     group-by (kept as a cross-check; it materialises every pair)."""
     from strata.operators.joins import time_range_join
@@ -59,8 +67,12 @@ def rolling_lookback_by_join(df: DataFrame, id_col: str, probe_time: str, fact_t
     base = df.select(id_col, *keys, probe_time, fact_time, value)
     pairs = time_range_join(base, base, probe_time, fact_time, hours, keys=keys,
                             bucket_hours=bucket_hours)
+    fv = F.col("f_" + value)
+    if decimal_scale is None:
+        mean = F.avg(fv.cast("double"))
+    else:
+        mean = F.try_divide(F.sum(fv.cast(f"decimal(38,{decimal_scale})")).cast("double"), F.count(fv))
     agg = pairs.groupBy(F.col("p_" + id_col).alias(id_col)).agg(
-        F.avg(F.col("f_" + value).cast("double")).alias(mean_col),
-        F.count("f_" + value).alias(count_col))
+        mean.alias(mean_col), F.count(fv).alias(count_col))
     probes = base.select(id_col, *keys)
     return probes.join(agg, id_col, "left").fillna({count_col: 0})

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from strata.plans import registry
-from strata.plans import cat_daily, cat_verbs  # noqa: F401
+from strata.plans import cat_aggs, cat_daily, cat_spatial, cat_temporal, cat_verbs  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE

@@ -35,3 +35,13 @@ def rounded(df: DataFrame, places: int = ROUND) -> DataFrame:
             c = F.round(c.cast("double"), places)
         cols.append(c.alias(f.name))
     return df.select(*cols)
+
+
+def sql_round(expr: str, places: int = ROUND) -> str:
+    """DuckDB rounding that matches Spark's ``round`` on doubles.
+
+    Spark rounds half-up on the shortest decimal form of the double
+    (65.9503125 -> 65.950313), DuckDB on its binary value (-> 65.950312).
+    Going through the shortest text form and a DECIMAL gives Spark's rule.
+    """
+    return (f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 12)), {places}) AS DOUBLE)")

@@ -141,28 +141,30 @@ VIEW_SQL = {
         abs(embedding[1]::DOUBLE) * 3.0::DOUBLE AS x, abs(embedding[2]::DOUBLE) * 3.0::DOUBLE AS y,
         abs(embedding[3]::DOUBLE) * 3.0::DOUBLE AS x2, abs(embedding[4]::DOUBLE) * 3.0::DOUBLE AS y2
         FROM embeddings""",
-    # edges of the area polygons: one row per (polygon, ring edge)
+    # edges of the area polygons: one row per (polygon, ring, edge); the
+    # edge's start is vertex number ``vertex`` of its ring
     "area_edges": """
-        SELECT poly_id, name, x1, y1, x2, y2 FROM (
+        SELECT poly_id, name, ring, vertex, vertex = 3 AS last_edge, x1, y1, x2, y2 FROM (
           SELECT CAST(n_nationkey AS BIGINT) AS poly_id, n_name AS name,
                  0.3::DOUBLE * (n_nationkey % 5) AS x0, 0.3::DOUBLE * floor(n_nationkey / 5) AS y0
           FROM nation) s,
-        LATERAL (VALUES (x0, y0, x0 + 0.3::DOUBLE, y0),
-                        (x0 + 0.3::DOUBLE, y0, x0 + 0.3::DOUBLE, y0 + 0.3::DOUBLE),
-                        (x0 + 0.3::DOUBLE, y0 + 0.3::DOUBLE, x0, y0 + 0.3::DOUBLE),
-                        (x0, y0 + 0.3::DOUBLE, x0, y0)) e(x1, y1, x2, y2)
+        LATERAL (VALUES (0, 0, x0, y0, x0 + 0.3::DOUBLE, y0),
+                        (0, 1, x0 + 0.3::DOUBLE, y0, x0 + 0.3::DOUBLE, y0 + 0.3::DOUBLE),
+                        (0, 2, x0 + 0.3::DOUBLE, y0 + 0.3::DOUBLE, x0, y0 + 0.3::DOUBLE),
+                        (0, 3, x0, y0 + 0.3::DOUBLE, x0, y0)) e(ring, vertex, x1, y1, x2, y2)
         UNION ALL
-        SELECT poly_id, name, x1, y1, x2, y2 FROM (
+        SELECT poly_id, name, ring, vertex, vertex = 3 AS last_edge, x1, y1, x2, y2 FROM (
           SELECT CAST(100 + r_regionkey AS BIGINT) AS poly_id, r_name AS name,
                  0.3::DOUBLE + 0.25::DOUBLE * r_regionkey AS c FROM region) s,
-        LATERAL (VALUES (c, c - 0.3::DOUBLE, c + 0.3::DOUBLE, c),
-                        (c + 0.3::DOUBLE, c, c, c + 0.3::DOUBLE),
-                        (c, c + 0.3::DOUBLE, c - 0.3::DOUBLE, c),
-                        (c - 0.3::DOUBLE, c, c, c - 0.3::DOUBLE),
-                        (c - 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE),
-                        (c + 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE, c + 0.08::DOUBLE),
-                        (c + 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE),
-                        (c - 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c - 0.08::DOUBLE)) e(x1, y1, x2, y2)""",
+        LATERAL (VALUES (0, 0, c, c - 0.3::DOUBLE, c + 0.3::DOUBLE, c),
+                        (0, 1, c + 0.3::DOUBLE, c, c, c + 0.3::DOUBLE),
+                        (0, 2, c, c + 0.3::DOUBLE, c - 0.3::DOUBLE, c),
+                        (0, 3, c - 0.3::DOUBLE, c, c, c - 0.3::DOUBLE),
+                        (1, 0, c - 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE),
+                        (1, 1, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE, c + 0.08::DOUBLE),
+                        (1, 2, c + 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE),
+                        (1, 3, c - 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c - 0.08::DOUBLE))
+          e(ring, vertex, x1, y1, x2, y2)""",
     "pixels": """SELECT label AS img, vec_id AS i, CAST((p - 1) // 4 AS INTEGER) AS j,
         CAST((p - 1) % 4 AS INTEGER) AS k,
         CAST(least(greatest(floor(abs(embedding[p]::DOUBLE) * 255.0::DOUBLE), 0), 255) AS INTEGER) AS v
@@ -181,9 +183,10 @@ VIEW_SQL = {
 }
 
 
-def with_views(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with a WITH clause defining the named views."""
-    if not names:
+def with_views(sql: str, *names: str, ctes: tuple[str, ...] = ()) -> str:
+    """Prefix ``sql`` with a WITH clause defining the named views, followed
+    by any extra ``name AS (...)`` common table expressions."""
+    parts = [f"{n} AS ({VIEW_SQL[n]})" for n in names] + list(ctes)
+    if not parts:
         return sql
-    ctes = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in names)
-    return f"WITH {ctes}\n{sql}"
+    return "WITH " + ",\n".join(parts) + "\n" + sql
