@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from strata.plans import registry
-from strata.plans import cat_aggs, cat_daily, cat_spatial, cat_temporal, cat_verbs  # noqa: F401
+from strata.plans import (cat_aggs, cat_daily, cat_spatial, cat_temporal, cat_text,  # noqa: F401
+                          cat_vectors, cat_verbs)
 
 QUERIES = registry.QUERIES
 ORACLE = registry.ORACLE
