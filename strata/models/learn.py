@@ -92,9 +92,15 @@ def predict_classifier(df: DataFrame, model, features: list[str], out_col: str =
         .drop("_features", "_prob", "_raw")
 
 
-def mean_model_fit(train: DataFrame, label: str):
-    """The baseline model: the training mean, as a one-row DataFrame."""
-    return train.agg(F.avg(label).alias("_mean"))
+def mean_model_fit(train: DataFrame, label: str, decimal_scale: int | None = None):
+    """The baseline model: the training mean, as a one-row DataFrame.
+
+    With ``decimal_scale`` the sum is exact (decimal), so the mean does not
+    depend on the order partial sums are combined in."""
+    if decimal_scale is None:
+        return train.agg(F.avg(label).alias("_mean"))
+    total = F.sum(F.col(label).cast(f"decimal(38,{decimal_scale})")).cast("double")
+    return train.agg(F.try_divide(total, F.count(label)).alias("_mean"))
 
 
 def mean_model_predict(df: DataFrame, fitted: DataFrame, out_col: str = "predicted") -> DataFrame:
