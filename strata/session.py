@@ -63,15 +63,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Read from the session; only when unset (local tests) a fresh
-    temporary folder is created and registered.
+    temporary folder is created and registered as the checkpoint folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d
 
 

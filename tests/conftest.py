@@ -21,7 +21,7 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     # tests only: a checkpoint folder of our own when the session names none
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-test-ckpt-"))
     from strata.session import apply_defaults
     apply_defaults(s)
     yield s
