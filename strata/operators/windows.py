@@ -25,7 +25,9 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
 
     ``decimal_scale``: values carry that many decimals (money, durations
     in cents); they are summed as exact decimals, so the mean does not
-    depend on the order rows are added in.
+    depend on the order rows are added in, and the window total becomes a
+    difference of two running totals (linear time instead of re-summing
+    the sliding frame for every row).
     """
     keys = list(keys)
     width = int(hours * HOUR_US)
@@ -45,13 +47,22 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
     facts = facts.withColumn(
         "_bucket", F.explode(F.sequence(F.floor(F.col("_t") / bw), F.floor((F.col("_t") + width) / bw))))
     both = probes.unionByName(facts)
-    w = Window.partitionBy(*keys, "_bucket").orderBy("_t").rangeBetween(-width, 0)
-    n = F.count("_v").over(w)
+    base_w = Window.partitionBy(*keys, "_bucket").orderBy("_t")
     if decimal_scale is None:
+        # sliding frame: Spark re-aggregates the frame when it moves
+        w = base_w.rangeBetween(-width, 0)
+        n = F.count("_v").over(w)
         mean = F.avg("_v").over(w)
     else:
-        total = F.sum(F.col("_v").cast(f"decimal(38,{decimal_scale})")).over(w)
-        mean = F.try_divide(total.cast("double"), n)
+        # exact decimals allow differences of running totals: two frames
+        # anchored at the partition start (each updated incrementally,
+        # O(rows)); window [t - width, t] = upto(t) - upto(t - width - 1us)
+        dec = F.col("_v").cast(f"decimal(38,{decimal_scale})")
+        upto_t = base_w.rangeBetween(Window.unboundedPreceding, 0)
+        before = base_w.rangeBetween(Window.unboundedPreceding, -(width + 1))
+        n = F.count("_v").over(upto_t) - F.coalesce(F.count("_v").over(before), F.lit(0))
+        total = F.coalesce(F.sum(dec).over(upto_t), F.lit(0)) - F.coalesce(F.sum(dec).over(before), F.lit(0))
+        mean = F.when(n > 0, total.cast("double") / n)
     out = both.select("_id", *keys, "_probe", mean.alias(mean_col), n.alias(count_col))
     return out.filter(F.col("_probe")).drop("_probe").withColumnRenamed("_id", id_col)
 

@@ -35,11 +35,13 @@ def trips(spark):
     return spark.createDataFrame(rows, "id long, k string, pickup timestamp_ntz, dropoff timestamp_ntz, dur double")
 
 
+@pytest.mark.parametrize("scale", [None, 2])
 @pytest.mark.parametrize("bucket_hours", [24.0, 1.0, 0.5])
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_rolling_window_edges(trips, bucket_hours, keys):
+def test_rolling_window_edges(trips, bucket_hours, keys, scale):
     out = {r["id"]: r for r in rolling_lookback(trips, "id", "pickup", "dropoff", "dur", hours=3,
-                                                 keys=keys, bucket_hours=bucket_hours).collect()}
+                                                 keys=keys, bucket_hours=bucket_hours,
+                                                 decimal_scale=scale).collect()}
     probe = out[1]
     expect = [1.0, 2.0, 8.0, 16.0] + ([] if keys else [32.0])
     assert probe["n_in_window"] == len(expect)
