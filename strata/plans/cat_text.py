@@ -108,8 +108,13 @@ def rows_as_json(spark, d):
         .alias("row_json"))
 
 
-@query("tokens_view")
+@query("tokens_view", """
+SELECT doc_id, CAST(coalesce(len(list_distinct(string_split(text, ' '))), 0) AS INTEGER) AS n_tokens,
+       coalesce(array_to_string(list_sort(list_distinct(string_split(text, ' '))), ' '), '') AS tokens_text
+FROM documents""")
 def tokens_view(spark, d):
-    """The ``tokens`` view: each document's word set (array column)."""
-    return table(spark, d, "documents").select("doc_id", split_to_set("text", " ").alias("tokens"))
+    """The ``tokens`` view: each document's word set, shown sorted as text."""
+    doc = table(spark, d, "documents").select("doc_id", split_to_set("text", " ").alias("tokens"))
+    return doc.select("doc_id", F.size("tokens").alias("n_tokens"),
+                      F.array_join(F.array_sort("tokens"), " ").alias("tokens_text"))
 

@@ -100,7 +100,7 @@ def shape(spark, d):
     return verbs.shape(table(spark, d, "lineitem"))
 
 
-@query("materialise")
+@query("materialise", f"SELECT o_orderkey, {_unit('o_orderkey')} AS u FROM orders")
 def materialise(spark, d):
     """Pin a derived frame (hash-noise column) so two actions see one copy."""
     from strata.functions.hashing import hash_unit
