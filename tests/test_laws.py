@@ -81,3 +81,18 @@ def test_ols_on_dummies_is_group_means(spark):
     model = fit_ols(df, "n", ["day-Tue", "day-Wed"])
     assert model.intercept == pytest.approx(11.0)
     assert list(model.coefficients) == pytest.approx([11.0, -4.0])
+
+
+def test_grid_slices_published(spark):
+    """The 4 x 2 x 3 grid i + 10 j + 100 k and its published slices."""
+    from strata.operators import pixels as px
+    from strata.sources.generators import grid
+    g = grid(spark, [4, 2, 3], lambda i, j, k: i + 10 * j + 100 * k).withColumnRenamed("value", "v") \
+        .withColumn("img", F.lit(0))
+    two = {(r["i"], r["j"]): list(r["values"]) for r in px.slice_leading(g, 2).collect()}
+    assert [two[(i, j)] for i in range(4) for j in range(2)][:6] == [
+        [0, 100, 200], [10, 110, 210], [1, 101, 201], [11, 111, 211], [2, 102, 202], [12, 112, 212]]
+    one = {r["i"]: list(r["values"]) for r in px.slice_leading(g, 1).collect()}
+    assert one[3] == [3, 103, 203, 13, 113, 213]
+    right = sorted((r["i"], r["j"], r["v"]) for r in g.filter(F.col("k") == 0).collect())
+    assert [v for _, _, v in right] == [0, 10, 1, 11, 2, 12, 3, 13]
