@@ -53,8 +53,8 @@ def histogram(df: DataFrame, value, bins: int = 100, keys: list[str] | tuple = (
     subquery (one row, evaluated once), not a join."""
     v = _c(value).cast("double")
     src = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-    lo = src.select(F.min("_v")).scalar()
-    hi = src.select(F.max("_v")).scalar()
+    ext = src.select(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
+    lo, hi = ext["lo"], ext["hi"]
     b = _bin_expr(F.col("_v"), lo, hi, bins)
     out = src.select(*keys, b.alias("bin"), lo.alias("_lo"), hi.alias("_hi"), "_v")
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
@@ -68,8 +68,9 @@ def histogram_2d(df: DataFrame, x, y, bins: int = 50) -> DataFrame:
     """Counts over a bins x bins grid spanning both columns' extents."""
     src = df.select(_c(x).cast("double").alias("_x"), _c(y).cast("double").alias("_y")) \
         .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    xlo, xhi = src.select(F.min("_x")).scalar(), src.select(F.max("_x")).scalar()
-    ylo, yhi = src.select(F.min("_y")).scalar(), src.select(F.max("_y")).scalar()
+    ext = src.select(F.struct(F.min("_x").alias("xlo"), F.max("_x").alias("xhi"),
+                              F.min("_y").alias("ylo"), F.max("_y").alias("yhi"))).scalar()
+    xlo, xhi, ylo, yhi = ext["xlo"], ext["xhi"], ext["ylo"], ext["yhi"]
     return src.select(_bin_expr(F.col("_x"), xlo, xhi, bins).alias("bin_x"),
                       _bin_expr(F.col("_y"), ylo, yhi, bins).alias("bin_y")) \
         .groupBy("bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))

@@ -44,9 +44,18 @@ def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
     return df.orderBy(F.col(key).asc()).limit(n)
 
 
+TAKE_ORDERED_MAX = 100_000
+
+
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
-    """Exactly min(n, rows) rows without replacement, same on any layout."""
-    return df.orderBy(hash_key(key, seed=seed), F.col(key)).limit(n)
+    """Exactly min(n, rows) rows without replacement, same on any layout.
+
+    Small n: TakeOrderedAndProject (each task keeps its n best hashes).
+    Large n: seeded positions computed bucket-wise, then a filter, so the
+    sample never passes through one task."""
+    if n <= TAKE_ORDERED_MAX:
+        return df.orderBy(hash_key(key, seed=seed), F.col(key)).limit(n)
+    return shuffle_positions(df, key, seed=seed, col="_spos").filter(F.col("_spos") < n).drop("_spos")
 
 
 def _num_buckets(df: DataFrame, buckets: int | None) -> int:

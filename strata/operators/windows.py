@@ -9,10 +9,28 @@ from strata.functions.temporal import epoch_micros
 from strata.operators.joins import HOUR_US
 
 
+def bucket_width_us(df: DataFrame, time_us, keys: list[str], hours: float,
+                    target_rows: int = 2_000_000, min_fraction: float = 0.25) -> DataFrame:
+    """Per-key time-bucket width (microseconds) for look-back windows.
+
+    Width = key's time span x target_rows / key's row count, so a dense
+    (hot) key gets narrow buckets and many tasks, a sparse key one bucket.
+    The width never goes below ``min_fraction`` x the look-back, which caps
+    the copies of each fact at 1 + 1/min_fraction.  Returns (keys, _bw).
+    """
+    width = int(hours * HOUR_US)
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(time_us).alias("_lo"),
+                                  F.max(time_us).alias("_hi"))
+    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
+    bw = F.greatest(F.lit(int(width * min_fraction)),
+                    F.ceil(span * F.lit(float(target_rows)) / F.col("_n"))).cast("long")
+    return stats.select(*keys, bw.alias("_bw"))
+
+
 def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str, value: str,
-                     hours: float = 3.0, keys: list[str] | tuple = (), bucket_hours: float = 24.0,
+                     hours: float = 3.0, keys: list[str] | tuple = (), bucket_hours: float | str = "auto",
                      mean_col: str = "mean_value", count_col: str = "n_in_window",
-                     decimal_scale: int | None = None) -> DataFrame:
+                     decimal_scale: int | None = None, target_rows: int = 2_000_000) -> DataFrame:
     """For each row at ``probe_time`` t: mean and count of ``value`` over the
     rows whose ``fact_time`` lies in [t - hours, t] (inclusive), within equal
     ``keys``.  An empty window gives a NULL mean and count 0.
@@ -31,21 +49,36 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
     """
     keys = list(keys)
     width = int(hours * HOUR_US)
-    bw = int(bucket_hours * HOUR_US)
     base = df.select(id_col, *keys, probe_time, fact_time, value)
+    if bucket_hours == "auto":
+        both_times = base.select(*keys, epoch_micros(F.col(probe_time)).alias("_t")).unionByName(
+            base.select(*keys, epoch_micros(F.col(fact_time)).alias("_t")))
+        widths = bucket_width_us(both_times, F.col("_t"), keys, hours, target_rows)
+        if keys:
+            # null-safe: rows with a NULL key form their own group, as in
+            # the window's PARTITION BY
+            w = widths.select(*[F.col(k).alias(f"_wk_{k}") for k in keys], "_bw")
+            cond = [base[k].eqNullSafe(w[f"_wk_{k}"]) for k in keys]
+            base = base.join(w, on=cond, how="inner").drop(*[f"_wk_{k}" for k in keys])
+            bw = F.col("_bw")
+        else:
+            bw = widths.select("_bw").scalar()   # one row: a scalar subquery
+    else:
+        bw = F.lit(int(float(bucket_hours) * HOUR_US))
     probes = base.select(
         F.col(id_col).alias("_id"), *keys,
         epoch_micros(F.col(probe_time)).alias("_t"),
         F.lit(None).cast("double").alias("_v"),
-        F.lit(True).alias("_probe"))
-    probes = probes.withColumn("_bucket", F.floor(F.col("_t") / bw))
+        F.lit(True).alias("_probe"), bw.alias("_w"))
+    probes = probes.withColumn("_bucket", F.floor(F.col("_t") / F.col("_w"))).drop("_w")
     facts = base.select(
         F.lit(None).cast(df.schema[id_col].dataType).alias("_id"), *keys,
         epoch_micros(F.col(fact_time)).alias("_t"),
         F.col(value).cast("double").alias("_v"),
-        F.lit(False).alias("_probe"))
+        F.lit(False).alias("_probe"), bw.alias("_w"))
     facts = facts.withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(F.col("_t") / bw), F.floor((F.col("_t") + width) / bw))))
+        "_bucket", F.explode(F.sequence(F.floor(F.col("_t") / F.col("_w")),
+                                        F.floor((F.col("_t") + width) / F.col("_w"))))).drop("_w")
     both = probes.unionByName(facts)
     base_w = Window.partitionBy(*keys, "_bucket").orderBy("_t")
     if decimal_scale is None:

@@ -36,7 +36,7 @@ def trips(spark):
 
 
 @pytest.mark.parametrize("scale", [None, 2])
-@pytest.mark.parametrize("bucket_hours", [24.0, 1.0, 0.5])
+@pytest.mark.parametrize("bucket_hours", ["auto", 24.0, 1.0, 0.5])
 @pytest.mark.parametrize("keys", [[], ["k"]])
 def test_rolling_window_edges(trips, bucket_hours, keys, scale):
     out = {r["id"]: r for r in rolling_lookback(trips, "id", "pickup", "dropoff", "dur", hours=3,
@@ -205,3 +205,28 @@ def test_weekday_and_log(spark):
                               F.when(F.lit(-1.0) > 0, F.ln(F.lit(-1.0))).alias("ln")).first()
     assert r["d"] == 2 and r["l0"] is None and r["ln"] is None
     assert math.isclose(spark.range(1).select(F.ln(F.lit(math.e))).first()[0], 1.0)
+
+
+def test_rolling_auto_buckets_split_a_hot_key(spark):
+    """A dense key gets narrow buckets; results equal the one-bucket plan."""
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for i in range(4000):
+        k = "hot" if i % 4 else rnd.choice(["a", "b", None])
+        p = T + dt.timedelta(seconds=rnd.randint(0, 3 * 24 * 3600))
+        rows.append((i, k, p, p + dt.timedelta(minutes=rnd.randint(0, 200)), float(rnd.randint(1, 9999)) / 100))
+    df = spark.createDataFrame(rows, "id long, k string, pickup timestamp_ntz, dropoff timestamp_ntz, dur double")
+    auto = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=["k"], target_rows=100, decimal_scale=2)
+    one = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=["k"], bucket_hours=24 * 30, decimal_scale=2)
+    a = sorted((r["id"], r["n_in_window"], r["mean_value"]) for r in auto.collect())
+    b = sorted((r["id"], r["n_in_window"], r["mean_value"]) for r in one.collect())
+    assert a == b and len(a) == 4000
+
+
+def test_sample_n_large_path_equals_small_path(spark, monkeypatch):
+    df = spark.range(5000).withColumnRenamed("id", "key")
+    small = {r["key"] for r in ordering.sample_n(df, 700, "key", seed=3).collect()}
+    monkeypatch.setattr(ordering, "TAKE_ORDERED_MAX", 10)
+    large = {r["key"] for r in ordering.sample_n(df, 700, "key", seed=3).collect()}
+    assert small == large and len(small) == 700
