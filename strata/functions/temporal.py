@@ -28,13 +28,16 @@ def make_date(y, m, d) -> Column:
     return F.make_date(_c(y), _c(m), _c(d))
 
 
-def epoch_millis(ts) -> Column:
-    """Milliseconds since the epoch of a zone-less timestamp (UTC), floored."""
-    return F.unix_millis(_c(ts).cast("timestamp"))
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a zone-less timestamp, read
+    as UTC whatever the session time zone is."""
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    return F.timestamp_diff("MICROSECOND", epoch, _c(ts).cast("timestamp_ntz"))
 
 
-def epoch_micros(ts) -> Column:
-    return F.unix_micros(_c(ts).cast("timestamp"))
+def epoch_millis(ts) -> Column:
+    """Milliseconds since the epoch (UTC), floored."""
+    return F.floor(epoch_micros(ts) / F.lit(1000)).cast("bigint")
 
 
 def minus_hours(ts, hours: int) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from strata.session import apply_defaults
+
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 ROUND = 6
@@ -19,7 +22,12 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, data_dir):
+            apply_defaults(spark)      # UTC, AQE: what the plans assume
+            return fn(spark, data_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -44,11 +44,19 @@ def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, g
 
 
 def compare_settings(spark: SparkSession, d: str, cluster_counts=(3, 10, 100), seed: int = 1) -> DataFrame:
-    """MAE on train and test for each number of location clusters."""
-    rows = []
-    for k in cluster_counts:
-        _, pred = run_flow(spark, d, n_clusters=k, seed=seed)
-        m = pred.groupBy("split").agg(F.avg(F.abs(F.col("predicted") - F.col("dur"))).alias("mae")).collect()
+    """MAE on train and test for each number of location clusters.  The
+    split input is persisted once and the flows are fitted in parallel."""
+    from concurrent.futures import ThreadPoolExecutor
+    trips = train_test_split(taxi_trips(spark, d), "id", 0.7, seed=seed) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    train = trips.filter(F.col("split") == "train")
+
+    def one(k):
+        model = duration_flow(LOC, BASE, "dur", k, seed=seed).fit(train)
+        m = model.transform(trips).groupBy("split") \
+            .agg(F.avg(F.abs(F.col("predicted") - F.col("dur"))).alias("mae")).collect()
         by = {r["split"]: r["mae"] for r in m}
-        rows.append((k, by.get("train"), by.get("test")))
+        return k, by.get("train"), by.get("test")
+    with ThreadPoolExecutor(max_workers=len(cluster_counts)) as pool:
+        rows = list(pool.map(one, cluster_counts))
     return spark.createDataFrame(rows, "n_clusters int, mae_train double, mae_test double")
