@@ -48,7 +48,7 @@ HOUR_US = 3_600_000_000
 
 
 def time_range_join(probes: DataFrame, facts: DataFrame, probe_time: str, fact_time: str,
-                    hours: float, keys: list[str] | tuple = (), bucket_hours: float = 24.0,
+                    hours: float, keys: list[str] | tuple = (), bucket_hours: float | str = 24.0,
                     probe_prefix: str = "p_", fact_prefix: str = "f_") -> DataFrame:
     """Pairs with ``fact_time`` in [probe_time - hours, probe_time] (both ends
     inclusive), optionally on equal ``keys``.
@@ -57,17 +57,27 @@ def time_range_join(probes: DataFrame, facts: DataFrame, probe_time: str, fact_t
     into buckets of ``bucket_hours``; each fact is copied into every bucket
     its look-ahead span [t, t + hours] touches and each probe sits in one
     bucket, so the join is an equi-join on (keys, bucket) and every pair is
-    found exactly once.
+    found exactly once.  ``bucket_hours="auto"`` uses buckets one look-back
+    wide, which keeps candidate pairs near the true matches and splits a
+    dense key into many partitions.
     """
     width = int(hours * HOUR_US)
-    bw = int(bucket_hours * HOUR_US)
     p = probes.select([F.col(c).alias(probe_prefix + c) for c in probes.columns])
     f = facts.select([F.col(c).alias(fact_prefix + c) for c in facts.columns])
     pt = epoch_micros(F.col(probe_prefix + probe_time))
     ft = epoch_micros(F.col(fact_prefix + fact_time))
-    p = p.withColumn("_bucket", F.floor(pt / bw)).withColumn("_t", pt)
-    f = f.withColumn("_t", ft).withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(ft / bw), F.floor((ft + width) / bw))))
+    p = p.withColumn("_t", pt)
+    f = f.withColumn("_t", ft)
+    # "auto": buckets one look-back wide.  The bucket also prunes the
+    # candidate pairs (a probe meets the facts of its bucket only), so it
+    # should be as narrow as the window: each fact lands in at most two
+    # buckets, candidates are within ~2x the true matches, and a dense key
+    # is cut into many (key, bucket) partitions by construction.
+    bh = hours if bucket_hours == "auto" else float(bucket_hours)
+    pw = fw = F.lit(int(bh * HOUR_US))
+    p = p.withColumn("_bucket", F.floor(F.col("_t") / pw))
+    f = f.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_t") / fw),
+                                                     F.floor((F.col("_t") + width) / fw))))
     cond = [p["_bucket"] == f["_bucket"]]
     cond += [p[probe_prefix + k] == f[fact_prefix + k] for k in keys]
     cond += [f["_t"] >= p["_t"] - width, f["_t"] <= p["_t"]]

@@ -102,7 +102,7 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
 
 def rolling_lookback_by_join(df: DataFrame, id_col: str, probe_time: str, fact_time: str,
                              value: str, hours: float = 3.0, keys: list[str] | tuple = (),
-                             bucket_hours: float = 24.0, mean_col: str = "mean_value",
+                             bucket_hours: float | str = "auto", mean_col: str = "mean_value",
                              count_col: str = "n_in_window", decimal_scale: int | None = None) -> DataFrame:
     """Same result as ``rolling_lookback`` via the bucketed range join plus a
     group-by (kept as a cross-check; it materialises every pair)."""

@@ -61,7 +61,7 @@ def time_range_join_q(spark, d):
     3 hours up to the probe's pickup, both ends inclusive."""
     t = views.trips(spark, d)
     pairs = time_range_join(t.select("id", "k", "pickup"), t.select("id", "k", "dropoff"),
-                            "pickup", "dropoff", HOURS, keys=["k"])
+                            "pickup", "dropoff", HOURS, keys=["k"], bucket_hours="auto")
     return pairs.select("p_id", "f_id", "p_k", "p_pickup", "f_dropoff")
 
 

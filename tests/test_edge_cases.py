@@ -66,12 +66,17 @@ def test_time_range_join_brute_force(spark):
         p = T + dt.timedelta(minutes=rnd.randint(0, 60 * 48))
         rows.append((i, rnd.choice("xy"), p, p + dt.timedelta(minutes=rnd.randint(0, 300))))
     df = spark.createDataFrame(rows, "id long, k string, pickup timestamp_ntz, dropoff timestamp_ntz")
-    got = {(r["p_id"], r["f_id"]) for r in time_range_join(
-        df.select("id", "k", "pickup"), df.select("id", "k", "dropoff"), "pickup", "dropoff", 3,
-        keys=["k"], bucket_hours=2).collect()}
     want = {(a[0], b[0]) for a in rows for b in rows
             if a[1] == b[1] and a[2] - 3 * H <= b[3] <= a[2]}
-    assert got == want
+    for bh in (2, "auto"):
+        got = {(r["p_id"], r["f_id"]) for r in time_range_join(
+            df.select("id", "k", "pickup"), df.select("id", "k", "dropoff"), "pickup", "dropoff", 3,
+            keys=["k"], bucket_hours=bh).collect()}
+        assert got == want
+    nokey = {(r["p_id"], r["f_id"]) for r in time_range_join(
+        df.select("id", "pickup"), df.select("id", "dropoff"), "pickup", "dropoff", 3,
+        bucket_hours="auto").collect()}
+    assert nokey == {(a[0], b[0]) for a in rows for b in rows if a[2] - 3 * H <= b[3] <= a[2]}
 
 
 def _square(x0, y0, s):
