@@ -2,13 +2,13 @@
 
 Spark's ``image`` format decodes each file into (height, width,
 nChannels, data) with bytes in B, G, R(, A) order.  Writing encodes one
-small image per input row inside ``mapInPandas`` (each task writes its
-own files, named by key, so a retried task rewrites the same files).
+small image per input row inside ``mapInPandas``; each task writes its
+own files through ``pyarrow.fs`` (local, HDFS or object store), named by
+key, so a retried task rewrites the same files.
 """
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 
@@ -32,19 +32,24 @@ def _png_rgba(width: int, height: int, rgba: bytes) -> bytes:
 def write_bgra_pngs(df: DataFrame, key: str, values: str, height: int, width: int, path: str) -> int:
     """Each row's ``values`` (height x width x 4 bytes, BGRA order, 0..255)
     becomes ``<path>/img-<key>.png``.  Returns the number of files."""
-    out_dir = local_path(path)
+    target = path
 
     def encode(batches):
         import pandas as pd
-        os.makedirs(out_dir, exist_ok=True)
+        from pyarrow import fs as pafs
+        if "://" in target:                       # hdfs://, s3://, gs://, file:///
+            filesystem, root = pafs.FileSystem.from_uri(target)
+        else:                                     # plain or file: paths
+            filesystem, root = pafs.LocalFileSystem(), local_path(target)
+        filesystem.create_dir(root, recursive=True)
         for pdf in batches:
             names = []
             for k, vals in zip(pdf[key], pdf[values]):
                 bgra = bytes(int(v) for v in vals)
                 rgba = bytearray(len(bgra))
                 rgba[0::4], rgba[1::4], rgba[2::4], rgba[3::4] = bgra[2::4], bgra[1::4], bgra[0::4], bgra[3::4]
-                name = os.path.join(out_dir, f"img-{k}.png")
-                with open(name, "wb") as fh:
+                name = f"{root.rstrip('/')}/img-{k}.png"
+                with filesystem.open_output_stream(name) as fh:
                     fh.write(_png_rgba(width, height, bytes(rgba)))
                 names.append(name)
             yield pd.DataFrame({"file": names})
