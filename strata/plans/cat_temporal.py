@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from strata.functions.temporal import epoch_millis, make_date, minus_hours
@@ -9,6 +10,7 @@ from strata.operators.joins import time_range_join
 from strata.operators.windows import rolling_lookback, rolling_lookback_by_join
 from strata.plans import views
 from strata.plans.registry import query, rounded, sql_round
+from strata.plans.cat_spatial import _hits
 from strata.plans.views import with_views
 from strata.sources.tables import table
 
@@ -84,3 +86,37 @@ def make_date_q(spark, d):
         "o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"),
         F.dayofmonth("o_orderdate").alias("dd"))
     return o.select("o_orderkey", make_date("y", "m", "dd").alias("date"))
+
+
+@query("rolling_mean_3h_by_area_pair", with_views(f"""
+SELECT p.id, p.pickup_area, p.dropoff_area,
+  {sql_round("CAST(sum(CAST(f.dur AS DECIMAL(38, 2))) AS DOUBLE) / count(f.dur)")} AS mean_dur,
+  count(f.dur) AS n_in_window
+FROM lt p LEFT JOIN lt f
+  ON f.dropoff >= p.pickup - INTERVAL {HOURS} HOUR AND f.dropoff <= p.pickup
+ AND f.pickup_area = p.pickup_area AND f.dropoff_area = p.dropoff_area
+GROUP BY p.id, p.pickup_area, p.dropoff_area""", "trips", "points", "area_edges", ctes=(
+    _hits(), _hits("x2", "y2", "dhits"),
+    """pn AS (SELECT p.id, coalesce(string_agg(h.name, ' | ' ORDER BY h.name), '') AS names
+       FROM points p LEFT JOIN hits h ON p.id = h.id GROUP BY p.id)""",
+    """dn AS (SELECT p.id, coalesce(string_agg(h.name, ' | ' ORDER BY h.name), '') AS names
+       FROM points p LEFT JOIN dhits h ON p.id = h.id GROUP BY p.id)""",
+    """lt AS (SELECT t.id, t.pickup, t.dropoff, t.dur, pn.names AS pickup_area, dn.names AS dropoff_area
+       FROM trips t JOIN events e ON e.event_id = t.id
+       LEFT JOIN pn ON pn.id = e.user_id LEFT JOIN dn ON dn.id = e.user_id)""")))
+def rolling_mean_3h_by_area_pair(spark, d):
+    """The stated goal of the rolling mean: per trip, mean duration of the
+    trips between the same (pickup area, dropoff area) pair dropped off in
+    the 3 hours up to its pickup.  Areas come from the point-in-polygon
+    join of the (few) distinct end points, looked up per trip."""
+    from strata.operators.joins import lookup_join
+    lt = views.located_trips(spark, d).select("id", "user_id", "pickup", "dropoff", "dur")
+    names = views.area_names(spark, d).withColumnRenamed("id", "user_id")
+    # the named trips feed three branches (bucket widths, probes, facts):
+    # keep the narrow projection instead of repeating the joins
+    t = lookup_join(lt, names, "user_id", how="left") \
+        .select("id", "pickup_area", "dropoff_area", "pickup", "dropoff", "dur") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    return rounded(rolling_lookback(t, "id", "pickup", "dropoff", "dur", hours=HOURS,
+                                    keys=["pickup_area", "dropoff_area"], mean_col="mean_dur",
+                                    decimal_scale=2))

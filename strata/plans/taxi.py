@@ -1,6 +1,7 @@
-"""The trip-duration model: trips with a 2-D "pickup location", clustered
-by k-means fitted on the training split, one-hot cluster features plus
-time features, gradient-boosted regression, MAE on train and test."""
+"""The trip-duration model: trips with pickup coordinates clustered by
+k-means fitted on the training split, one-hot cluster features plus trip
+distance and time features, gradient-boosted regression, MAE on train
+and test."""
 
 from __future__ import annotations
 
@@ -10,26 +11,27 @@ from pyspark.sql import functions as F
 
 from strata.models.flows import duration_flow
 from strata.operators.ordering import train_test_split
-from strata.sources.tables import table
 
-LOC = ["loc_x", "loc_y"]
-BASE = ["hour", "dow", "is_click", "is_view", "is_error"]
+LOC = ["plat", "plong"]
+BASE = ["dist_km", "hour", "dow", "is_click", "is_view", "is_error"]
 
 
 def taxi_trips(spark: SparkSession, d: str) -> DataFrame:
-    """events as trips with features: location (user id, the JSON ``k``),
-    pickup hour, ISO weekday and event-type flags; label = duration."""
-    ev = table(spark, d, "events")
-    return ev.select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").cast("double").alias("loc_x"),
-        F.get_json_object("props", "$.k").cast("double").alias("loc_y"),
-        F.hour("ts").cast("double").alias("hour"),
-        (F.weekday("ts") + 1).cast("double").alias("dow"),
-        (F.col("event_type") == "click").cast("double").alias("is_click"),
-        (F.col("event_type") == "view").cast("double").alias("is_view"),
-        (F.col("event_type") == "error").cast("double").alias("is_error"),
-        F.col("value").alias("dur"))
+    """Trips with pickup coordinates (clustered by the flow), great-circle
+    trip distance, pickup hour, ISO weekday and event-type flags; the
+    label is the duration."""
+    from strata.functions.geo import haversine
+    from strata.plans.views import located_trips
+    t = located_trips(spark, d)
+    return t.select(
+        "id", "plat", "plong",
+        haversine("plat", "plong", "dlat", "dlong").alias("dist_km"),
+        F.hour("pickup").cast("double").alias("hour"),
+        (F.weekday("pickup") + 1).cast("double").alias("dow"),
+        (F.col("k") == "click").cast("double").alias("is_click"),
+        (F.col("k") == "view").cast("double").alias("is_view"),
+        (F.col("k") == "error").cast("double").alias("is_error"),
+        "dur")
 
 
 def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, gbt_iter: int = 20):

@@ -102,6 +102,38 @@ def matrix(spark: SparkSession, d: str) -> DataFrame:
     return ex.select("r", F.col("c").cast("bigint").alias("c"), F.col("v").cast("double").alias("v"))
 
 
+def located_trips(spark: SparkSession, d: str) -> DataFrame:
+    """trips with end points: each event's user is looked up in the
+    embeddings (user_id = vec_id) for planar (x, y, x2, y2) and degree
+    (plat, plong, dlat, dlong) coordinates.  Left join: no trip is lost."""
+    from strata.operators.joins import lookup_join
+    ev = table(spark, d, "events")
+    t = ev.select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("k"), "user_id",
+        F.col("ts").alias("pickup"),
+        plus_minutes(F.col("ts"), F.floor(F.col("value"))).alias("dropoff"),
+        F.col("value").alias("dur"))
+    em = table(spark, d, "embeddings")
+    loc = em.select(
+        F.col("vec_id").alias("user_id"),
+        (F.abs(_e(0)) * F.lit(3.0)).alias("x"), (F.abs(_e(1)) * F.lit(3.0)).alias("y"),
+        (F.abs(_e(2)) * F.lit(3.0)).alias("x2"), (F.abs(_e(3)) * F.lit(3.0)).alias("y2"),
+        (F.lit(40.5) + _e(0)).alias("plat"), (F.lit(-74.0) + _e(1)).alias("plong"),
+        (F.lit(40.5) + _e(2)).alias("dlat"), (F.lit(-74.0) + _e(3)).alias("dlong"))
+    return lookup_join(t, loc, "user_id", how="left")
+
+
+def area_names(spark: SparkSession, d: str) -> DataFrame:
+    """Per embedding point: pickup and dropoff area names (sorted, ' | ')."""
+    from strata.operators.spatial import polygon_names
+    p = points(spark, d)
+    a = areas(spark, d)
+    pn = polygon_names(p.select("id", "x", "y"), a, "id", out_col="pickup_area")
+    dn = polygon_names(p.select("id", F.col("x2").alias("x"), F.col("y2").alias("y")), a, "id",
+                       out_col="dropoff_area")
+    return pn.join(dn, "id")
+
+
 def daily(spark: SparkSession, d: str) -> DataFrame:
     """orders counted per calendar day."""
     o = table(spark, d, "orders")
