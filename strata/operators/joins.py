@@ -7,7 +7,28 @@ from pyspark.sql import functions as F
 
 from strata.functions.temporal import epoch_micros
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _estimated_row_bytes(dtype) -> int:
+    """Rough in-memory width of one value (strings and arrays guessed)."""
+    from pyspark.sql import types as T
+    if isinstance(dtype, T.StructType):
+        return sum(_estimated_row_bytes(f.dataType) for f in dtype.fields) + 8
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype.valueType
+        return 16 * _estimated_row_bytes(inner) + 16
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return 32
+    if isinstance(dtype, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(dtype, (T.ShortType,)):
+        return 2
+    if isinstance(dtype, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dtype, T.DecimalType):
+        return 16
+    return 8
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
@@ -15,10 +36,19 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise leave the
-    join to the planner (sort-merge / shuffle-hash, with AQE skew split)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a size check; otherwise leave the join to
+    the planner (sort-merge / shuffle-hash, with AQE skew splitting).
+
+    The row bound is ``max_bytes`` over the estimated row width (and at
+    most ``max_rows``); counting stops at bound + 1 rows.
+    """
+    width = max(1, _estimated_row_bytes(df.schema))
+    bound = max(1, max_bytes // width)
+    if max_rows is not None:
+        bound = min(bound, max_rows)
+    return F.broadcast(df) if bounded_rows(df, bound) else df
 
 
 def left_join_keep_keys(left: DataFrame, right: DataFrame, keys: list[str],
@@ -38,10 +68,10 @@ def left_join_keep_keys(left: DataFrame, right: DataFrame, keys: list[str],
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "inner",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join a fact table to a dimension; the dimension is broadcast only
-    when its row count is checked to be small."""
-    return facts.join(broadcast_if_small(dim, max_broadcast_rows), on=on, how=how)
+    when its size is checked to be small."""
+    return facts.join(broadcast_if_small(dim, max_bytes=max_broadcast_bytes), on=on, how=how)
 
 
 HOUR_US = 3_600_000_000
