@@ -28,13 +28,39 @@ def matrix_vector(m: DataFrame, x: DataFrame, max_broadcast_rows: int = 10_000_0
     return j.groupBy("r").agg(F.sum(F.col("v") * F.col("x")).alias("y"))
 
 
-def matrix_multiply(a: DataFrame, b: DataFrame, max_broadcast_rows: int = 10_000_000) -> DataFrame:
-    """C = A B with A as (r, c, v) and B as (r, c, v): join A.c = B.r, sum per (A.r, B.c)."""
+def matrix_multiply(a: DataFrame, b: DataFrame, max_broadcast_rows: int = 10_000_000,
+                    block: int = 1024) -> DataFrame:
+    """C = A B with A as (r, c, v) and B as (r, c, v).
+
+    When B passes the broadcast size check: join A.c = B.r against the
+    broadcast B and sum per (A.r, B.c) - A is never shuffled before the
+    partial aggregation.  Otherwise a join on the inner index would put
+    every entry of one index value in one task, so both sides go through
+    ``BlockMatrix`` (block x block tiles, multiplied tile by tile).
+    """
     bb = b.select(F.col("r").alias("_k"), F.col("c").alias("_c"), F.col("v").alias("_w"))
-    j = a.join(broadcast_if_small(bb, max_broadcast_rows), a["c"] == bb["_k"])
+    small = broadcast_if_small(bb, max_broadcast_rows)
+    if small is bb:
+        return multiply_blocks(a, b, block)
+    j = a.join(small, a["c"] == bb["_k"])
     return j.groupBy(F.col("r"), F.col("_c").alias("c")).agg(F.sum(F.col("v") * F.col("_w")).alias("v"))
 
 
+def _to_block_matrix(m: DataFrame, block: int):
+    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
+    entries = m.select("r", "c", "v").rdd.map(lambda t: MatrixEntry(int(t[0]), int(t[1]), float(t[2])))
+    return CoordinateMatrix(entries).toBlockMatrix(block, block)
+
+
+def multiply_blocks(a: DataFrame, b: DataFrame, block: int = 1024) -> DataFrame:
+    """C = A B through Spark's distributed ``BlockMatrix`` (for large
+    operands on both sides); result as (r, c, v), zero entries omitted."""
+    spark = a.sparkSession
+    prod = _to_block_matrix(a, block).multiply(_to_block_matrix(b, block)).toCoordinateMatrix()
+    rows = prod.entries.map(lambda e: (int(e.i), int(e.j), float(e.value)))
+    return spark.createDataFrame(rows, "r long, c long, v double").filter(F.col("v") != 0.0)
+
+
 def transpose(m: DataFrame) -> DataFrame:
     return m.select(F.col("c").alias("r"), F.col("r").alias("c"), "v")
 

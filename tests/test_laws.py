@@ -96,3 +96,16 @@ def test_grid_slices_published(spark):
     assert one[3] == [3, 103, 203, 13, 113, 213]
     right = sorted((r["i"], r["j"], r["v"]) for r in g.filter(F.col("k") == 0).collect())
     assert [v for _, _, v in right] == [0, 10, 1, 11, 2, 12, 3, 13]
+
+
+def test_block_matrix_product_equals_join_product(spark):
+    import random
+    from strata.operators.matrices import multiply_blocks
+    rnd = random.Random(2)
+    a = spark.createDataFrame([(r, c, float(rnd.randint(-5, 5))) for r in range(7) for c in range(5)],
+                              "r long, c long, v double")
+    b = spark.createDataFrame([(r, c, float(rnd.randint(-5, 5))) for r in range(5) for c in range(4)],
+                              "r long, c long, v double")
+    joined = {(r["r"], r["c"]): r["v"] for r in mx.matrix_multiply(a, b).collect() if r["v"] != 0}
+    blocks = {(r["r"], r["c"]): r["v"] for r in multiply_blocks(a, b, block=3).collect()}
+    assert joined == pytest.approx(blocks) and set(joined) == set(blocks)
