@@ -136,3 +136,13 @@ def metric_summary(scores: DataFrame, by: list[str], metric: str) -> DataFrame:
     """min / mean / max of a metric over folds, per setting."""
     return scores.groupBy(*by).agg(F.min(metric).alias("min"), F.avg(metric).alias("mean"),
                                    F.max(metric).alias("max"))
+
+
+def best_fold(scores: DataFrame, by: list[str], metric: str, fold: str = "fold",
+              higher_is_better: bool = True) -> DataFrame:
+    """Per setting, only the best fold (ties -> lowest fold number)."""
+    m = F.col(metric) if higher_is_better else -F.col(metric)
+    best = F.max_by(F.struct(F.col(fold).alias("f"), F.col(metric).alias("m")),
+                    F.struct(m, -F.col(fold)))
+    return scores.groupBy(*by).agg(best.alias("_b")).select(
+        *by, F.col("_b.f").alias(fold), F.col("_b.m").alias(metric))

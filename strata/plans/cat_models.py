@@ -195,6 +195,15 @@ def cv_summary(spark, d):
     return rounded(metric_summary(_cv_mean_scores(spark, d), ["setting"], "metric"))
 
 
+@query("cv_best_fold", _CV_SQL + f"""
+SELECT setting, fold, {sql_round('metric')} AS metric FROM (
+  SELECT *, row_number() OVER (PARTITION BY setting ORDER BY metric, fold) AS rk FROM scores) WHERE rk = 1""")
+def cv_best_fold(spark, d):
+    """Cross-validation reporting only the best fold per setting (lowest MAE)."""
+    from strata.operators.aggregates import best_fold
+    return rounded(best_fold(_cv_mean_scores(spark, d), ["setting"], "metric", higher_is_better=False))
+
+
 @query("model_roundtrip", ORACLE["ols_dow"])
 def model_roundtrip(spark, d):
     """The weekday least-squares model saved to shared storage, loaded
