@@ -39,7 +39,10 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
     runs over them, so there is no pairwise join.  The window partition is
     (keys, time bucket): every fact is copied into each bucket its span
     [t, t + hours] reaches, so a probe sees all its facts inside its own
-    bucket and a hot key is cut into one task per bucket.
+    bucket and a hot key is cut into one task per bucket.  With
+    ``bucket_hours="auto"`` the width is chosen per key from its density
+    (``bucket_width_us``, about ``target_rows`` rows per bucket), so a key
+    holding a third of all rows still spreads over many tasks.
 
     ``decimal_scale``: values carry that many decimals (money, durations
     in cents); they are summed as exact decimals, so the mean does not
