@@ -80,41 +80,96 @@ def _order_cols(spec) -> list[Column]:
     return [F.col(n).desc() if desc else F.col(n).asc() for n, desc in spec]
 
 
-def _count_le(v: Column, splits: list[float], lo: int, hi: int) -> Column:
-    """Number of ``splits`` (sorted) that are <= v: a balanced CASE tree,
+def _before(spec, split) -> Column:
+    """Row strictly before the split tuple in the sort order (lexicographic;
+    ascending puts NULLs first, descending puts them last, as Spark does)."""
+    expr = None
+    for (name, desc), sv in reversed(list(zip(spec, split))):
+        c = F.col(name)
+        if sv is None:
+            lt = c.isNotNull() if desc else F.lit(False)
+            eq = c.isNull()
+        else:
+            lit = F.lit(sv)
+            lt = (c > lit) if desc else (c.isNull() | (c < lit))
+            if desc:
+                lt = c.isNotNull() & lt
+            eq = c.eqNullSafe(lit)
+        lt = F.coalesce(lt, F.lit(False))
+        expr = lt if expr is None else (lt | (eq & expr))
+    return expr
+
+
+def _count_le(spec, splits, lo: int, hi: int) -> Column:
+    """Number of split tuples at or before the row: a balanced CASE tree,
     i.e. a binary search of depth log2(len(splits)) per row."""
     if lo == hi:
         return F.lit(lo)
     mid = (lo + hi) // 2
-    return F.when(v < F.lit(splits[mid]), _count_le(v, splits, lo, mid)) \
-        .otherwise(_count_le(v, splits, mid + 1, hi))
+    return F.when(_before(spec, splits[mid]), _count_le(spec, splits, lo, mid)) \
+        .otherwise(_count_le(spec, splits, mid + 1, hi))
+
+
+def _sort_key(spec):
+    import math
+
+    def key(row):
+        out = []
+        for (name, desc), v in zip(spec, row):
+            if v is None:
+                rank = (1,) if desc else (-1,)
+                out.append((rank, 0))
+                continue
+            if isinstance(v, float) and math.isnan(v):
+                v = math.inf            # Spark orders NaN after every number
+            out.append(((0,), _Neg(v) if desc else v))
+        return tuple(out)
+    return key
+
+
+class _Neg:
+    """Reverses the order of any comparable value (for descending keys)."""
+    __slots__ = ("v",)
+
+    def __init__(self, v):
+        self.v = v
+
+    def __lt__(self, other):
+        return other.v < self.v
+
+    def __eq__(self, other):
+        return self.v == other.v
 
 
-def value_buckets(df: DataFrame, col: str, buckets: int, descending: bool = False,
-                  rel_error: float = 1e-3) -> Column:
-    """Integer bucket of ``col`` that never decreases along the sort order.
+def order_buckets(df: DataFrame, spec, buckets: int, rows_per_bucket: int = 60,
+                  seed: int = 17) -> Column:
+    """Integer bucket that never decreases along the sort order ``spec``.
 
-    Split points are approximate quantiles (``buckets - 1`` numbers, the
-    only data that reaches the driver), applied as literals in a binary
-    search expression: every row's bucket is a pure function of the row,
-    so any re-computation of a plan branch gives the same buckets.
+    Like Spark's range partitioner: a bounded sample (about
+    ``rows_per_bucket`` rows per bucket) is sorted on the driver and
+    ``buckets - 1`` split tuples are taken from it; the bucket is then a
+    pure function of the row (a binary search over literal tuples), so
+    every re-computation of a plan branch agrees.  Split points are whole
+    sort tuples, so a single value shared by many rows is still spread
+    over several buckets by the tie-breaking columns.
     """
-    v = F.col(col)
-    dtype = df.schema[col].dataType.typeName()
-    if dtype == "date":
-        v = F.unix_date(v).cast("double")
-    elif dtype.startswith("timestamp"):
-        v = F.unix_micros(v.cast("timestamp")).cast("double")
-    else:
-        v = v.cast("double")
-    qs = []
-    if buckets > 1:
-        qs = df.select(v.alias("_q")).approxQuantile("_q", [i / buckets for i in range(1, buckets)],
-                                                     rel_error)
-    splits = sorted(set(qs))
-    b = _count_le(v, splits, 0, len(splits)) if splits else F.lit(0)
-    b = F.when(v.isNull(), F.lit(-1)).otherwise(b)
-    return (-b if descending else b).cast("int")
+    names = [n for n, _ in spec]
+    if buckets <= 1:
+        return F.lit(0)
+    n = df.count()
+    if n == 0:
+        return F.lit(0)
+    frac = min(1.0, buckets * rows_per_bucket / n)
+    sample = [tuple(r) for r in df.select(*names).sample(False, frac, seed).collect()]
+    sample.sort(key=_sort_key(spec))
+    if not sample:
+        return F.lit(0)
+    picks = []
+    for i in range(1, buckets):
+        t = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
+        if not picks or t != picks[-1]:
+            picks.append(t)
+    return _count_le(spec, picks, 0, len(picks)).cast("int")
 
 
 def positions(df: DataFrame, order: list, group_cols: list[str] | tuple = (),
@@ -125,16 +180,15 @@ def positions(df: DataFrame, order: list, group_cols: list[str] | tuple = (),
     ``order`` lists column names (ascending) or ``(name, "desc")`` pairs and
     must be a total order (end it with a unique key).  ``bucket`` is an
     optional integer column that never decreases along ``order`` within a
-    group; by default it comes from approximate quantiles of the first
-    order column.  Rows are numbered inside (group, bucket) and shifted by
-    the row counts of the earlier buckets of their group.
+    group; by default it comes from sampled split tuples of the whole order
+    (``order_buckets``).  Rows are numbered inside (group, bucket) and
+    shifted by the row counts of the earlier buckets of their group.
     """
     group_cols = list(group_cols)
     spec = _order_spec(order)
     ordering = _order_cols(spec)
     if bucket is None:
-        first, desc = spec[0]
-        bucket = value_buckets(df, first, _num_buckets(df, buckets), descending=desc)
+        bucket = order_buckets(df, spec, _num_buckets(df, buckets))
     df = df.withColumn("_bkt", bucket)
     local_w = Window.partitionBy(*group_cols, "_bkt").orderBy(*ordering)
     local = df.withColumn("_lpos", F.row_number().over(local_w) - 1)
