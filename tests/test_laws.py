@@ -109,3 +109,19 @@ def test_block_matrix_product_equals_join_product(spark):
     joined = {(r["r"], r["c"]): r["v"] for r in mx.matrix_multiply(a, b).collect() if r["v"] != 0}
     blocks = {(r["r"], r["c"]): r["v"] for r in multiply_blocks(a, b, block=3).collect()}
     assert joined == pytest.approx(blocks) and set(joined) == set(blocks)
+
+
+def test_dot_product_examples_and_additivity(spark):
+    from strata.functions.vectors import dot, vadd
+    prices = [1.3, 2.0, 1.9, 1.8]          # banana, mango, pineapple, pears
+    rows = [([10.0, 0.0, 7.0, 3.0], [0.0, 9.0, 3.0, 0.0])]
+    df = spark.createDataFrame(rows, "a array<double>, b array<double>") \
+        .withColumn("p", F.array(*[F.lit(x) for x in prices]))
+    r = df.select(dot("p", "a").alias("fa"), dot("p", "b").alias("fb"),
+                  dot("p", vadd("a", "b")).alias("fab")).first()
+    assert r["fa"] == pytest.approx(31.7) and r["fb"] == pytest.approx(23.7)
+    assert r["fab"] == pytest.approx(r["fa"] + r["fb"]) and r["fab"] == pytest.approx(55.4)
+    small = spark.range(1).select(
+        dot(F.array(F.lit(1.0), F.lit(2.0), F.lit(3.0)), F.array(F.lit(1.0), F.lit(10.0), F.lit(100.0))).alias("x"),
+        dot(F.array(F.lit(4.0), F.lit(-4.0), F.lit(0.0)), F.array(*[F.lit(1 / 3)] * 3)).alias("y")).first()
+    assert small["x"] == 321.0 and small["y"] == pytest.approx(0.0, abs=1e-12)
