@@ -93,6 +93,14 @@ def cross_validate(spark: SparkSession, data: DataFrame, fold_col: str, k: int,
     return spark.createDataFrame(rows, "setting string, fold int, metric double")
 
 
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a fit's input over at least ``defaultParallelism`` tasks when
+    it arrives in fewer partitions (a small file is one split); inputs that
+    already have that many partitions are left alone (no extra shuffle)."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
     """Persist ``df`` with about ``rows_per_partition`` rows per task.
 

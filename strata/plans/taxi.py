@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.models.flows import duration_flow
+from strata.models.flows import duration_flow, ensure_parallelism
 from strata.operators.ordering import train_test_split
 
 LOC = ["plat", "plong"]
@@ -37,7 +37,7 @@ def taxi_trips(spark: SparkSession, d: str) -> DataFrame:
 def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, gbt_iter: int = 20):
     """Fit on the training split, transform both splits.  Returns
     (fitted PipelineModel, predictions DataFrame with a ``split`` column)."""
-    trips = train_test_split(taxi_trips(spark, d), "id", 0.7, seed=seed) \
+    trips = ensure_parallelism(train_test_split(taxi_trips(spark, d), "id", 0.7, seed=seed)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     train = trips.filter(F.col("split") == "train")
     model = duration_flow(LOC, BASE, "dur", n_clusters, seed=seed, gbt_iter=gbt_iter).fit(train)
@@ -49,7 +49,7 @@ def compare_settings(spark: SparkSession, d: str, cluster_counts=(3, 10, 100), s
     """MAE on train and test for each number of location clusters.  The
     split input is persisted once and the flows are fitted in parallel."""
     from concurrent.futures import ThreadPoolExecutor
-    trips = train_test_split(taxi_trips(spark, d), "id", 0.7, seed=seed) \
+    trips = ensure_parallelism(train_test_split(taxi_trips(spark, d), "id", 0.7, seed=seed)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     train = trips.filter(F.col("split") == "train")
 
