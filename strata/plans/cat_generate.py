@@ -50,10 +50,10 @@ def gen_index(spark, d):
 @query("gen_grid", """
 SELECT CAST(id // (b * c) AS INTEGER) AS i, CAST((id // c) % b AS INTEGER) AS j, CAST(id % c AS INTEGER) AS k,
        CAST(id // (b * c) + 10 * ((id // c) % b) + 100 * (id % c) AS INTEGER) AS value
-FROM (SELECT (SELECT count(*) FROM nation) AS a, (SELECT count(*) FROM region) AS b, 3 AS c) s,
-     range((SELECT count(*) FROM nation) * (SELECT count(*) FROM region) * 3) t(id)""")
+FROM (SELECT (SELECT count(*) FROM customer) AS a, (SELECT count(*) FROM region) AS b, 3 AS c) s,
+     range((SELECT count(*) FROM customer) * (SELECT count(*) FROM region) * 3) t(id)""")
 def gen_grid(spark, d):
-    """Tensor of shape [nations, regions, 3] with value i + 10 j + 100 k."""
-    a = table(spark, d, "nation").count()
+    """Tensor of shape [customers, regions, 3] with value i + 10 j + 100 k."""
+    a = table(spark, d, "customer").count()
     b = table(spark, d, "region").count()
     return gen.grid(spark, [a, b, 3], lambda i, j, k: i + 10 * j + 100 * k)

@@ -53,11 +53,13 @@ def _pt(x, y):
 
 
 def areas(spark: SparkSession, d: str) -> DataFrame:
-    """Polygons derived from the nation and region tables.
+    """Polygons derived from the nation, region and supplier tables.
 
     nation n: the 0.3-wide square of a 5 x 5 grid (neighbours share edges);
     region r: a diamond of radius 0.3 centred at (0.3 + 0.25 r, 0.3 + 0.25 r)
-    with a square hole of half-width 0.08; it overlaps several nations.
+    with a square hole of half-width 0.08; it overlaps several nations;
+    supplier s: a 0.07-wide square at (0.05 (s mod 30), 0.05 floor(s / 30)),
+    overlapping its neighbours (their number grows with the data).
     """
     na = table(spark, d, "nation")
     x0 = F.lit(0.3) * (F.col("n_nationkey") % 5)
@@ -74,7 +76,14 @@ def areas(spark: SparkSession, d: str) -> DataFrame:
                    _pt(c - h, c - h))
     regions = re.select((F.lit(100) + F.col("r_regionkey")).cast("bigint").alias("poly_id"),
                         F.col("r_name").alias("name"), F.array(outer, hole).alias("rings"))
-    return nations.unionByName(regions)
+    su = table(spark, d, "supplier")
+    sx0 = F.lit(0.05) * (F.col("s_suppkey") % 30)
+    sy0 = F.lit(0.05) * F.floor(F.col("s_suppkey") / 30)
+    sx1, sy1 = sx0 + F.lit(0.07), sy0 + F.lit(0.07)
+    ssq = F.array(F.array(_pt(sx0, sy0), _pt(sx1, sy0), _pt(sx1, sy1), _pt(sx0, sy1), _pt(sx0, sy0)))
+    suppliers = su.select((F.lit(1000) + F.col("s_suppkey")).cast("bigint").alias("poly_id"),
+                          F.col("s_name").alias("name"), ssq.alias("rings"))
+    return nations.unionByName(regions).unionByName(suppliers)
 
 
 def pixels(spark: SparkSession, d: str) -> DataFrame:
@@ -196,7 +205,16 @@ VIEW_SQL = {
                         (1, 1, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE, c + 0.08::DOUBLE),
                         (1, 2, c + 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c + 0.08::DOUBLE),
                         (1, 3, c - 0.08::DOUBLE, c + 0.08::DOUBLE, c - 0.08::DOUBLE, c - 0.08::DOUBLE))
-          e(ring, vertex, x1, y1, x2, y2)""",
+          e(ring, vertex, x1, y1, x2, y2)
+        UNION ALL
+        SELECT poly_id, name, ring, vertex, vertex = 3 AS last_edge, x1, y1, x2, y2 FROM (
+          SELECT CAST(1000 + s_suppkey AS BIGINT) AS poly_id, s_name AS name,
+                 0.05::DOUBLE * (s_suppkey % 30) AS x0, 0.05::DOUBLE * floor(s_suppkey / 30) AS y0
+          FROM supplier) s,
+        LATERAL (VALUES (0, 0, x0, y0, x0 + 0.07::DOUBLE, y0),
+                        (0, 1, x0 + 0.07::DOUBLE, y0, x0 + 0.07::DOUBLE, y0 + 0.07::DOUBLE),
+                        (0, 2, x0 + 0.07::DOUBLE, y0 + 0.07::DOUBLE, x0, y0 + 0.07::DOUBLE),
+                        (0, 3, x0, y0 + 0.07::DOUBLE, x0, y0)) e(ring, vertex, x1, y1, x2, y2)""",
     "pixels": """SELECT label AS img, vec_id AS i, CAST((p - 1) // 4 AS INTEGER) AS j,
         CAST((p - 1) % 4 AS INTEGER) AS k,
         CAST(least(greatest(floor(abs(embedding[p]::DOUBLE) * 255.0::DOUBLE), 0), 255) AS INTEGER) AS v
