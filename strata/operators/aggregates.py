@@ -85,9 +85,12 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: lis
     over many tasks and no group's values are gathered in one place.  Only
     the rows at the two positions around each quantile are kept.
     """
-    src = df.select(*group_cols, F.col(value).cast("double").alias("_v"),
-                    *( [F.col(key)] if key else [])).filter(F.col("_v").isNotNull())
-    order = ["_v"] + ([key] if key else [])
+    # tie-break: the key, or a hash of the whole row, so that one value
+    # held by very many rows is still spread over several buckets
+    tb = F.col(key) if key else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    src = df.select(*group_cols, F.col(value).cast("double").alias("_v"), tb.alias("_tb")) \
+        .filter(F.col("_v").isNotNull())
+    order = ["_v", "_tb"]
     pos = positions(src, order, group_cols=group_cols, pos_col="_pos", size_col="_n")
     wanted = []
     for i, q in enumerate(probs):
