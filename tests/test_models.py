@@ -60,3 +60,16 @@ def test_tree_grid_scores_shape(spark, small_dir):
     deep = [r["metric"] for r in s if r["setting"] == "tree-16"]
     shallow = [r["metric"] for r in s if r["setting"] == "tree-2"]
     assert sum(deep) > sum(shallow)     # a 2-leaf tree cannot separate 8 classes
+
+
+def test_cut_deep_tree_equals_direct_fits(spark, small_dir):
+    """The grid search scores depth-d trees by cutting one deep tree."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from strata.models.flows import tree_expr, tree_nodes
+    c = VectorAssembler(inputCols=["x", "y"], outputCol="_f").transform(_clusters(spark, small_dir)).cache()
+    deep = tree_nodes(DecisionTreeClassifier(featuresCol="_f", labelCol="cls", maxDepth=12, seed=1).fit(c))
+    for depth in (1, 2, 3, 5, 8):
+        m = DecisionTreeClassifier(featuresCol="_f", labelCol="cls", maxDepth=depth, seed=1).fit(c)
+        p = m.transform(c).withColumn("cut", tree_expr(deep, ["x", "y"], depth))
+        assert p.filter(F.col("prediction") != F.col("cut")).count() == 0
