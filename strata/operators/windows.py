@@ -45,10 +45,10 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
     holding a third of all rows still spreads over many tasks.
 
     ``decimal_scale``: values carry that many decimals (money, durations
-    in cents); they are summed as exact decimals, so the mean does not
-    depend on the order rows are added in, and the window total becomes a
-    difference of two running totals (linear time instead of re-summing
-    the sliding frame for every row).
+    in cents); they are summed as exact decimals, so the mean (an exact
+    decimal quotient) does not depend on the order rows are added in, and
+    the window total becomes a difference of two running totals (linear
+    time instead of re-summing the sliding frame for every row).
     """
     keys = list(keys)
     width = int(hours * HOUR_US)
@@ -93,12 +93,13 @@ def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str
         # exact decimals allow differences of running totals: two frames
         # anchored at the partition start (each updated incrementally,
         # O(rows)); window [t - width, t] = upto(t) - upto(t - width - 1us)
-        dec = F.col("_v").cast(f"decimal(38,{decimal_scale})")
+        dec = F.col("_v").cast(f"decimal(28,{decimal_scale})")
         upto_t = base_w.rangeBetween(Window.unboundedPreceding, 0)
         before = base_w.rangeBetween(Window.unboundedPreceding, -(width + 1))
         n = F.count("_v").over(upto_t) - F.coalesce(F.count("_v").over(before), F.lit(0))
         total = F.coalesce(F.sum(dec).over(upto_t), F.lit(0)) - F.coalesce(F.sum(dec).over(before), F.lit(0))
-        mean = F.when(n > 0, total.cast("double") / n)
+        # exact decimal quotient (Spark keeps 12 decimals here, rounded half-up)
+        mean = F.when(n > 0, total.cast(f"decimal(28,{decimal_scale})") / n)
     out = both.select("_id", *keys, "_probe", mean.alias(mean_col), n.alias(count_col))
     return out.filter(F.col("_probe")).drop("_probe").withColumnRenamed("_id", id_col)
 
@@ -118,7 +119,9 @@ def rolling_lookback_by_join(df: DataFrame, id_col: str, probe_time: str, fact_t
     if decimal_scale is None:
         mean = F.avg(fv.cast("double"))
     else:
-        mean = F.try_divide(F.sum(fv.cast(f"decimal(38,{decimal_scale})")).cast("double"), F.count(fv))
+        mean = F.when(F.count(fv) > 0,
+                      F.sum(fv.cast(f"decimal(28,{decimal_scale})")).cast(f"decimal(28,{decimal_scale})")
+                      / F.count(fv))
     agg = pairs.groupBy(F.col("p_" + id_col).alias(id_col)).agg(
         mean.alias(mean_col), F.count(fv).alias(count_col))
     probes = base.select(id_col, *keys)

@@ -9,7 +9,7 @@ from strata.functions.temporal import epoch_millis, make_date, minus_hours
 from strata.operators.joins import time_range_join
 from strata.operators.windows import rolling_lookback, rolling_lookback_by_join
 from strata.plans import views
-from strata.plans.registry import query, rounded, sql_round
+from strata.plans.registry import query, rounded, sql_mean_half_up
 from strata.plans.cat_spatial import _hits
 from strata.plans.views import with_views
 from strata.sources.tables import table
@@ -23,7 +23,7 @@ def _rolling_sql(keyed: bool) -> str:
     key_grp = ", p.k" if keyed else ""
     return with_views(f"""
 SELECT p.id, {key_sel}
-  {sql_round("CAST(sum(CAST(f.dur AS DECIMAL(38, 2))) AS DOUBLE) / count(f.dur)")} AS mean_dur,
+  {sql_mean_half_up("sum(CAST(f.dur AS DECIMAL(38, 2)))", "count(f.dur)")} AS mean_dur,
   count(f.dur) AS n_in_window
 FROM trips p LEFT JOIN trips f
   ON f.dropoff >= p.pickup - INTERVAL {HOURS} HOUR AND f.dropoff <= p.pickup{key_on}
@@ -90,7 +90,7 @@ def make_date_q(spark, d):
 
 @query("rolling_mean_3h_by_area_pair", with_views(f"""
 SELECT p.id, p.pickup_area, p.dropoff_area,
-  {sql_round("CAST(sum(CAST(f.dur AS DECIMAL(38, 2))) AS DOUBLE) / count(f.dur)")} AS mean_dur,
+  {sql_mean_half_up("sum(CAST(f.dur AS DECIMAL(38, 2)))", "count(f.dur)")} AS mean_dur,
   count(f.dur) AS n_in_window
 FROM lt p LEFT JOIN lt f
   ON f.dropoff >= p.pickup - INTERVAL {HOURS} HOUR AND f.dropoff <= p.pickup

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from strata.session import apply_defaults
 
@@ -35,16 +35,28 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, places: int = ROUND) -> DataFrame:
-    """Round every floating column (results are compared across engines)."""
+    """Round every floating or decimal column (results are compared across
+    engines); decimals are rounded half-up exactly, then shown as double."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType)):
             c = F.round(c.cast("double"), places)
+        elif isinstance(f.dataType, DecimalType):
+            c = F.round(c, places).cast("double")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
+def sql_mean_half_up(total_cents: str, n: str, places: int = ROUND) -> str:
+    """DuckDB: mean of a non-negative 2-decimal total, rounded half-up to
+    ``places`` decimals in integer arithmetic (as Spark's exact decimal
+    division), returned as DOUBLE; NULL when n = 0."""
+    scale = 10 ** (places - 2)
+    return (f"CASE WHEN ({n}) > 0 THEN CAST((CAST(({total_cents}) * 100 AS HUGEINT) * {2 * scale} + ({n}))"
+            f" // (2 * ({n})) AS DOUBLE) / {float(10 ** places)} END")
+
+
 def sql_round(expr: str, places: int = ROUND) -> str:
     """DuckDB rounding that matches Spark's ``round`` on doubles.
 
