@@ -58,10 +58,14 @@ def sql_mean_half_up(total_cents: str, n: str, places: int = ROUND) -> str:
 
 
 def sql_round(expr: str, places: int = ROUND) -> str:
-    """DuckDB rounding that matches Spark's ``round`` on doubles.
+    """DuckDB rounding close to Spark's ``round`` on doubles.
 
-    Spark rounds half-up on the shortest decimal form of the double
-    (65.9503125 -> 65.950313), DuckDB on its binary value (-> 65.950312).
-    Going through the shortest text form and a DECIMAL gives Spark's rule.
+    Spark rounds the double's exact binary value half-up; DuckDB's
+    ``round`` scales by 10^places first and can land on the other side of
+    a tie (65.9503125 -> 65.950312 where Spark gives 65.950313).  Going
+    through the shortest text form and a DECIMAL agrees with Spark except
+    for doubles just below an exact decimal tie; where such ties are
+    possible (means of 2-decimal values) the queries use exact decimals
+    and ``sql_mean_half_up`` instead.
     """
     return (f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 12)), {places}) AS DOUBLE)")
