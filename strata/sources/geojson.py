@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _GEOMETRY = "struct<type: string, coordinates: array<array<array<double>>>>"
+_FEATURE_COLUMNS = f"type string, properties map<string, string>, geometry {_GEOMETRY}"
 _FEATURE = f"struct<type: string, properties: map<string, string>, geometry: {_GEOMETRY}>"
 
 
@@ -36,7 +37,7 @@ def read_geojson(spark: SparkSession, path: str, properties: list[str]) -> DataF
 
 def read_geojson_seq(spark: SparkSession, path: str, properties: list[str]) -> DataFrame:
     """One feature per line (splittable)."""
-    feats = spark.read.schema(_FEATURE).json(path)
+    feats = spark.read.schema(_FEATURE_COLUMNS).json(path)
     return _features_to_rows(feats.select(F.struct("*").alias("f")), properties)
 
 
