@@ -98,3 +98,18 @@ def nearest_centre(points: DataFrame, centres: list[tuple], cols: list[str],
                         cen["id"].alias("id"))
     best = F.array_min(F.transform(arr, dist))
     return points.withColumn(out_col, best["id"])
+
+
+def lloyd_kmeans(points: DataFrame, cols: list[str], init: list[tuple], iterations: int) -> list[list[float]]:
+    """Lloyd's k-means from given starting centres: each round assigns every
+    point to its nearest centre (no shuffle, centres in the expression) and
+    moves each centre to the mean of its points (one partial aggregate);
+    only the k centres travel to the driver.  A centre that loses all its
+    points stays where it was."""
+    centres = [list(map(float, c)) for c in init]
+    for _ in range(iterations):
+        assigned = nearest_centre(points, centres, cols, out_col="_c")
+        means = assigned.groupBy("_c").agg(*[F.avg(c).alias(c) for c in cols]).collect()
+        for r in means:
+            centres[r["_c"]] = [float(r[c]) for c in cols]
+    return centres

@@ -64,6 +64,46 @@ def kmeans_lloyd_step(spark, d):
         F.avg("plat").alias("plat"), F.avg("plong").alias("plong"), F.count(F.lit(1)).alias("n")))
 
 
+LLOYD_ROUNDS = 5
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """Unrolled Lloyd iterations as DuckDB CTEs (c0 = seeded sample)."""
+    ctes = [f"""c0 AS (SELECT CAST(row_number() OVER (ORDER BY {_md5('id')}, id) - 1 AS INTEGER) AS cluster,
+                 plat, plong FROM geo ORDER BY {_md5('id')}, id LIMIT 8)"""]
+    for i in range(1, rounds + 1):
+        prev = f"c{i - 1}"
+        ctes.append(f"""a{i} AS (SELECT id, plat, plong, cluster FROM (
+            SELECT g.id, g.plat, g.plong, c.cluster, row_number() OVER (PARTITION BY g.id ORDER BY
+              (g.plat - c.plat) * (g.plat - c.plat) + (g.plong - c.plong) * (g.plong - c.plong), c.cluster) AS r
+            FROM geo g, {prev} c) WHERE r = 1)""")
+        ctes.append(f"""c{i} AS (SELECT p.cluster, coalesce(m.plat, p.plat) AS plat, coalesce(m.plong, p.plong) AS plong
+            FROM {prev} p LEFT JOIN (SELECT cluster, avg(plat) AS plat, avg(plong) AS plong FROM a{i} GROUP BY cluster) m
+            ON p.cluster = m.cluster)""")
+    ctes.append(f"""fin AS (SELECT id, cluster FROM (
+            SELECT g.id, c.cluster, row_number() OVER (PARTITION BY g.id ORDER BY
+              (g.plat - c.plat) * (g.plat - c.plat) + (g.plong - c.plong) * (g.plong - c.plong), c.cluster) AS r
+            FROM geo g, c{rounds} c) WHERE r = 1)""")
+    return with_views(f"""
+SELECT c.cluster, round(c.plat, 6) AS plat, round(c.plong, 6) AS plong,
+       (SELECT count(*) FROM fin WHERE fin.cluster = c.cluster) AS n
+FROM c{rounds} c""", "geo", ctes=tuple(ctes))
+
+
+@query("kmeans_lloyd", _lloyd_sql(LLOYD_ROUNDS))
+def kmeans_lloyd(spark, d):
+    """Five Lloyd rounds from 8 seeded centres; final centres and sizes."""
+    from strata.operators.spatial import lloyd_kmeans, nearest_centre
+    from strata.operators.ordering import sample_n
+    g = views.geo(spark, d).select("id", "plat", "plong")
+    init = [(r["plat"], r["plong"]) for r in sample_n(g, 8, "id").collect()]
+    centres = lloyd_kmeans(g, ["plat", "plong"], init, LLOYD_ROUNDS)
+    sizes = nearest_centre(g, centres, ["plat", "plong"]).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    table_ = spark.createDataFrame([(i, c[0], c[1]) for i, c in enumerate(centres)],
+                                   "cluster int, plat double, plong double")
+    return rounded(table_.join(sizes, "cluster", "left").fillna({"n": 0}))
+
+
 @query("kmeans_fit")
 def kmeans_fit(spark, d):
     """k-means (k = 10, seed 1) on all pickup points; cluster per point."""
