@@ -254,3 +254,15 @@ def test_positions_ties_nulls_and_strings(spark):
     b = ordering.order_buckets(df, [("s", True), ("key", False)], 7)
     hot_buckets = df.filter(F.col("s") == "hot").select(b.alias("b")).distinct().count()
     assert hot_buckets >= 3          # the tied value is spread by its tie-break key
+
+
+def test_boxplot_approx_close_to_exact(spark):
+    import numpy as np
+    vals = np.random.default_rng(4).gamma(2.0, 3.0, size=4000)
+    df = spark.createDataFrame([(int(i % 3), float(v)) for i, v in enumerate(vals)], "g int, v double")
+    ex = {r["g"]: r for r in agg.boxplot_stats(df, ["g"], "v").collect()}
+    ap = {r["g"]: r for r in agg.boxplot_stats(df, ["g"], "v", exact=False).collect()}
+    for g in (0, 1, 2):
+        for c in ("q1", "median", "q3"):
+            assert abs(ex[g][c] - ap[g][c]) < 0.05 * (ex[g]["q3"] - ex[g]["q1"])
+        assert ex[g]["n"] == ap[g]["n"]
