@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.models.flows import duration_flow, ensure_parallelism
-from strata.operators.ordering import train_test_split
+from strata.operators.ordering import sample_n, train_test_split
 
 LOC = ["plat", "plong"]
 BASE = ["dist_km", "hour", "dow", "is_click", "is_view", "is_error"]
@@ -34,10 +34,16 @@ def taxi_trips(spark: SparkSession, d: str) -> DataFrame:
         "dur")
 
 
-def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, gbt_iter: int = 20):
+def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, gbt_iter: int = 20,
+             sample_rows: int | None = None):
     """Fit on the training split, transform both splits.  Returns
-    (fitted PipelineModel, predictions DataFrame with a ``split`` column)."""
-    trips = ensure_parallelism(train_test_split(taxi_trips(spark, d), "id", 0.7, seed=seed)) \
+    (fitted PipelineModel, predictions DataFrame with a ``split`` column).
+    ``sample_rows`` first takes an exact seeded sample (the studies used
+    10,000 rows); by default every trip is used."""
+    src = taxi_trips(spark, d)
+    if sample_rows:
+        src = sample_n(src, sample_rows, "id", seed=seed)
+    trips = ensure_parallelism(train_test_split(src, "id", 0.7, seed=seed)) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     train = trips.filter(F.col("split") == "train")
     model = duration_flow(LOC, BASE, "dur", n_clusters, seed=seed, gbt_iter=gbt_iter).fit(train)

@@ -73,3 +73,9 @@ def test_cut_deep_tree_equals_direct_fits(spark, small_dir):
         m = DecisionTreeClassifier(featuresCol="_f", labelCol="cls", maxDepth=depth, seed=1).fit(c)
         p = m.transform(c).withColumn("cut", tree_expr(deep, ["x", "y"], depth))
         assert p.filter(F.col("prediction") != F.col("cut")).count() == 0
+
+
+def test_duration_flow_on_a_sample(spark, small_dir):
+    from strata.plans import taxi
+    _, pred = taxi.run_flow(spark, small_dir, n_clusters=3, sample_rows=300, gbt_iter=5)
+    assert pred.count() == 300
