@@ -1,11 +1,12 @@
 """Sorts, top-k, repeatable sampling, shuffles, splits and k-fold folds.
 
 Row positions (row numbers, shuffle positions, folds) are computed
-without a global single-partition window: rows are first cut into
-ordered buckets (range partitions, or the leading bits of a uniform
-hash), numbered inside each bucket, and shifted by the running count of
-the buckets before them.  Only the per-bucket count table (one row per
-group and bucket) is small enough to move; a key holding a third of the
+without a global single-partition window.  Rows are first cut into
+ordered buckets, numbered inside each bucket, and shifted by the running
+count of the buckets before them.  A bucket is a pure function of the
+row: a binary search over split tuples sampled on the driver, or the
+leading bits of a uniform hash.  Only the per-bucket count table (one row
+per group and bucket) moves, and a key or value holding a third of the
 rows is spread over many buckets.
 """
 
