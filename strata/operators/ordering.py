@@ -48,15 +48,16 @@ def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
 TAKE_ORDERED_MAX = 100_000
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 1) -> DataFrame:
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 1, method: str = "md5") -> DataFrame:
     """Exactly min(n, rows) rows without replacement, same on any layout.
 
     Small n: TakeOrderedAndProject (each task keeps its n best hashes).
     Large n: seeded positions computed bucket-wise, then a filter, so the
     sample never passes through one task."""
     if n <= TAKE_ORDERED_MAX:
-        return df.orderBy(hash_key(key, seed=seed), F.col(key)).limit(n)
-    return shuffle_positions(df, key, seed=seed, col="_spos").filter(F.col("_spos") < n).drop("_spos")
+        return df.orderBy(hash_key(key, seed=seed, method=method), F.col(key)).limit(n)
+    return shuffle_positions(df, key, seed=seed, col="_spos", method=method) \
+        .filter(F.col("_spos") < n).drop("_spos")
 
 
 def _num_buckets(df: DataFrame, buckets: int | None) -> int:
@@ -218,19 +219,19 @@ def row_numbers(df: DataFrame, key: str, col: str = "row_number", one_based: boo
 
 
 def shuffle_positions(df: DataFrame, key: str, seed: int = 1, col: str = "shuffle_pos",
-                      buckets: int | None = None) -> DataFrame:
+                      buckets: int | None = None, method: str = "md5") -> DataFrame:
     """Seeded random permutation: ``col`` is each row's place in it."""
     nb = _num_buckets(df, buckets)
-    bucket = F.floor(hash_unit(key, seed=seed) * nb).cast("int")
-    hashed = df.withColumn("_hk", hash_key(key, seed=seed))
+    bucket = F.floor(hash_unit(key, seed=seed, method=method) * nb).cast("int")
+    hashed = df.withColumn("_hk", hash_key(key, seed=seed, method=method))
     out = positions(hashed, ["_hk", key], bucket=bucket, pos_col=col)
     return out.drop("_hk")
 
 
 def train_test_split(df: DataFrame, key: str, train_fraction: float = 0.7, seed: int = 1,
-                     col: str = "split") -> DataFrame:
+                     col: str = "split", method: str = "md5") -> DataFrame:
     """Tag rows 'train' / 'test' by a hash of the key (layout independent)."""
-    return df.withColumn(col, F.when(hash_unit(key, seed=seed) < F.lit(train_fraction),
+    return df.withColumn(col, F.when(hash_unit(key, seed=seed, method=method) < F.lit(train_fraction),
                                      F.lit("train")).otherwise(F.lit("test")))
 
 
@@ -240,7 +241,8 @@ def split_frames(df: DataFrame, key: str, train_fraction: float = 0.7, seed: int
             tagged.filter(F.col("_split") == "test").drop("_split"))
 
 
-def kfold_assign(df: DataFrame, key: str, k: int = 5, seed: int = 1, col: str = "fold") -> DataFrame:
+def kfold_assign(df: DataFrame, key: str, k: int = 5, seed: int = 1, col: str = "fold",
+                 method: str = "md5") -> DataFrame:
     """Each row gets exactly one validation fold; fold sizes differ by <= 1."""
-    out = shuffle_positions(df, key, seed=seed, col="_spos")
+    out = shuffle_positions(df, key, seed=seed, col="_spos", method=method)
     return out.withColumn(col, (F.col("_spos") % k).cast("int")).drop("_spos")

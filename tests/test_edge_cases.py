@@ -266,3 +266,12 @@ def test_boxplot_approx_close_to_exact(spark):
         for c in ("q1", "median", "q3"):
             assert abs(ex[g][c] - ap[g][c]) < 0.05 * (ex[g]["q3"] - ex[g]["q1"])
         assert ex[g]["n"] == ap[g]["n"]
+
+
+def test_xxhash_method_gives_valid_folds_and_samples(spark):
+    keys = spark.range(1000).withColumnRenamed("id", "key")
+    f = ordering.kfold_assign(keys, "key", k=10, method="xxhash64").groupBy("fold").count().collect()
+    assert sorted(r["count"] for r in f) == [100] * 10
+    small = {r["key"] for r in ordering.sample_n(keys, 50, "key", seed=2, method="xxhash64").collect()}
+    pos = ordering.shuffle_positions(keys, "key", seed=2, method="xxhash64").filter(F.col("shuffle_pos") < 50)
+    assert small == {r["key"] for r in pos.collect()} and len(small) == 50
