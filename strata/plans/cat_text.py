@@ -97,8 +97,8 @@ def arith_columns(spark, d):
 
 
 @query("rows_as_json", """
-SELECT o_orderkey, to_json(struct_pack(o_orderkey := o_orderkey, o_custkey := o_custkey,
-  o_orderstatus := o_orderstatus, o_orderpriority := o_orderpriority)) AS row_json
+SELECT o_orderkey, CAST(to_json(struct_pack(o_orderkey := o_orderkey, o_custkey := o_custkey,
+  o_orderstatus := o_orderstatus, o_orderpriority := o_orderpriority)) AS VARCHAR) AS row_json
 FROM orders ORDER BY o_orderkey LIMIT 9""")
 def rows_as_json(spark, d):
     """First 9 rows (key order) exported as JSON maps."""

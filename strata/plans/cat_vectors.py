@@ -68,7 +68,7 @@ def matrix_vector(spark, d):
 
 
 @query("matrix_multiply", with_views("""
-SELECT a.r, b.label AS c, round(sum(a.v * b.w), 6) AS v
+SELECT a.r, CAST(b.label AS BIGINT) AS c, round(sum(a.v * b.w), 6) AS v
 FROM matrix a JOIN (SELECT m.c AS k, e.label, avg(m.v) AS w FROM matrix m JOIN embeddings e ON m.r = e.vec_id
                     GROUP BY m.c, e.label) b ON a.c = b.k
 GROUP BY a.r, b.label""", "matrix"))
