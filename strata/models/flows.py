@@ -107,9 +107,11 @@ def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
     Model search runs hundreds of small fits over the same rows; tiny
     inputs spread over hundreds of tasks spend their time scheduling.
     Large inputs keep (at least) their partitioning."""
+    have = df.rdd.getNumPartitions()
+    if have <= 1:                       # nothing to merge: skip the count job
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     want = max(1, -(-n // rows_per_partition))
-    have = df.rdd.getNumPartitions()
     out = df.coalesce(want) if want < have else df
     return out.persist(StorageLevel.MEMORY_AND_DISK)
 
