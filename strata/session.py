@@ -62,11 +62,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when unset (local tests) a fresh
-    temporary folder is created and registered as the checkpoint folder.
+    Read from the session.  Only when it is unset on a local master
+    (tests) is a fresh temporary folder created and registered; on a
+    cluster an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is not visible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()
     return d
