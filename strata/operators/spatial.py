@@ -73,8 +73,9 @@ def polygon_names(points: DataFrame, polys: DataFrame, id_col: str, x: str = "x"
     """Per point: the names of all polygons holding it, sorted and joined
     by ``sep``; ``""`` when none, NULL when the point itself is NULL."""
     hits = spatial_join(points.select(id_col, x, y), polys, x=x, y=y, cell_size=cell_size, how="left")
-    agg = hits.groupBy(id_col, x, y).agg(F.collect_list("name").alias("_names"))
-    names = F.when(F.col(x).isNull() | F.col(y).isNull(), F.lit(None).cast("string")) \
+    missing = (F.col(x).isNull() | F.col(y).isNull()).cast("int")
+    agg = hits.groupBy(id_col).agg(F.collect_list("name").alias("_names"), F.max(missing).alias("_null"))
+    names = F.when(F.col("_null") == 1, F.lit(None).cast("string")) \
         .otherwise(F.array_join(F.array_sort(F.col("_names")), sep))
     return agg.select(id_col, names.alias(out_col))
 
