@@ -42,3 +42,12 @@ def test_generic_cross_validate_and_accuracy(spark, small_dir):
 def test_join_names(spark):
     df = spark.createDataFrame([(["b", "a"],), ([],)], "names array<string>")
     assert [r[0] for r in df.select(join_names("names")).collect()] == ["a | b", ""]
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from strata.session import checkpoint_dir, scratch_path
+    d = checkpoint_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert d == named
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(d.rstrip("/"))
