@@ -7,11 +7,16 @@ that is written as Parquet and read again for the next stage.
 
 from __future__ import annotations
 
-from strata.llm import decontaminate, near_dup
+from strata.llm import decontaminate, mixing, near_dup, privacy, toxicity
 from strata.session import scratch_path
 from strata.sources.tables import table
 
 
+def toxicity_stage(spark, docs, sf_dir):
+    """Documents that the classifier, trained on the labelled ones, rejects go."""
+    return toxicity.remove_toxic(docs, docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicate_stage(spark, docs, sf_dir):
     """One document, the smallest doc_id, of each near-duplicate group stays."""
     return near_dup.drop_near_duplicates(docs)
@@ -22,8 +27,20 @@ def decontamination_stage(spark, docs, sf_dir):
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("near_duplicates", near_duplicate_stage), ("decontamination", decontamination_stage)]
+def privacy_stage(spark, docs, sf_dir):
+    """Personal data is replaced by its kind; ``n_chars`` follows the text."""
+    return privacy.redact(docs)
+
+
+def mixing_stage(spark, docs, sf_dir):
+    """The mixture of sources, with the pass and the tokens of each row."""
+    return mixing.mix(docs)
+
+
+STAGES = [("toxicity", toxicity_stage), ("near_duplicates", near_duplicate_stage),
+          ("decontamination", decontamination_stage), ("privacy", privacy_stage), ("mixing", mixing_stage)]
 
+# classifiers decide in the first and fourth stage, which SQL cannot express
 ORACLE_SQL = None
 
 

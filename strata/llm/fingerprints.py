@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from strata.llm import kernel
 
@@ -85,13 +86,13 @@ def _sketches(texts: list[bytes]) -> list[str]:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fingerprint(text: pd.Series) -> pd.Series:
     """Fingerprint of each text (null: the empty fingerprint)."""
     return pd.Series(_sketches([(t or "").encode("utf-8", "replace") for t in text]))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     """Estimated resemblance of two fingerprints."""
     return pd.Series([resemblance(x, y) for x, y in zip(a, b)], dtype="float64")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, fingerprints, near_dup
+from strata.llm import decontaminate, extraction, fingerprints, language, mixing, near_dup, privacy, secrets, suffix_tree, toxicity
 from strata.sources.tables import table
 
 QUERIES: dict = {}
@@ -96,3 +96,107 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.component_id, w.d
        coalesce(comp.component_id, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
+
+
+@query
+def op3_secrets(spark, data_dir):
+    """Secrets in every document: base patterns and Markov log-likelihood ratios."""
+    return secrets.scan(table(spark, data_dir, "documents"))
+
+
+@query
+def op4_private_data(spark, data_dir):
+    """Personal data in every document: base patterns and the weakly supervised classifier."""
+    return privacy.scan(table(spark, data_dir, "documents"))
+
+
+@query
+def op5_language(spark, data_dir):
+    """Language of every document by hyperdimensional profiles."""
+    return language.train_and_identify(table(spark, data_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op6_toxicity(spark, data_dir):
+    """Toxicity of every document by scaled character n-grams."""
+    return toxicity.train_and_score(table(spark, data_dir, "documents"), table(spark, data_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op8_mixture(spark, data_dir):
+    """Documents of the mixture, once for each pass that takes them."""
+    return mixing.mix(table(spark, data_dir, "documents")).select(
+        "doc_id", F.col("mix_epoch").alias("epoch"), "domain", "lang", "source", F.col("mix_tokens").alias("n_tokens"))
+
+
+def _share_sql(level: str, parent: str, path: list[str], weight: str) -> str:
+    """One level of the budget tree: cap, weight and budget of each node."""
+    up = path[:-1] or ["root"]
+    part = ", ".join(up)
+    return f"""
+{level}_c AS (
+  SELECT c.*, p.budget AS b, cap / nullif(CAST(w AS DOUBLE), 0) AS ratio
+  FROM (SELECT 1 AS root, {", ".join(path)}, sum(cap) AS cap, {weight} AS w FROM leaf GROUP BY ALL) c
+  JOIN {parent} p USING ({part})),
+{level}_s AS (
+  SELECT *, w > 0 AND cap * (sum(w) OVER (PARTITION BY {part}) - coalesce(sum(w) OVER before, 0))
+            <= (b - coalesce(sum(cap) OVER before, 0)) * w AS short
+  FROM {level}_c
+  WINDOW before AS (PARTITION BY {part} ORDER BY ratio ASC NULLS LAST, {path[-1]}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+{level} AS (
+  SELECT 1 AS root, {", ".join(path)}, CASE WHEN short THEN cap
+           ELSE coalesce((b - coalesce(sum(cap) FILTER (short) OVER (PARTITION BY {part}), 0)) * w
+                // nullif(sum(w) FILTER (NOT short) OVER (PARTITION BY {part}), 0), 0) END AS budget
+  FROM {level}_s)"""
+
+
+def mixture_sql(documents: str = "documents") -> str:
+    """DuckDB SQL of the mixture: each leaf's whole order, without hash ranges."""
+    def weight(column, weights):
+        return "CASE " + column + "".join(f" WHEN '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END"
+    d, la = weight("dom", mixing.WEIGHTS[0]), weight("la", mixing.WEIGHTS[1])
+    return rf"""
+WITH docs AS (
+  SELECT *, coalesce(lang, '') AS la, coalesce(source, '') AS so, CAST(doc_id AS VARCHAR) AS id,
+         len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS tok,
+         coalesce(TRY_CAST(nullif(regexp_extract(coalesce(source, ''), '([0-9]{{1,9}})$', 1), '') AS INTEGER), -1) AS num,
+         CASE WHEN num BETWEEN 0 AND 4 THEN 'web' WHEN num BETWEEN 5 AND 9 THEN 'books'
+              WHEN num BETWEEN 10 AND 14 THEN 'forum' WHEN num BETWEEN 15 AND 19 THEN 'reference'
+              ELSE 'other' END AS dom
+  FROM {documents}),
+leaf AS (SELECT dom, la, so, CAST(sum(tok) AS HUGEINT) AS supply, {mixing.EPOCHS} * supply AS cap FROM docs GROUP BY ALL),
+top AS (SELECT 1 AS root, least(sum(cap), sum(supply) * {mixing.PERCENT} // 100) AS budget FROM leaf),
+{_share_sql("l1", "top", ["dom"], d)},
+{_share_sql("l2", "l1", ["dom", "la"], la)},
+{_share_sql("l3", "l2", ["dom", "la", "so"], "1")},
+share AS (SELECT dom, la, so, budget, CASE WHEN supply > 0 THEN budget // supply ELSE 0 END AS full_passes,
+                 budget - full_passes * supply AS part FROM l3 JOIN leaf USING (dom, la, so)),
+pass AS (SELECT unnest(range(0, {mixing.EPOCHS})) AS epoch),
+placed AS (
+  SELECT d.*, epoch, full_passes, part, md5('{mixing.SEED}:' || epoch || ':' || id) AS h
+  FROM docs d JOIN share USING (dom, la, so) JOIN pass ON epoch <= full_passes),
+summed AS (
+  SELECT *, sum(tok) OVER (PARTITION BY dom, la, so, epoch ORDER BY h, id) - tok AS before FROM placed)
+SELECT doc_id, CAST(epoch AS INTEGER) AS epoch, dom AS domain, lang, source, CAST(tok AS BIGINT) AS n_tokens
+FROM summed WHERE epoch < full_passes OR before < part
+"""
+
+
+ORACLE["op8_mixture"] = mixture_sql()
+
+
+@query
+def op9_language_model(spark, data_dir):
+    """Language-model scores of every document by a probabilistic suffix tree."""
+    return suffix_tree.train_and_score(table(spark, data_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op10_extraction(spark, data_dir):
+    """Main text of every page by site style trees."""
+    return extraction.extract(table(spark, data_dir, "pages"))
