@@ -148,8 +148,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "doc_id", [i / parts for i in range(1, parts)], 0.2 / parts) if parts > 1 else []
     cuts = sorted({float(c) for c in cuts})
     # part numbers ascend as ids descend; null ids come last
-    rows = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__at", outputCol="__range").transform(
-        rows.withColumn("__at", F.coalesce(F.col("doc_id"), F.lit(0)).cast("double")))
+    rows = rows.withColumn("__at", F.coalesce(F.col("doc_id"), F.lit(0)).cast("double")).withColumn("__range", F.lit(0.0))
+    if cuts:
+        rows = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__at", outputCol="__range").transform(
+            rows.drop("__range"))
     rows = rows.select("doc_id", "text", F.when(F.col("doc_id").isNull(), len(cuts) + 1)
                        .otherwise(len(cuts) - F.col("__range")).cast("int").alias("part"))
     opens = (rows.groupBy("part").agg(F.min(F.struct(F.coalesce(-F.col("doc_id"), F.lit(0)).alias("o"),

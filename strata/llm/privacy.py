@@ -116,7 +116,7 @@ def _described(text: Column, found: Column) -> Column:
         after = F.substring(text, x["e"] + 1, 1)
         glued = last.rlike("[A-Za-z0-9_/=-]") | after.rlike("[A-Za-z0-9_/=]")
         fmt = _by_kind(k, [
-            _vote(m.rlike(rf"\A[^\x20@]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+\z"), m.rlike(r"\A[._%+-]|--")),
+            _vote(m.rlike(r"\A[^\x20@]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z"), m.rlike(r"\A[._%+-]|--")),
             _vote(_valid(1)(m), ~_valid(1)(F.regexp_replace(m, r"[\x20\[\]]", ""))),
             _vote(_valid(2)(m), ~_luhn(m)),
             _vote(F.length(d).between(10, 15), F.length(d) < 10)])
@@ -126,7 +126,7 @@ def _described(text: Column, found: Column) -> Column:
             _vote(d.rlike(ISSUERS), d.rlike(r"\A0")),
             _vote(m.rlike(CALLING), d.rlike(r"\A0{4}|\A1234"))])
         cue = _by_kind(k, [_vote(before.rlike(c), glued) for c in CUES])
-        shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), "[A-Za-z]+", "a"), r"(?:[a9][._%+-]?)+", "x")
+        shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(m, "[0-9]+", "9"), "[A-Za-z]+", "a"), r"(?:[a9][._%+-]?)++", "x")
         return F.struct(
             x["s"].alias("s"), k.alias("k"), x["e"].alias("e"), m.alias("m"), F.array(fmt, gaz, cue).alias("votes"),
             F.array(F.least(F.floor(F.length(m) / 4), F.lit(10)).cast("string"),

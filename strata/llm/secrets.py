@@ -4,8 +4,10 @@ The base patterns find assignments to secret-like names, access keys and
 long hex strings.  Longer runs of identifier characters are then scored by
 the log-likelihood ratio of two first-order Markov models: random strings,
 trained on the values that the base patterns found, and ordinary
-identifiers, trained on the other runs.  Both are trained from the runs of
-at most ``SAMPLE`` of each label, those with the smallest hash.
+identifiers, trained on other runs that keep to one kind of character
+(lower case, upper case, digits, others) for ``STEADY`` characters or more
+on average.  Runs that are neither are no samples but are scored.  Both
+models are trained on at most ``SAMPLE`` runs, those with the smallest hash.
 
 DataFrame functions only; tasks run no Python.
 """
@@ -29,8 +31,10 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"            # 20 characters or more
 HEX = r"[0-9a-f]{24,}"                   # runs are taken whole, so shorter ones never hide a longer
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 
+STEADY = 3.5
 SAMPLE = 50_000          # labelled runs per model, at most
-SMOOTH = 0.5             # added to each pair count
+SMOOTH = 0.5             # added to each character's count
+BACK = 5.0               # pseudo-counts of a pair, by the share of its second character
 PER_CHAR = 0.7           # nats per character by which a run must favour the random model
 LEAST = 12.0             # and in all
 _CODES = 128             # characters of a run are ASCII
@@ -65,11 +69,15 @@ def train(samples: DataFrame) -> list[float]:
     if len({k for k, _ in counts}) < 2:
         return [0.0] * (_CODES * _CODES)
     letters = [ord(c) for c in "+-/0123456789=ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz"]
+    single = []                                  # smoothed share of each character, per label
+    for x in (0, 1):
+        n = {b: sum(counts.get((x, a * _CODES + b), 0) for a in letters) + SMOOTH for b in letters}
+        single.append({b: n[b] / sum(n.values()) for b in letters})
     ratio = [0.0] * (_CODES * _CODES)
     for a in letters:
-        total = [sum(counts.get((x, a * _CODES + b), 0) for b in letters) + SMOOTH * len(letters) for x in (0, 1)]
+        total = [sum(counts.get((x, a * _CODES + b), 0) for b in letters) for x in (0, 1)]
         for b in letters:
-            p = [(counts.get((x, a * _CODES + b), 0) + SMOOTH) / total[x] for x in (0, 1)]
+            p = [(counts.get((x, a * _CODES + b), 0) + BACK * single[x][b]) / (total[x] + BACK) for x in (0, 1)]
             ratio[a * _CODES + b] = round(math.log(p[1] / p[0]), 6)
     return ratio
 
@@ -88,7 +96,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     secret = (read.select(F.explode("base").alias("x"))
               .select(F.when(F.col("x.k") == 0, _value(F.col("x.m"))).otherwise(F.col("x.m")).alias("run")).distinct()
               .select(F.translate("run", ".", "").alias("run"), F.lit(1).alias("label")))
-    plain = read.select(F.explode("runs.m").alias("run")).distinct().select("run", F.lit(0).alias("label"))
+    kinds = F.regexp_count("run", F.lit("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+"))
+    plain = (read.select(F.explode("runs.m").alias("run")).distinct().where(kinds * STEADY <= F.length("run"))
+             .select("run", F.lit(0).alias("label")))
     ratio = F.from_json(F.lit(json.dumps(train(secret.union(plain)))), "array<double>")
 
     def random(x):
