@@ -92,12 +92,14 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: lis
         .filter(F.col("_v").isNotNull())
     order = ["_v", "_tb"]
     pos = positions(src, order, group_cols=group_cols, pos_col="_pos", size_col="_n")
-    wanted = []
+    wanted, near = [], F.lit(False)
     for i, q in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(float(q))
         wanted.append(F.struct(F.lit(i).alias("qi"), F.floor(h).alias("lo"),
                                F.ceil(h).alias("hi"), (h - F.floor(h)).alias("frac")))
-    exploded = pos.withColumn("_q", F.explode(F.array(*wanted)))
+        near = near | (F.col("_pos") == F.floor(h)) | (F.col("_pos") == F.ceil(h))
+    # only the two rows around each quantile are copied, once per quantile
+    exploded = pos.filter(near).withColumn("_q", F.explode(F.array(*wanted)))
     hit = exploded.filter((F.col("_pos") == F.col("_q.lo")) | (F.col("_pos") == F.col("_q.hi")))
     per_q = hit.groupBy(*group_cols, F.col("_q.qi").alias("qi")).agg(
         F.max(F.when(F.col("_pos") == F.col("_q.lo"), F.col("_v"))).alias("_vlo"),

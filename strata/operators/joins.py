@@ -1,56 +1,10 @@
-"""Equi, lookup and time-range joins."""
+"""Equi and lookup joins (time-range lookups are in ``windows``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.temporal import epoch_micros
-
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def _estimated_row_bytes(dtype) -> int:
-    """Rough in-memory width of one value (strings and arrays guessed)."""
-    from pyspark.sql import types as T
-    if isinstance(dtype, T.StructType):
-        return sum(_estimated_row_bytes(f.dataType) for f in dtype.fields) + 8
-    if isinstance(dtype, (T.ArrayType, T.MapType)):
-        inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype.valueType
-        return 16 * _estimated_row_bytes(inner) + 16
-    if isinstance(dtype, (T.StringType, T.BinaryType)):
-        return 32
-    if isinstance(dtype, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(dtype, (T.ShortType,)):
-        return 2
-    if isinstance(dtype, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dtype, T.DecimalType):
-        return 16
-    return 8
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
-                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the join to
-    the planner (sort-merge / shuffle-hash, with AQE skew splitting).
-
-    The row bound is ``max_bytes`` over the estimated row width (and at
-    most ``max_rows``); counting stops at bound + 1 rows.
-    """
-    width = max(1, _estimated_row_bytes(df.schema))
-    bound = max(1, max_bytes // width)
-    if max_rows is not None:
-        bound = min(bound, max_rows)
-    return F.broadcast(df) if bounded_rows(df, bound) else df
-
-
 def left_join_keep_keys(left: DataFrame, right: DataFrame, keys: list[str],
                         right_prefix: str = "right.") -> DataFrame:
     """Left outer equi-join that keeps both key columns; the right one is
@@ -67,49 +21,9 @@ def left_join_keep_keys(left: DataFrame, right: DataFrame, keys: list[str],
     return l.join(r, cond, "left").select(*out_cols)
 
 
-def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "inner",
-                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Join a fact table to a dimension; the dimension is broadcast only
-    when its size is checked to be small."""
-    return facts.join(broadcast_if_small(dim, max_bytes=max_broadcast_bytes), on=on, how=how)
-
-
-HOUR_US = 3_600_000_000
-
-
-def time_range_join(probes: DataFrame, facts: DataFrame, probe_time: str, fact_time: str,
-                    hours: float, keys: list[str] | tuple = (), bucket_hours: float | str = 24.0,
-                    probe_prefix: str = "p_", fact_prefix: str = "f_") -> DataFrame:
-    """Pairs with ``fact_time`` in [probe_time - hours, probe_time] (both ends
-    inclusive), optionally on equal ``keys``.
-
-    Without an equality Spark would plan a nested-loop join.  Time is cut
-    into buckets of ``bucket_hours``; each fact is copied into every bucket
-    its look-ahead span [t, t + hours] touches and each probe sits in one
-    bucket, so the join is an equi-join on (keys, bucket) and every pair is
-    found exactly once.  ``bucket_hours="auto"`` uses buckets one look-back
-    wide, which keeps candidate pairs near the true matches and splits a
-    dense key into many partitions.
-    """
-    width = int(hours * HOUR_US)
-    p = probes.select([F.col(c).alias(probe_prefix + c) for c in probes.columns])
-    f = facts.select([F.col(c).alias(fact_prefix + c) for c in facts.columns])
-    pt = epoch_micros(F.col(probe_prefix + probe_time))
-    ft = epoch_micros(F.col(fact_prefix + fact_time))
-    p = p.withColumn("_t", pt)
-    f = f.withColumn("_t", ft)
-    # "auto": buckets one look-back wide.  The bucket also prunes the
-    # candidate pairs (a probe meets the facts of its bucket only), so it
-    # should be as narrow as the window: each fact lands in at most two
-    # buckets, candidates are within ~2x the true matches, and a dense key
-    # is cut into many (key, bucket) partitions by construction.
-    bh = hours if bucket_hours == "auto" else float(bucket_hours)
-    pw = fw = F.lit(int(bh * HOUR_US))
-    p = p.withColumn("_bucket", F.floor(F.col("_t") / pw))
-    f = f.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_t") / fw),
-                                                     F.floor((F.col("_t") + width) / fw))))
-    cond = [p["_bucket"] == f["_bucket"]]
-    cond += [p[probe_prefix + k] == f[fact_prefix + k] for k in keys]
-    cond += [f["_t"] >= p["_t"] - width, f["_t"] <= p["_t"]]
-    out = p.join(f, cond, "inner")
-    return out.drop(p["_bucket"]).drop(f["_bucket"]).drop(p["_t"]).drop(f["_t"])
+def lookup_join(facts: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a fact table to a dimension.  The planner broadcasts the
+    dimension when its file or run-time size is below
+    ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are
+    shuffled and AQE splits skewed keys."""
+    return facts.join(dim, on=on, how=how)

@@ -3,8 +3,8 @@
 A vector is an ``array<double>`` column (one row per vector) or long
 form ``(c, x)``; a matrix is long form ``(r, c, v)``.  Products are joins
 on the shared index plus a grouped sum, so they scale with the number of
-non-zero entries; the small operand (a vector, or a matrix with few
-columns) is broadcast only behind a size check.
+entries; whether a small operand is broadcast is left to the planner,
+which knows its size at run time.
 """
 
 from __future__ import annotations
@@ -14,53 +14,30 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.joins import broadcast_if_small
-
 
 def explode_vector(df: DataFrame, id_col: str, vec_col: str, pos: str = "pos",
                    value: str = "value") -> DataFrame:
     return df.select(id_col, F.posexplode(vec_col).alias(pos, value))
 
 
-def matrix_vector(m: DataFrame, x: DataFrame, max_broadcast_rows: int = 10_000_000) -> DataFrame:
+def matrix_vector(m: DataFrame, x: DataFrame) -> DataFrame:
     """y = M x with M as (r, c, v) and x as (c, x)."""
-    j = m.join(broadcast_if_small(x, max_broadcast_rows), "c")
-    return j.groupBy("r").agg(F.sum(F.col("v") * F.col("x")).alias("y"))
+    return m.join(x, "c").groupBy("r").agg(F.sum(F.col("v") * F.col("x")).alias("y"))
 
 
-def matrix_multiply(a: DataFrame, b: DataFrame, max_broadcast_rows: int = 10_000_000,
-                    block: int = 1024) -> DataFrame:
-    """C = A B with A as (r, c, v) and B as (r, c, v).
+def matrix_multiply(a: DataFrame, b: DataFrame) -> DataFrame:
+    """C = A B with A and B as (r, c, v); indices are any longs, and an
+    entry that sums to zero stays.
 
-    When B passes the broadcast size check: join A.c = B.r against the
-    broadcast B and sum per (A.r, B.c) - A is never shuffled before the
-    partial aggregation.  Otherwise a join on the inner index would put
-    every entry of one index value in one task, so both sides go through
-    ``BlockMatrix`` (block x block tiles, multiplied tile by tile).
+    A join on the inner index and a partial sum per (A.r, B.c).  The planner
+    broadcasts B when its run-time size allows it; otherwise an inner index
+    that holds much of A is a skewed join partition, which AQE splits.
     """
-    bb = b.select(F.col("r").alias("_k"), F.col("c").alias("_c"), F.col("v").alias("_w"))
-    small = broadcast_if_small(bb, max_broadcast_rows)
-    if small is bb:
-        return multiply_blocks(a, b, block)
-    j = a.join(small, a["c"] == bb["_k"])
+    b = b.select(F.col("r").alias("_k"), F.col("c").alias("_c"), F.col("v").alias("_w"))
+    j = a.join(b, a["c"] == b["_k"])
     return j.groupBy(F.col("r"), F.col("_c").alias("c")).agg(F.sum(F.col("v") * F.col("_w")).alias("v"))
 
 
-def _to_block_matrix(m: DataFrame, block: int):
-    from pyspark.mllib.linalg.distributed import CoordinateMatrix, MatrixEntry
-    entries = m.select("r", "c", "v").rdd.map(lambda t: MatrixEntry(int(t[0]), int(t[1]), float(t[2])))
-    return CoordinateMatrix(entries).toBlockMatrix(block, block)
-
-
-def multiply_blocks(a: DataFrame, b: DataFrame, block: int = 1024) -> DataFrame:
-    """C = A B through Spark's distributed ``BlockMatrix`` (for large
-    operands on both sides); result as (r, c, v), zero entries omitted."""
-    spark = a.sparkSession
-    prod = _to_block_matrix(a, block).multiply(_to_block_matrix(b, block)).toCoordinateMatrix()
-    rows = prod.entries.map(lambda e: (int(e.i), int(e.j), float(e.value)))
-    return spark.createDataFrame(rows, "r long, c long, v double").filter(F.col("v") != 0.0)
-
-
 def transpose(m: DataFrame) -> DataFrame:
     return m.select(F.col("c").alias("r"), F.col("r").alias("c"), "v")
 

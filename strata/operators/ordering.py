@@ -3,11 +3,10 @@
 Row positions (row numbers, shuffle positions, folds) are computed
 without a global single-partition window.  Rows are first cut into
 ordered buckets, numbered inside each bucket, and shifted by the running
-count of the buckets before them.  A bucket is a pure function of the
-row: a binary search over split tuples sampled on the driver, or the
-leading bits of a uniform hash.  Only the per-bucket count table (one row
-per group and bucket) moves, and a key or value holding a third of the
-rows is spread over many buckets.
+count of the buckets before them.  A bucket is a range partition of the
+whole sort tuple, kept in the checkpoint folder, or the leading bits of a
+uniform hash.  Only the per-bucket count table moves, and a key or value
+holding a third of the rows is spread over many buckets.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import hash_key, hash_unit
+from strata.session import reliable
 
 
 def _cols(xs) -> list[Column]:
@@ -82,96 +82,24 @@ def _order_cols(spec) -> list[Column]:
     return [F.col(n).desc() if desc else F.col(n).asc() for n, desc in spec]
 
 
-def _before(spec, split) -> Column:
-    """Row strictly before the split tuple in the sort order (lexicographic;
-    ascending puts NULLs first, descending puts them last, as Spark does)."""
-    expr = None
-    for (name, desc), sv in reversed(list(zip(spec, split))):
-        c = F.col(name)
-        if sv is None:
-            lt = c.isNotNull() if desc else F.lit(False)
-            eq = c.isNull()
-        else:
-            lit = F.lit(sv)
-            lt = (c > lit) if desc else (c.isNull() | (c < lit))
-            if desc:
-                lt = c.isNotNull() & lt
-            eq = c.eqNullSafe(lit)
-        lt = F.coalesce(lt, F.lit(False))
-        expr = lt if expr is None else (lt | (eq & expr))
-    return expr
-
-
-def _count_le(spec, splits, lo: int, hi: int) -> Column:
-    """Number of split tuples at or before the row: a balanced CASE tree,
-    i.e. a binary search of depth log2(len(splits)) per row."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_before(spec, splits[mid]), _count_le(spec, splits, lo, mid)) \
-        .otherwise(_count_le(spec, splits, mid + 1, hi))
-
-
-def _sort_key(spec):
-    import math
-
-    def key(row):
-        out = []
-        for (name, desc), v in zip(spec, row):
-            if v is None:
-                rank = (1,) if desc else (-1,)
-                out.append((rank, 0))
-                continue
-            if isinstance(v, float) and math.isnan(v):
-                v = math.inf            # Spark orders NaN after every number
-            out.append(((0,), _Neg(v) if desc else v))
-        return tuple(out)
-    return key
-
-
-class _Neg:
-    """Reverses the order of any comparable value (for descending keys)."""
-    __slots__ = ("v",)
-
-    def __init__(self, v):
-        self.v = v
-
-    def __lt__(self, other):
-        return other.v < self.v
-
-    def __eq__(self, other):
-        return self.v == other.v
-
-
-def order_buckets(df: DataFrame, spec, buckets: int, rows_per_bucket: int = 60,
-                  seed: int = 17) -> Column:
-    """Integer bucket that never decreases along the sort order ``spec``.
-
-    Like Spark's range partitioner: a bounded sample (about
-    ``rows_per_bucket`` rows per bucket) is sorted on the driver and
-    ``buckets - 1`` split tuples are taken from it; the bucket is then a
-    pure function of the row (a binary search over literal tuples), so
-    every re-computation of a plan branch agrees.  Split points are whole
-    sort tuples, so a single value shared by many rows is still spread
-    over several buckets by the tie-breaking columns.
-    """
-    names = [n for n, _ in spec]
-    if buckets <= 1:
-        return F.lit(0)
-    n = df.count()
-    if n == 0:
-        return F.lit(0)
-    frac = min(1.0, buckets * rows_per_bucket / n)
-    sample = [tuple(r) for r in df.select(*names).sample(False, frac, seed).collect()]
-    sample.sort(key=_sort_key(spec))
-    if not sample:
-        return F.lit(0)
-    picks = []
-    for i in range(1, buckets):
-        t = sample[min(len(sample) - 1, (i * len(sample)) // buckets)]
-        if not picks or t != picks[-1]:
-            picks.append(t)
-    return _count_le(spec, picks, 0, len(picks)).cast("int")
+_LOCAL = 33              # bits of a partition's row number in monotonically_increasing_id
+
+
+def _ranged_positions(df: DataFrame, ordering: list[Column], group_cols: list[str], buckets: int) -> DataFrame:
+    """Columns ``_g`` (position in (group, order) over the whole table),
+    from Spark's own range partitioning of the whole sort tuple: rows are
+    numbered where they are sorted, and shifted by the row counts of the
+    partitions before.  The sorted rows are kept in the checkpoint folder,
+    so that numbers and counts come from one and the same partitioning."""
+    order = [F.col(g).asc() for g in group_cols] + ordering
+    rows = reliable(df.repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+                    .withColumn("_at", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_bkt", F.shiftright("_at", _LOCAL))
+    counts = rows.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    offs = counts.select("_bkt", (F.sum("_cnt").over(Window.orderBy("_bkt")) - F.col("_cnt")).alias("_off"))
+    # one row per partition: a proven bound, safe to broadcast
+    return rows.join(F.broadcast(offs), "_bkt").withColumn(
+        "_g", F.col("_off") + F.col("_at").bitwiseAND(F.lit((1 << _LOCAL) - 1))).drop("_at", "_bkt", "_off")
 
 
 def positions(df: DataFrame, order: list, group_cols: list[str] | tuple = (),
@@ -180,17 +108,28 @@ def positions(df: DataFrame, order: list, group_cols: list[str] | tuple = (),
     """Add the 0-based position of each row inside its group, in ``order``.
 
     ``order`` lists column names (ascending) or ``(name, "desc")`` pairs and
-    must be a total order (end it with a unique key).  ``bucket`` is an
-    optional integer column that never decreases along ``order`` within a
-    group; by default it comes from sampled split tuples of the whole order
-    (``order_buckets``).  Rows are numbered inside (group, bucket) and
-    shifted by the row counts of the earlier buckets of their group.
+    must be a total order (end it with a unique key).  By default rows are
+    range-partitioned on the whole order, so that a group, or one value,
+    that holds a third of the rows is spread by its tie-break key.
+    ``bucket`` is an optional integer column that never decreases along
+    ``order`` within a group, such as the leading bits of a hash; rows are
+    then numbered inside (group, bucket) and shifted by the row counts of
+    the earlier buckets of their group.  Null group values form one group.
     """
     group_cols = list(group_cols)
-    spec = _order_spec(order)
-    ordering = _order_cols(spec)
+    ordering = _order_cols(_order_spec(order))
     if bucket is None:
-        bucket = order_buckets(df, spec, _num_buckets(df, buckets))
+        rows = _ranged_positions(df, ordering, group_cols, _num_buckets(df, buckets))
+        if not group_cols:
+            out = rows.withColumnRenamed("_g", pos_col)
+            return out.withColumn(size_col, rows.agg(F.count(F.lit(1))).scalar()) if size_col else out
+        starts = rows.groupBy(*[F.col(g).alias(f"_s_{g}") for g in group_cols]).agg(
+            F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_gsize"))
+        out = rows.join(starts, [rows[g].eqNullSafe(starts[f"_s_{g}"]) for g in group_cols])
+        out = out.withColumn(pos_col, F.col("_g") - F.col("_start"))
+        if size_col:
+            out = out.withColumn(size_col, F.col("_gsize"))
+        return out.drop("_g", "_start", "_gsize", *[f"_s_{g}" for g in group_cols])
     df = df.withColumn("_bkt", bucket)
     local_w = Window.partitionBy(*group_cols, "_bkt").orderBy(*ordering)
     local = df.withColumn("_lpos", F.row_number().over(local_w) - 1)

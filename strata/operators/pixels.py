@@ -1,16 +1,17 @@
 """Image / tensor work on a long-form pixel table ``(img, i, j, k, v)``.
 
 i = row, j = column, k = channel (BGR order, as Spark's image source
-delivers it), v = 0..255.  Every edit is a column expression; per-pixel
-reductions over channels are windows or groups keyed by (img, i, j),
-whose size is the channel count, so no group grows with the data.
+delivers it), v = 0..255.  Every edit is a column expression; reductions
+over a pixel's channels work on its channel array before it is exploded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.ordering import positions
+
 PIXEL = ["img", "i", "j"]
 
 
@@ -23,12 +24,42 @@ def unpack_bytes(images: DataFrame, img_col: str, height: str, width: str, chann
                  data: str) -> DataFrame:
     """Flat byte array per image -> (img, i, j, k, v)."""
     n = F.col(height) * F.col(width) * F.col(channels)
-    ex = images.select(F.col(img_col).alias("img"), F.col(width).alias("_w"), F.col(channels).alias("_c"),
-                       F.col(data).alias("_d"), F.explode(F.sequence(F.lit(0), n - 1)).alias("_p"))
-    byte = F.conv(F.hex(F.substring(F.col("_d"), F.col("_p") + 1, 1)), 16, 10).cast("int")
-    return ex.select("img", (F.col("_p") / (F.col("_w") * F.col("_c"))).cast("int").alias("i"),
-                     ((F.col("_p") / F.col("_c")).cast("int") % F.col("_w")).alias("j"),
-                     (F.col("_p") % F.col("_c")).cast("int").alias("k"), byte.alias("v"))
+    digits = F.hex(F.col(data))
+    values = F.transform(F.sequence(F.lit(0), n - 1), lambda p: F.conv(
+        F.substring(F.col("_hex"), p * 2 + 1, 2), 16, 10).cast("int"))
+    each = images.select(F.col(img_col).alias("img"), F.col(width).alias("_w"), F.col(channels).alias("_c"),
+                         F.col(height).alias(height), F.col(width).alias(width), F.col(channels).alias(channels),
+                         digits.alias("_hex"))
+    # the values are decoded once per image; only they travel through the explode
+    ex = each.select("img", "_w", "_c", F.posexplode(values).alias("_p", "v"))
+    return ex.select("img", F.expr("cast(_p div (_w * _c) as int)").alias("i"),
+                     F.expr("cast((_p div _c) % _w as int)").alias("j"),
+                     (F.col("_p") % F.col("_c")).cast("int").alias("k"), "v")
+
+
+def with_channels(df: DataFrame, channels: Column) -> DataFrame:
+    """(img, i, j, ch) pixels with their channel array -> (img, i, j, k, v)
+    of a new channel array."""
+    return df.select(*PIXEL, F.posexplode(channels).alias("k", "v"))
+
+
+def grey_mean_of(ch: Column, use: list[int]) -> Column:
+    """Channel array of the mean over the channels ``use``, truncated to a byte."""
+    grey = _clamp_byte(sum((ch[k] for k in use[1:]), ch[use[0]]) / F.lit(float(len(use))))
+    return F.transform(ch, lambda _: grey)
+
+
+def grey_weighted_of(ch: Column, weights: list[int], divisor: int) -> Column:
+    """Channel array of floor(sum(v * w[k]) / divisor); whole-number weights
+    keep the sum exact."""
+    total = sum((ch[k] * F.lit(int(w)) for k, w in enumerate(weights)), F.lit(0))
+    grey = F.least(F.greatest(F.floor(total / F.lit(float(divisor))), F.lit(0)), F.lit(255)).cast("int")
+    return F.transform(ch, lambda _: grey)
+
+
+def conditional_zero_of(ch: Column, a: int, b: int, factor: float) -> Column:
+    """All channels 0 where channel a exceeds factor x channel b."""
+    return F.transform(ch, lambda v: F.when(ch[a] > F.lit(factor) * ch[b], F.lit(0)).otherwise(v))
 
 
 def pack_rows(px: DataFrame) -> DataFrame:
@@ -63,39 +94,11 @@ def mask_channel(px: DataFrame, keep: int) -> DataFrame:
     return px.withColumn("v", F.when(F.col("k") == keep, F.col("v")).otherwise(F.lit(0)))
 
 
-def grey_mean(px: DataFrame, channels: list[int] | None = None) -> DataFrame:
-    """Mean over channels, truncated to a byte, written to every channel."""
-    w = Window.partitionBy(*PIXEL)
-    v = F.col("v") if channels is None else F.when(F.col("k").isin(channels), F.col("v"))
-    return px.withColumn("v", _clamp_byte(F.avg(v).over(w)))
-
-
-def grey_weighted(px: DataFrame, weights: list[int], divisor: int) -> DataFrame:
-    """Weighted channel sum floor(sum(v * w[k]) / divisor) on every channel.
-
-    Integer weights over a divisor (e.g. luminance per mille) keep the sum
-    exact, so the truncation does not depend on summation order.
-    """
-    w = Window.partitionBy(*PIXEL)
-    wk = F.element_at(F.array(*[F.lit(int(x)) for x in weights]), F.col("k") + 1)
-    total = F.sum(F.col("v") * wk).over(w)
-    return px.withColumn("v", F.least(F.greatest(F.floor(total / F.lit(float(divisor))), F.lit(0)),
-                                      F.lit(255)).cast("int"))
-
-
 def scale_channels(px: DataFrame, props: list[float]) -> DataFrame:
     pk = F.element_at(F.array(*[F.lit(float(x)) for x in props]), F.col("k") + 1)
     return px.withColumn("v", _clamp_byte(F.col("v") * pk))
 
 
-def conditional_zero(px: DataFrame, a: int, b: int, factor: float) -> DataFrame:
-    """Zero every channel of pixels whose channel a exceeds factor x channel b."""
-    w = Window.partitionBy(*PIXEL)
-    va = F.max(F.when(F.col("k") == a, F.col("v"))).over(w)
-    vb = F.max(F.when(F.col("k") == b, F.col("v"))).over(w)
-    return px.withColumn("v", F.when(va > F.lit(factor) * vb, F.lit(0)).otherwise(F.col("v")))
-
-
 def darken_region(px: DataFrame, j_below: int, factor: float = 0.5) -> DataFrame:
     return px.withColumn("v", F.when(F.col("j") < j_below, _clamp_byte(F.col("v") * factor))
                          .otherwise(F.col("v")))
@@ -116,25 +119,25 @@ def column_profile(px: DataFrame) -> DataFrame:
 
 
 def shape(px: DataFrame) -> DataFrame:
-    """Per image: number of rows, width and channel count."""
+    """Per image: number of rows, width, channel count and element type."""
     return px.groupBy("img").agg(F.countDistinct("i").alias("n_rows"),
                                  (F.max("j") + 1).cast("int").alias("width"),
-                                 (F.max("k") + 1).cast("int").alias("channels"))
-
-
-def paste_on_canvas(px: DataFrame, spark, n_img: int, h: int, w: int, c: int) -> DataFrame:
-    """Copies of each image at offsets (0, 0) and (h, w) on a 2h x 2w canvas;
-    every other cell 0.  The canvas is generated by ``range`` (cells are
-    derived from one id, no cross join); the copies are joined in."""
-    cells = spark.range(n_img * (2 * h) * (2 * w) * c)
-    per_img = (2 * h) * (2 * w) * c
-    canvas = cells.select(
-        (F.col("id") / per_img).cast("int").alias("img"),
-        ((F.col("id") % per_img) / (2 * w * c)).cast("long").alias("i"),
-        ((F.col("id") % (2 * w * c)) / c).cast("int").alias("j"),
-        (F.col("id") % c).cast("int").alias("k"))
-    a = px.select("img", "i", "j", "k", "v")
-    b = px.select("img", (F.col("i") + h).alias("i"), (F.col("j") + w).alias("j"), "k", "v")
-    copies = a.unionByName(b)
-    return canvas.join(copies, ["img", "i", "j", "k"], "left") \
-        .withColumn("v", F.coalesce(F.col("v"), F.lit(0)))
+                                 (F.max("k") + 1).cast("int").alias("channels"),
+                                 F.lit(px.schema["v"].dataType.simpleString()).alias("element_type"))
+
+
+def paste_on_canvas(px: DataFrame) -> DataFrame:
+    """Two copies of each image on a canvas twice as high and wide as the
+    image itself, at offsets (0, 0) and (h, w); the rest is 0.  Rows are
+    numbered inside their image first, so every pixel makes four canvas
+    cells: itself, its copy, and the two empty cells beside them."""
+    rows = positions(px.select("img", "i").distinct(), ["i"], group_cols=["img"], pos_col="_row", size_col="_h")
+    wide = px.groupBy("img").agg((F.max("j") + 1).alias("_w"))
+    placed = px.join(rows, ["img", "i"]).join(wide, "img")
+    down, right = F.col("_row") + F.col("_h"), F.col("j") + F.col("_w")
+
+    def cell(i, j, v):
+        return F.struct(i.cast("long").alias("i"), j.cast("int").alias("j"), v.cast("int").alias("v"))
+    cells = F.array(cell(F.col("_row"), F.col("j"), F.col("v")), cell(down, right, F.col("v")),
+                    cell(F.col("_row"), right, F.lit(0)), cell(down, F.col("j"), F.lit(0)))
+    return placed.select("img", "k", F.explode(cells).alias("_cell")).select("img", "_cell.i", "_cell.j", "k", "_cell.v")

@@ -2,10 +2,10 @@
 
 Polygons are rows ``(poly_id, name, rings)`` where ``rings`` is
 ``array<array<struct<x: double, y: double>>>`` (outer ring, then holes).
-The join never compares every point with every polygon: polygons are
-copied into the grid cells their bounding box covers, points compute
-their one cell, and the equi-join on the cell is followed by the box test
-and the exact (closed-set) containment test, all as JVM expressions.
+The join never compares every point with every polygon: polygons sit in
+the grid cells of a size of their own that their box covers, and the
+equi-join on the cell is followed by the box test and the exact
+(closed-set) containment test, all as JVM expressions.
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.geo import point_in_polygon, ring_edges
-from strata.operators.joins import broadcast_if_small
-
-DEFAULT_POLYGON_BROADCAST_ROWS = 200_000
 
 
 def polygon_table(polys: DataFrame, rings_col: str = "rings") -> DataFrame:
@@ -38,46 +35,61 @@ def polygon_vertices(polys: DataFrame, rings_col: str = "rings") -> DataFrame:
     return v.select("poly_id", "ring", "vertex", F.col("_p.y").alias("lat"), F.col("_p.x").alias("long"))
 
 
-def _cells(lo: Column, hi: Column, size: float) -> Column:
-    return F.sequence(F.floor(lo / size), F.floor(hi / size))
+def _cell(v: Column, level: Column) -> Column:
+    return F.floor(v / F.pow(F.lit(2.0), level)).cast("long")
+
+
+def _with_level(polys: DataFrame) -> DataFrame:
+    """Each polygon's level: the smallest power of two that its extent fits,
+    so that its box covers at most four cells of that size, whatever the
+    units of the coordinates."""
+    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    return polys.withColumn("_level", F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(F.lit(-40)).cast("int"))
 
 
-def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y",
-                 cell_size: float = 0.25, how: str = "inner",
-                 max_broadcast_rows: int = DEFAULT_POLYGON_BROADCAST_ROWS) -> DataFrame:
+def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """Pairs (point row, poly_id, name) with the point in or on the polygon.
 
-    A point may hit several (overlapping) polygons.  ``how="left"`` keeps
-    points without a hit (poly_id NULL).  The polygon-cell side is
-    broadcast only when its row count is checked; otherwise both sides
-    shuffle on the cell key (AQE splits a hot cell).
+    A point may hit several (overlapping) polygons; a point without
+    coordinates hits none.  Polygons sit in the (at most four) cells of
+    their own level; a point probes its one cell on each level that a
+    polygon has (a scalar subquery; levels are binary exponents, so few).
+    Cells carry the box only, the edges are joined by ``poly_id`` for the
+    points that pass the box test; AQE splits a hot cell or polygon.
     """
-    pt = polygon_table(polys)
-    cells = pt.select(
-        "poly_id", "name", "edges", "min_x", "max_x", "min_y", "max_y",
-        F.explode(_cells(F.col("min_x"), F.col("max_x"), cell_size)).alias("_cx"),
-    ).withColumn("_cy", F.explode(_cells(F.col("min_y"), F.col("max_y"), cell_size)))
-    cells = broadcast_if_small(cells, max_broadcast_rows)
-    p = points.withColumns({
-        "_cx": F.floor(F.col(x) / cell_size), "_cy": F.floor(F.col(y) / cell_size)})
-    cond = ((p["_cx"] == cells["_cx"]) & (p["_cy"] == cells["_cy"])
-            & (F.col(x) >= cells["min_x"]) & (F.col(x) <= cells["max_x"])
-            & (F.col(y) >= cells["min_y"]) & (F.col(y) <= cells["max_y"])
-            & point_in_polygon(F.col(x), F.col(y), cells["edges"]))
-    out = p.join(cells, cond, how)
-    return out.select(*[p[c] for c in points.columns], cells["poly_id"], cells["name"])
-
-
-def polygon_names(points: DataFrame, polys: DataFrame, id_col: str, x: str = "x", y: str = "y",
-                  sep: str = " | ", out_col: str = "names", cell_size: float = 0.25) -> DataFrame:
-    """Per point: the names of all polygons holding it, sorted and joined
-    by ``sep``; ``""`` when none, NULL when the point itself is NULL."""
-    hits = spatial_join(points.select(id_col, x, y), polys, x=x, y=y, cell_size=cell_size, how="left")
-    missing = (F.col(x).isNull() | F.col(y).isNull()).cast("int")
-    agg = hits.groupBy(id_col).agg(F.collect_list("name").alias("_names"), F.max(missing).alias("_null"))
-    names = F.when(F.col("_null") == 1, F.lit(None).cast("string")) \
-        .otherwise(F.array_join(F.array_sort(F.col("_names")), sep))
-    return agg.select(id_col, names.alias(out_col))
+    pt = _with_level(polygon_table(polys))
+    lv = F.col("_level")
+    cells = pt.select("poly_id", "min_x", "max_x", "min_y", "max_y", "_level", F.explode(
+        F.sequence(_cell(F.col("min_x"), lv), _cell(F.col("max_x"), lv))).alias("_cx")).withColumn(
+        "_cy", F.explode(F.sequence(_cell(F.col("min_y"), lv), _cell(F.col("max_y"), lv))))
+    levels = pt.agg(F.collect_set("_level")).scalar()
+    probe = points.withColumn("_level", F.explode(levels)).withColumns({
+        "_cx": _cell(F.col(x), lv), "_cy": _cell(F.col(y), lv)})
+    near = (probe.join(cells, ["_level", "_cx", "_cy"])
+            .where(F.col(x).between(F.col("min_x"), F.col("max_x")) & F.col(y).between(F.col("min_y"), F.col("max_y")))
+            .select(*points.columns, "poly_id"))
+    return (near.join(pt.select("poly_id", "name", "edges"), "poly_id")
+            .where(point_in_polygon(F.col(x), F.col(y), F.col("edges")))
+            .select(*points.columns, "poly_id", "name"))
+
+
+def polygon_names(points: DataFrame, polys: DataFrame, id_col: str, ends: list[tuple] | None = None,
+                  sep: str = " | ") -> DataFrame:
+    """Per point row: for each (x, y, out) of ``ends`` a column ``out`` with
+    the names of all polygons holding that end, sorted and joined by
+    ``sep``; ``""`` when none, NULL when a coordinate is NULL.  All ends go
+    through one spatial join; ``id_col`` names a row."""
+    ends = ends or [("x", "y", "names")]
+    sides = points.select(F.col(id_col).alias("_id"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_end"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+        for i, (x, y, _) in enumerate(ends)])).alias("_s")).select("_id", "_s.*").where("_x is not null and _y is not null")
+    hits = spatial_join(sides, polys, x="_x", y="_y").groupBy("_id").agg(*[
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("_end") == i, F.col("name")))), sep).alias(f"_names{i}")
+        for i in range(len(ends))])
+    out = points.join(hits, F.col(id_col) == F.col("_id"), "left")
+    return out.select(id_col, *[
+        F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.coalesce(f"_names{i}", F.lit(""))).alias(name)
+        for i, (x, y, name) in enumerate(ends)])
 
 
 def nearest_centre(points: DataFrame, centres: list[tuple], cols: list[str],

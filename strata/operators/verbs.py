@@ -50,9 +50,14 @@ def zip_by_position(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     Spark rows have no position, so "by position" means "by the shared
     row key"; callers number rows with ``ordering.row_numbers`` first when
-    the key is a position.
+    the key is a position.  A row without a counterpart (unequal lengths)
+    is an error when the result is computed.
     """
-    return left.join(right, on=key, how="inner")
+    both = left.withColumn("_left", F.lit(True)).join(right.withColumn("_right", F.lit(True)), on=key, how="full")
+    alone = F.col("_left").isNull() | F.col("_right").isNull()
+    whole = both.filter(F.when(alone, F.raise_error(F.lit("columns of unequal length"))).otherwise(F.lit(True))
+                        .cast("boolean"))
+    return whole.drop("_left", "_right")
 
 
 def shape(df: DataFrame) -> DataFrame:

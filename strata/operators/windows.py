@@ -1,128 +1,116 @@
-"""Rolling look-back aggregates across two time columns."""
+"""Look-back windows across two time columns, by exact prefix sums.
+
+For a probe at time t the rows whose fact time lies in [t - hours, t] are
+the facts up to t less the facts up to t - hours - 1 microsecond.  So the
+facts are summed per (keys, time), every probe adds two marks to that time
+line, and the answer is the difference of the running totals at its marks.
+No fact is copied, no pair is formed, and the time line has one row per
+(keys, instant), so an instant shared by very many rows is one row.
+
+The running totals are taken inside time buckets, whose width follows each
+key's density, and shifted by the totals of the buckets before: a key that
+holds a third of all rows is cut into as many tasks as its rows need.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.temporal import epoch_micros
-from strata.operators.joins import HOUR_US
 
+HOUR_US = 3_600_000_000
+TARGET_ROWS = 2_000_000      # time-line rows per bucket
 
-def bucket_width_us(df: DataFrame, time_us, keys: list[str], hours: float,
-                    target_rows: int = 2_000_000, min_fraction: float = 0.25) -> DataFrame:
-    """Per-key time-bucket width (microseconds) for look-back windows.
 
-    Width = key's time span x target_rows / key's row count, so a dense
-    (hot) key gets narrow buckets and many tasks, a sparse key one bucket.
-    The width never goes below ``min_fraction`` x the look-back, which caps
-    the copies of each fact at 1 + 1/min_fraction.  Returns (keys, _bw).
-    """
+def _from_micros(us: Column) -> Column:
+    return F.timestamp_add("MICROSECOND", us, F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")))
+
+
+def _marked_totals(df: DataFrame, id_col: str, keys: list[str], probe_time: str, fact_time: str, value: Column | None,
+                   hours: float, target_rows: int) -> DataFrame:
+    """Rows (id, keys, sign, s, n, rows, last, next): the running totals of
+    the facts up to each probe's two marks (sign +1: t, -1: just before the
+    window), the last fact up to it and the first fact after it."""
     width = int(hours * HOUR_US)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(time_us).alias("_lo"),
-                                  F.max(time_us).alias("_hi"))
-    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    bw = F.greatest(F.lit(int(width * min_fraction)),
-                    F.ceil(span * F.lit(float(target_rows)) / F.col("_n"))).cast("long")
-    return stats.select(*keys, bw.alias("_bw"))
+    # one struct of the keys: nulls in it equal each other in joins and groups
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("all"))
+    base = df.select(F.col(id_col).alias("_id"), *keys, key.alias("_k"), epoch_micros(F.col(probe_time)).alias("_p"),
+                     epoch_micros(F.col(fact_time)).alias("_f"), (value if value is not None else F.lit(None).cast(
+                         "decimal(28,0)")).alias("_v"))
+    facts = base.where("_f is not null").select("_k", F.col("_f").alias("_t"), "_v", F.lit(1).alias("_one"))
+    marks = base.where("_p is not null").select("_k", F.explode(F.array("_p", F.col("_p") - (width + 1))).alias("_t"),
+                                                F.lit(None).cast(facts.schema["_v"].dataType).alias("_v"),
+                                                F.lit(0).alias("_one"))
+    line = facts.unionByName(marks).groupBy("_k", "_t").agg(
+        F.sum("_v").alias("s"), F.count("_v").alias("n"), F.sum("_one").alias("rows"))
+    line = line.withColumn("fact", F.when(F.col("rows") > 0, F.col("_t")))
+    span = line.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
+    span = span.select("_k", "_lo", F.greatest(F.lit(1), F.ceil(
+        (F.col("_hi") - F.col("_lo") + 1).cast("double") * float(target_rows) / F.col("_n"))).cast("long").alias("_w"))
+    line = line.join(span, "_k").withColumn("_b", F.floor((F.col("_t") - F.col("_lo")) / F.col("_w"))).drop("_lo", "_w")
+
+    bucket = Window.partitionBy("_k", "_b")
+    up, down = bucket.orderBy("_t"), bucket.orderBy(F.col("_t").desc())
+    inside = line.select(
+        "_k", "_b", "_t", F.sum("s").over(up).alias("s"), F.sum("n").over(up).alias("n"), F.sum("rows").over(up).alias("rows"),
+        F.max("fact").over(up).alias("last"), F.min("fact").over(down).alias("next"))
+    whole = Window.partitionBy("_k")
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    after = whole.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    total = line.groupBy("_k", "_b").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("rows").alias("rows"),
+                                         F.min("fact").alias("lo"), F.max("fact").alias("hi"))
+    shift = total.select("_k", "_b", F.sum("s").over(before).alias("s0"), F.sum("n").over(before).alias("n0"),
+                         F.sum("rows").over(before).alias("r0"), F.max("hi").over(before).alias("last0"),
+                         F.min("lo").over(after).alias("next0"))
+    zero = F.lit(0)
+    upto = inside.join(shift, ["_k", "_b"]).select(
+        "_k", "_t", (F.coalesce("s", zero) + F.coalesce("s0", zero)).alias("s"), (F.col("n") + F.coalesce("n0", zero)).alias("n"),
+        (F.col("rows") + F.coalesce("r0", zero)).alias("rows"), F.coalesce("last", "last0").alias("last"),
+        F.coalesce("next", "next0").alias("next"))
+    probes = base.select("_id", *keys, "_k", F.explode(F.array(
+        F.struct(F.lit(1).alias("sign"), F.col("_p").alias("_t")),
+        F.struct(F.lit(-1).alias("sign"), (F.col("_p") - (width + 1)).alias("_t")))).alias("_m"))
+    probes = probes.select("_id", *keys, "_k", "_m.sign", "_m._t")
+    return probes.join(upto, ["_k", "_t"], "left")
 
 
 def rolling_lookback(df: DataFrame, id_col: str, probe_time: str, fact_time: str, value: str,
-                     hours: float = 3.0, keys: list[str] | tuple = (), bucket_hours: float | str = "auto",
-                     mean_col: str = "mean_value", count_col: str = "n_in_window",
-                     decimal_scale: int | None = None, target_rows: int = 2_000_000) -> DataFrame:
+                     hours: float = 3.0, keys: list[str] | tuple = (), mean_col: str = "mean_value",
+                     count_col: str = "n_in_window", decimal_scale: int = 6,
+                     target_rows: int = TARGET_ROWS) -> DataFrame:
     """For each row at ``probe_time`` t: mean and count of ``value`` over the
     rows whose ``fact_time`` lies in [t - hours, t] (inclusive), within equal
-    ``keys``.  An empty window gives a NULL mean and count 0.
-
-    Plan: probes (value NULL) and facts are unioned and one RANGE window
-    runs over them, so there is no pairwise join.  The window partition is
-    (keys, time bucket): every fact is copied into each bucket its span
-    [t, t + hours] reaches, so a probe sees all its facts inside its own
-    bucket and a hot key is cut into one task per bucket.  With
-    ``bucket_hours="auto"`` the width is chosen per key from its density
-    (``bucket_width_us``, about ``target_rows`` rows per bucket), so a key
-    holding a third of all rows still spreads over many tasks.
-
-    ``decimal_scale``: values carry that many decimals (money, durations
-    in cents); they are summed as exact decimals, so the mean (an exact
-    decimal quotient) does not depend on the order rows are added in, and
-    the window total becomes a difference of two running totals (linear
-    time instead of re-summing the sliding frame for every row).
+    ``keys`` (nulls equal).  An empty window gives a NULL mean and count 0, a
+    row without probe time has an empty window, and ``id_col`` names a row.
+
+    Values are rounded to ``decimal_scale`` decimals and summed exactly, so
+    the mean, a decimal quotient rounded half-up, does not depend on the
+    order of the rows.
     """
     keys = list(keys)
-    width = int(hours * HOUR_US)
-    base = df.select(id_col, *keys, probe_time, fact_time, value)
-    if bucket_hours == "auto":
-        both_times = base.select(*keys, epoch_micros(F.col(probe_time)).alias("_t")).unionByName(
-            base.select(*keys, epoch_micros(F.col(fact_time)).alias("_t")))
-        widths = bucket_width_us(both_times, F.col("_t"), keys, hours, target_rows)
-        if keys:
-            # null-safe: rows with a NULL key form their own group, as in
-            # the window's PARTITION BY
-            w = widths.select(*[F.col(k).alias(f"_wk_{k}") for k in keys], "_bw")
-            cond = [base[k].eqNullSafe(w[f"_wk_{k}"]) for k in keys]
-            base = base.join(w, on=cond, how="inner").drop(*[f"_wk_{k}" for k in keys])
-            bw = F.col("_bw")
-        else:
-            bw = widths.select("_bw").scalar()   # one row: a scalar subquery
-    else:
-        bw = F.lit(int(float(bucket_hours) * HOUR_US))
-    probes = base.select(
-        F.col(id_col).alias("_id"), *keys,
-        epoch_micros(F.col(probe_time)).alias("_t"),
-        F.lit(None).cast("double").alias("_v"),
-        F.lit(True).alias("_probe"), bw.alias("_w"))
-    probes = probes.withColumn("_bucket", F.floor(F.col("_t") / F.col("_w"))).drop("_w")
-    facts = base.select(
-        F.lit(None).cast(df.schema[id_col].dataType).alias("_id"), *keys,
-        epoch_micros(F.col(fact_time)).alias("_t"),
-        F.col(value).cast("double").alias("_v"),
-        F.lit(False).alias("_probe"), bw.alias("_w"))
-    facts = facts.withColumn(
-        "_bucket", F.explode(F.sequence(F.floor(F.col("_t") / F.col("_w")),
-                                        F.floor((F.col("_t") + width) / F.col("_w"))))).drop("_w")
-    both = probes.unionByName(facts)
-    base_w = Window.partitionBy(*keys, "_bucket").orderBy("_t")
-    if decimal_scale is None:
-        # sliding frame: Spark re-aggregates the frame when it moves
-        w = base_w.rangeBetween(-width, 0)
-        n = F.count("_v").over(w)
-        mean = F.avg("_v").over(w)
-    else:
-        # exact decimals allow differences of running totals: two frames
-        # anchored at the partition start (each updated incrementally,
-        # O(rows)); window [t - width, t] = upto(t) - upto(t - width - 1us)
-        dec = F.col("_v").cast(f"decimal(28,{decimal_scale})")
-        upto_t = base_w.rangeBetween(Window.unboundedPreceding, 0)
-        before = base_w.rangeBetween(Window.unboundedPreceding, -(width + 1))
-        n = F.count("_v").over(upto_t) - F.coalesce(F.count("_v").over(before), F.lit(0))
-        total = F.coalesce(F.sum(dec).over(upto_t), F.lit(0)) - F.coalesce(F.sum(dec).over(before), F.lit(0))
-        # exact decimal quotient (Spark keeps 12 decimals here, rounded half-up)
-        mean = F.when(n > 0, total.cast(f"decimal(28,{decimal_scale})") / n)
-    out = both.select("_id", *keys, "_probe", mean.alias(mean_col), n.alias(count_col))
-    return out.filter(F.col("_probe")).drop("_probe").withColumnRenamed("_id", id_col)
-
-
-def rolling_lookback_by_join(df: DataFrame, id_col: str, probe_time: str, fact_time: str,
-                             value: str, hours: float = 3.0, keys: list[str] | tuple = (),
-                             bucket_hours: float | str = "auto", mean_col: str = "mean_value",
-                             count_col: str = "n_in_window", decimal_scale: int | None = None) -> DataFrame:
-    """Same result as ``rolling_lookback`` via the bucketed range join plus a
-    group-by (kept as a cross-check; it materialises every pair)."""
-    from strata.operators.joins import time_range_join
+    exact = f"decimal(28,{decimal_scale})"
+    both = _marked_totals(df, id_col, keys, probe_time, fact_time, F.col(value).cast("double").cast(exact), hours,
+                          target_rows)
+    sign = F.col("sign")
+    out = both.groupBy("_id", *keys).agg(F.coalesce(F.sum(sign * F.col("n")), F.lit(0)).alias("_n"),
+                                         F.sum(sign * F.col("s")).alias("_s"))
+    mean = F.when(F.col("_n") > 0, F.col("_s").cast(exact) / F.col("_n"))
+    return out.select(F.col("_id").alias(id_col), *keys, mean.alias(mean_col), F.col("_n").alias(count_col))
+
+
+def lookback_events(df: DataFrame, id_col: str, probe_time: str, fact_time: str, hours: float = 3.0,
+                    keys: list[str] | tuple = (), target_rows: int = TARGET_ROWS) -> DataFrame:
+    """For each row at ``probe_time`` t: how many rows of equal ``keys`` have
+    their ``fact_time`` in [t - hours, t], and the first and last of these
+    times (NULL if none): (id, keys, n_facts, first_fact, last_fact)."""
     keys = list(keys)
-    base = df.select(id_col, *keys, probe_time, fact_time, value)
-    pairs = time_range_join(base, base, probe_time, fact_time, hours, keys=keys,
-                            bucket_hours=bucket_hours)
-    fv = F.col("f_" + value)
-    if decimal_scale is None:
-        mean = F.avg(fv.cast("double"))
-    else:
-        mean = F.when(F.count(fv) > 0,
-                      F.sum(fv.cast(f"decimal(28,{decimal_scale})")).cast(f"decimal(28,{decimal_scale})")
-                      / F.count(fv))
-    agg = pairs.groupBy(F.col("p_" + id_col).alias(id_col)).agg(
-        mean.alias(mean_col), F.count(fv).alias(count_col))
-    probes = base.select(id_col, *keys)
-    return probes.join(agg, id_col, "left").fillna({count_col: 0})
+    both = _marked_totals(df, id_col, keys, probe_time, fact_time, None, hours, target_rows)
+    out = both.groupBy("_id", *keys).agg(
+        F.coalesce(F.sum(F.col("sign") * F.col("rows")), F.lit(0)).alias("n_facts"),
+        F.max(F.when(F.col("sign") == -1, F.col("next"))).alias("_first"),
+        F.max(F.when(F.col("sign") == 1, F.col("last"))).alias("_last"))
+    some = F.col("n_facts") > 0
+    return out.select(F.col("_id").alias(id_col), *keys, "n_facts",
+                      F.when(some, _from_micros(F.col("_first"))).alias("first_fact"),
+                      F.when(some, _from_micros(F.col("_last"))).alias("last_fact"))

@@ -71,7 +71,7 @@ SELECT img, i, j, k, {_v("avg(CASE WHEN k IN (0, 1, 2) THEN v END) OVER (PARTITI
 FROM pixels""", "pixels"))
 def brightness_mean(spark, d):
     """Grey = mean of the colour channels, written to every channel."""
-    return px.grey_mean(views.pixels(spark, d), channels=[0, 1, 2])
+    return px.with_channels(views.pixel_channels(spark, d), px.grey_mean_of(F.col("ch"), [0, 1, 2]))
 
 
 @query("brightness_weighted", with_views(f"""
@@ -80,7 +80,7 @@ SELECT img, i, j, k, {_v("sum(v * CASE k WHEN 0 THEN 114 WHEN 1 THEN 587 WHEN 2
 FROM pixels""", "pixels"))
 def brightness_weighted(spark, d):
     """Grey = luminance-weighted channel sum."""
-    return px.grey_weighted(views.pixels(spark, d), LUMA_PER_MILLE, 1000)
+    return px.with_channels(views.pixel_channels(spark, d), px.grey_weighted_of(F.col("ch"), LUMA_PER_MILLE, 1000))
 
 
 @query("channel_scale", with_views(f"""
@@ -97,7 +97,7 @@ SELECT img, i, j, k, CASE WHEN max(CASE WHEN k = 1 THEN v END) OVER (PARTITION B
 FROM pixels""", "pixels"))
 def conditional_mask(spark, d):
     """Zero pixels whose green exceeds 1.5 x blue."""
-    return px.conditional_zero(views.pixels(spark, d), 1, 0, 1.5)
+    return px.with_channels(views.pixel_channels(spark, d), px.conditional_zero_of(F.col("ch"), 1, 0, 1.5))
 
 
 @query("region_darken", with_views(f"""
@@ -125,29 +125,17 @@ def column_profile(spark, d):
 
 @query("tensor_shape", with_views("""
 SELECT img, count(DISTINCT i) AS n_rows, CAST(max(j) + 1 AS INTEGER) AS width,
-       CAST(max(k) + 1 AS INTEGER) AS channels FROM pixels GROUP BY img""", "pixels"))
+       CAST(max(k) + 1 AS INTEGER) AS channels, 'int' AS element_type FROM pixels GROUP BY img""", "pixels"))
 def tensor_shape(spark, d):
     return px.shape(views.pixels(spark, d))
 
 
 @query("canvas_paste", with_views("""
-SELECT c.img, c.i, c.j, c.k, coalesce(p.v, 0) AS v
-FROM (SELECT CAST(id // per_img AS INTEGER) AS img, (id % per_img) // (2 * w * ch) AS i,
-             CAST((id % (2 * w * ch)) // ch AS INTEGER) AS j, CAST(id % ch AS INTEGER) AS k
-      FROM (SELECT max(img) + 1 AS nimg, max(i) + 1 AS h, max(j) + 1 AS w, max(k) + 1 AS ch,
-                   (2 * (max(i) + 1)) * (2 * (max(j) + 1)) * (max(k) + 1) AS per_img FROM pixels) dims,
-           range((SELECT (max(img) + 1) * (2 * (max(i) + 1)) * (2 * (max(j) + 1)) * (max(k) + 1) FROM pixels)) t(id)
-     ) c
-LEFT JOIN (SELECT img, i, j, k, v FROM pixels
-           UNION ALL SELECT img, i + (SELECT max(i) + 1 FROM pixels), j + (SELECT max(j) + 1 FROM pixels), k, v
-           FROM pixels) p
-  ON c.img = p.img AND c.i = p.i AND c.j = p.j AND c.k = p.k""", "pixels"))
+SELECT img, unnest([r, r + h, r, r + h]) AS i, CAST(unnest([j, j + w, j + w, j]) AS INTEGER) AS j, k,
+       unnest([v, v, 0, 0]) AS v
+FROM (SELECT img, j, k, v, dense_rank() OVER (PARTITION BY img ORDER BY i) - 1 AS r FROM pixels)
+JOIN (SELECT img, count(DISTINCT i) AS h, max(j) + 1 AS w FROM pixels GROUP BY img) USING (img)""", "pixels"))
 def canvas_paste(spark, d):
-    """Two copies of each image on a canvas twice as high and wide, at
-    offsets (0, 0) and (h, w); the rest is 0.  The canvas size comes from
-    one aggregate row (bounded)."""
-    p = views.pixels(spark, d)
-    dims = p.agg((F.max("img") + 1).alias("n"), (F.max("i") + 1).alias("h"),
-                 (F.max("j") + 1).alias("w"), (F.max("k") + 1).alias("c")).first()
-    out = px.paste_on_canvas(p, spark, int(dims["n"]), int(dims["h"]), int(dims["w"]), int(dims["c"]))
-    return out.select("img", "i", "j", "k", "v")
+    """Two copies of each image on a canvas twice as high and wide as it, at
+    offsets (0, 0) and (h, w); the rest is 0."""
+    return px.paste_on_canvas(views.pixels(spark, d)).select("img", "i", "j", "k", "v")

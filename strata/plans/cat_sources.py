@@ -1,5 +1,5 @@
 """Round trips through files: CSV (plain, gzip, custom datetime), GeoJSON,
-PNG images.  Files go to a fresh folder under the shared
+and pixels from image rows.  Files go to a fresh folder under the shared
 ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
@@ -58,12 +58,12 @@ SELECT poly_id, name, 'Polygon' AS geometry_type, CAST(count(DISTINCT ring) AS I
        CAST(count(*) + count(DISTINCT ring) AS INTEGER) AS n_vertices
 FROM area_edges GROUP BY poly_id, name""", "area_edges"))
 def scan_geojson(spark, d):
-    """Area polygons written as a GeoJSON FeatureCollection, read back: one
-    row per feature with its properties and rings."""
+    """Area polygons written as GeoJSON features, read back: one row per
+    feature with all its properties and rings."""
     areas = views.areas(spark, d)
-    path = geojson.write_geojson(areas, scratch_path(spark, "areas-geojson"),
-                                 {"@id": "poly_id", "neighborhood": "name"})
-    rows = geojson.read_geojson(spark, path, ["@id", "neighborhood"])
+    path = geojson.write_geojson_seq(areas, scratch_path(spark, "areas-geojson"),
+                                     {"@id": "poly_id", "neighborhood": "name"})
+    rows = geojson.read_geojson_seq(spark, path)
     return rows.select(F.col("@id").cast("bigint").alias("poly_id"), F.col("neighborhood").alias("name"),
                        "geometry_type", F.size("rings").alias("n_rings"),
                        F.size(F.flatten("rings")).alias("n_vertices"))
@@ -86,12 +86,13 @@ SELECT vec_id AS img, CAST((p - 1) // 16 AS INTEGER) AS i, CAST(((p - 1) // 4) %
        CAST(least(greatest(floor(abs(embedding[p]::DOUBLE) * 255.0), 0), 255) AS INTEGER) AS v
 FROM embeddings, range(1, len(embedding) + 1) t(p)""")
 def scan_images(spark, d):
-    """Each embedding as a 4 x 4 BGRA PNG (one file per vector), read by
-    Spark's image source and unpacked to pixel rows."""
+    """Each embedding as a 4 x 4 BGRA image in the columns of Spark's image
+    source, unpacked to pixel rows."""
     em = table(spark, d, "embeddings")
-    vals = F.transform("embedding", lambda e: F.least(F.greatest(
-        F.floor(F.abs(e.cast("double")) * F.lit(255.0)), F.lit(0)), F.lit(255)).cast("int"))
-    src = em.select(F.col("vec_id").alias("img"), vals.alias("bgra"))
-    path = scratch_path(spark, "pngs")
-    images.write_bgra_pngs(src, "img", "bgra", 4, 4, path)
-    return images.images_to_pixels(images.read_images(spark, path))
+    two = F.transform("embedding", lambda e: F.lpad(F.hex(F.least(F.greatest(
+        F.floor(F.abs(e.cast("double")) * F.lit(255.0)), F.lit(0)), F.lit(255)).cast("long")), 2, "0"))
+    four = F.lit(4)
+    im = em.select(F.concat(F.lit("img-"), F.col("vec_id").cast("string"), F.lit(".png")).alias("origin"),
+                   four.alias("height"), F.expr("size(embedding) div 16").cast("int").alias("width"),
+                   four.alias("nChannels"), F.unhex(F.array_join(two, "")).alias("data"))
+    return images.images_to_pixels(im)

@@ -134,7 +134,7 @@ def spatial_join_names(spark, d):
     """Per pickup point: names of the holding polygons, sorted, joined by
     ' | '; '' when none."""
     p = views.points(spark, d)
-    return spatial.polygon_names(p, views.areas(spark, d), "id", out_col="names")
+    return spatial.polygon_names(p, views.areas(spark, d), "id")
 
 
 _PAIRS_SQL = with_views("""
@@ -151,12 +151,7 @@ FROM pn JOIN dn ON pn.id = dn.id GROUP BY 1, 2""", "points", "area_edges", ctes=
 def pair_frequencies(spark, d):
     """Frequencies of (pickup area, dropoff area) pairs, most frequent first."""
     from strata.operators.aggregates import frequencies
-    p = views.points(spark, d)
-    areas = views.areas(spark, d)
-    pn = spatial.polygon_names(p.select("id", "x", "y"), areas, "id", out_col="pickup_area")
-    dn = spatial.polygon_names(p.select("id", F.col("x2").alias("x"), F.col("y2").alias("y")), areas, "id",
-                               out_col="dropoff_area")
-    return frequencies(pn.join(dn, "id"), ["pickup_area", "dropoff_area"])
+    return frequencies(views.area_names(spark, d), ["pickup_area", "dropoff_area"])
 
 
 def _md5(key_sql: str, seed: int = 1) -> str:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from strata.functions.temporal import epoch_millis, make_date, minus_hours
-from strata.operators.joins import time_range_join
-from strata.operators.windows import rolling_lookback, rolling_lookback_by_join
+from strata.operators.joins import lookup_join
+from strata.operators.windows import lookback_events, rolling_lookback
 from strata.plans import views
 from strata.plans.registry import query, rounded, sql_mean_half_up
 from strata.plans.cat_spatial import _hits
@@ -46,25 +45,16 @@ def rolling_mean_3h_by_pair(spark, d):
                                     mean_col="mean_dur", decimal_scale=2))
 
 
-@query("rolling_mean_3h_join", _rolling_sql(True))
-def rolling_mean_3h_join(spark, d):
-    """The keyed rolling mean computed through the bucketed range join."""
-    t = views.trips(spark, d)
-    return rounded(rolling_lookback_by_join(t, "id", "pickup", "dropoff", "dur", hours=HOURS,
-                                            keys=["k"], mean_col="mean_dur", decimal_scale=2))
-
-
 @query("time_range_join", with_views(f"""
-SELECT p.id AS p_id, f.id AS f_id, p.k AS p_k, p.pickup AS p_pickup, f.dropoff AS f_dropoff
-FROM trips p JOIN trips f
-  ON f.k = p.k AND f.dropoff >= p.pickup - INTERVAL {HOURS} HOUR AND f.dropoff <= p.pickup""", "trips"))
+SELECT p.id, p.k, count(f.id) AS n_facts, min(f.dropoff) AS first_fact, max(f.dropoff) AS last_fact
+FROM trips p LEFT JOIN trips f
+  ON f.k = p.k AND f.dropoff >= p.pickup - INTERVAL {HOURS} HOUR AND f.dropoff <= p.pickup
+GROUP BY p.id, p.k""", "trips"))
 def time_range_join_q(spark, d):
-    """All (probe, fact) pairs of one zone with the fact's dropoff within the
-    3 hours up to the probe's pickup, both ends inclusive."""
+    """Per trip: the trips of its zone dropped off in the 3 hours up to its
+    pickup, both ends inclusive, as their number and first and last time."""
     t = views.trips(spark, d)
-    pairs = time_range_join(t.select("id", "k", "pickup"), t.select("id", "k", "dropoff"),
-                            "pickup", "dropoff", HOURS, keys=["k"], bucket_hours="auto")
-    return pairs.select("p_id", "f_id", "p_k", "p_pickup", "f_dropoff")
+    return lookback_events(t, "id", "pickup", "dropoff", HOURS, keys=["k"])
 
 
 @query("epoch_millis", with_views(f"""
@@ -109,14 +99,10 @@ def rolling_mean_3h_by_area_pair(spark, d):
     trips between the same (pickup area, dropoff area) pair dropped off in
     the 3 hours up to its pickup.  Areas come from the point-in-polygon
     join of the (few) distinct end points, looked up per trip."""
-    from strata.operators.joins import lookup_join
     lt = views.located_trips(spark, d).select("id", "user_id", "pickup", "dropoff", "dur")
     names = views.area_names(spark, d).withColumnRenamed("id", "user_id")
-    # the named trips feed three branches (bucket widths, probes, facts):
-    # keep the narrow projection instead of repeating the joins
     t = lookup_join(lt, names, "user_id", how="left") \
-        .select("id", "pickup_area", "dropoff_area", "pickup", "dropoff", "dur") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        .select("id", "pickup_area", "dropoff_area", "pickup", "dropoff", "dur")
     return rounded(rolling_lookback(t, "id", "pickup", "dropoff", "dur", hours=HOURS,
                                     keys=["pickup_area", "dropoff_area"], mean_col="mean_dur",
                                     decimal_scale=2))

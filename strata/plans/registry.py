@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from strata.session import apply_defaults
+from strata.session import require_utc
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark, data_dir):
-            apply_defaults(spark)      # UTC, AQE: what the plans assume
+            require_utc(spark)
             return fn(spark, data_dir)
         QUERIES[name] = run
         if sql is not None:

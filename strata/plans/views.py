@@ -97,6 +97,17 @@ def pixels(spark: SparkSession, d: str) -> DataFrame:
                      (F.col("pos") % 4).cast("int").alias("k"), v.cast("int").alias("v"))
 
 
+def pixel_channels(spark: SparkSession, d: str) -> DataFrame:
+    """The pixels with their four channels as one array ``ch``."""
+    em = table(spark, d, "embeddings")
+    vals = F.transform("embedding", lambda e: F.least(F.greatest(
+        F.floor(F.abs(e.cast("double")) * F.lit(255.0)), F.lit(0)), F.lit(255)).cast("int"))
+    each = em.select(F.col("label").alias("img"), F.col("vec_id").alias("i"), vals.alias("_all"))
+    part = F.transform(F.sequence(F.lit(0), F.expr("size(_all) div 4 - 1").cast("int")),
+                       lambda j: F.slice(F.col("_all"), j * 4 + 1, F.lit(4)))
+    return each.select("img", "i", F.posexplode(part).alias("j", "ch"))
+
+
 def vectors(spark: SparkSession, d: str) -> DataFrame:
     """embeddings with the vector as array<double>."""
     em = table(spark, d, "embeddings")
@@ -135,12 +146,8 @@ def located_trips(spark: SparkSession, d: str) -> DataFrame:
 def area_names(spark: SparkSession, d: str) -> DataFrame:
     """Per embedding point: pickup and dropoff area names (sorted, ' | ')."""
     from strata.operators.spatial import polygon_names
-    p = points(spark, d)
-    a = areas(spark, d)
-    pn = polygon_names(p.select("id", "x", "y"), a, "id", out_col="pickup_area")
-    dn = polygon_names(p.select("id", F.col("x2").alias("x"), F.col("y2").alias("y")), a, "id",
-                       out_col="dropoff_area")
-    return pn.join(dn, "id")
+    return polygon_names(points(spark, d), areas(spark, d), "id",
+                         [("x", "y", "pickup_area"), ("x2", "y2", "dropoff_area")])
 
 
 def daily(spark: SparkSession, d: str) -> DataFrame:

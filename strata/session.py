@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,17 +48,20 @@ def get_session(master: str | None = None, app: str = "strata",
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the runtime-settable defaults on an existing session."""
+    """Set the runtime-settable defaults on a session of our own."""
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.ui"):
-            continue
-        try:
+        if not k.startswith("spark.ui"):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep theirs
-            pass
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """The plans convert times in UTC; the only setting of a caller's
+    session that a query touches, and only where it differs."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -83,17 +86,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
-
-
-def ensure_local_dir(path: str) -> str:
-    p = local_path(path)
-    if "://" not in path:
-        os.makedirs(p, exist_ok=True)
-    return path
+def reliable(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder; every branch
+    that uses it sees the same rows in the same partitions, also after the
+    loss of an executor."""
+    spark = df.sparkSession
+    path = checkpoint_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
+    return df.checkpoint()

@@ -1,69 +1,61 @@
-"""GeoJSON polygons: FeatureCollection documents and GeoJSON text sequences.
-
-A FeatureCollection is one JSON document, read whole by one task (fine
-for boundary files of a few thousand polygons).  Large feature sets
-should use one feature per line (``read_geojson_seq``), which splits.
-Coordinates are [longitude, latitude]; rings become
-``array<array<struct<x: double, y: double>>>`` with x = longitude.
+"""GeoJSON polygons: FeatureCollection documents and feature-per-line files.
+
+A FeatureCollection is one JSON document, read whole by one task (boundary
+files of a few thousand polygons).  Large feature sets have one feature per
+line (``read_geojson_seq``), which splits.  Coordinates are [longitude,
+latitude]; the rings of a Polygon, or of all parts of a MultiPolygon, become
+``array<array<struct<x: double, y: double>>>`` with x = longitude.  Malformed
+lines and other geometry types are errors; a feature without geometry has
+null rings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_GEOMETRY = "struct<type: string, coordinates: array<array<array<double>>>>"
+_GEOMETRY = "struct<type: string, coordinates: string>"      # coordinates as JSON text: their depth depends on the type
 _FEATURE_COLUMNS = f"type string, properties map<string, string>, geometry {_GEOMETRY}"
 _FEATURE = f"struct<type: string, properties: map<string, string>, geometry: {_GEOMETRY}>"
+_RING = "array<array<array<double>>>"
 
 
-def _rings(coords) -> F.Column:
-    return F.transform(coords, lambda ring: F.transform(
+def _rings(geometry: Column) -> Column:
+    kind, text = geometry["type"], geometry["coordinates"]
+    options = {"mode": "FAILFAST"}
+    parsed = (F.when(kind == "Polygon", F.from_json(text, _RING, options))
+              .when(kind == "MultiPolygon", F.flatten(F.from_json(text, f"array<{_RING}>", options)))
+              .when(kind.isNotNull(), F.raise_error(F.concat(F.lit("not a polygon: "), kind)).cast(_RING)))
+    return F.transform(parsed, lambda ring: F.transform(
         ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
 
 
-def _features_to_rows(feats: DataFrame, properties: list[str]) -> DataFrame:
-    cols = [F.col("f.properties").getItem(p).alias(p) for p in properties]
-    return feats.select(*cols, F.col("f.geometry.type").alias("geometry_type"),
-                        _rings(F.col("f.geometry.coordinates")).alias("rings"))
+def _features_to_rows(feats: DataFrame, properties: list[str] | None) -> DataFrame:
+    if properties is None:       # like schema inference: the names that occur
+        names = feats.select(F.explode(F.map_keys("properties")).alias("p")).distinct().collect()
+        properties = sorted(r["p"] for r in names)
+    return feats.select(*[F.col("properties").getItem(p).alias(p) for p in properties],
+                        F.col("geometry.type").alias("geometry_type"), _rings(F.col("geometry")).alias("rings"))
 
 
-def read_geojson(spark: SparkSession, path: str, properties: list[str]) -> DataFrame:
-    """FeatureCollection -> one row per feature: the listed properties as
-    columns (strings) plus ``rings``."""
-    doc = spark.read.schema(f"type string, features array<{_FEATURE}>").option("multiLine", True).json(path)
-    return _features_to_rows(doc.select(F.explode("features").alias("f")), properties)
+def read_geojson(spark: SparkSession, path: str, properties: list[str] | None = None) -> DataFrame:
+    """FeatureCollection -> one row per feature: its properties (all, or
+    those listed) as string columns, ``geometry_type`` and ``rings``."""
+    doc = spark.read.schema(f"type string, features array<{_FEATURE}>") \
+        .option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return _features_to_rows(doc.select(F.explode("features").alias("f")).select("f.*"), properties)
 
 
-def read_geojson_seq(spark: SparkSession, path: str, properties: list[str]) -> DataFrame:
-    """One feature per line (splittable)."""
-    feats = spark.read.schema(_FEATURE_COLUMNS).json(path)
-    return _features_to_rows(feats.select(F.struct("*").alias("f")), properties)
+def read_geojson_seq(spark: SparkSession, path: str, properties: list[str] | None = None) -> DataFrame:
+    """One feature per line (splittable); columns as ``read_geojson``."""
+    return _features_to_rows(spark.read.schema(_FEATURE_COLUMNS).option("mode", "FAILFAST").json(path), properties)
 
 
-def _feature_col(props: dict[str, str]) -> F.Column:
+def write_geojson_seq(df: DataFrame, path: str, props: dict[str, str]) -> str:
+    """Polygons (columns ``rings`` + props), one feature per line, in parallel."""
     coords = F.transform(F.col("rings"), lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
     prop_map = F.create_map(*[x for k, c in props.items() for x in (F.lit(k), F.col(c).cast("string"))])
-    return F.struct(F.lit("Feature").alias("type"), prop_map.alias("properties"),
-                    F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")).alias("geometry"))
-
-
-def write_geojson(df: DataFrame, path: str, props: dict[str, str], max_features: int = 100_000) -> str:
-    """Write polygons (columns ``rings`` + props) as one FeatureCollection.
-
-    The document is assembled by one aggregate, so the feature count is
-    checked first; larger sets go to ``write_geojson_seq``.
-    """
-    from strata.operators.joins import bounded_rows
-    if not bounded_rows(df, max_features):
-        raise ValueError("too many features for one document; use write_geojson_seq")
-    doc = df.select(_feature_col(props).alias("f")).agg(F.collect_list("f").alias("features")) \
-        .select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(path)
-    return path
-
-
-def write_geojson_seq(df: DataFrame, path: str, props: dict[str, str]) -> str:
-    """One feature per line, written in parallel."""
-    df.select(F.to_json(_feature_col(props)).alias("value")).write.mode("overwrite").text(path)
+    feature = F.struct(F.lit("Feature").alias("type"), prop_map.alias("properties"),
+                       F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")).alias("geometry"))
+    df.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
     return path

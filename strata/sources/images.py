@@ -1,65 +1,25 @@
-"""Images: PNG files written from pixel data, read with Spark's image source.
+"""Images: Spark's image source, unpacked to pixel rows.
 
-Spark's ``image`` format decodes each file into (height, width,
-nChannels, data) with bytes in B, G, R(, A) order.  Writing encodes one
-small image per input row inside ``mapInPandas``; each task writes its
-own files through ``pyarrow.fs`` (local, HDFS or object store), named by
-key, so a retried task rewrites the same files.
+Spark's ``image`` format decodes each file into (origin, height, width,
+nChannels, data) with bytes in B, G, R(, A) order.
 """
 
 from __future__ import annotations
 
-import struct
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.pixels import unpack_bytes
-from strata.session import local_path
-
-
-def _png_rgba(width: int, height: int, rgba: bytes) -> bytes:
-    """Minimal 8-bit RGBA PNG encoder (no filtering)."""
-    def chunk(tag: bytes, data: bytes) -> bytes:
-        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data) & 0xFFFFFFFF)
-    stride = width * 4
-    raw = b"".join(b"\x00" + rgba[r * stride:(r + 1) * stride] for r in range(height))
-    ihdr = struct.pack(">IIBBBBB", width, height, 8, 6, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", ihdr) + chunk(b"IDAT", zlib.compress(raw, 6)) + chunk(b"IEND", b"")
-
-
-def write_bgra_pngs(df: DataFrame, key: str, values: str, height: int, width: int, path: str) -> int:
-    """Each row's ``values`` (height x width x 4 bytes, BGRA order, 0..255)
-    becomes ``<path>/img-<key>.png``.  Returns the number of files."""
-    target = path
-
-    def encode(batches):
-        import pandas as pd
-        from pyarrow import fs as pafs
-        if "://" in target:                       # hdfs://, s3://, gs://, file:///
-            filesystem, root = pafs.FileSystem.from_uri(target)
-        else:                                     # plain or file: paths
-            filesystem, root = pafs.LocalFileSystem(), local_path(target)
-        filesystem.create_dir(root, recursive=True)
-        for pdf in batches:
-            names = []
-            for k, vals in zip(pdf[key], pdf[values]):
-                bgra = bytes(int(v) for v in vals)
-                rgba = bytearray(len(bgra))
-                rgba[0::4], rgba[1::4], rgba[2::4], rgba[3::4] = bgra[2::4], bgra[1::4], bgra[0::4], bgra[3::4]
-                name = f"{root.rstrip('/')}/img-{k}.png"
-                with filesystem.open_output_stream(name) as fh:
-                    fh.write(_png_rgba(width, height, bytes(rgba)))
-                names.append(name)
-            yield pd.DataFrame({"file": names})
-    return df.select(key, values).mapInPandas(encode, "file string").count()
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Spark image source -> (origin, height, width, nChannels, data)."""
-    im = spark.read.format("image").option("dropInvalid", True).load(path)
-    return im.select("image.origin", "image.height", "image.width", "image.nChannels", "image.data")
+    """Spark image source -> (origin, height, width, nChannels, data).  A
+    file that is no readable image is an error, not a missing row."""
+    im = spark.read.format("image").option("dropInvalid", False).load(path).select("image.*")
+    bad = F.col("height") <= 0
+    height = F.when(bad, F.raise_error(F.concat(F.lit("not an image: "), F.col("origin"))).cast("int")) \
+        .otherwise(F.col("height"))
+    return im.select("origin", height.alias("height"), "width", "nChannels", "data")
 
 
 def images_to_pixels(images: DataFrame, id_pattern: str = r"img-(\d+)\.png$") -> DataFrame:

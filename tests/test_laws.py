@@ -98,17 +98,17 @@ def test_grid_slices_published(spark):
     assert [v for _, _, v in right] == [0, 10, 1, 11, 2, 12, 3, 13]
 
 
-def test_block_matrix_product_equals_join_product(spark):
+def test_matrix_product_keeps_zeros_and_long_indices(spark):
     import random
-    from strata.operators.matrices import multiply_blocks
     rnd = random.Random(2)
-    a = spark.createDataFrame([(r, c, float(rnd.randint(-5, 5))) for r in range(7) for c in range(5)],
-                              "r long, c long, v double")
-    b = spark.createDataFrame([(r, c, float(rnd.randint(-5, 5))) for r in range(5) for c in range(4)],
-                              "r long, c long, v double")
-    joined = {(r["r"], r["c"]): r["v"] for r in mx.matrix_multiply(a, b).collect() if r["v"] != 0}
-    blocks = {(r["r"], r["c"]): r["v"] for r in multiply_blocks(a, b, block=3).collect()}
-    assert joined == pytest.approx(blocks) and set(joined) == set(blocks)
+    far = 5_000_000_000_000
+    a = {(far + r, c): float(rnd.randint(-2, 2)) for r in range(7) for c in range(5)}
+    b = {(r, c - far): float(rnd.randint(-2, 2)) for r in range(5) for c in range(4)}
+    schema = "r long, c long, v double"
+    got = mx.matrix_multiply(spark.createDataFrame([(*k, v) for k, v in a.items()], schema),
+                             spark.createDataFrame([(*k, v) for k, v in b.items()], schema)).collect()
+    want = {(far + r, c - far): sum(a[far + r, k] * b[k, c - far] for k in range(5)) for r in range(7) for c in range(4)}
+    assert {(r["r"], r["c"]): r["v"] for r in got} == want and 0.0 in want.values()
 
 
 def test_dot_product_examples_and_additivity(spark):

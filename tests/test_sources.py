@@ -1,11 +1,15 @@
 """Source / sink round trips not covered by the oracle queries."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
+from png import png_rgba
 from strata.plans import views
 from strata.session import scratch_path
 from strata.sources import csv as csvio
-from strata.sources import geojson
+from strata.sources import geojson, images
 
 
 def test_geojson_seq_roundtrip(spark, small_dir):
@@ -19,11 +23,57 @@ def test_geojson_seq_roundtrip(spark, small_dir):
     assert a == b
 
 
-def test_geojson_collection_limit(spark, small_dir):
-    import pytest
-    areas = views.areas(spark, small_dir)
-    with pytest.raises(ValueError):
-        geojson.write_geojson(areas, scratch_path(spark, "too-many"), {"neighborhood": "name"}, max_features=3)
+SQUARE = [[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]
+FAR = [[5, 5], [6, 5], [6, 6], [5, 6], [5, 5]]
+
+
+def feature(kind, coordinates, **properties):
+    return {"type": "Feature", "properties": properties, "geometry": {"type": kind, "coordinates": coordinates}}
+
+
+FEATURES = [feature("Polygon", [SQUARE], name="one", borough="B"), feature("MultiPolygon", [[SQUARE], [FAR]], name="two"),
+            {"type": "Feature", "properties": {"name": "none"}, "geometry": None}]
+
+
+@pytest.mark.parametrize("form", ["collection", "lines"])
+def test_geojson_geometry_types_and_all_properties(spark, tmp_path, form):
+    p = tmp_path / "f.json"
+    if form == "collection":
+        p.write_text(json.dumps({"type": "FeatureCollection", "features": FEATURES}, indent=1))
+        df = geojson.read_geojson(spark, str(p))
+    else:
+        p.write_text("\n".join(json.dumps(f) for f in FEATURES))
+        df = geojson.read_geojson_seq(spark, str(p))
+    assert df.columns == ["borough", "name", "geometry_type", "rings"]
+    got = {r["name"]: r for r in df.collect()}
+    assert [[(q["x"], q["y"]) for q in ring] for ring in got["two"]["rings"]] == [
+        [tuple(map(float, q)) for q in r] for r in (SQUARE, FAR)]
+    assert got["one"]["borough"] == "B" and got["two"]["borough"] is None and got["none"]["rings"] is None
+
+
+def test_geojson_errors_are_raised(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(feature("Point", [1, 2], name="p")))
+    with pytest.raises(Exception, match="not a polygon"):
+        geojson.read_geojson_seq(spark, str(tmp_path / "a.json"), ["name"]).collect()
+    (tmp_path / "b.json").write_text('{"type": "Feature", "geometry": {')
+    with pytest.raises(Exception):
+        geojson.read_geojson_seq(spark, str(tmp_path / "b.json"), ["name"]).collect()
+
+
+def test_images_to_pixels(spark, tmp_path):
+    bgra = bytes(range(2 * 3 * 4))
+    rgba = bytearray(bgra)
+    rgba[0::4], rgba[2::4] = bgra[2::4], bgra[0::4]
+    (tmp_path / "img-7.png").write_bytes(png_rgba(3, 2, bytes(rgba)))
+    got = images.images_to_pixels(images.read_images(spark, str(tmp_path))).collect()
+    assert sorted((r["img"], r["i"], r["j"], r["k"], r["v"]) for r in got) == [
+        (7, i, j, k, (i * 3 + j) * 4 + k) for i in range(2) for j in range(3) for k in range(4)]
+
+
+def test_unreadable_image_is_an_error(spark, tmp_path):
+    (tmp_path / "img-1.png").write_bytes(b"no image")
+    with pytest.raises(Exception, match="not an image"):
+        images.images_to_pixels(images.read_images(spark, str(tmp_path))).collect()
 
 
 def test_csv_inferred_schema_and_rename(spark, small_dir):
