@@ -10,10 +10,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def as_double_array(a) -> Column:
-    return F.transform(_c(a), lambda x: x.cast("double"))
-
-
 def vadd(a, b) -> Column:
     return F.zip_with(_c(a), _c(b), lambda x, y: x + y)
 

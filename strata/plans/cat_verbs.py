@@ -95,6 +95,20 @@ def zip_by_position(spark, d):
     return verbs.zip_by_position(a, b, "pos").select("pos", "o_orderkey", "o_totalprice")
 
 
+@query("verb_chain", """
+SELECT o_orderkey AS "order", o_totalprice AS price, round(o_totalprice * 1.1, 6) AS gross, 'EUR' AS currency
+FROM orders WHERE o_orderstatus = 'F'""")
+def verb_chain(spark, d):
+    """A reusable chain of verbs: filter, select, rename, add columns."""
+    return rounded(verbs.transform_chain(
+        table(spark, d, "orders"),
+        lambda df: df.filter(F.col("o_orderstatus") == "F"),
+        lambda df: verbs.select_columns(df, ["o_orderkey", "o_totalprice"]),
+        lambda df: verbs.rename_columns(df, {"o_orderkey": "order", "o_totalprice": "price"}),
+        lambda df: verbs.add_column(df, "gross", F.col("price") * 1.1),
+        lambda df: verbs.add_constant(df, "currency", "EUR")))
+
+
 @query("shape", "SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_cols FROM lineitem")
 def shape(spark, d):
     return verbs.shape(table(spark, d, "lineitem"))
@@ -230,6 +244,7 @@ FROM orders JOIN products ON (o_orderkey % 4) = CASE product WHEN 'banana' THEN
 def inline_table(spark, d):
     """Dataset from in-memory columns (the price list), looked up by a key
     computed from each order."""
+    # The published price list.
     products = spark.createDataFrame(
         [("banana", 1.3, 0), ("mango", 2.0, 1), ("pineapple", 1.9, 2), ("pears", 1.8, 3)],
         "product string, price double, slot long")

@@ -47,6 +47,7 @@ def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, g
         .persist(StorageLevel.MEMORY_AND_DISK)
     train = trips.filter(F.col("split") == "train")
     model = duration_flow(LOC, BASE, "dur", n_clusters, seed=seed, gbt_iter=gbt_iter).fit(train)
+    trips.unpersist()
     pred = model.transform(trips).select("id", "split", "cluster", "predicted", "dur")
     return model, pred
 
@@ -67,4 +68,5 @@ def compare_settings(spark: SparkSession, d: str, cluster_counts=(3, 10, 100), s
         return k, by.get("train"), by.get("test")
     with ThreadPoolExecutor(max_workers=len(cluster_counts)) as pool:
         rows = list(pool.map(one, cluster_counts))
+    trips.unpersist()
     return spark.createDataFrame(rows, "n_clusters int, mae_train double, mae_test double")

@@ -1,56 +1,84 @@
 """Trained models: shape, range, and better-than-baseline checks (their
 numbers differ from the original libraries, so no exact values)."""
 
-import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
-from strata.models.flows import right_size, tree_grid_scores
-from strata.operators.ordering import kfold_assign
+from strata.models.flows import leaderboard, right_size, tree_flow, tree_grid_scores
+from strata.models.trees import leaf_classes
+from strata.operators.ordering import kfold_assign, train_test_split
 from strata.plans.cat_models import _clusters
 
 
-@pytest.fixture(scope="module")
-def q():
-    return E.queries()
-
-
 def _acc(df):
     return df.agg(F.avg((F.col("cls") == F.col("predicted")).cast("double"))).first()[0]
 
 
-def test_decision_tree_beats_chance(spark, small_dir, q):
-    p = q["decision_tree"](spark, small_dir)
-    assert p.count() == spark.read.parquet(f"{small_dir}/customer.parquet").count()
-    assert _acc(p) > 0.4          # 8 classes: chance is 0.125
-
-
-def test_cluster_feature_flow(spark, small_dir, q):
-    p = q["cluster_feature_model"](spark, small_dir)
-    assert set(p.columns) == {"id", "cls", "cluster", "predicted"}
-    assert p.agg(F.min("cluster"), F.max("cluster")).first() >= (0, 0)
-    assert p.agg(F.max("cluster")).first()[0] < 8
+def test_bounded_tree_keeps_its_bound_and_beats_chance(spark, small_dir):
+    c = _clusters(spark, small_dir).cache()
+    for bound in (2, 3, 5, 9, 32):
+        model = tree_flow(["x", "y"], "cls", bound).fit(c)
+        p = model.transform(c)
+        assert set(p.columns) == {*c.columns, "predicted"} and p.count() == c.count()
+        assert model.n_leaves <= bound and p.filter("predicted is null").count() == 0
+        assert p.select("predicted").distinct().count() <= bound
+        assert _acc(p) > (0.4 if bound >= 5 else 0.13)          # 8 classes
+
+
+def test_cut_opens_the_best_split_first():
+    leaf = lambda p: {"p": float(p)}
+    left = {"p": 1.0, "w": 3.0, "l": leaf(1), "r": leaf(2)}
+    right = {"p": 3.0, "w": 7.0, "l": leaf(3), "r": {"p": 4.0, "w": 5.0, "l": leaf(4), "r": leaf(5)}}
+    root = {"p": 0.0, "w": 1.0, "l": left, "r": right}
+    assert leaf_classes(root, 1) == [0, 0, 0, 0, 0]
+    assert leaf_classes(root, 2) == [1, 1, 3, 3, 3]
+    assert leaf_classes(root, 3) == [1, 1, 3, 4, 4]
+    assert leaf_classes(root, 4) == [1, 1, 3, 4, 5]
+    assert leaf_classes(root, 5) == leaf_classes(root, 99) == [1, 2, 3, 4, 5]
+
+
+def test_uncut_tree_equals_spark(spark, small_dir):
+    c = _clusters(spark, small_dir).cache()
+    flow = tree_flow(["x", "y"], "cls", 1 << 15)
+    model = flow.fit(c)
+    both = model.transform(c).join(model.model.transform(c).select("id", "_deep"), "id")
+    assert both.filter("predicted <> _deep").count() == 0
+
+
+def test_cluster_feature_flow(spark, small_dir):
+    c = train_test_split(_clusters(spark, small_dir), "id", 0.7)
+    model = tree_flow(["x", "y"], "cls", 32, cluster_k=8).fit(c.filter("split = 'train'"))
+    p = model.transform(c.filter("split = 'test'"))
+    assert p.agg(F.min("cluster"), F.max("cluster")).first() >= (0, 0) and p.agg(F.max("cluster")).first()[0] < 8
     assert _acc(p) > 0.4
 
 
-def test_kmeans_centres_inside_data(spark, small_dir, q):
-    c = q["kmeans_centers"](spark, small_dir).collect()
-    g = q["axis_extents"](spark, small_dir).collect()
-    ext = {r["axis"]: (r["lo"], r["hi"]) for r in g}
-    assert len(c) == 10
-    for r in c:
-        assert ext["lat"][0] - 1e-6 <= r["plat"] <= ext["lat"][1] + 1e-6
-        assert ext["long"][0] - 1e-6 <= r["plong"] <= ext["long"][1] + 1e-6
+def test_kmeans_flow_centres_inside_data(spark, small_dir):
+    from strata.models import learn
+    from strata.plans import views
+    g = views.geo(spark, small_dir)
+    model = learn.fit_kmeans(g, ["plat", "plong"], 10)
+    lo = g.agg(F.min("plat"), F.min("plong"), F.max("plat"), F.max("plong")).first()
+    rows = learn.centres_table(spark, model, ["plat", "plong"]).collect()
+    assert len(rows) == 10
+    assert all(lo[0] <= r["plat"] <= lo[2] and lo[1] <= r["plong"] <= lo[3] for r in rows)
+    assert learn.kmeans_assign(g, model, ["plat", "plong"]).select("cluster").distinct().count() == 10
 
 
-def test_duration_flow_outputs(spark, small_dir, q):
-    p = q["taxi_duration_model"](spark, small_dir)
+def test_duration_flow_outputs(spark, small_dir):
+    from strata.plans import taxi
+    _, p = taxi.run_flow(spark, small_dir, n_clusters=5, gbt_iter=5)
     assert set(p.columns) == {"id", "split", "cluster", "predicted", "dur"}
-    rows = p.groupBy("split").count().collect()
-    assert {r["split"] for r in rows} == {"train", "test"}
+    assert {r["split"] for r in p.groupBy("split").count().collect()} == {"train", "test"}
     assert p.filter(F.col("predicted").isNull()).count() == 0
 
 
+def test_leaderboard_ranks_by_the_best_fold(spark):
+    scores = spark.createDataFrame([("a", 0, 0.5), ("a", 1, 0.9), ("b", 0, 0.8), ("b", 1, 0.8), ("c", 0, 0.9), ("c", 1, 0.6)],
+                                   "setting string, fold int, metric double")
+    assert [r["setting"] for r in leaderboard(scores).collect()] == ["c", "a", "b"]
+    assert [r["setting"] for r in leaderboard(scores, higher_is_better=False).collect()] == ["a", "c", "b"]
+
+
 def test_tree_grid_scores_shape(spark, small_dir):
     c = right_size(kfold_assign(_clusters(spark, small_dir), "id", k=3))
     s = tree_grid_scores(spark, c, "fold", 3, ["x", "y"], "cls", [2, 16], cluster_k=8).collect()
@@ -62,19 +90,6 @@ def test_tree_grid_scores_shape(spark, small_dir):
     assert sum(deep) > sum(shallow)     # a 2-leaf tree cannot separate 8 classes
 
 
-def test_cut_deep_tree_equals_direct_fits(spark, small_dir):
-    """The grid search scores depth-d trees by cutting one deep tree."""
-    from pyspark.ml.classification import DecisionTreeClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from strata.models.flows import tree_expr, tree_nodes
-    c = VectorAssembler(inputCols=["x", "y"], outputCol="_f").transform(_clusters(spark, small_dir)).cache()
-    deep = tree_nodes(DecisionTreeClassifier(featuresCol="_f", labelCol="cls", maxDepth=12, seed=1).fit(c))
-    for depth in (1, 2, 3, 5, 8):
-        m = DecisionTreeClassifier(featuresCol="_f", labelCol="cls", maxDepth=depth, seed=1).fit(c)
-        p = m.transform(c).withColumn("cut", tree_expr(deep, ["x", "y"], depth))
-        assert p.filter(F.col("prediction") != F.col("cut")).count() == 0
-
-
 def test_duration_flow_on_a_sample(spark, small_dir):
     from strata.plans import taxi
     _, pred = taxi.run_flow(spark, small_dir, n_clusters=3, sample_rows=300, gbt_iter=5)
