@@ -12,10 +12,11 @@ Linking never lists the pairs of a group:
 
 1. documents with the same shingle set become one node (128-bit set sum);
 2. in each band bucket every node is tried against the bucket's smallest
-   node, on the full sets, and the confirmed links are closed to components;
-3. only nodes of one bucket that are in different components are then
-   compared by signature, in blocks, and those whose estimate could be a
-   link are tried on the full sets as well.
+   node, its head, on the full sets; links to one head make one component;
+3. nodes that share a bucket with a head but are not linked to it are then
+   compared, on the full sets and in blocks, with each other and with the
+   head's other nodes; a task returns a spanning forest of the links it
+   finds, at most one per node.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from strata.llm.storage import cut, semi
 PERMUTATIONS = 64        # hash evaluations per shingle; the signature has twice as many values
 ROWS = 4                 # signature values per band
 BANDS = 2 * PERMUTATIONS // ROWS
-SLACK = 0.17             # an estimate this far below the threshold is 5 standard errors off
-BLOCK = 512              # nodes compared at once
+BLOCK = 1024             # nodes of either side compared at once
+_COLUMNS = 4096          # shingles per step of that comparison
 
 _XOR = kernel.hashed_words(PERMUTATIONS, "minmax xor")
 _MUL = kernel.hashed_words(PERMUTATIONS, "minmax mul") | np.uint64(1)
@@ -119,41 +120,65 @@ def _groups(batches, n_keys: int):
         yield pa.Table.from_batches(parts)
 
 
-def _blocks_task(threshold: float):
-    """Rows (key, i, j, side, node, n, comp, sig) sorted by block pair ->
-    pairs of different components whose estimate may reach the threshold."""
+def _common(sets: list, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sorted sets, left by right."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    if len(left) * len(right) <= 64:
+        for i, x in enumerate(left):
+            for j, y in enumerate(right):
+                out[i, j] = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        return out
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values, column, n = np.unique(every, return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1                   # only shingles of two sets or more matter
+    some = n[column] > 1
+    column, owner = place[column[some]], owner[some]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    width = int(column[-1]) + 1 if len(column) else 0
+    for a in range(0, width, _COLUMNS):
+        lo, hi = np.searchsorted(column, [a, a + _COLUMNS])
+        has = np.zeros((len(sets), min(_COLUMNS, width - a)), np.float32)
+        has[owner[lo:hi], column[lo:hi] - a] = 1
+        out += np.rint(has[left] @ has[right].T).astype(np.int64)
+    return out
+
+
+def _blocks_task(percent: int):
+    """Rows (head, i, j, side, node, set) sorted by block pair -> a spanning
+    forest of the links between the sides (or within, if i = j)."""
     def run(batches):
         for t in _groups(batches, 3):
-            side = t.column("side").to_numpy()
-            node, n = t.column("node").to_numpy(), t.column("n").to_numpy()
-            comp = t.column("comp").to_numpy()
-            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(node), -1)
+            side, node = t.column("side").to_numpy(), t.column("node").to_numpy()
+            flat = t.column("set").combine_chunks()
+            values, off = flat.values.to_numpy(zero_copy_only=False), flat.offsets.to_numpy()
+            sets = [values[off[x]:off[x + 1]] for x in range(len(node))]
+            size = np.diff(off).astype(np.int64)
             same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
             left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
             right = left if same else np.flatnonzero(side == 1)
-            for x in left:
-                y = right[right > x] if same else right
-                y = y[(comp[y] != comp[x]) & (np.minimum(n[y], n[x]) >= threshold * np.maximum(n[y], n[x]))]
-                y = y[(sig[y] == sig[x]).mean(axis=1) >= threshold - SLACK] if len(y) else y
-                if len(y):
-                    yield pa.RecordBatch.from_pydict({
-                        "a": pa.array(np.minimum(node[x], node[y])), "b": pa.array(np.maximum(node[x], node[y]))})
+            both = _common(sets, left, right)
+            linked = both * 100 >= (size[left][:, None] + size[right][None, :] - both) * percent
+            parent = np.arange(len(node))
+
+            def top(x):
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+            found = []
+            for i, j in np.argwhere(linked):
+                x, y = top(left[i]), top(right[j])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    found.append((node[left[i]], node[right[j]]))
+            if found:
+                a, b = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
-    pairs = cut(pairs.distinct())
-    ids = pairs.select(F.explode(F.array("a", "b")))
-    sets = cut(semi(texts, ids, "doc_id", keep=True).mapInArrow(_sets_task(k), "node long, set array<long>")
-               .dropDuplicates(["node"]))
-    return cut(pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-               .join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-               .withColumn("both", F.size(F.array_intersect("x", "y")))
-               .where(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * percent)
-               .select("a", "b"))
-
-
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
@@ -177,40 +202,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     nodes = cut(nodes)
     bands = nodes.mapInArrow(_bands_task, "node long, n long, key long")
     heads = bands.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("m")).where("m > 1")
-    shared = cut(bands.join(heads, "key").select("key", "node", "n", "head"))   # buckets with company only
-    star = (shared.where("node <> head.node")
-            .where(F.least("n", "head.n") * 100 >= F.greatest("n", "head.n") * percent)
-            .select(F.col("head.node").alias("a"), F.col("node").alias("b")))
-    links = _confirmed(star, source, k, percent)
-    comps = cut(connected_components(links))
-    placed = cut(shared.select("key", "node", "n").join(comps, "node", "left")
-                 .withColumn("comp", F.coalesce("component", "node")))
-    mixed = (placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
-             .groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("c", "comp")).alias("top"),
-                                 F.sum("c").alias("m")).where("comps > 1"))
-    # the members of a bucket's largest component need no look at each other
-    split = (placed.join(mixed.select("key", F.col("top.comp").alias("top"), "m",
-                                      F.col("top.c").alias("in_top")), "key")
-             .withColumn("inside", F.col("comp") == F.col("top"))
-             .withColumn("parts_in", F.ceil(F.col("in_top") / BLOCK))
-             .withColumn("parts_out", F.ceil((F.col("m") - F.col("in_top")) / BLOCK))
-             .withColumn("part", F.pmod(F.xxhash64("node"), F.when(F.col("inside"), F.col("parts_in"))
-                                        .otherwise(F.col("parts_out"))))
-             .join(nodes.select("node", "sig").dropDuplicates(["node"]), "node"))
-    # blocks of outside members are numbered 0.., those of the largest component -1, -2, ..
-    inside = (split.where("inside").withColumn("j", F.explode(F.expr("sequence(0L, parts_out - 1)")))
-              .select("key", (-F.col("part") - 1).alias("i"), "j", F.lit(0).alias("side"), "node", "n", "comp", "sig"))
-    outside = split.where("not inside")
-    meet_top = (outside.withColumn("i", F.explode(F.expr("sequence(-parts_in, -1L)")))
-                .select("key", "i", F.col("part").alias("j"), F.lit(1).alias("side"), "node", "n", "comp", "sig"))
+    shared = bands.join(heads, "key").select("node", "head")               # buckets with company only
+    star = cut(shared.where("node <> head.node").select(F.col("head.node").alias("head"), "node").distinct())
+    needed = star.select(F.explode(F.array("head", "node")))
+    full = cut(semi(source, needed, "doc_id", keep=True).mapInArrow(_sets_task(k), "node long, set array<long>")
+               .dropDuplicates(["node"]))
+    both = F.size(F.array_intersect("x", "set"))
+    tried = cut(star.join(full, "node").join(full.select(F.col("node").alias("head"), F.col("set").alias("x")), "head")
+                .select("head", "node", "set", (both * 100 >= (F.size("x") + F.size("set") - both) * percent).alias("linked")))
+    links = tried.where("linked").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    # families: a head and what shares a bucket with it; linked nodes need no look at each other
+    open_heads = (tried.groupBy("head").agg(F.count_if("linked").alias("n_in"), F.count_if(~F.col("linked")).alias("n_out"))
+                  .where("n_out > 0")
+                  .select("head", F.ceil((F.col("n_in") + 1) / BLOCK).alias("parts_in"),
+                          F.ceil(F.col("n_out") / BLOCK).alias("parts_out")))
+    family = (tried.join(open_heads, "head").unionByName(
+                  open_heads.join(full.withColumnRenamed("node", "head"), "head")
+                  .select("head", F.col("head").alias("node"), "set", F.lit(True).alias("linked"), "parts_in", "parts_out"))
+              .withColumn("part", F.pmod(F.xxhash64("node"), F.when(F.col("linked"), F.col("parts_in"))
+                                         .otherwise(F.col("parts_out")))))
+    # blocks of unlinked nodes are numbered 0, 1, .., those of linked nodes -1, -2, ..
+    inside = (family.where("linked").withColumn("j", F.explode(F.expr("sequence(0L, parts_out - 1)")))
+              .select("head", (-F.col("part") - 1).alias("i"), "j", F.lit(0).alias("side"), "node", "set"))
+    outside = family.where("not linked")
+    meet_in = (outside.withColumn("i", F.explode(F.expr("sequence(-parts_in, -1L)")))
+               .select("head", "i", F.col("part").alias("j"), F.lit(1).alias("side"), "node", "set"))
     meet_out = (outside.withColumn("o", F.explode(F.expr("sequence(0L, parts_out - 1)")))
-                .select("key", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"),
-                        F.when(F.col("part") <= F.col("o"), 0).otherwise(1).alias("side"), "node", "n", "comp", "sig"))
-    blocks = (inside.unionByName(meet_top).unionByName(meet_out)
-              .repartition(F.col("key"), F.col("i"), F.col("j")).sortWithinPartitions("key", "i", "j"))
-    more = blocks.mapInArrow(_blocks_task(percent / 100), "a long, b long")
-    extra = _confirmed(more, source, k, percent)
-    comps = connected_components(links.union(extra))
+                .select("head", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"),
+                        F.when(F.col("part") <= F.col("o"), 0).otherwise(1).alias("side"), "node", "set"))
+    blocks = (inside.unionByName(meet_in).unionByName(meet_out)
+              .repartition(F.col("head"), F.col("i"), F.col("j")).sortWithinPartitions("head", "i", "j"))
+    more = cut(blocks.mapInArrow(_blocks_task(percent), "a long, b long").distinct())
+    comps = connected_components(links.union(more))
     # sets -> nodes -> components, then one row per input row
     labels = (sets.join(comps.select("node", "component"), "node", "left")
               .select("n", "s1", "s2", F.coalesce("component", "node").alias("component")))
