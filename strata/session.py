@@ -8,7 +8,6 @@ and partition coalescing, and Arrow for the few pandas-UDF paths.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
