@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 21          # bytes of text handled at once (one row at least)
+CHUNK = 1 << 20          # bytes of text handled at once (one row at least)
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -108,6 +108,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", size: int | None = None)
         j = min(max(j, i + 1), n)
         yield batch.slice(i, j - i), buf[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
+    pa.default_memory_pool().release_unused()      # workers live on after the task
 
 
 class Words:

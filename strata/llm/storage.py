@@ -1,21 +1,18 @@
-"""Cutting lineage in the shared checkpoint folder of the session."""
+"""Cutting lineage in the shared checkpoint folder, and id filters and
+samples that keep texts where they are."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import checkpoint_dir
+from strata.session import reliable
 
 
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept as a reliable checkpoint, so that its
     users neither compute it again nor lose it with an executor."""
-    spark = df.sparkSession
-    path = checkpoint_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
-    return df.checkpoint()
+    return reliable(df)
 
 
 BROADCAST_IDS = 1 << 20  # ids of at most this many rows are sent to every task
@@ -30,3 +27,14 @@ def semi(docs: DataFrame, ids: DataFrame, column: str, keep: bool) -> DataFrame:
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return docs.join(ids, F.col(f"`{column}`").eqNullSafe(F.col("__id")), "left_semi" if keep else "left_anti")
+
+
+def hashed_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
+    """All rows if there are at most ``n``; else those whose hash of
+    ``columns`` falls below the share that leaves about 0.95 n of them, so
+    that more than ``n`` are left only if most rows share a hash.  The same
+    rows on any layout, and no row passes through the driver."""
+    total = df.count()
+    if total <= n:
+        return df
+    return df.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(0.95 * n / total * (1 << 40)))

@@ -6,8 +6,8 @@ lower-cased and white space taken as one blank.  Each feature is scaled by
 r = log of (its smoothed share in toxic / in other texts), and an L2
 logistic regression is fitted on the scaled features.
 
-The classifier is fitted on at most ``SAMPLE`` labelled rows, those with
-the smallest hash of their id; every row is scored.
+The classifier is fitted on a sample of at most ``SAMPLE`` labelled rows,
+drawn by the hash of their id; every row is scored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import kernel
-from strata.llm.storage import cut, semi
+from strata.llm.storage import cut, hashed_sample, semi
 
 SIZES = (4, 5, 6)        # bytes per n-gram
 BUCKETS = 1 << 20        # hashed features
@@ -29,7 +29,9 @@ SAMPLE = 20_000          # labelled rows to learn from, at most
 FEATURES = 1 << 14       # scaled features kept for the regression
 LEAST = 5                # texts that a feature must occur in
 SMOOTH = 1.0
-SIGNAL = 3.5             # standard errors by which a kept feature's ratio differs from 0
+SIGNAL = 2.5             # standard errors by which a kept feature's ratio differs from 0
+_PART = 1 << 19          # bytes of text handled at once
+REG = 1e-3               # L2 penalty
 THRESHOLD = 0.3          # a score this high is predicted toxic
 
 _U = np.uint64
@@ -66,7 +68,7 @@ def _count_task(batches):
     """(feature, toxic texts, other texts) of a partition."""
     both = np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
-        for rows, buf, off in kernel.chunks(batch):
+        for rows, buf, off in kernel.chunks(batch, size=_PART):
             label = rows.column("toxic").to_numpy(zero_copy_only=False)
             parts = list(ngrams(buf, off))
             if not parts:
@@ -97,7 +99,7 @@ def _feature_task(kept: np.ndarray):
         place = np.full(BUCKETS, -1, np.int32)
         place[kept] = np.arange(len(kept))
         for batch in batches:
-            for rows, buf, off in kernel.chunks(batch):
+            for rows, buf, off in kernel.chunks(batch, size=_PART):
                 seen = _present(buf, off, place)
                 words = (seen % FEATURES).astype(str)
                 bounds = np.searchsorted(seen // FEATURES, np.arange(len(off)))
@@ -120,11 +122,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Null labels and ids are ignored, a doc_id labelled twice counts as toxic
     if one label says so, and repeated documents count as often as they come.
-    Without both classes the model is the share of toxic rows (no rows: 0).
+    Without both classes, or without a telling feature, the score is the
+    share of toxic rows (no rows: 0).
     """
     spark = docs.sparkSession
     rows = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = hashed_sample(rows, sample, "doc_id")
     texts = cut(docs.select("doc_id", "text").join(F.broadcast(cut(rows)), "doc_id"))
     share = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n = share.get(1, 0), sum(share.values())
@@ -140,12 +143,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     top = np.argsort(-z, kind="stable")[:FEATURES]
     top = np.sort(top[z[top] >= SIGNAL])
     kept, scale = counts["f"].to_numpy()[top], r[top]
+    if not len(kept):                              # nothing tells the classes apart
+        return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(n_toxic / (n - n_toxic))))
     words = texts.select("text", "toxic").mapInArrow(_feature_task(kept), "label double, words array<string>")
     vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(kept))], "words", "present")
     vectors.setBinary(True).setMinTF(1.0)
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(scale), inputCol="present", outputCol="features")
     ready = scaled.transform(vectors.transform(words)).select("label", "features").persist()
-    fit = LogisticRegression(regParam=2e-3, elasticNetParam=0.0, standardization=False, maxIter=60).fit(ready)
+    fit = LogisticRegression(regParam=REG, elasticNetParam=0.0, standardization=False, maxIter=60).fit(ready)
     ready.unpersist()
     return Model(kept, fit.coefficients.toArray() * scale, float(fit.intercept))
 
@@ -155,7 +160,7 @@ def _score_task(model: Model):
         place = np.full(BUCKETS, -1, np.int32)
         place[model.kept] = np.arange(len(model.kept))
         for batch in batches:
-            for rows, buf, off in kernel.chunks(batch):
+            for rows, buf, off in kernel.chunks(batch, size=_PART):
                 seen = _present(buf, off, place)
                 z = np.full(len(off) - 1, model.intercept)
                 if len(seen):
