@@ -7,7 +7,7 @@ trained on the values that the base patterns found, and ordinary
 identifiers, trained on other runs that keep to one kind of character
 (lower case, upper case, digits, others) for ``STEADY`` characters or more
 on average.  Runs that are neither are no samples but are scored.  Both
-models are trained on at most ``SAMPLE`` runs, those with the smallest hash.
+models are trained on at most ``SAMPLE`` runs, drawn by their hash.
 
 DataFrame functions only; tasks run no Python.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import spans
-from strata.llm.storage import cut
+from strata.llm.storage import cut, hashed_sample
 
 KINDS = ["assign", "access", "hex", "random"]
 # fixed values: the base patterns
@@ -62,7 +62,7 @@ def train(samples: DataFrame) -> list[float]:
     code, from (run, label) rows: label 1 random, 0 ordinary.  Without
     samples of both labels all ratios are 0, which finds nothing."""
     rows = samples.where("length(run) > 1")
-    few = [rows.where(F.col("label") == x).orderBy(F.xxhash64("run"), "run").limit(SAMPLE) for x in (0, 1)]
+    few = [hashed_sample(rows.where(F.col("label") == x), SAMPLE, "run") for x in (0, 1)]
     counts = {(r["label"], r["pair"]): r["n"] for r in
               few[0].union(few[1]).select("label", F.explode(_pairs(F.col("run"))).alias("pair"))
               .groupBy("label", "pair").agg(F.count("*").alias("n")).collect()}      # 2 * 128 * 128 rows at most

@@ -1,8 +1,6 @@
 import hashlib
 import re
 
-import pytest
-
 from strata.llm import privacy
 
 
