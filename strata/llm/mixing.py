@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from strata.llm.storage import cut
 
 BUCKETS = 4096           # three hexadecimal digits
+LEAVES = 1 << 17         # leaves of at most this many are sent to every task
 WORD = r"[^\x20\x09-\x0D]+"
 _WIDE = "decimal(38,0)"
 
@@ -73,8 +74,9 @@ def budgets(leaves: DataFrame, levels: list[str], weights: list[dict], total: Co
         first = group.orderBy(F.col("ratio").asc_nulls_last(), level)
         child = (leaves.groupBy(*path).agg(F.sum("cap").cast(_WIDE).alias("cap")).withColumn("__root", F.lit(1))
                  .withColumn("w", _weight(level, weights[i]))
-                 .withColumn("ratio", F.try_divide(F.col("cap").cast("double"), F.col("w").cast("double")))
-                 .join(nodes.select(*above, F.col("budget").alias("b")), above))
+                 .withColumn("ratio", F.try_divide(F.col("cap").cast("double"), F.col("w").cast("double"))))
+        child = (child.join(nodes.select(*above, F.col("budget").alias("b")), above) if i else
+                 child.withColumn("b", nodes.select("budget").scalar()))
         child = (child.withColumn("c_before", F.coalesce(F.sum("cap").over(first.rowsBetween(
                      Window.unboundedPreceding, -1)), F.lit(0)).cast(_WIDE))
                  .withColumn("w_left", (F.sum("w").over(group) - F.coalesce(F.sum("w").over(first.rowsBetween(
@@ -141,6 +143,8 @@ def mix(docs: DataFrame, levels: list[str] | None = None, weights: list[dict] |
     by_name = [dict(w) for w in weights]
     light = cut(rows.select(*names, "__id", "__tokens"))
     leaf = plan(light, names, by_name, percent, epochs, seed)
+    if leaf.limit(LEAVES + 1).count() <= LEAVES:       # then the texts stay where they are
+        leaf = F.broadcast(leaf)
     taken = rows.join(leaf, names).withColumn("mix_epoch", F.explode(F.expr(
         "case when last is null and full = 0 then cast(array() as array<int>) "
         "else sequence(0, cast(full as int) - if(last is null, 1, 0)) end")))
