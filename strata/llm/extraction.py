@@ -3,14 +3,17 @@
 The DOMs of a host's pages are merged by element path (tags and classes
 from the root).  For each node of the merged tree, with m pages having it:
 
-* content importance: 1 - the mean over its distinct texts of log_m(pages
-  that have the text); a text on one page counts 1, one on all pages 0;
+* content importance: 1 - the mean over the distinct texts anywhere inside it
+  of log_m(pages that have the text); a text on one page counts 1, one on all
+  pages 0;
 * presentation importance: the entropy, to base m, of the child layouts
   that its pages show.
 
-A branch is noise when ``MIX`` * content + (1 - MIX) * presentation is below
-``LEAST``; it is then removed from each page.  A node that fewer than
-``PAGES`` pages of its host have is judged by the merged tree of all hosts.
+A node is unimportant when ``MIX`` * content + (1 - MIX) * presentation is
+below ``LEAST``, and noise when no box inside it is important either; a noisy
+branch is removed from each page.  A node without any text is neither.  A
+node that fewer than ``PAGES`` pages of its host have is judged by the merged
+tree of all hosts.
 
 Elements that say what they are (navigation, forms, asides, adverts,
 comments, scripts, ...) go by their tag, role or class.  If a page has an
@@ -177,28 +180,59 @@ def _texts(batch):
         yield i, urls[i].as_py(), pages[i].as_py() or ""
 
 
+def _spans(blocks: list) -> dict:
+    """Path of each box with text: ([its texts as ranges of blocks], paths of
+    the boxes around it)."""
+    spans, open_ = {}, []
+    for i, around in enumerate([*(b[2] for b in blocks), []]):
+        same = 0
+        while same < min(len(open_), len(around)) and open_[same][0] == around[same]:
+            same += 1
+        for path, first in open_[same:]:
+            spans[path][0].append((first, i))
+        for k in range(same, len(around)):
+            spans.setdefault(around[k], ([], around[:k]))
+        open_[same:] = [(path, i) for path in around[same:]]
+    return spans
+
+
 def _stats_task(batches):
-    """(kind, host, path, value): 0 a text, 1 a layout, 2 the page itself."""
+    """(kind, host, path, value): 0 a text inside, 1 a layout, 2 the page
+    itself, 3 a box inside."""
     for batch in batches:
-        out: list[tuple] = []
+        out, size = [], 0
         for _, url, page in _texts(batch):
             blocks, boxes = parse(page)
-            site, rows = _hash(host(url)), set()
-            for text, _, around in blocks:
-                for path in around[-2:]:              # its element and the box around it
-                    rows.add((0, site, _hash(path), _hash(text)))
-            for path, layout in boxes:
-                rows.add((1, site, _hash(path), _hash(layout)))
-                rows.add((2, site, _hash(path), 0))
-            out += rows
-            if len(out) > 100_000:
+            site = _hash(host(url))
+            texts = np.array([_hash(b[0]) for b in blocks], np.int64)
+            code = {path: _hash(path) for path in {p for p, _ in boxes}}
+            for path, (ranges, around) in _spans(blocks).items():
+                at = code.get(path) or _hash(path)
+                inside = np.unique(np.concatenate([texts[i:j] for i, j in ranges]))
+                above = np.array([code.get(p) or _hash(p) for p in around], np.int64)
+                out += [_stat(0, site, at, inside), _stat(3, site, above, at)]
+                size += len(inside) + len(above)
+                if size > 100_000:
+                    yield _stat_rows(out)
+                    out, size = [], 0
+            rows = {(1, site, code[path], _hash(layout)) for path, layout in boxes}
+            rows.update((2, site, x, 0) for x in code.values())
+            out.append(np.array(list(rows), np.int64).reshape(-1, 4))
+            size += len(rows)
+            if size > 100_000:
                 yield _stat_rows(out)
-                out = []
+                out, size = [], 0
         yield _stat_rows(out)
 
 
+def _stat(kind: int, site: int, path, value) -> np.ndarray:
+    a = np.empty((max(np.size(path), np.size(value)) if np.size(path) and np.size(value) else 0, 4), np.int64)
+    a[:, 0], a[:, 1], a[:, 2], a[:, 3] = kind, site, path, value
+    return a
+
+
 def _stat_rows(out):
-    a = np.array(out, np.int64).reshape(-1, 4)
+    a = np.concatenate([np.zeros((0, 4), np.int64), *out])
     return pa.RecordBatch.from_arrays([pa.array(a[:, 0].astype(np.int32))] + [pa.array(a[:, i]) for i in (1, 2, 3)],
                                       names=["kind", "host", "path", "value"])
 
@@ -207,23 +241,31 @@ def noisy_nodes(pages: DataFrame) -> DataFrame:
     """(host, path) hashes of the noisy nodes of each host's pages."""
     seen = cut(pages.mapInArrow(_stats_task, "kind int, host long, path long, value long")
                .groupBy("kind", "host", "path", "value").agg(F.count("*").alias("n")))
-    every = seen.groupBy("kind", "path", "value").agg(F.sum("n").alias("n"))
+    nodes = seen.where("kind < 3")
+    every = nodes.groupBy("kind", "path", "value").agg(F.sum("n").alias("n"))
     have = seen.where("kind = 2").select("host", "path")
-    own = _judged(seen, ["host", "path"])
-    of_all = _judged(every, ["path"]).withColumnRenamed("noise", "noise_all")
-    return (have.join(own, ["host", "path"], "left").join(of_all, "path", "left")
-            .where(F.coalesce("noise", "noise_all", F.lit(False))).select("host", "path"))
+    own = _judged(nodes, ["host", "path"])
+    of_all = _judged(every, ["path"]).withColumnRenamed("verdict", "verdict_all")
+    judged = cut(have.join(own, ["host", "path"], "left").join(of_all, "path", "left")
+                 .select("host", "path", F.coalesce("verdict", "verdict_all").alias("verdict"))
+                 .where("verdict in ('noise', 'important')"))
+    inside = seen.where("kind = 3").select("host", F.col("value").alias("path"), F.col("path").alias("around"))
+    spared = (inside.join(judged.where("verdict = 'important'"), ["host", "path"])
+              .select("host", F.col("around").alias("path")).distinct())
+    return judged.where("verdict = 'noise'").select("host", "path").join(spared, ["host", "path"], "left_anti")
 
 
 def _judged(seen: DataFrame, node: list[str]) -> DataFrame:
-    """(node, noise) of the nodes that ``PAGES`` pages have."""
+    """(node, verdict) of the nodes that ``PAGES`` pages have: 'noise',
+    'important', or 'empty' without any text."""
     rows = seen.groupBy(*node).agg(
         F.sum(F.when(F.col("kind") == 0, F.log("n"))).alias("text_logs"), F.count_if(F.col("kind") == 0).alias("texts"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("layout_logs"),
         F.sum(F.when(F.col("kind") == 2, F.col("n"))).alias("m")).where(F.col("m") >= PAGES)
-    content = F.when(F.col("texts") > 0, 1 - F.col("text_logs") / F.col("texts") / F.log("m")).otherwise(F.lit(0.0))
+    content = 1 - F.col("text_logs") / F.col("texts") / F.log("m")
     layout = 1 - F.coalesce("layout_logs", F.lit(0.0)) / F.col("m") / F.log("m")
-    return rows.select(*node, (MIX * content + (1 - MIX) * layout < LEAST).alias("noise"))
+    return rows.select(*node, F.when(F.col("texts") == 0, "empty").when(MIX * content + (1 - MIX) * layout < LEAST, "noise")
+                       .otherwise("important").alias("verdict"))
 
 
 def _extract_task(known):

@@ -60,3 +60,38 @@ def test_pages_match_their_documents(spark, small_dir):
 
 def test_no_pages(spark):
     assert ex.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def extracted(spark, pages):
+    df = spark.createDataFrame([(i, f"http://deep.example.com/{i}", p) for i, p in enumerate(pages)],
+                               "page_id long, url string, html string")
+    return {r.page_id: r.text for r in ex.extract(df).collect()}
+
+
+def test_content_nested_deep_is_kept(spark):
+    shapes = ["<article><h1>Head {i}</h1><div class='body'><section><p>Text {i}.</p></section></div></article>",
+              "<h1>Head {i}</h1><div><ul><li><p>Text {i}.</p></li></ul></div>",
+              "<h1>Head {i}</h1><div class='wrap'><table><tr><td>Text {i}.</td></tr></table></div>",
+              "<h1>Head {i}</h1><div><blockquote><div><div><p>Text {i}.</p></div></div></blockquote></div>"]
+    for shape in shapes:
+        got = extracted(spark, [f"<html><body>{shape.format(i=i)}<div class='low'><div><div><p>Our partners</p></div></div>"
+                                "</div></body></html>" for i in range(12)])
+        want = "Head {i}\nText {i}."
+        assert got == {i: want.format(i=i) for i in range(12)}, shape
+
+
+def test_a_box_with_important_boxes_inside_is_kept(spark):
+    rest = "".join(f"<div class='r{k}'><div><p>Line {k} of every page</p></div></div>" for k in range(60))
+    got = extracted(spark, [f"<body><div class='wrap'><div class='in'><div><p>Text {i}.</p></div></div>{rest}</div></body>"
+                            for i in range(12)])
+    assert got == {i: f"Text {i}." for i in range(12)}
+
+
+def test_deep_pages_are_counted_in_pieces():
+    import pyarrow as pa
+    page = "".join(f"<div>text {i}" for i in range(600))
+    rows = [r for b in ex._stats_task([pa.RecordBatch.from_pydict({"url": ["http://a.b/"], "html": [page]})])
+            for r in b.to_pylist()]
+    for kind, want in ((0, 600 * 601 // 2), (1, 600), (2, 600), (3, 600 * 599 // 2)):
+        got = [tuple(r.values()) for r in rows if r["kind"] == kind]
+        assert len(got) == len(set(got)) == want
