@@ -15,9 +15,14 @@ branch is removed from each page.  A node without any text is neither.  A
 node that fewer than ``PAGES`` pages of its host have is judged by the merged
 tree of all hosts.
 
-Elements that say what they are (navigation, forms, asides, adverts,
-comments, scripts, ...) go by their tag, role or class.  If a page has an
-article or main element, only its text counts.
+Elements that say what they are (navigation, forms, asides, scripts, ...) go
+by their tag or role.  Class and id names (adverts, comments, ...) are weaker:
+a box goes by its name unless it holds the article or main element, or unless
+only a part of the name says so and it holds most of the text; if all text
+would go, what has the fewest and weakest such boxes around it stays.  Names of a state
+(with-sidebar), and names of headings and running text inside the main
+element, say nothing.  If a page has an article or main element, only its text
+counts; of several, those with the fewest and weakest such boxes around.
 """
 
 from __future__ import annotations
@@ -55,6 +60,11 @@ WORDS = frozenset(
     "signup login share sharing social related recommended breadcrumb breadcrumbs pagination pager comment comments "
     "reply replies discussion disqus feedback search widget toolbar copyright skip masthead topbar form".split())
 HEADS = frozenset(["header"])
+# words that also title a part of a text, and words of names that tell a box's state
+SUBJECTS = frozenset("discussion feedback related search social share sharing notice notices form reply replies consent "
+                     "copyright navigation advertising promotion gdpr".split())
+STATES = frozenset("with without has have no not is hide show js open opened closed status enabled disabled".split())
+TEXT = (INLINE - {"a", "span"}) | frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dt dd tr figcaption".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                      "h5 h6 header hr main menu nav ol p pre section table ul".split())
 
@@ -73,39 +83,105 @@ def _attributes(raw: str) -> dict:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "gone", "main", "children", "box")
+    """``weak``: numbers of the boxes around that go by their name, from the
+    outermost main element on if there is one; ``before``: of those around
+    that main element, None if there is none."""
+    __slots__ = ("tag", "path", "gone", "weak", "before", "children")
 
-    def __init__(self, tag, path, gone, main):
-        self.tag, self.path, self.gone, self.main = tag, path, gone, main
+    def __init__(self, tag, path, gone, weak, before):
+        self.tag, self.path, self.gone, self.weak, self.before = tag, path, gone, weak, before
         self.children: list[str] = []
 
+    @property
+    def main(self) -> bool:
+        return self.before is not None
 
-def _open(parent: _Node, tag: str, raw: str) -> _Node:
+
+def _names(attrs: dict, key: str):
+    for name in attrs.get(key, "").lower().split():
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+        if words and STATES.isdisjoint(words):
+            yield words
+
+
+def _named(tag: str, attrs: dict, main: bool) -> str:
+    """Whether a 'whole' name, or a 'part' of one, says that a box is not main text."""
+    if tag in MAIN or tag in ("html", "body") or (main and tag in TEXT):
+        return ""
+    found = ""
+    for key in ("class", "id"):
+        known = WORDS if main else WORDS | HEADS
+        if main and (key == "id" or tag == "section"):
+            known = known - SUBJECTS
+        for words in _names(attrs, key):
+            if known.issuperset(words):
+                return "whole"
+            if not known.isdisjoint(words):
+                found = "part"
+    return found
+
+
+def _open(parent: _Node, tag: str, raw: str, whole: list) -> _Node:
     attrs = _attributes(raw)
-    words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()))
+    name = _named(tag, attrs, parent.main) if attrs else ""
     gone = (parent.gone or tag in GONE or attrs.get("role", "").lower() in ROLES or "hidden" in attrs
             or attrs.get("aria-hidden", "").lower() == "true"
             or re.search(r"display\s*:\s*none", attrs.get("style", "").lower()) is not None
-            or (tag not in MAIN and tag not in ("html", "body") and bool(words & WORDS))
-            or (tag in MAIN and bool(words & {"comment", "comments", "reply"}))
-            or ((tag in HEADS or bool(words & HEADS)) and not parent.main))
-    name = tag + "".join(f".{c}" for c in sorted(attrs.get("class", "").lower().split()))
-    return _Node(tag, f"{parent.path}>{name}", gone, parent.main or (tag in MAIN and not gone))
+            or (tag in INLINE and name != "")
+            or (tag in MAIN and any(not {"comment", "comments", "reply"}.isdisjoint(w)
+                                    for key in ("class", "id") for w in _names(attrs, key)))
+            or (tag in HEADS and not parent.main))
+    weak, before = parent.weak, parent.before
+    if tag in MAIN and not gone and before is None:
+        weak, before = (), weak
+    elif name and not gone:
+        weak += (len(whole),)
+        whole.append(name == "whole")
+    step = tag + "".join(f".{c}" for c in sorted(attrs.get("class", "").lower().split()))
+    return _Node(tag, f"{parent.path}>{step}", gone, weak, before)
+
+
+def _by_name(blocks: list, boxes: list, whole: list) -> tuple[list, list]:
+    """Without what goes by its class or id; blocks and boxes end in (weak, before)."""
+    def level(weak):
+        return sum(2 if whole[w] else 1 for w in weak)      # part of a name says less
+
+    fewest = min((level(b[3]) for b in blocks if b[3] is not None), default=None)
+
+    def main(before):
+        return before is not None and level(before) == fewest
+    kept = {w for b in blocks if main(b[3]) for w in b[3]}      # boxes around the main element
+    text = [b for b in blocks if fewest is None or main(b[3])]
+    if text:
+        held: dict = {}
+        for b in text:
+            for w in b[2]:
+                held[w] = held.get(w, 0) + len(b[0])
+        most = sum(len(b[0]) for b in text) / 2
+        kept.update(w for w, n in held.items() if n > most and not whole[w])
+        if not any(kept.issuperset(b[2]) for b in text):
+            least = min(level(b[2]) for b in text)
+            kept.update(w for b in text if level(b[2]) == least for w in b[2])
+
+    def stays(weak, before):
+        return kept.issuperset(weak) and (before is None or kept.issuperset(before))
+    return ([(b[0], main(b[3]), b[1]) for b in blocks if stays(b[2], b[3])],
+            [(path, layout) for path, layout, weak, before in boxes if stays(weak, before)])
 
 
 def parse(page: str) -> tuple[list, list]:
     """(blocks, boxes): blocks (text, in main element, [paths of the boxes
     around it, outermost first]) in page order without what goes by its
     name; boxes (path, layout of children) of the remaining elements."""
-    root = _Node("", "", False, False)
-    stack, blocks, boxes, piece = [root], [], [], []
+    root = _Node("", "", False, (), None)
+    stack, blocks, boxes, piece, whole = [root], [], [], [], []
 
     def flush():
         text = _SPACE.sub(" ", entities.unescape("".join(piece)).replace("\x00", "")).strip()
         piece.clear()
         if text:
             around = [n.path for n in stack[1:] if n.tag not in INLINE and n.tag not in ("html", "body")]
-            blocks.append((text, stack[-1].main, around))
+            blocks.append((text, around, stack[-1].weak, stack[-1].before))
 
     def close(depth):
         while len(stack) > depth:
@@ -113,7 +189,7 @@ def parse(page: str) -> tuple[list, list]:
             if node.tag not in INLINE:
                 if not node.gone:
                     flush()
-                    boxes.append((node.path, ",".join(node.children)))
+                    boxes.append((node.path, ",".join(node.children), node.weak, node.before))
             stack.pop()
 
     at, n = 0, len(page)
@@ -157,12 +233,12 @@ def parse(page: str) -> tuple[list, list]:
                     break
             if not stack[-1].children or stack[-1].children[-1] != tag:
                 stack[-1].children.append(tag)
-        node = _open(stack[-1], tag, raw)
+        node = _open(stack[-1], tag, raw, whole)
         if not raw.endswith("/") or tag not in VOID:
             stack.append(node)
     close(1)
     flush()
-    return blocks, boxes
+    return _by_name(blocks, boxes, whole)
 
 
 def host(url) -> str:

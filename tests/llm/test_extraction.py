@@ -95,3 +95,24 @@ def test_deep_pages_are_counted_in_pieces():
     for kind, want in ((0, 600 * 601 // 2), (1, 600), (2, 600), (3, 600 * 599 // 2)):
         got = [tuple(r.values()) for r in rows if r["kind"] == kind]
         assert len(got) == len(set(got)) == want
+
+
+def test_wrappers_named_like_noise_keep_the_text():
+    inner = "<article><h1>Head</h1><p>Text of the page.</p></article><div class='sidebar'>Links</div>"
+    for name in ("class='layout with-sidebar'", "id='page' class='has-banner'", "class='sidebar-layout'"):
+        assert text(f"<body><div {name}>{inner}</div><div class='related'><article>Other</article></div></body>") == \
+            "Head\nText of the page.", name
+    assert text(f"<div class='search'>{inner}</div>") == "Head\nText of the page."
+    plain = "<h1>Head</h1><div class='{}'><p>Text of the page, long enough.</p><div class='share-box'>Share</div></div>"
+    for name in ("layout with-sidebar", "sidebar-layout", "nav-open"):
+        assert text(plain.format(name)) == "Head\nText of the page, long enough.", name
+    assert text(plain.format("sidebar")) == "Head"
+    assert text("<div class='notice'><p>All there is</p><div class='ad'>Buy</div></div>") == "All there is"
+    assert text("<article class='post comments-open'><p>Text</p></article><article class='comment'>first</article>") == "Text"
+
+
+def test_headings_and_running_text_in_the_main_element_keep_their_names():
+    assert text("<article><h2 id='related-work'>Related work</h2><section id='discussion'><p>We discuss.</p></section>"
+                "<p class='reply'>He replied <em class='form'>so</em>.</p><section class='comments'><p>first!</p></section>"
+                "<div class='share-buttons'>Share</div><div class='ad'>Buy</div><ul class='pagination'><li>2</li></ul>"
+                "<p>End.</p></article>") == "Related work\nWe discuss.\nHe replied so.\nEnd."
