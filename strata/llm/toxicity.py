@@ -6,8 +6,9 @@ lower-cased and white space taken as one blank.  Each feature is scaled by
 r = log of (its smoothed share in toxic / in other texts), and an L2
 logistic regression is fitted on the scaled features.
 
-The classifier is fitted on a sample of at most ``SAMPLE`` labelled rows,
-drawn by the hash of their id; every row is scored.
+The ratios and the choice of features count all labelled rows.  Only the
+regression is fitted on a sample of at most ``SAMPLE`` of them, drawn by the
+hash of their id; every row is scored.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import kernel
-from strata.llm.storage import cut, hashed_sample, semi
+from strata.llm.storage import BROADCAST_IDS, cut, hashed_sample, semi
 
 SIZES = (4, 5, 6)        # bytes per n-gram
 BUCKETS = 1 << 20        # hashed features
@@ -117,24 +118,37 @@ class Model:
         self.kept, self.weight, self.intercept = kept, weight, intercept
 
 
+def _labelled(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic); up to ``BROADCAST_IDS`` labels go to the texts."""
+    few = rows.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.select("doc_id", "text").join(F.broadcast(rows) if few else rows, "doc_id")
+
+
+def _shares(texts: DataFrame) -> tuple[int, int]:
+    """(toxic rows, rows)"""
+    n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    return n.get(1, 0), sum(n.values())
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Null labels and ids are ignored, a doc_id labelled twice counts as toxic
     if one label says so, and repeated documents count as often as they come.
     Without both classes, or without a telling feature, the score is the
-    share of toxic rows (no rows: 0).
+    share of toxic rows (no rows: 0).  If the regression's sample lacks a
+    class, the weights are the ratios themselves (naive Bayes).
     """
     spark = docs.sparkSession
-    rows = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = hashed_sample(rows, sample, "doc_id")
-    texts = cut(docs.select("doc_id", "text").join(F.broadcast(cut(rows)), "doc_id"))
-    share = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n = share.get(1, 0), sum(share.values())
+    rows = cut(labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    drawn = hashed_sample(rows, sample, "doc_id")
+    texts = cut(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"))
+    every = texts if drawn is rows else _labelled(docs, rows)
+    n_toxic, n = _shares(every)
     if n_toxic in (0, n):
         odds = 30.0 if n_toxic else -30.0
         return Model(np.zeros(0, np.int64), np.zeros(0), odds)
-    counts = (texts.select("text", "toxic").mapInArrow(_count_task, "f int, toxic long, other long")
+    counts = (every.select("text", "toxic").mapInArrow(_count_task, "f int, toxic long, other long")
               .groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
               .where(F.col("toxic") + F.col("other") >= LEAST).toPandas().sort_values("f"))   # BUCKETS rows at most
     p, q = counts["toxic"].to_numpy() + SMOOTH, counts["other"].to_numpy() + SMOOTH
@@ -145,6 +159,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     kept, scale = counts["f"].to_numpy()[top], r[top]
     if not len(kept):                              # nothing tells the classes apart
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(n_toxic / (n - n_toxic))))
+    drawn_toxic, drawn_n = _shares(texts)
+    if drawn_toxic in (0, drawn_n):
+        return Model(kept, scale, float(np.log(n_toxic / (n - n_toxic))))
     words = texts.select("text", "toxic").mapInArrow(_feature_task(kept), "label double, words array<string>")
     vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(len(kept))], "words", "present")
     vectors.setBinary(True).setMinTF(1.0)

@@ -40,3 +40,17 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs):
         assert len(got) == len(odd_rows) and all(abs(r.score - score) < 1e-9 for r in got)
     left = toxicity.remove_toxic(odd_docs, odd_docs, labels.limit(0))
     assert left.columns == odd_docs.columns and left.count() == len(odd_rows)
+
+
+def test_ratios_count_all_labelled_rows(spark, monkeypatch):
+    kinds = ["a quiet walk by the river", "you utter blockhead", "vermin go away now"]
+    rows = [(i, f"{kinds[1 if i % 10 == 1 else 2 if i % 50 == 7 else 0]} {i}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(not t.startswith("a"))) for i, t in rows], "doc_id long, toxic int")
+    whole, part = toxicity.learn(docs, labels, sample=800), toxicity.learn(docs, labels, sample=150)
+    assert list(part.kept) == list(whole.kept)
+    rare = spark.createDataFrame([(1, "vermin go away"), (2, "a quiet walk")], "doc_id long, text string")
+    assert {r.doc_id: r.predicted for r in toxicity.score(rare, part).collect()} == {1: 1, 2: 0}
+    monkeypatch.setattr(toxicity, "hashed_sample", lambda df, n, *c: df.where("toxic = 0"))
+    alone = toxicity.learn(docs, labels)                     # one class in the sample
+    assert {r.doc_id: r.predicted for r in toxicity.score(rare, alone).collect()} == {1: 1, 2: 0}
