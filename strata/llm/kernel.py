@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK = 1 << 20          # bytes of text handled at once (one row at least)
+PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"   # no phrase crosses one of these
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -41,13 +42,16 @@ def _lower_table() -> np.ndarray:
 
 def word_class(kind: str) -> np.ndarray:
     """256 flags: is this byte part of a word?  ``alnum``: letters, digits
-    and everything non-ASCII; ``space``: everything but white space."""
+    and everything non-ASCII; ``space``: everything but white space;
+    ``phrase``: everything but white space and the marks ``PIECE_ENDS``."""
     if kind == "alnum":
         t = np.zeros(256, bool)
         t[0x30:0x3A] = t[0x41:0x5B] = t[0x61:0x7B] = t[0x80:] = True
-    elif kind == "space":
+    elif kind in ("space", "phrase"):
         t = np.ones(256, bool)
         t[0x20] = t[0x09:0x0E] = False
+        if kind == "phrase":
+            t[list(PIECE_ENDS)] = False
     else:
         raise ValueError(f"unknown word kind {kind}")
     return t

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, extraction, fingerprints, language, mixing, near_dup, privacy, secrets, suffix_tree, toxicity
+from strata.llm import (collocations, conversations, decontaminate, extraction, fingerprints, language, mixing, near_dup,
+                        onebit, privacy, secrets, suffix_tree, toxicity)
 from strata.sources.tables import table
 
 QUERIES: dict = {}
@@ -200,3 +201,163 @@ def op9_language_model(spark, data_dir):
 def op10_extraction(spark, data_dir):
     """Main text of every page by site style trees."""
     return extraction.extract(table(spark, data_dir, "pages"))
+
+
+@query
+def op11_conversations(spark, data_dir):
+    """Cheapest repair of every conversation after planted damage, by a run-length dynamic program."""
+    return conversations.audit(conversations.damaged(table(spark, data_dir, "conversations")))
+
+
+def _least_sql(state: int, choices: list[tuple[str, str, str, int]]) -> str:
+    """Least (cost, audit) over (condition, added cost, letter, next state)."""
+    return "list_min([" + ", ".join(
+        f"CASE WHEN {cond} THEN {{'c': v[{nxt + 1}].c + {cost}, 'a': '{letter}' || v[{nxt + 1}].a}} END"
+        for cond, cost, letter, nxt in choices) + "])"
+
+
+def _step_sql() -> str:
+    """A row applied to ``v``, the least (cost, audit) left from each state;
+    a row may have up to three insertions before it."""
+    def own(q):
+        after = (2, 2, 3, 2)[q]
+        keep = {0: [("s", 1), ("u", 2)], 1: [("u", 2)], 2: [("a", 3)], 3: [("u", 2)]}[q]
+        return ([("true", "4", "D", q), ("sym NOT IN ('b', 'd')", "3 + extra", "R", after)]
+                + [(f"lower(sym) = '{s}'", "extra", "K", to) for s, to in keep])
+    out = []
+    for q in range(4):
+        choices, state, prefix, spent = list(own(q)), q, "", 0
+        for _ in range(3):
+            state, prefix, spent = (2, 2, 3, 2)[state], prefix + "I", spent + 3
+            choices += [(cond, f"{spent} + {cost}", prefix + letter, nxt) for cond, cost, letter, nxt in own(state)]
+        out.append(_least_sql(q, choices))
+    return "[" + ", ".join(out) + "]"
+
+
+# crc32 from its table; the recurrence from each conversation's last row to its first; the audit read back into rows
+ORACLE["op11_conversations"] = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 1, 1, 1, 1, 1, 1, 1, 1],
+                          lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+named AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations),
+fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+           range(1, strlen(name) + 1), lambda i: CAST(ascii(substr(name, CAST(i AS INTEGER), 1)) AS BIGINT))),
+           lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8))) % 20 AS fate
+  FROM named, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN fate = 0 THEN 0 WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS p,
+         regexp_replace(text, '[ 	-]+$', '') AS bare
+  FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN bare = '' THEN 'b'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'd'
+                 WHEN right(bare, 1) IN ('.', '!', '?') THEN ini ELSE upper(ini) END AS sym,
+         CASE WHEN sym IN ('S', 'U', 'A', 'O') THEN 3 ELSE 0 END AS extra,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY p) AS prev, p > 1 AS later
+  FROM (SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS ini FROM placed)),
+facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (sym = 'b') AS blank, count(*) FILTER (sym = 'd') AS duplicate,
+         count(*) FILTER (extra > 0) AS truncated,
+         count(*) FILTER (later AND left(prev, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, n AS p, [{{'c': 0, 'a': ''}}, {{'c': 6, 'a': 'II'}}, {{'c': 3, 'a': 'I'}}, {{'c': 0, 'a': ''}}] AS v FROM facts
+  UNION ALL
+  SELECT w.conv_id, w.p - 1, {_step_sql()}
+  FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.p = w.p),
+audits AS (SELECT conv_id, v[1].c AS cost, v[1].a AS audit FROM walk WHERE p = 0),
+letters AS (
+  SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS i FROM audits),
+spelled AS (
+  SELECT conv_id, i, substr(audit, CAST(i AS INTEGER), 1) AS letter,
+         i - length(replace(substr(audit, 1, CAST(i AS INTEGER)), 'I', '')) AS inserted,
+         length(replace(substr(audit, 1, CAST(i AS INTEGER)), 'D', '')) AS said
+  FROM letters),
+lines AS (
+  SELECT s.*, f.role, f.text, first_value(letter = 'K' AND left(role, 1) = 's') OVER (
+           PARTITION BY s.conv_id ORDER BY s.i) AS system_first
+  FROM spelled s LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND letter <> 'I' AND f.p = s.i - s.inserted
+  WHERE letter <> 'D'),
+repaired AS (
+  SELECT conv_id, string_agg(
+           CASE WHEN letter = 'K' THEN role WHEN (said - CAST(system_first AS INTEGER)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS whole
+  FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query
+def op12_nearest(spark, data_dir):
+    """The 5 nearest vectors of every 50th vector, by rotated one-bit codes."""
+    codes = onebit.index(table(spark, data_dir, "embeddings"))
+    return onebit.search(codes, onebit.every_nth(codes, 50), 5)
+
+
+# brute force
+ORACLE["op12_nearest"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+near AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM near)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""
+
+
+@query
+def op13_collocations(spark, data_dir):
+    """Each language's first phrase collocations, by stripes."""
+    return collocations.ranked(collocations.collocations(table(spark, data_dir, "documents")))
+
+
+ORACLE["op13_collocations"] = rf"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex({AZ.format("coalesce(text, '')")}, '[.,;:!?
+-]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2),
+                         lambda i: list_aggregate(w[i:i + m - 1], 'string_agg', ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM cand),
+scored AS (
+  SELECT c.lang, c.phrase, c.m, a, k, x.f AS l, y.f AS r, CAST({collocations.SCALE} * CAST(a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = list_aggregate(w[1:k], 'string_agg', ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = list_aggregate(w[k + 1:], 'string_agg', ' ')),
+lowest AS (SELECT lang, phrase, m, a, arg_min({{'l': l, 'r': r, 'score': score}}, score * 10 + k) AS b FROM scored GROUP BY ALL),
+kept AS (
+  SELECT * FROM lowest p WHERE NOT EXISTS (
+    SELECT 1 FROM cand q WHERE q.lang = p.lang AND q.m > p.m AND 100 * q.a >= {collocations.SHARE} * p.a
+      AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY b.score DESC, a DESC, phrase) AS rank, phrase, a,
+         b.l AS l, b.r AS r, CAST(n AS BIGINT) AS n, b.score AS score
+  FROM kept JOIN n USING (lang)) WHERE rank <= {collocations.TOP}
+"""
