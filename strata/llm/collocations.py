@@ -12,9 +12,9 @@ The stripes of prefixes of 0, 1, 2 and 3 words are built in turn.  A phrase
 that occurs ``least`` times has only parts that do, so a pass keeps an
 entry only where a bit array of the frequent shorter phrases has both the
 prefix and the words after its first; a full bit array lets more through
-and loses none.  A stripe is cut into slices by the hash of the next word,
-so the stripe of a very frequent word, and that of the empty prefix, are
-spread over many tasks.
+and loses none.  The stripe of a prefix that makes up a ``HEAVY``-th of all
+words, and that of the empty prefix, is cut into slices by the hash of the
+next word, so that it is spread over many tasks.
 
 Phrases are named by 64-bit hashes, prefix and next word apart, until the
 frequent ones are spelled out.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import kernel
-from strata.llm.storage import cut
+from strata.llm.storage import bit_array, cut, has_bit
 
 MOST = 4                 # words of a phrase
 LEAST = 30               # occurrences of a candidate
@@ -36,9 +36,11 @@ SHARE = 80               # a longer candidate with this percentage of the count
 TOP = 2000               # phrases per language
 SCALE = 2_000_000
 FLUSH = 1 << 22          # occurrences a task gathers before it emits their stripes
-BITS = 26                # log2 of the bit array's size
-_PARTS = 5               # log2 of the tasks that fill it
-_SLICES = (8, 4, 2, 0)   # log2 of the slices of a stripe, by the words of its prefix
+BITS = 26                # log2 of the bit array's size (8 MB)
+HEAVY = 2000             # share of the words from which a prefix's stripe is sliced: at most so many prefixes
+_SLICES = 64             # of a heavy stripe
+_FIRST_SLICES = 256      # of the empty prefix's stripe
+LANGUAGES_SENT = 100_000  # totals sent to every task, at most
 
 _U = np.uint64
 _STEP = kernel.hashed_words(1, "phrase step")[0] | _U(1)
@@ -61,9 +63,10 @@ def _merged(prefix, word, count):
     return prefix[heads], word[heads], np.add.reduceat(count, heads)
 
 
-def _slice_of(word: np.ndarray, level: int) -> np.ndarray:
-    bits = _SLICES[level - 1]
-    return (word >> _U(64 - bits)).astype(np.int32) if bits else np.zeros(len(word), np.int32)
+def _slice_of(prefix: np.ndarray, word: np.ndarray, level: int, heavy: np.ndarray) -> np.ndarray:
+    if level == 1:
+        return (word % _U(_FIRST_SLICES)).astype(np.int32)
+    return np.where(np.isin(prefix, heavy), word % _U(_SLICES), _U(0)).astype(np.int32)
 
 
 def _occurrences(w: kernel.Words, ends: np.ndarray, root: np.ndarray, level: int, frequent):
@@ -84,16 +87,18 @@ def _occurrences(w: kernel.Words, ends: np.ndarray, root: np.ndarray, level: int
     for j in range(level - 1):                    # phrases of level - 1 words, by first word
         ids = extended(ids[:n - j], w.hash[j:])
     if level > 1:
-        at = ids >> _U(64 - BITS)
-        known = (frequent[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 > 0
+        known = has_bit(frequent, ids)
         ok &= known[:m] & known[1:m + 1]
     places = np.flatnonzero(ok)
     return ids[places], w.hash[places + level - 1], places + level - 1
 
 
-def _stripe_rows(prefix, word, count, level: int, spelled: dict) -> pa.RecordBatch:
+def _stripe_rows(prefix, word, count, level: int, heavy, spelled: dict) -> pa.RecordBatch:
     """The entries, sorted by prefix and word, as one row per stripe slice."""
-    part = _slice_of(word, level)
+    part = _slice_of(prefix, word, level, heavy)
+    if part.any():
+        order = np.lexsort((part, prefix))
+        prefix, word, count, part = prefix[order], word[order], count[order], part[order]
     new = np.ones(len(prefix), bool)
     new[1:] = (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])
     heads = np.flatnonzero(new)
@@ -110,7 +115,7 @@ def _stripe_rows(prefix, word, count, level: int, spelled: dict) -> pa.RecordBat
 _STRIPE = "prefix long, slice int, next array<long>, count array<long>, words array<string>"
 
 
-def _stripe_task(level: int, frequent):
+def _stripe_task(level: int, frequent, heavy):
     """Stripes of the phrases of ``level`` words of a partition's texts."""
     def run(batches):
         ends = np.zeros(256, np.int32)
@@ -120,7 +125,7 @@ def _stripe_task(level: int, frequent):
 
         def drain():
             one = [np.concatenate(x) for x in zip(*held)]
-            return _stripe_rows(*_merged(*one), level, spelled)
+            return _stripe_rows(*_merged(*one), level, heavy, spelled)
         for batch in batches:
             for rows, buf, off in kernel.chunks(batch):
                 w = kernel.Words(buf, off, "phrase")
@@ -143,7 +148,7 @@ def _stripe_task(level: int, frequent):
     return run
 
 
-def _merge_task(level: int, least: int):
+def _merge_task(level: int, least: int, heavy):
     """Merge the slices of each stripe, which arrive one after another, and
     keep the entries of at least ``least``; rows without ``next`` hold the
     totals of the stripes of level 1."""
@@ -178,7 +183,7 @@ def _merge_task(level: int, least: int):
                 continue
             last = batch.num_rows - 1              # its stripe may go on in the next batch
             open_ = ((prefix == _U(batch.column("prefix")[last].as_py() % (1 << 64)))
-                     & (_slice_of(word, level) == batch.column("slice")[last].as_py()))
+                     & (_slice_of(prefix, word, level, heavy) == batch.column("slice")[last].as_py()))
             yield from rows(prefix[~open_], word[~open_], count[~open_])
             held = [prefix[open_], word[open_], count[open_]]
             spelled = {h: spelled[h] for h in held[1].tolist()} if level == 1 else {}
@@ -186,32 +191,6 @@ def _merge_task(level: int, least: int):
     return run
 
 
-def _bit_task(batches):
-    """The part of the bit array that a task's ids fall into."""
-    part, bits = None, None
-    for batch in batches:
-        at = batch.column("id").to_numpy().view(_U) >> _U(64 - BITS)
-        if not len(at):
-            continue
-        if bits is None:
-            part, bits = int(at[0]) >> (BITS - _PARTS), np.zeros(1 << (BITS - _PARTS), np.uint8)
-        bits[at & _U((1 << (BITS - _PARTS)) - 1)] = 1
-    if bits is not None:
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()),
-                                          "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()])})
-
-
-def _bit_array(ids: DataFrame) -> np.ndarray:
-    """2^BITS bits, set at the leading bits of the ids; it is filled by
-    2^_PARTS tasks, and only these parts (8 MB in all) reach the driver."""
-    part = F.shiftrightunsigned("id", 64 - _PARTS).cast("int")
-    parts = ids.select("id").repartitionById(1 << _PARTS, part).mapInArrow(_bit_task, "part int, bits binary").collect()
-    bits, size = np.zeros(1 << (BITS - 3), np.uint8), 1 << (BITS - 3 - _PARTS)
-    for r in parts:
-        bits[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
-    return bits
-
-
 def phrase_counts(docs: DataFrame, most: int = MOST, least: int = LEAST) -> tuple[list[DataFrame], DataFrame]:
     """Per phrase length 1 to ``most``: (lang, phrase, words, f) of every
     phrase with at least ``least`` occurrences; and (lang, n), all words."""
@@ -219,15 +198,16 @@ def phrase_counts(docs: DataFrame, most: int = MOST, least: int = LEAST) -> tupl
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), F.xxhash64(lang).alias("root"), F.col("text").cast("string").alias("text"))
     roots = texts.select("lang", "root").distinct()
-    bits, shorter, first, out, totals = None, None, None, [], None
+    bits, shorter, first, out, totals, heavy = None, None, None, [], None, np.zeros(0, _U)
     for level in range(1, most + 1):
-        stripes = texts.select("root", "text").mapInArrow(_stripe_task(level, bits), _STRIPE)
+        stripes = texts.select("root", "text").mapInArrow(_stripe_task(level, bits, heavy), _STRIPE)
         merged = cut(stripes.repartition("prefix", "slice").sortWithinPartitions("prefix", "slice").mapInArrow(
-            _merge_task(level, least), "prefix long, next long, count long, id long, word string"))
+            _merge_task(level, least, heavy), "prefix long, next long, count long, id long, word string"))
         entries = merged.where("next is not null")
         if level == 1:
             totals = merged.where("next is null").groupBy("prefix").agg(F.sum("count").alias("n"))
-            totals = totals.join(roots, F.col("prefix") == F.col("root")).select("lang", "n")
+            totals = cut(totals.join(roots, F.col("prefix") == F.col("root")).select("lang", "n"))
+            n_words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
             named = entries.join(roots, F.col("prefix") == F.col("root")).select(
                 "id", "lang", F.array("word").alias("words"), F.col("count").alias("f"))
             first = entries.join(roots, F.col("prefix") == F.col("root")).select(
@@ -240,9 +220,11 @@ def phrase_counts(docs: DataFrame, most: int = MOST, least: int = LEAST) -> tupl
         shorter = cut(named)
         out.append(shorter.select("lang", F.concat_ws(" ", "words").alias("phrase"), "words", "f"))
         if level < most:
+            large = shorter.where(F.col("f") * HEAVY >= n_words).select("id").collect()      # HEAVY rows at most
+            heavy = np.array(sorted(r["id"] for r in large), np.int64).view(_U)
             if bits is not None:
                 bits.unpersist()
-            bits = spark.sparkContext.broadcast(_bit_array(shorter))
+            bits = spark.sparkContext.broadcast(bit_array(shorter.select("id"), BITS))
     return out, totals
 
 
@@ -283,8 +265,9 @@ def collocations(docs: DataFrame, most: int = MOST, least: int = LEAST, share: i
     longest = inside.groupBy(F.col("lang").alias("_lang"), "_p").agg(F.max("f").alias("_f"))
     kept = best.join(longest, (F.col("lang") == F.col("_lang")) & (F.col("phrase") == F.col("_p")), "left").where(
         F.col("_f").isNull() | (F.col("_f").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * share))
+    few = totals.limit(LANGUAGES_SENT + 1).count() <= LANGUAGES_SENT
     return kept.select("lang", "phrase", "a", F.col("b.l").alias("l"), F.col("b.r").alias("r"),
-                       F.col("b.score").alias("score")).join(totals, "lang")
+                       F.col("b.score").alias("score")).join(F.broadcast(totals) if few else totals, "lang")
 
 
 def ranked(found: DataFrame, top: int = TOP) -> DataFrame:
