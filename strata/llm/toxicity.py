@@ -6,9 +6,10 @@ lower-cased and white space taken as one blank.  Each feature is scaled by
 r = log of (its smoothed share in toxic / in other texts), and an L2
 logistic regression is fitted on the scaled features.
 
-The ratios and the choice of features count all labelled rows.  Only the
-regression is fitted on a sample of at most ``SAMPLE`` of them, drawn by the
-hash of their id; every row is scored.
+The ratios and the choice of features count all labelled rows, in Spark; the
+driver receives the chosen features alone, ``FEATURES`` rows at most.  Only
+the regression is fitted on a sample of at most ``SAMPLE`` of the rows, drawn
+by the hash of their id; every row is scored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import kernel
-from strata.llm.storage import BROADCAST_IDS, cut, hashed_sample, semi
+from strata.llm.storage import cut, hashed_sample
 
 SIZES = (4, 5, 6)        # bytes per n-gram
 BUCKETS = 1 << 20        # hashed features
@@ -34,6 +35,7 @@ SIGNAL = 2.5             # standard errors by which a kept feature's ratio diffe
 _PART = 1 << 19          # bytes of text handled at once
 REG = 1e-3               # L2 penalty
 THRESHOLD = 0.3          # a score this high is predicted toxic
+LABELS_SENT = 1 << 18    # labels sent to every task, at most (4 MB); beyond, the labelled texts are shuffled
 
 _U = np.uint64
 
@@ -65,24 +67,30 @@ def ngrams(buf: np.ndarray, off: np.ndarray):
         yield h[fit].astype(np.int32), doc[:m][fit]
 
 
+def _distinct(buf, off, last: np.ndarray):
+    """The distinct features of each document of a slice.  ``last`` (one
+    entry a bucket, any content) takes each feature's last place, which only
+    one of its occurrences has."""
+    parts = [(f, np.searchsorted(d, np.arange(len(off)))) for f, d in ngrams(buf, off)]
+    for i in range(len(off) - 1):
+        f = np.concatenate([f[b[i]:b[i + 1]] for f, b in parts]) if parts else np.zeros(0, np.int32)
+        place = np.arange(len(f), dtype=np.int32)
+        last[f] = place
+        yield f[last[f] == place]
+
+
 def _count_task(batches):
     """(feature, toxic texts, other texts) of a partition."""
-    both = np.zeros((2, BUCKETS), np.int64)
+    both, last = np.zeros((2, BUCKETS), np.int32), np.empty(BUCKETS, np.int32)
     for batch in batches:
         for rows, buf, off in kernel.chunks(batch, size=_PART):
-            label = rows.column("toxic").to_numpy(zero_copy_only=False)
-            parts = list(ngrams(buf, off))
-            if not parts:
-                continue
-            feature = np.concatenate([f for f, _ in parts])
-            doc = np.concatenate([d for _, d in parts])
-            seen = np.unique(doc.astype(np.int64) * BUCKETS + feature)
-            toxic = label[seen // BUCKETS] == 1
-            for i in (0, 1):
-                both[i] += np.bincount((seen % BUCKETS)[toxic == (i == 1)], minlength=BUCKETS)
+            label = rows.column("toxic").to_pylist()
+            for toxic, features in zip(label, _distinct(buf, off, last)):
+                both[int(toxic == 1)][features] += 1
     some = np.flatnonzero(both.any(0))
-    yield pa.RecordBatch.from_pydict({"f": pa.array(some.astype(np.int32)), "toxic": pa.array(both[1][some]),
-                                      "other": pa.array(both[0][some])})
+    for at in np.array_split(some, 1 + len(some) // 100_000):
+        yield pa.RecordBatch.from_pydict({"f": pa.array(at.astype(np.int32)), "toxic": pa.array(both[1][at].astype(np.int64)),
+                                          "other": pa.array(both[0][at].astype(np.int64))})
 
 
 def _present(buf, off, place: np.ndarray):
@@ -119,8 +127,8 @@ class Model:
 
 
 def _labelled(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic); up to ``BROADCAST_IDS`` labels go to the texts."""
-    few = rows.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    """(doc_id, text, toxic); up to ``LABELS_SENT`` labels go to the texts."""
+    few = rows.limit(LABELS_SENT + 1).count() <= LABELS_SENT
     return docs.select("doc_id", "text").join(F.broadcast(rows) if few else rows, "doc_id")
 
 
@@ -148,15 +156,15 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if n_toxic in (0, n):
         odds = 30.0 if n_toxic else -30.0
         return Model(np.zeros(0, np.int64), np.zeros(0), odds)
+    p, q = F.col("toxic") + SMOOTH, F.col("other") + SMOOTH
     counts = (every.select("text", "toxic").mapInArrow(_count_task, "f int, toxic long, other long")
               .groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-              .where(F.col("toxic") + F.col("other") >= LEAST).toPandas().sort_values("f"))   # BUCKETS rows at most
-    p, q = counts["toxic"].to_numpy() + SMOOTH, counts["other"].to_numpy() + SMOOTH
-    r = np.log(p / (n_toxic + SMOOTH)) - np.log(q / (n - n_toxic + SMOOTH))
-    z = np.abs(r) / np.sqrt(1 / p + 1 / q)         # in standard errors of r
-    top = np.argsort(-z, kind="stable")[:FEATURES]
-    top = np.sort(top[z[top] >= SIGNAL])
-    kept, scale = counts["f"].to_numpy()[top], r[top]
+              .where(F.col("toxic") + F.col("other") >= LEAST)
+              .withColumn("r", F.log(p / (n_toxic + SMOOTH)) - F.log(q / (n - n_toxic + SMOOTH)))
+              .withColumn("z", F.abs("r") / F.sqrt(1 / p + 1 / q))         # in standard errors of r
+              .where(F.col("z") >= SIGNAL).orderBy(F.desc("z"), "f").limit(FEATURES).select("f", "r").collect())
+    best = sorted((c["f"], c["r"]) for c in counts)
+    kept, scale = np.array([f for f, _ in best], np.int64), np.array([r for _, r in best], np.float64)
     if not len(kept):                              # nothing tells the classes apart
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(n_toxic / (n - n_toxic))))
     drawn_toxic, drawn_n = _shares(texts)
@@ -172,18 +180,23 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(kept, fit.coefficients.toArray() * scale, float(fit.intercept))
 
 
+def _scores(model: Model, place: np.ndarray, buf, off) -> np.ndarray:
+    """Score of each document of a slice."""
+    seen = _present(buf, off, place)
+    z = np.full(len(off) - 1, model.intercept)
+    if len(seen):
+        z += np.bincount(seen // FEATURES, weights=model.weight[seen % FEATURES], minlength=len(z))
+    return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+
+
 def _score_task(model: Model):
     def run(batches):
         place = np.full(BUCKETS, -1, np.int32)
         place[model.kept] = np.arange(len(model.kept))
         for batch in batches:
             for rows, buf, off in kernel.chunks(batch, size=_PART):
-                seen = _present(buf, off, place)
-                z = np.full(len(off) - 1, model.intercept)
-                if len(seen):
-                    z += np.bincount(seen // FEATURES, weights=model.weight[seen % FEATURES], minlength=len(z))
                 yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"),
-                                                  "score": pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))))})
+                                                  "score": pa.array(_scores(model, place, buf, off))})
     return run
 
 
@@ -208,8 +221,20 @@ def train_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, model).withColumn("held_out", F.coalesce(fold() == 2, F.lit(False)))
 
 
+def _clean_task(model: Model, text: str):
+    """The rows of a partition that are not predicted toxic."""
+    def run(batches):
+        place = np.full(BUCKETS, -1, np.int32)
+        place[model.kept] = np.arange(len(model.kept))
+        for batch in batches:
+            for rows, buf, off in kernel.chunks(batch, text, _PART):
+                yield rows.filter(pa.array(_scores(model, place, buf, off) < THRESHOLD))
+    return run
+
+
 def remove_toxic(docs: DataFrame, all_docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` (all columns) without the documents predicted toxic."""
+    """``docs`` (all columns) without the documents predicted toxic.  Each
+    row is decided by its own text where it is read, so texts are not
+    shuffled and a repeated doc_id is no matter."""
     model = learn(all_docs, labels.where(fold() != 2))
-    bad = score(docs, model).where("predicted = 1").select("doc_id")
-    return semi(docs, bad, "doc_id", keep=False)
+    return docs.mapInArrow(_clean_task(model, "text"), docs.schema)

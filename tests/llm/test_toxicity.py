@@ -54,3 +54,25 @@ def test_ratios_count_all_labelled_rows(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "hashed_sample", lambda df, n, *c: df.where("toxic = 0"))
     alone = toxicity.learn(docs, labels)                     # one class in the sample
     assert {r.doc_id: r.predicted for r in toxicity.score(rare, alone).collect()} == {1: 1, 2: 0}
+
+
+def test_distinct_features_of_each_document():
+    rng = np.random.default_rng(2)
+    texts = ["abcabcabc", "", "x", "aaaaaaaaaaaa", "".join(rng.choice(list("abc "), 5000)), "abcabcabc"]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.cumsum([0] + [len(t) for t in texts])
+    last = np.full(toxicity.BUCKETS, 7, np.int32)
+    got = list(toxicity._distinct(buf, off, last))
+    assert len(got) == len(texts)
+    for d, mine in enumerate(got):
+        want = {int(x) for f, e in toxicity.ngrams(buf, off) for x in f[e == d]}
+        assert set(mine.tolist()) == want and len(mine) == len(want)
+
+
+def test_rows_of_one_id_are_decided_one_by_one(spark):
+    docs = spark.createDataFrame([(i, f"you utter blockhead {i}" if i % 4 == 1 else f"a quiet walk by the river {i}")
+                                  for i in range(200)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(text like 'you%') as toxic")
+    new = spark.createDataFrame([(1, "you utter blockhead"), (1, "a quiet walk"), (2, None)], "doc_id long, text string")
+    left = toxicity.remove_toxic(new, docs, labels)
+    assert sorted(map(tuple, left.collect()), key=repr) == [(1, "a quiet walk"), (2, None)] and left.dtypes == new.dtypes
