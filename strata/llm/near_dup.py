@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import kernel
 from strata.llm.components import connected_components
-from strata.llm.storage import cut, semi
+from strata.llm.storage import cut, row_key, semi
 
 PERMUTATIONS = 64        # hash evaluations per shingle; the signature has twice as many values
 ROWS = 4                 # signature values per band
@@ -54,6 +54,19 @@ def reduce32(op, h, bounds):
     return (kernel.reduce_rows(op, h, bounds, 0) >> np.uint64(32)).astype(np.uint32)
 
 
+def _named_sets(h: np.ndarray, bounds: np.ndarray):
+    """Size, 128-bit sum and sorted members of each document's set."""
+    n = np.zeros(len(bounds) - 1, np.int64)
+    sums = np.zeros((len(bounds) - 1, 2), np.uint64)
+    sets = []
+    for d in range(len(n)):
+        u = np.unique(h[bounds[d]:bounds[d + 1]])
+        n[d] = len(u)
+        sums[d] = u.sum(dtype=np.uint64), kernel.mix(u).sum(dtype=np.uint64)
+        sets.append(u.view(np.int64))
+    return n, sums.view(np.int64), sets
+
+
 def _read_task(k: int):
     def run(batches):
         for batch in batches:
@@ -61,17 +74,12 @@ def _read_task(k: int):
                 words = kernel.Words(buf, off, "space")
                 h, bounds = kernel.shingles(words, k)
                 sig = signatures(h, bounds)
-                n = np.zeros(len(off) - 1, np.int64)
-                sums = np.zeros((len(off) - 1, 2), np.uint64)
-                for d in np.flatnonzero(np.diff(bounds)):
-                    u = np.unique(h[bounds[d]:bounds[d + 1]])
-                    n[d] = len(u)
-                    sums[d] = u.sum(dtype=np.uint64), kernel.mix(u).sum(dtype=np.uint64)
+                n, sums, _ = _named_sets(h, bounds)
                 raw = sig.tobytes()
                 width = sig.shape[1] * 4
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": rows.column(0), "n": pa.array(n),
-                    "s1": pa.array(sums[:, 0].view(np.int64)), "s2": pa.array(sums[:, 1].view(np.int64)),
+                    "doc_id": rows.column(0), "key": rows.column(2), "n": pa.array(n),
+                    "s1": pa.array(sums[:, 0]), "s2": pa.array(sums[:, 1]),
                     "sig": pa.array([raw[i * width:(i + 1) * width] for i in range(len(n))], pa.binary())})
     return run
 
@@ -94,10 +102,10 @@ def _sets_task(k: int):
         for batch in batches:
             for rows, buf, off in kernel.chunks(batch):
                 h, bounds = kernel.shingles(kernel.Words(buf, off, "space"), k)
+                n, sums, sets = _named_sets(h, bounds)
                 yield pa.RecordBatch.from_pydict({
-                    "node": rows.column(0),
-                    "set": pa.array([np.unique(h[bounds[i]:bounds[i + 1]]).view(np.int64)
-                                     for i in range(len(off) - 1)], pa.list_(pa.int64()))})
+                    "n": pa.array(n), "s1": pa.array(sums[:, 0]), "s2": pa.array(sums[:, 1]),
+                    "set": pa.array(sets, pa.list_(pa.int64()))})
     return run
 
 
@@ -179,34 +187,26 @@ def _blocks_task(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
+_SET = ["n", "s1", "s2"]       # size and 128-bit sum name a shingle set
 
-    Words are runs of anything but white space, A-Z lower-cased; a
-    document's set holds its distinct ``k``-word shingles (its whole word
-    sequence if shorter).  Documents are linked when 100 * intersection >=
-    percent * union, and ``component_id`` is the smallest doc_id reachable.
-    Null, empty and wordless texts have no shingles and no links.  Rows that
-    repeat a doc_id are one node, whose links come from each of its texts
-    (confirmed on one of them); a row without doc_id links with nothing and
-    is kept with a null component.  No rows give no rows.
-    """
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    read = cut(source.mapInArrow(_read_task(k), "doc_id long, n long, s1 long, s2 long, sig binary"))
-    sets = (read.where("n > 0 and doc_id is not null").groupBy("n", "s1", "s2")
-            .agg(F.min("doc_id").alias("node")))
-    sets = cut(sets)
-    nodes = (read.where("n > 0").join(sets.select("node", "n", "s1", "s2"), ["n", "s1", "s2"])
-             .where("doc_id = node").select("node", "n", "sig").dropDuplicates(["node", "n"]))
-    nodes = cut(nodes)
+
+def _linked_sets(source: DataFrame, k: int, percent: int, same_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, key, n, s1, s2) of ``source`` (doc_id, text, key), and
+    the distinct sets (n, s1, s2, component).  With ``same_ids`` the sets of
+    one doc_id are linked too."""
+    read = cut(source.mapInArrow(_read_task(k), "doc_id long, key string, n long, s1 long, s2 long, sig binary"))
+    rows = read.where("n > 0 and doc_id is not null")
+    # a node is a set; ``low``, its smallest doc_id, only finds a text of it again
+    sets = cut(rows.groupBy(*_SET).agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id()))
+    nodes = cut(rows.join(sets, _SET).where("doc_id = low").select("node", "n", "sig").dropDuplicates(["node"]))
     bands = nodes.mapInArrow(_bands_task, "node long, n long, key long")
     heads = bands.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("m")).where("m > 1")
     shared = bands.join(heads, "key").select("node", "head")               # buckets with company only
     star = cut(shared.where("node <> head.node").select(F.col("head.node").alias("head"), "node").distinct())
-    needed = star.select(F.explode(F.array("head", "node")))
-    full = cut(semi(source, needed, "doc_id", keep=True).mapInArrow(_sets_task(k), "node long, set array<long>")
-               .dropDuplicates(["node"]))
+    needed = sets.join(star.select(F.explode(F.array("head", "node")).alias("node")).distinct(), "node")
+    full = cut(semi(source.select("doc_id", "text"), needed.select("low"), "doc_id", keep=True)
+               .mapInArrow(_sets_task(k), "n long, s1 long, s2 long, set array<long>").dropDuplicates(_SET)
+               .join(needed.select(*_SET, "node"), _SET).select("node", "set"))
     both = F.size(F.array_intersect("x", "set"))
     tried = cut(star.join(full, "node").join(full.select(F.col("node").alias("head"), F.col("set").alias("x")), "head")
                 .select("head", "node", "set", (both * 100 >= (F.size("x") + F.size("set") - both) * percent).alias("linked")))
@@ -233,18 +233,58 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     blocks = (inside.unionByName(meet_in).unionByName(meet_out)
               .repartition(F.col("head"), F.col("i"), F.col("j")).sortWithinPartitions("head", "i", "j"))
     more = cut(blocks.mapInArrow(_blocks_task(percent), "a long, b long").distinct())
-    comps = connected_components(links.union(more))
-    # sets -> nodes -> components, then one row per input row
-    labels = (sets.join(comps.select("node", "component"), "node", "left")
-              .select("n", "s1", "s2", F.coalesce("component", "node").alias("component")))
-    return (read.select("doc_id", "n", "s1", "s2").join(labels, ["n", "s1", "s2"], "left")
+    links = links.union(more)
+    if same_ids:
+        name = F.struct(*_SET)
+        many = (rows.groupBy("doc_id").agg(F.min(name).alias("a"), F.max(name).alias("b")).where("a <> b").select("doc_id"))
+        of_ids = cut(rows.select("doc_id", *_SET).join(many, "doc_id").distinct().join(sets, _SET).select("doc_id", "node"))
+        first = of_ids.groupBy("doc_id").agg(F.min("node").alias("a"))
+        links = links.union(of_ids.join(first, "doc_id").where("node <> a").select("a", F.col("node").alias("b")))
+    comps = connected_components(links)
+    return read.drop("sig"), cut(sets.join(comps, "node", "left").select(
+        *_SET, "low", F.coalesce("component", "node").alias("component")))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
+
+    Words are runs of anything but white space, A-Z lower-cased; a
+    document's set holds its distinct ``k``-word shingles (its whole word
+    sequence if shorter).  Documents are linked when 100 * intersection >=
+    percent * union, and ``component_id`` is the smallest doc_id reachable.
+    Null, empty and wordless texts have no shingles and no links.  Rows that
+    repeat a doc_id are one document, linked by each of its texts; a row
+    without doc_id links with nothing and is kept with a null component.  No
+    rows give no rows.
+    """
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                         F.lit("").alias("key"))
+    read, sets = _linked_sets(source, k, percent, same_ids=True)
+    least = sets.groupBy("component").agg(F.min("low").alias("least"))
+    labels = sets.join(least, "component").select(*_SET, "least")
+    return (read.select("doc_id", *_SET).join(labels, _SET, "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component")))
+                    F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("least")))
                     .otherwise(F.col("doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` (all columns) with one document, the smallest doc_id, of each group."""
-    gone = near_duplicates(docs, k, percent).where("not kept").select("doc_id")
-    return semi(docs, gone, "doc_id", keep=False)
+    """``docs`` (all columns) with one row of each group, that of the
+    smallest doc_id (of equal ones, the smallest ``row_key``).  Rows are
+    linked by their own texts: a clean text stays though another row has its
+    id.  Rows without words or without doc_id stay."""
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("key"))
+    read, sets = _linked_sets(source, k, percent, same_ids=False)
+    rows = cut(read.where("n > 0 and doc_id is not null").join(sets, _SET)
+               .groupBy("component", "doc_id", "key").agg(F.count("*").alias("rows")))
+    best = rows.groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("best"))
+    told = rows.join(best, "component")
+    mine = F.struct("doc_id", "key") == F.col("best")
+    out = semi(docs, told.where(~mine).select("key"), row_key(), keep=False)
+    again = cut(told.where(mine & (F.col("rows") > 1)).select("key"))
+    if again.isEmpty():
+        return out
+    once = semi(out, again, row_key(), keep=True).withColumn("__row", row_key()).dropDuplicates(["__row"]).drop("__row")
+    return semi(out, again, row_key(), keep=False).unionByName(once)

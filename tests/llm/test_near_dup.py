@@ -106,3 +106,24 @@ def test_signature_estimates_similarity():
         other = np.concatenate([base[:m], rng.integers(0, 2**63, len(base) - m).astype(np.uint64)])
         sig = near_dup.signatures(np.concatenate([base, other]), np.array([0, 2000, 4000]))
         assert abs((sig[0] == sig[1]).mean() - m / (4000 - m)) < 0.15
+
+
+def test_a_repeated_id_is_linked_by_each_of_its_texts(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    probe = [(1, text("a")), (1, text("b")), (2, text("a") + " more"), (3, text("b") + " more"), (4, text("c"))]
+    got = rows(near_dup.near_duplicates(spark.createDataFrame(probe, "doc_id long, text string"), 3, 85))
+    assert got == brute(probe, 3, 85) and [c for _, _, c in got] == [1, 1, 1, 1, 4]
+    # a third of the rows have one id, with texts that are linked with others
+    many = [(7, text(f"t{i}x")) for i in range(30)] + [(100 + i, text(f"t{i}x") + " tail") for i in range(30)]
+    many += [(200 + i, text(f"u{i}x")) for i in range(30)]
+    got = rows(near_dup.near_duplicates(spark.createDataFrame(many, "doc_id long, text string"), 3, 85))
+    assert got == brute(many, 3, 85)
+
+
+def test_rows_of_one_id_are_removed_one_by_one(spark):
+    text = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    data = [(1, text("a")), (1, text("b")), (2, text("a") + " more"), (3, text("b") + " more"), (3, text("c")),
+            (4, text("d")), (4, text("d")), (5, text("d")), (6, None), (6, None), (None, text("a"))]
+    left = near_dup.drop_near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted(
+        [(1, text("a")), (1, text("b")), (3, text("c")), (4, text("d")), (6, None), (6, None), (None, text("a"))], key=repr)
