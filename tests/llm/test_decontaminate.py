@@ -62,3 +62,25 @@ def test_removal_keeps_clean_rows_and_columns(spark, odd_docs, items):
     assert left.columns == odd_docs.columns
     gone = {r.doc_id for r in odd_docs.select("doc_id").collect()} - {r.doc_id for r in left.select("doc_id").collect()}
     assert gone == {3, 104, 108, 109}        # the long text holds a few passages only
+
+
+def test_a_phrase_shorter_than_a_window_meets_nothing(spark, monkeypatch):
+    """An 11-word phrase that all texts and items share makes no joined row."""
+    phrase = " ".join(f"common{i}" for i in range(11))
+    docs = [(i, f"d{i} x{i} {phrase} y{i} z{i}") for i in range(300)]
+    items = [(i, f"p{i} q{i} {phrase} r{i} s{i}") for i in range(300)]
+    items += [(1000, f"d5 x5 {phrase}"), (1001, docs[7][1])]
+    made = []
+    monkeypatch.setattr(decontaminate, "cut", lambda df, f=decontaminate.cut: made.append(f(df)) or made[-1])
+    got = decontaminate.benchmark_hits(spark.createDataFrame(docs, "doc_id long, text string"),
+                                       spark.createDataFrame(items, "item_id long, text string"))
+    assert rows(got) == brute(docs, items)
+    joined = [df.count() for df in made if "s" in df.columns and "e" in df.columns]
+    assert joined == [1 + 3]                 # windows hit: one of document 5, all of document 7
+
+
+def test_rows_of_one_id_are_decided_one_by_one(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text), (1, "a clean text of the same id"), (2, text), (2, None)], "doc_id long, text string")
+    left = decontaminate.remove_contaminated(docs, spark.createDataFrame([(9, text)], "item_id long, text string"))
+    assert sorted(map(tuple, left.collect()), key=repr) == [(1, "a clean text of the same id"), (2, None)]
