@@ -12,7 +12,7 @@ from strata.functions.text import parse_experience, set_contains, split_to_set
 from strata.models.features import one_hot_range
 from strata.operators import aggregates as agg
 from strata.operators import ordering, spatial
-from strata.operators.windows import lookback_events, rolling_lookback
+from strata.operators.windows import lookback_events, rolling_lookback, time_line
 
 T = dt.datetime(2024, 1, 1, 12, 0, 0)
 H = dt.timedelta(hours=1)
@@ -34,11 +34,11 @@ def trips(spark):
     return spark.createDataFrame(rows, "id long, k string, pickup timestamp_ntz, dropoff timestamp_ntz, dur double")
 
 
-@pytest.mark.parametrize("target_rows", [2_000_000, 3, 1])
+@pytest.mark.parametrize("partitions", [1, 3, 40])
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_rolling_window_edges(trips, target_rows, keys):
+def test_rolling_window_edges(trips, partitions, keys):
     out = {r["id"]: r for r in rolling_lookback(trips, "id", "pickup", "dropoff", "dur", hours=3, keys=keys,
-                                                 target_rows=target_rows).collect()}
+                                                 partitions=partitions).collect()}
     probe = out[1]
     expect = [1.0, 2.0, 8.0, 16.0] + ([] if keys else [32.0])
     assert probe["n_in_window"] == len(expect)
@@ -61,9 +61,9 @@ def skewed_trips():
     return rows
 
 
-@pytest.mark.parametrize("target_rows", [2_000_000, 20])
+@pytest.mark.parametrize("partitions", [1, 13, 60])
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_lookback_against_all_pairs(spark, skewed_trips, keys, target_rows):
+def test_lookback_against_all_pairs(spark, skewed_trips, keys, partitions):
     df = spark.createDataFrame(skewed_trips, "id long, k string, pickup timestamp_ntz, dropoff timestamp_ntz, dur double")
     want = {}
     for i, k, p, _, _ in skewed_trips:
@@ -71,9 +71,9 @@ def test_lookback_against_all_pairs(spark, skewed_trips, keys, target_rows):
                and p - 3 * H <= f[3] <= p]
         want[i] = (len(hit), min((t for t, _ in hit), default=None), max((t for t, _ in hit), default=None),
                    round(sum(v for _, v in hit), 2))
-    got = lookback_events(df, "id", "pickup", "dropoff", 3, keys=keys, target_rows=target_rows).collect()
+    got = lookback_events(df, "id", "pickup", "dropoff", 3, keys=keys, partitions=partitions).collect()
     assert {r["id"]: (r["n_facts"], r["first_fact"], r["last_fact"]) for r in got} == {i: w[:3] for i, w in want.items()}
-    mean = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=keys, decimal_scale=2, target_rows=target_rows)
+    mean = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=keys, decimal_scale=2, partitions=partitions)
     for r in mean.collect():
         n, _, _, total = want[r["id"]]
         assert r["n_in_window"] == n
@@ -213,21 +213,26 @@ def test_weekday_and_log(spark):
     assert math.isclose(spark.range(1).select(F.ln(F.lit(math.e))).first()[0], 1.0)
 
 
-def test_rolling_auto_buckets_split_a_hot_key(spark):
-    """A dense key gets narrow buckets; results equal the one-bucket plan."""
+def test_time_line_stays_balanced(spark):
+    """One key, and one instant in it, hold a third of the rows and one date
+    lies far from the others: still no partition is twice the median."""
     import random
     rnd = random.Random(5)
-    rows = []
-    for i in range(4000):
-        k = "hot" if i % 4 else rnd.choice(["a", "b", None])
+    rows = [(-1, "hot", dt.datetime(1970, 1, 1), dt.datetime(1970, 1, 2), 1.0)]
+    for i in range(12_000):
+        k = "hot" if i % 3 == 0 else rnd.choice(["a", "b", "c", None])
         p = T + dt.timedelta(seconds=rnd.randint(0, 3 * 24 * 3600))
-        rows.append((i, k, p, p + dt.timedelta(minutes=rnd.randint(0, 200)), float(rnd.randint(1, 9999)) / 100))
-    df = spark.createDataFrame(rows, "id long, k string, pickup timestamp_ntz, dropoff timestamp_ntz, dur double")
-    auto = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=["k"], target_rows=100, decimal_scale=2)
-    one = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=["k"], decimal_scale=2)
-    a = sorted((r["id"], r["n_in_window"], r["mean_value"]) for r in auto.collect())
-    b = sorted((r["id"], r["n_in_window"], r["mean_value"]) for r in one.collect())
-    assert a == b and len(a) == 4000
+        d = T + 20 * H if i % 3 == 1 else p + dt.timedelta(minutes=rnd.randint(0, 200))
+        rows.append((i, k, p, d, float(rnd.randint(1, 9999)) / 100))
+    df = spark.createDataFrame(rows, "id long, k string, pickup timestamp_ntz, dropoff timestamp_ntz, dur double").repartition(4)
+    for keys in ([], ["k"]):
+        line = time_line(df, "id", keys, "pickup", "dropoff", F.col("dur").cast("decimal(28,2)"), 3, 20)
+        sizes = sorted(r["count"] for r in line.groupBy("_part").count().collect())
+        assert sum(sizes) == 3 * len(rows) and len(sizes) >= 18
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        many = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=keys, partitions=20, decimal_scale=2).collect()
+        one = rolling_lookback(df, "id", "pickup", "dropoff", "dur", keys=keys, partitions=1, decimal_scale=2).collect()
+        assert sorted(map(repr, many)) == sorted(map(repr, one)) and len(many) == len(rows)
 
 
 def test_sample_n_large_path_equals_small_path(spark, monkeypatch):
