@@ -131,3 +131,56 @@ def point_crosses_odd(px, py, edges) -> Column:
 def point_in_polygon(px, py, edges) -> Column:
     """Closed-set containment (interior or boundary), like ``intersects``."""
     return point_on_edges(px, py, edges) | point_crosses_odd(px, py, edges)
+
+
+def _side(qx, qy, e) -> Column:
+    """Sign of the side of an edge on which a grid corner lies; the corner
+    is taken a hair above, and less of a hair to the right, of (qx, qy), so
+    that it is on no edge."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    s = (qx - e["x1"]) * dy - (qy - e["y1"]) * dx
+    return F.when(s != 0, F.signum(s)).when(dy != 0, F.signum(dy)).otherwise(-F.signum(dx))
+
+
+def _right_of(qx, qy, e) -> Column:
+    """Does an edge that straddles the corner's height cross it to the right?"""
+    return (F.when(qx >= F.greatest(e["x1"], e["x2"]), False).when(qx < F.least(e["x1"], e["x2"]), True)
+            .otherwise(_side(qx, qy, e) * F.signum(e["y2"] - e["y1"]) < 0))
+
+
+def _above(qx, qy, e) -> Column:
+    """Does an edge that straddles the corner's x cross it above?"""
+    return (F.when(qy >= F.greatest(e["y1"], e["y2"]), False).when(qy < F.least(e["y1"], e["y2"]), True)
+            .otherwise(_side(qx, qy, e) * F.signum(e["x2"] - e["x1"]) > 0))
+
+
+def _odd(edges, crossed) -> Column:
+    return F.size(F.filter(edges, crossed)) % 2 == 1
+
+
+def corner_inside(qx, qy, edges, x0=None, y0=None) -> Column:
+    """Even-odd rule for a grid corner.  With ``x0`` and ``y0``, whether the
+    corner is on the other side than the corner (x0, y0): the edges crossed
+    on the way up from there and then to the right, which need only be those
+    of the cell that holds the way."""
+    if x0 is None:
+        return _odd(edges, lambda e: ((e["y1"] > qy) != (e["y2"] > qy)) & _right_of(qx, qy, e))
+    return _odd(edges, lambda e: _up(x0, y0, qy, e) != (
+        ((e["y1"] > qy) != (e["y2"] > qy)) & (_right_of(x0, qy, e) != _right_of(qx, qy, e))))
+
+
+def _up(x0, y0, y1, e) -> Column:
+    """Is an edge crossed on the way from the corner (x0, y0) up to (x0, y1)?"""
+    return ((e["x1"] > x0) != (e["x2"] > x0)) & (_above(x0, y0, e) != _above(x0, y1, e))
+
+
+def point_in_cell(px, py, x0, y0, edges, inside) -> Column:
+    """Closed-set containment of a point in the cell with the lower left
+    corner (x0, y0), from the cell's edges and whether that corner is
+    inside.  The way from the corner goes up to the point's height and then
+    to the right; where it turns, both legs judge an edge by one and the
+    same sign, so rounding cannot make them disagree."""
+    def crossed(e):
+        right = ((px - e["x1"]) * (e["y2"] - e["y1"]) - (e["x2"] - e["x1"]) * (py - e["y1"])) * F.signum(e["y2"] - e["y1"]) < 0
+        return _up(x0, y0, py, e) != (((e["y1"] > py) != (e["y2"] > py)) & (_right_of(x0, py, e) != right))
+    return point_on_edges(px, py, edges) | (inside != _odd(edges, crossed))

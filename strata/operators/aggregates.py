@@ -1,13 +1,13 @@
 """Group counts and means, frequencies, histograms, box-plot summaries and
-error metrics.  All are map-side combinable aggregates except the exact
-quantiles, which use bucketed positions (see ``ordering.positions``)."""
+error metrics.  All are map-side combinable aggregates, the exact quantiles
+too: they are selected by counts over ever narrower ranges of values."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.ordering import positions
+from strata.session import reliable
 
 
 def _c(x) -> Column:
@@ -76,66 +76,106 @@ def histogram_2d(df: DataFrame, x, y, bins: int = 50) -> DataFrame:
         .groupBy("bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: list[float],
-                    key: str | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles (``quantile_cont``) per group.
+BINS = 1 << 14           # parts of a range of values, per pass
+RANGES_SENT = 1 << 17    # ranges sent to every task, at most
 
-    Rows are range-partitioned on (group, value), numbered inside each part
-    and shifted by the counts of earlier parts, so a large group is spread
-    over many tasks and no group's values are gathered in one place.  Only
-    the rows at the two positions around each quantile are kept.
+
+def _binary_place(v: Column) -> Column:
+    """A whole number that never falls when ``v`` rises: sign and binary
+    exponent, a few thousand values in all."""
+    size = F.when(F.abs(v) == float("inf"), 2000).otherwise(F.floor(F.log2(F.abs(v)))).cast("int") + 1100
+    return F.when(F.isnan(v), 9999).when(v == 0, 0).otherwise(F.when(v > 0, size).otherwise(-size))
+
+
+def _inner_place(v: Column, lo: Column, hi: Column) -> Column:
+    """Which of ``BINS`` parts of [lo, hi] holds ``v``; lo and hi differ in theirs."""
+    return F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(BINS))), F.lit(BINS - 1)).cast("int")
+
+
+def exact_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: list[float]) -> DataFrame:
+    """Exact linear-interpolation quantiles (``quantile_cont``) per group, a
+    null group included: (groups, q0, q1, ...), of the values not NULL (NaN
+    above all others).
+
+    Selection by counts: the first pass counts each group's values per sign
+    and binary exponent, which tells the range in which each wanted rank
+    lies; further passes cut these ranges into ``BINS`` parts and count only
+    the values inside them, until a range is one value.  A pass is a
+    map-side combined count, so nothing is sorted or stored and a group that
+    holds a third of the rows is no burden.  Doubles need at most four
+    passes after the first, values with few decimals one or two.
     """
-    # tie-break: the key, or a hash of the whole row, so that one value
-    # held by very many rows is still spread over several buckets
-    tb = F.col(key) if key else F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    src = df.select(*group_cols, F.col(value).cast("double").alias("_v"), tb.alias("_tb")) \
-        .filter(F.col("_v").isNotNull())
-    order = ["_v", "_tb"]
-    pos = positions(src, order, group_cols=group_cols, pos_col="_pos", size_col="_n")
-    wanted, near = [], F.lit(False)
-    for i, q in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        wanted.append(F.struct(F.lit(i).alias("qi"), F.floor(h).alias("lo"),
-                               F.ceil(h).alias("hi"), (h - F.floor(h)).alias("frac")))
-        near = near | (F.col("_pos") == F.floor(h)) | (F.col("_pos") == F.ceil(h))
-    # only the two rows around each quantile are copied, once per quantile
-    exploded = pos.filter(near).withColumn("_q", F.explode(F.array(*wanted)))
-    hit = exploded.filter((F.col("_pos") == F.col("_q.lo")) | (F.col("_pos") == F.col("_q.hi")))
-    per_q = hit.groupBy(*group_cols, F.col("_q.qi").alias("qi")).agg(
-        F.max(F.when(F.col("_pos") == F.col("_q.lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_pos") == F.col("_q.hi"), F.col("_v"))).alias("_vhi"),
-        F.max(F.col("_q.frac")).alias("_frac"))
-    per_q = per_q.withColumn("q", F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo")))
-    out = per_q.groupBy(*group_cols).pivot("qi", list(range(len(probs)))).agg(F.first("q"))
-    return out.toDF(*group_cols, *[f"q{i}" for i in range(len(probs))])
-
-
-def boxplot_stats(df: DataFrame, group_cols: list[str], value: str, key: str | None = None,
-                  whisker: float = 1.5, exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    src = df.select(F.struct(*group_cols).alias("_g") if group_cols else F.struct(F.lit(0).alias("all")).alias("_g"),
+                    F.col(value).cast("double").alias("_v")).where("_v is not null")
+    counted = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+
+    def ranges(bins, within):
+        """Ranges with the number of values before them in ``within``."""
+        before = Window.partitionBy(*within).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        return bins.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    first = ranges(src.groupBy("_g", _binary_place(F.col("_v")).alias("_bin")).agg(*counted), ["_g"])
+    first = first.withColumn("_size", F.sum("_n").over(Window.partitionBy("_g")))
+    place = [(F.col("_size") - 1) * F.lit(float(q)) for q in probs]
+    wanted = F.explode(F.array_distinct(F.concat(*[F.array(F.floor(h), F.ceil(h)) for h in place]))).alias("_rank")
+    found = reliable(first.select("*", wanted).where((F.col("_rank") >= F.col("_before")) &
+                                                     (F.col("_rank") < F.col("_before") + F.col("_n")))
+                     .select("_g", "_size", "_rank", "_before", "_lo", "_hi"))
+    while True:
+        todo = found.where("_lo < _hi")
+        spans = todo.select(F.col("_g").alias("_h"), F.col("_before").alias("_base"), F.col("_lo").alias("_a"),
+                            F.col("_hi").alias("_b")).distinct()
+        n = spans.count()
+        if not n:
+            break
+        spans = F.broadcast(spans) if n <= RANGES_SENT else spans
+        inside = src.join(spans, (F.col("_g") == F.col("_h")) & F.col("_v").between(F.col("_a"), F.col("_b")))
+        bins = inside.groupBy("_g", "_base", _inner_place(F.col("_v"), F.col("_a"), F.col("_b")).alias("_bin")).agg(*counted)
+        bins = ranges(bins, ["_g", "_base"]).select(F.col("_g").alias("_h"), "_base", F.col("_n").alias("_m"),
+                                                    F.col("_before").alias("_more"), F.col("_lo").alias("_a"), F.col("_hi").alias("_b"))
+        rank = F.col("_rank") - F.col("_before") - F.col("_more")
+        closer = (todo.join(bins, (F.col("_g") == F.col("_h")) & (F.col("_before") == F.col("_base")))
+                  .where((rank >= 0) & (rank < F.col("_m")))
+                  .select("_g", "_size", "_rank", (F.col("_before") + F.col("_more")).alias("_before"),
+                          F.col("_a").alias("_lo"), F.col("_b").alias("_hi")))
+        found = reliable(found.where("not (_lo < _hi)").unionByName(closer))
+    ranks = F.map_from_entries(F.collect_list(F.struct("_rank", "_lo")))
+    out = found.groupBy("_g").agg(F.first("_size").alias("_size"), ranks.alias("_at"))
+
+    def between(h):
+        low, high = F.element_at("_at", F.floor(h)), F.element_at("_at", F.ceil(h))
+        return F.when(low == high, low).otherwise(low + (h - F.floor(h)) * (high - low))
+    return out.select(*[F.col(f"_g.`{c}`").alias(c) for c in group_cols],
+                      *[between(h).alias(f"q{i}") for i, h in enumerate(place)])
+
+
+def boxplot_stats(df: DataFrame, group_cols: list[str], value: str, whisker: float = 1.5, exact: bool = True,
+                  accuracy: int = 10_000) -> DataFrame:
     """Box-plot summary: quartiles, whiskers (extreme values within
     ``whisker`` x IQR of the box), outlier count and group size.
 
     ``exact=False`` takes the quartiles from ``percentile_approx`` sketches
     (one pass, merged map-side, rank error about 1/accuracy) instead of
-    the exact bucketed positions."""
+    selecting them exactly."""
     if exact:
-        q = exact_quantiles(df, group_cols, value, [0.25, 0.5, 0.75], key=key)
+        q = exact_quantiles(df, group_cols, value, [0.25, 0.5, 0.75])
     else:
-        q = df.groupBy(*group_cols).agg(
+        q = df.where(F.col(value).isNotNull()).groupBy(*group_cols).agg(
             F.percentile_approx(F.col(value).cast("double"), [0.25, 0.5, 0.75], accuracy).alias("_q")) \
             .select(*group_cols, *[F.col("_q")[i].alias(f"q{i}") for i in range(3)])
-    q = q.toDF(*group_cols, "q1", "median", "q3")
-    src = df.select(*group_cols, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    joined = src.join(q, on=group_cols, how="inner")
+    # nulls among the groups equal each other
+    q = reliable(q.select(F.struct(*group_cols).alias("_h"), F.col("q0").alias("q1"), F.col("q1").alias("median"),
+                          F.col("q2").alias("q3")))
+    src = df.select(F.struct(*group_cols).alias("_g"), F.col(value).cast("double").alias("_v")).where("_v is not null")
+    few = q.limit(RANGES_SENT + 1).count() <= RANGES_SENT
+    joined = src.join(F.broadcast(q) if few else q, F.col("_g") == F.col("_h"))
     iqr = F.col("q3") - F.col("q1")
-    lo_fence = F.col("q1") - F.lit(whisker) * iqr
-    hi_fence = F.col("q3") + F.lit(whisker) * iqr
-    inside = (F.col("_v") >= lo_fence) & (F.col("_v") <= hi_fence)
-    return joined.groupBy(*group_cols, "q1", "median", "q3").agg(
+    inside = F.col("_v").between(F.col("q1") - F.lit(whisker) * iqr, F.col("q3") + F.lit(whisker) * iqr)
+    return joined.groupBy("_g", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
         F.count(F.when(~inside, F.lit(1))).alias("n_outliers"),
-        F.count(F.lit(1)).alias("n"))
+        F.count(F.lit(1)).alias("n")).select(*[F.col(f"_g.`{c}`").alias(c) for c in group_cols], "q1", "median", "q3",
+                                             "whisker_lo", "whisker_hi", "n_outliers", "n")
 
 
 def mae(df: DataFrame, predicted: str, actual: str, name: str = "mae") -> DataFrame:

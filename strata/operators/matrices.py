@@ -1,10 +1,12 @@
 """Vectors and matrices as DataFrames.
 
 A vector is an ``array<double>`` column (one row per vector) or long
-form ``(c, x)``; a matrix is long form ``(r, c, v)``.  Products are joins
-on the shared index plus a grouped sum, so they scale with the number of
-entries; whether a small operand is broadcast is left to the planner,
-which knows its size at run time.
+form ``(c, x)``; a matrix is long form ``(r, c, v)``.  A matrix by a vector
+is a join on the shared index plus a grouped sum.  A matrix by a matrix is
+blocked: the operands are cut into row and column tiles, tiles meet on the
+block of the inner index, and a row of A times a column of B is one array
+expression inside the JVM.  Whether a small operand is broadcast is left to
+the planner, which knows its size at run time.
 """
 
 from __future__ import annotations
@@ -25,17 +27,51 @@ def matrix_vector(m: DataFrame, x: DataFrame) -> DataFrame:
     return m.join(x, "c").groupBy("r").agg(F.sum(F.col("v") * F.col("x")).alias("y"))
 
 
-def matrix_multiply(a: DataFrame, b: DataFrame) -> DataFrame:
+BLOCK = 32               # inner indices, and columns of B, of a tile
+
+
+def _block_of(index: str, block: int):
+    return F.expr(f"(`{index}` - pmod(`{index}`, {block}L)) div {block}L")
+
+
+def _strips(m: DataFrame, line: str, inner: str, block: int, *tile: str) -> DataFrame:
+    """(tile, line, _kb, _x): the entries of each ``line`` (a row of A, a
+    column of B) within a block of the inner index, as an array of ``block``
+    values with NULL where there is no entry.  Entries given twice are
+    added, as a sum of their products would."""
+    at = F.pmod(F.col(inner), F.lit(block)).cast("int")
+    keyed = m.where(F.col("v").isNotNull()).select(*tile, line, _block_of(inner, block).alias("_kb"),
+                                                   at.alias("_at"), F.col("v").cast("double").alias("v"))
+    keyed = keyed.repartition(*(tile or (line,)), "_kb")
+    once = keyed.groupBy(*tile, line, "_kb", "_at").agg(F.sum("v").alias("v"))
+    some = F.map_from_entries(F.collect_list(F.struct("_at", "v")))
+    return once.groupBy(*tile, line, "_kb").agg(some.alias("_m")).select(*tile, line, "_kb", F.transform(
+        F.sequence(F.lit(0), F.lit(block - 1)), lambda i: F.try_element_at(F.col("_m"), i)).alias("_x"))
+
+
+def _dot(a, b):
+    """Sum of the products of two arrays; NULL if no place has both."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(None).cast("double"),
+                       lambda t, x: F.coalesce(t + x, t, x))
+
+
+def matrix_multiply(a: DataFrame, b: DataFrame, block: int = BLOCK) -> DataFrame:
     """C = A B with A and B as (r, c, v); indices are any longs, and an
-    entry that sums to zero stays.
+    entry that sums to zero stays.  A NULL value is no entry.
 
-    A join on the inner index and a partial sum per (A.r, B.c).  The planner
-    broadcasts B when its run-time size allows it; otherwise an inner index
-    that holds much of A is a skewed join partition, which AQE splits.
+    B's tiles hold ``block`` x ``block`` entries, A's are strips of one row.
+    A strip that meets a tile gives one array of partial sums, so the rows
+    joined and shuffled are a ``block``-th of the products (a ``block``
+    squared-th before the columns are spread).  An inner block that holds
+    much of A is a skewed join partition, which AQE splits.
     """
-    b = b.select(F.col("r").alias("_k"), F.col("c").alias("_c"), F.col("v").alias("_w"))
-    j = a.join(b, a["c"] == b["_k"])
-    return j.groupBy(F.col("r"), F.col("_c").alias("c")).agg(F.sum(F.col("v") * F.col("_w")).alias("v"))
+    left = _strips(a, "r", "c", block)
+    right = _strips(b.select(F.col("r").alias("_k"), F.col("c").alias("_c"), "v",
+                             _block_of("c", block).alias("_cb")), "_c", "_k", block, "_cb")
+    tiles = right.groupBy("_cb", "_kb").agg(F.collect_list(F.struct("_c", F.col("_x").alias("x"))).alias("_columns"))
+    products = left.join(tiles, "_kb").select("r", F.explode(F.transform(
+        "_columns", lambda y: F.struct(y["_c"].alias("c"), _dot(F.col("_x"), y["x"]).alias("v")))).alias("p"))
+    return products.select("r", "p.c", "p.v").where("v is not null").groupBy("r", "c").agg(F.sum("v").alias("v"))
 
 
 def transpose(m: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 Polygons are rows ``(poly_id, name, rings)`` where ``rings`` is
 ``array<array<struct<x: double, y: double>>>`` (outer ring, then holes).
-The join never compares every point with every polygon: polygons sit in
-the grid cells of a size of their own that their box covers, and the
-equi-join on the cell is followed by the box test and the exact
-(closed-set) containment test, all as JVM expressions.
+The join never compares every point with every polygon, nor a point with a
+whole polygon: polygons are cut into grid cells that hold only the edges
+that cross them and whether their corner lies inside, and a point is tested
+against the cell that it falls into, all as JVM expressions.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.geo import point_in_polygon, ring_edges
+from strata.functions.geo import corner_inside, point_in_cell, ring_edges
+from strata.session import reliable
 
 
 def polygon_table(polys: DataFrame, rings_col: str = "rings") -> DataFrame:
@@ -39,37 +40,102 @@ def _cell(v: Column, level: Column) -> Column:
     return F.floor(v / F.pow(F.lit(2.0), level)).cast("long")
 
 
-def _with_level(polys: DataFrame) -> DataFrame:
-    """Each polygon's level: the smallest power of two that its extent fits,
-    so that its box covers at most four cells of that size, whatever the
-    units of the coordinates."""
+EDGES = 16               # edges of a cell that is not cut further, if it can be
+_DIGITS = 50             # a cell number keeps this many bits, so cell borders are exact doubles
+_STEP = 2                # a cell is cut into 2^_STEP x 2^_STEP
+_LEVELS = 24             # levels below a polygon's own, at most
+
+
+def _size(level: Column) -> Column:
+    return F.pow(F.lit(2.0), level)
+
+
+def _crossing(edges: Column, cx: Column, cy: Column, level: Column) -> Column:
+    """The edges that may touch the closed cell; a few near it as well."""
+    half = _size(level) / 2
+    mx, my = (cx * 2 + 1) * half, (cy * 2 + 1) * half
+
+    def touches(e):
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        a, b = (mx - e["x1"]) * dy, (my - e["y1"]) * dx
+        reach = half * (F.abs(dx) + F.abs(dy)) * (1 + 1e-9) + (F.abs(a) + F.abs(b)) * 1e-12
+        return ((F.least(e["x1"], e["x2"]) <= mx + half) & (F.greatest(e["x1"], e["x2"]) >= mx - half)
+                & (F.least(e["y1"], e["y2"]) <= my + half) & (F.greatest(e["y1"], e["y2"]) >= my - half)
+                & (F.abs(a - b) <= reach))
+    return F.filter(edges, touches)
+
+
+def cell_index(polys: DataFrame, most: int = EDGES) -> DataFrame:
+    """(poly_id, name, _level, _cx, _cy, _inside, _edges): each polygon as
+    disjoint cells of 2^_level units.  ``_edges`` are the edges that cross
+    the cell and ``_inside`` tells whether its lower left corner (a hair
+    above and to the right of it) lies inside; cells without either are left
+    out.
+
+    A polygon begins as the at most four cells of the power of two above
+    its extent, whatever the units of its coordinates.  A cell with more
+    than ``most`` edges is cut into 16, each with the edges that cross it and
+    the corner found from the parent's, until it has fewer or is a 2^24-th
+    of the polygon (many edges in one vertex) or nears the resolution of the
+    coordinates.  So a cell's edges, and the work for a point, do not grow
+    with the polygon.
+    """
+    pt = polygon_table(polys)
     extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
-    return polys.withColumn("_level", F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(F.lit(-40)).cast("int"))
+    largest = F.greatest(F.abs(F.col("min_x")), F.abs(F.col("max_x")), F.abs(F.col("min_y")), F.abs(F.col("max_y")))
+    finest = F.when(largest > 0, F.ceil(F.log2(largest))).otherwise(F.lit(0)) - _DIGITS
+    level = F.greatest(F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(finest), finest).cast("int")
+    lv, cx, cy, edges = F.col("_level"), F.col("_cx"), F.col("_cy"), F.col("_edges")
+    cells = pt.withColumns({"_level": level, "_finest": F.greatest(finest.cast("int") + _STEP, level - _LEVELS),
+                            "_all": F.col("edges")}).select(
+        "poly_id", "name", "_level", "_finest", "_all", "min_y", "max_y", F.explode(
+            F.sequence(_cell(F.col("min_x"), lv), _cell(F.col("max_x"), lv))).alias("_cx")).withColumn(
+        "_cy", F.explode(F.sequence(_cell(F.col("min_y"), lv), _cell(F.col("max_y"), lv))))
+    cells = cells.select(
+        "poly_id", "name", "_level", "_cx", "_cy", "_finest", _crossing(F.col("_all"), cx, cy, lv).alias("_edges"),
+        corner_inside(cx * _size(lv), cy * _size(lv), F.col("_all")).alias("_inside"))
+    out = None
+    while True:
+        cells = cells.where((F.size("_edges") > 0) | F.col("_inside"))
+        large = (F.size("_edges") > most) & (F.col("_level") >= F.col("_finest"))
+        if out is None and pt.where(F.size("edges") > most).isEmpty():
+            return cells.drop("_finest")
+        cells = reliable(cells)
+        done = cells.where(~large)
+        out = done if out is None else out.unionByName(done)
+        if cells.where(large).isEmpty():
+            return out.drop("_finest")
+        # the parent's edges tell whether a child's corner is on the same side as the parent's
+        side, least = 1 << _STEP, lv - _STEP
+        child = cells.where(large).repartition("poly_id", "_cx", "_cy").select("*", F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(side) for j in range(side)])).alias("_q"))
+        kx, ky, h = cx * side + F.col("_q.i"), cy * side + F.col("_q.j"), _size(least)
+        # new names first: a column must not be read under the name of another one
+        cells = child.select("poly_id", "name", "_finest", least.alias("_l"), kx.alias("_x"), ky.alias("_y"),
+                             _crossing(edges, kx, ky, least).alias("_e"),
+                             (F.col("_inside") != corner_inside(kx * h, ky * h, edges, cx * _size(lv), cy * _size(lv)))
+                             .alias("_i")).select("poly_id", "name", F.col("_l").alias("_level"), F.col("_x").alias("_cx"),
+                                                  F.col("_y").alias("_cy"), "_finest", F.col("_e").alias("_edges"),
+                                                  F.col("_i").alias("_inside"))
 
 
 def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """Pairs (point row, poly_id, name) with the point in or on the polygon.
 
     A point may hit several (overlapping) polygons; a point without
-    coordinates hits none.  Polygons sit in the (at most four) cells of
-    their own level; a point probes its one cell on each level that a
-    polygon has (a scalar subquery; levels are binary exponents, so few).
-    Cells carry the box only, the edges are joined by ``poly_id`` for the
-    points that pass the box test; AQE splits a hot cell or polygon.
+    coordinates hits none.  A point probes its one cell on each level of the
+    polygons' ``cell_index`` (a scalar subquery; levels are binary
+    exponents, so few) and is tested there with the cell's edges alone; AQE
+    splits a hot cell.
     """
-    pt = _with_level(polygon_table(polys))
+    cells = cell_index(polys)
+    levels = cells.agg(F.collect_set("_level")).scalar()
     lv = F.col("_level")
-    cells = pt.select("poly_id", "min_x", "max_x", "min_y", "max_y", "_level", F.explode(
-        F.sequence(_cell(F.col("min_x"), lv), _cell(F.col("max_x"), lv))).alias("_cx")).withColumn(
-        "_cy", F.explode(F.sequence(_cell(F.col("min_y"), lv), _cell(F.col("max_y"), lv))))
-    levels = pt.agg(F.collect_set("_level")).scalar()
     probe = points.withColumn("_level", F.explode(levels)).withColumns({
         "_cx": _cell(F.col(x), lv), "_cy": _cell(F.col(y), lv)})
-    near = (probe.join(cells, ["_level", "_cx", "_cy"])
-            .where(F.col(x).between(F.col("min_x"), F.col("max_x")) & F.col(y).between(F.col("min_y"), F.col("max_y")))
-            .select(*points.columns, "poly_id"))
-    return (near.join(pt.select("poly_id", "name", "edges"), "poly_id")
-            .where(point_in_polygon(F.col(x), F.col(y), F.col("edges")))
+    return (probe.join(cells, ["_level", "_cx", "_cy"])
+            .where(point_in_cell(F.col(x), F.col(y), F.col("_cx") * _size(lv), F.col("_cy") * _size(lv),
+                                 F.col("_edges"), F.col("_inside")))
             .select(*points.columns, "poly_id", "name"))
 
 
