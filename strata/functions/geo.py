@@ -86,13 +86,36 @@ def lcc_project(lat, lon) -> tuple[Column, Column]:
     return x, y
 
 
+def project_rings(rings, step: float) -> Column:
+    """Rings of (x = longitude, y = latitude) in EPSG:6539 feet.  A straight
+    edge in degrees bends in the projection, so an edge of more than
+    ``step`` degrees gets vertices added at equal distances of at most that.
+    """
+    def point(x, y):
+        px, py = lcc_project(y, x)
+        return F.struct(px.alias("x"), py.alias("y"))
+
+    def along(ring, i):
+        a, b = ring[i], ring[i + 1]
+        dx, dy = b["x"] - a["x"], b["y"] - a["y"]
+        n = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / F.lit(float(step))).cast("int"))
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda j: point(a["x"] + dx * j / n, a["y"] + dy * j / n))
+
+    def whole(ring):
+        last = F.element_at(ring, -1)
+        inner = F.flatten(F.transform(F.sequence(F.lit(0), F.size(ring) - 2), lambda i: along(ring, i)))
+        return F.when(F.size(ring) > 1, F.concat(inner, F.array(point(last["x"], last["y"])))).otherwise(
+            F.transform(ring, lambda p: point(p["x"], p["y"])))
+    return F.transform(_c(rings), whole)
+
+
 def ring_edges(rings) -> Column:
     """Flatten polygon rings into one edge array of struct(x1, y1, x2, y2).
 
     Each ring is closed (first vertex repeated last, as GeoJSON requires).
     """
     def edges_of(ring):
-        idx = F.sequence(F.lit(0), F.size(ring) - 2)
+        idx = F.slice(F.sequence(F.lit(0), F.greatest(F.size(ring) - 1, F.lit(0))), F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
         return F.transform(idx, lambda i: F.struct(
             ring[i]["x"].alias("x1"), ring[i]["y"].alias("y1"),
             ring[i + 1]["x"].alias("x2"), ring[i + 1]["y"].alias("y2")))

@@ -40,7 +40,3 @@ def parse_experience(s) -> Column:
 def column_name_fn(name: str, old: str = "_", new: str = "-") -> str:
     """Rename rule applied to every column name (``_`` -> ``-``)."""
     return name.replace(old, new)
-
-
-def join_names(arr, sep: str = " | ") -> Column:
-    return F.array_join(F.array_sort(_c(arr)), sep)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,24 +24,20 @@ def one_hot_range(df: DataFrame, col: str, n: int, drop_source: bool = True, sep
     return one_hot(df, col, list(range(n)), drop_source=drop_source, sep=sep)
 
 
+MAX_LABELS = 1_000_000   # distinct labels that a fitted indexer holds on the driver
+
+
 def label_index(df: DataFrame, col: str, out_col: str = "label_idx") -> DataFrame:
     """Category -> number in alphabetical order (``StringIndexer`` alphabetAsc).
 
-    Fits a ``StringIndexer`` (a distributed distinct, collected as the
-    bounded label list) and applies it.
+    Fits a ``StringIndexer`` (a distributed distinct, collected as the label
+    list, at most ``MAX_LABELS`` by a check) and applies it.
     """
+    if df.select(col).distinct().limit(MAX_LABELS + 1).count() > MAX_LABELS:
+        raise ValueError(f"{col} has more than {MAX_LABELS} distinct labels")
     model = StringIndexer(inputCol=col, outputCol=out_col, stringOrderType="alphabetAsc").fit(df)
     return model.transform(df).withColumn(out_col, F.col(out_col).cast("int"))
 
 
-def label_index_sql(df: DataFrame, col: str, out_col: str = "label_idx") -> DataFrame:
-    """Same numbering as ``label_index`` expressed as dense_rank over the
-    distinct labels (the distinct set is small; the join is broadcast
-    by AQE when its runtime size allows)."""
-    labels = df.select(col).distinct()
-    ranked = labels.withColumn(out_col, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int"))
-    return df.join(ranked, on=col, how="left")
-
-
 def assemble(df: DataFrame, inputs: list[str], out_col: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=inputs, outputCol=out_col, handleInvalid="keep").transform(df)

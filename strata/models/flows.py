@@ -9,18 +9,17 @@ thread pool; every fit is itself a distributed job.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.models.trees import BoundedTree, leaf_classes, tree_nodes
+from strata.models.trees import BoundedTree, leaf_classes, n_leaves
 
 
 def one_hot_stage(col: str, n: int, prefix: str | None = None) -> SQLTransformer:
@@ -51,37 +50,21 @@ def duration_flow(loc_cols: list[str], base_features: list[str], label: str, n_c
 
 
 def tree_flow(features: list[str], label: str, max_nodes: int, cluster_k: int | None = None,
-              seed: int = 1) -> BoundedTree:
+              seed: int = 1, leaf_col: str = "") -> Pipeline:
     """Decision-tree classifier of at most ``max_nodes`` leaves, optionally
     with a k-means cluster one-hot of the same features as extra inputs."""
     stages, inputs = [], list(features)
     if cluster_k:
         stages += cluster_feature_stages(features, cluster_k, seed)
         inputs += [f"cluster-{i}" for i in range(cluster_k)]
-    return BoundedTree(stages, inputs, label, max_nodes, seed)
+    return Pipeline(stages=stages + [BoundedTree(inputCols=inputs, labelCol=label, maxNodes=max_nodes, leafCol=leaf_col)])
 
 
-def accuracy_of(df: DataFrame, predicted: str, actual: str) -> float:
-    return df.agg(F.avg((F.col(predicted) == F.col(actual)).cast("double"))).first()[0]
-
-
-def cross_validate(spark: SparkSession, data: DataFrame, fold_col: str, k: int,
-                   settings: dict[str, Callable[[], Pipeline]],
-                   metric: Callable[[DataFrame], float], parallelism: int = 8) -> DataFrame:
-    """Fit every setting on all folds but one and score it on the held-out
-    fold.  Returns (setting, fold, metric).  ``data`` should be persisted by
-    the caller (it is read by every fit)."""
-    tasks = [(name, f) for name in settings for f in range(k)]
-
-    def run(task):
-        name, f = task
-        train = data.filter(F.col(fold_col) != f)
-        valid = data.filter(F.col(fold_col) == f)
-        model = settings[name]().fit(train)
-        return name, f, float(metric(model.transform(valid)))
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, tasks))
-    return spark.createDataFrame(rows, "setting string, fold int, metric double")
+def save_and_load_flow(model: PipelineModel, path: str) -> PipelineModel:
+    """Write a fitted flow, with the state of every stage, to shared storage
+    and read it back."""
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def ensure_parallelism(df: DataFrame) -> DataFrame:
@@ -111,11 +94,12 @@ def tree_grid_scores(spark: SparkSession, data: DataFrame, fold_col: str, k: int
                      label: str, node_bounds: list[int], cluster_k: int | None = None,
                      parallelism: int = 8, seed: int = 1) -> DataFrame:
     """Accuracy of decision trees for every node bound, with and without a
-    k-means cluster feature, on every fold.
+    k-means cluster feature, on every fold: (setting, fold, n_valid, n_right,
+    leaves, metric).
 
-    Per (fold, variant) one deep tree is fitted; each bound is a cut of it
-    (``trees.leaf_classes``).  The held-out rows are counted per (leaf of
-    the deep tree, label), which scores all bounds at once.  Work shared
+    Per (fold, variant) one tree is grown to the largest bound; each smaller
+    bound is a cut of it (``trees.leaf_classes``).  The held-out rows are
+    counted per (leaf, label), which scores all bounds at once.  Work shared
     between settings (the fold's cluster stage) is done once; (fold,
     variant) tasks run from a thread pool.
     """
@@ -125,28 +109,30 @@ def tree_grid_scores(spark: SparkSession, data: DataFrame, fold_col: str, k: int
     def run(task):
         f, wc = task
         train = data.filter(F.col(fold_col) != f)
-        flow = tree_flow(features, label, max(node_bounds), cluster_k if wc else None, seed)
-        model = flow.pipeline.fit(train)
-        root = tree_nodes(model.stages[-1])
+        flow = tree_flow(features, label, max(node_bounds), cluster_k if wc else None, seed, leaf_col="_leaf")
+        model = flow.fit(train)
+        tree = model.stages[-1].tree
         # leaves x labels: as many rows as the fitted tree has
         counts = model.transform(data.filter(F.col(fold_col) == f)).groupBy("_leaf", label).count().collect()
         n = sum(r["count"] for r in counts)
         out = []
         for nb in node_bounds:
-            classes = leaf_classes(root, nb)
-            right = sum(r["count"] for r in counts if classes[int(r["_leaf"])] == r[label])
-            out.append((f"tree-{nb}" + ("+cluster" if wc else ""), f, n, right / n if n else None))
+            classes = leaf_classes(tree, nb)
+            right = sum(r["count"] for r in counts if classes[r["_leaf"]] == r[label])
+            out.append((f"tree-{nb}" + ("+cluster" if wc else ""), f, n, right, n_leaves(tree, nb), right / n if n else None))
         return out
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         rows = [r for chunk in pool.map(run, tasks) for r in chunk]
-    return spark.createDataFrame(rows, "setting string, fold int, n_valid long, metric double")
+    return spark.createDataFrame(rows, "setting string, fold int, n_valid long, n_right long, leaves int, metric double")
 
 
 def leaderboard(scores: DataFrame, higher_is_better: bool = True) -> DataFrame:
-    """(setting, metric of the best fold, mean over the folds, n_folds),
-    best first; equal metrics by the mean, then by name."""
+    """(rank, setting, metric of the best fold, mean over the folds,
+    n_folds), best first; equal metrics by the mean, then by name.  One row
+    per setting is ranked."""
     best = F.max("metric") if higher_is_better else F.min("metric")
     board = scores.groupBy("setting").agg(best.alias("metric"), F.avg("metric").alias("mean"),
                                           F.count("metric").alias("n_folds"))
     order = [F.col(c).desc() if higher_is_better else F.col(c).asc() for c in ("metric", "mean")]
-    return board.orderBy(*order, "setting")
+    rank = F.row_number().over(Window.orderBy(*order, "setting"))
+    return board.select(rank.alias("rank"), "*").orderBy("rank")

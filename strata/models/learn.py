@@ -7,9 +7,7 @@ the number of features / clusters / nodes, not by the data.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.clustering import KMeans
+import numpy as np
 from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,25 +36,6 @@ def predict_linear(df: DataFrame, model, features: list[str], out_col: str = "pr
     return model.transform(data).withColumnRenamed("_pred", out_col).drop("_features")
 
 
-def fit_kmeans(df: DataFrame, cols: list[str], k: int, seed: int = 1, max_iter: int = 20):
-    """k-means (k-means|| init) on all rows; ``cols`` are the coordinates."""
-    data = assemble(df, cols, "_features")
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features", predictionCol="_cluster")
-    return km.fit(data)
-
-
-def kmeans_assign(df: DataFrame, model, cols: list[str], out_col: str = "cluster") -> DataFrame:
-    data = assemble(df, cols, "_features")
-    return model.transform(data).withColumnRenamed("_cluster", out_col).drop("_features")
-
-
-def centres_table(spark: SparkSession, model, cols: list[str]) -> DataFrame:
-    """Fitted centres as a DataFrame (cluster, <cols>) - k rows."""
-    rows = [tuple([i] + [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    schema = "cluster int, " + ", ".join(f"`{c}` double" for c in cols)
-    return spark.createDataFrame(rows, schema)
-
-
 def fit_gbt(df: DataFrame, label: str, features: list[str], max_iter: int = 20, seed: int = 1,
             max_depth: int = 5, step: float = 0.1):
     data = assemble(df, features, "_features")
@@ -70,12 +49,6 @@ def predict_model(df: DataFrame, model, features: list[str], out_col: str = "pre
     return model.transform(data).withColumnRenamed("_pred", out_col).drop("_features")
 
 
-def depth_for_nodes(max_nodes: int) -> int:
-    """Spark trees are bounded by depth, not node count: the smallest depth
-    whose full tree has at least ``max_nodes`` leaves (Spark allows <= 30)."""
-    return max(1, min(30, math.ceil(math.log2(max(2, max_nodes)))))
-
-
 def mean_model_fit(train: DataFrame, label: str, decimal_scale: int | None = None):
     """The baseline model: the training mean, as a one-row DataFrame.
 
@@ -96,3 +69,49 @@ def save_and_load_linear(model, path: str) -> LinearRegressionModel:
     """Write a fitted linear model to (shared) storage and read it back."""
     model.write().overwrite().save(path)
     return LinearRegressionModel.load(path)
+
+
+def gram_by_group(df: DataFrame, label: str, features: list[str], group: str) -> dict:
+    """Per group (n, X'X, X'y, y'y) of an intercept and the features, from
+    one scan: a map-side combined row of sums per group.  Rows with a NULL
+    label or feature are left out."""
+    cols = [F.lit(1.0)] + [F.col(f"`{c}`").cast("double") for c in features] + [F.col(label).cast("double")]
+    d = len(cols)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    whole = F.lit(True)
+    for c in cols[1:]:
+        whole = whole & c.isNotNull()
+    sums = df.where(whole).groupBy(group).agg(*[F.sum(cols[i] * cols[j]).alias(f"s{i}_{j}") for i, j in pairs]).collect()
+    out = {}
+    for r in sums:
+        m = np.zeros((d, d))
+        for i, j in pairs:
+            m[i, j] = m[j, i] = r[f"s{i}_{j}"]
+        out[r[group]] = (m[0, 0], m[:-1, :-1], m[:-1, -1], m[-1, -1])
+    return out
+
+
+def cross_validated_ols(spark: SparkSession, df: DataFrame, label: str, features: list[str], fold: str) -> DataFrame:
+    """Least squares on all folds but one, scored on that one: (fold,
+    n_train, n_valid, rmse, r2, term, coefficient), a row per term.
+
+    Gram matrices add up, so each fold's fit comes from the total less the
+    fold's own, and its squared error from its own: one scan for all fits
+    and scores.  A feature that is constant in training gets the least-norm
+    coefficient.  Only the folds' matrices reach the driver.
+    """
+    grams = gram_by_group(df, label, features, fold)
+    total = [sum(g[i] for g in grams.values()) for i in range(4)]
+    rows = []
+    for f, own in sorted(grams.items()):
+        n, xx, xy, _ = (t - o for t, o in zip(total, own))
+        if not n:
+            continue
+        b = np.linalg.lstsq(xx, xy, rcond=1e-12)[0]
+        error = max(own[3] - 2 * b @ own[2] + b @ own[1] @ b, 0.0)
+        spread = own[3] - own[2][0] ** 2 / own[0]
+        r2 = float(1 - error / spread) if spread > 0 else None
+        for name, c in zip(["(intercept)", *features], b):
+            rows.append((f, int(n), int(own[0]), float(np.sqrt(error / own[0])), r2, name, float(c)))
+    return spark.createDataFrame(rows, f"{fold} int, n_train long, n_valid long, rmse double, r2 double, "
+                                       "term string, coefficient double")

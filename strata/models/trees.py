@@ -1,10 +1,18 @@
-"""Decision trees with a bound on their leaves.
+"""Classification trees grown best split first, to a bound on their leaves.
 
-Spark bounds a tree by depth only.  Here a deeper tree is fitted and cut
-back best split first: starting from the root, the split that lowers the
-weighted impurity most is opened until the tree has ``max_nodes`` leaves.
-A cut is a class per leaf of the deep tree, so any number of cuts are scored
-from one prediction of the deep tree's leaf.
+Spark bounds a tree by depth only.  ``grow`` opens the leaf whose split
+lowers the Gini impurity, weighted by its rows, most, until the tree has
+``max_nodes`` leaves.  Rows are binned once by exact quantiles and carry
+the number of their leaf; a round counts (leaf, feature, bin, class) for
+all leaves at once, map-side combined, and finds each leaf's best split in
+Spark.  Which leaves the next round needs is known from a trial run of the
+opening order over the leaves known so far: it opens every leaf that the
+final order can open, so a round can look at all their children together,
+and there are as many rounds as the tree has levels, not leaves.  Only one
+row per leaf reaches the driver, so ``max_nodes`` bounds it.
+
+A tree keeps its opening order, so the tree of any smaller bound is a cut
+of it: a class per leaf of the large tree.
 """
 
 from __future__ import annotations
@@ -12,93 +20,248 @@ from __future__ import annotations
 import heapq
 import json
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark import StorageLevel, keyword_only
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
+
+from strata.operators.aggregates import exact_quantiles
+from strata.session import reliable
+
+BINS = 32                # bins per feature
+LEAST_GAIN = 1e-9        # a split must lower the weighted impurity by more
+MAX_CLASSES = 1000
+_CUT = 8                 # rounds after which the rows are written to the checkpoint folder
+
+
+def _thresholds(data: DataFrame, inputs: list[str], bins: int) -> list[list[float]]:
+    """Distinct quantiles of each feature, ascending; a split is x <= one of them."""
+    each = data.select(F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"`{c}`").cast("double").alias("v"))
+                                           for i, c in enumerate(inputs)])).alias("e")).select("e.*")
+    cuts = exact_quantiles(each.where(~F.isnan("v")), ["f"], "v", [i / bins for i in range(1, bins)]).collect()
+    found: dict = {r["f"]: sorted({float(x) for x in r[1:]}) for r in cuts}
+    return [found.get(i, []) for i in range(len(inputs))]
+
+
+def _best_splits(rows: DataFrame, classes: list[float]) -> list:
+    """Per leaf (node): class counts ``c``, and the split of largest gain,
+    ties to the first feature and the lowest bin; gain -1 without one."""
+    k = range(len(classes))
+    cells = rows.select("node", "y", F.posexplode("b").alias("f", "bin")).groupBy("node", "f", "bin").agg(
+        *[F.count_if(F.col("y") == i).alias(f"c{i}") for i in k])
+    part = Window.partitionBy("node", "f")
+    upto = part.orderBy("bin")
+    cells = cells.select("node", "f", "bin", *[F.sum(f"c{i}").over(upto).alias(f"l{i}") for i in k],
+                         *[F.sum(f"c{i}").over(part).alias(f"t{i}") for i in k])
+
+    def purity(counts):
+        squares, n = None, None
+        for x in counts:
+            squares = x * x if squares is None else squares + x * x
+            n = x if n is None else n + x
+        return squares.cast("double") / n
+    left, total = [F.col(f"l{i}") for i in k], [F.col(f"t{i}") for i in k]
+    right = [t - x for t, x in zip(total, left)]
+    some = right[0]
+    for x in right[1:]:
+        some = some + x
+    gain = F.when(some > 0, purity(left) + purity(right) - purity(total)).otherwise(F.lit(-1.0))
+    return cells.groupBy("node").agg(
+        F.max(F.struct(gain.alias("gain"), (-F.col("f")).alias("f"), (-F.col("bin")).alias("bin"))).alias("s"),
+        F.first(F.array(*total)).alias("c")).select("node", "s.gain", -F.col("s.f"), -F.col("s.bin"), "c").collect()
+
+
+def _opening_order(nodes: list[dict], max_nodes: int) -> list[int]:
+    """Nodes in the order in which they are opened, as far as they are known."""
+    heap, order, found = [], [], 0
+
+    def offer(i):
+        nonlocal found
+        if nodes[i]["gain"] > LEAST_GAIN:
+            heapq.heappush(heap, (-nodes[i]["gain"], found, i))
+        found += 1
+    offer(0)
+    while heap and len(order) < max_nodes - 1:
+        i = heapq.heappop(heap)[2]
+        order.append(i)
+        if nodes[i]["l"] is not None:
+            offer(nodes[i]["l"])
+            offer(nodes[i]["r"])
+    return order
+
+
+def grow(data: DataFrame, inputs: list[str], label: str, max_nodes: int, bins: int = BINS) -> list[dict]:
+    """The tree as a list of nodes, the root first: class ``p``; for opened
+    nodes the place ``o`` in the opening order (from 1), feature number
+    ``f``, threshold ``t`` (x <= t goes left) and the children ``l``, ``r``.
+
+    NULL and NaN features sort above all values; rows with a NULL label are
+    left out; without rows there is one leaf of class NaN.
+    """
+    spark = data.sparkSession
+    data = data.where(F.col(label).isNotNull())
+    classes = sorted(float(r[0]) for r in data.select(F.col(label).cast("double")).distinct().limit(MAX_CLASSES + 1).collect())
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    if not classes:
+        return [{"p": float("nan")}]
+    cuts = _thresholds(data, inputs, bins)
+
+    def bin_of(c, thresholds):
+        x, out = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))), F.lit(0)
+        for t in thresholds:
+            out = out + (x > t).cast("int")
+        return out
+    y = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("double")) - 1
+    rows = data.select(F.array(*[bin_of(c, t) for c, t in zip(inputs, cuts)]).alias("b"), y.cast("int").alias("y"),
+                       F.lit(0).alias("node")).persist(StorageLevel.MEMORY_AND_DISK)
+    nodes: list[dict] = []
 
-from strata.models.learn import depth_for_nodes
-
-SPARE_DEPTH = 3          # levels beyond the full tree of max_nodes leaves, for one-sided growth
-
-
-def tree_nodes(model) -> dict:
-    """A fitted decision tree as nested dicts {p, w, l, r} read from the
-    model's public ``rootNode``: majority class and, for inner nodes, the
-    impurity decrease weighted by the node's rows."""
-    def walk(n):
-        node = {"p": float(n.prediction())}
-        if n.getClass().getSimpleName() == "InternalNode":
-            node |= {"w": float(n.gain()) * float(n.impurityStats().count()), "l": walk(n.leftChild()),
-                     "r": walk(n.rightChild())}
-        return node
-    return walk(model._java_obj.rootNode())
-
-
-def _leaves(node: dict) -> int:
-    return _leaves(node["l"]) + _leaves(node["r"]) if "l" in node else 1
-
-
-def leaf_classes(root: dict, max_nodes: int) -> list[float]:
-    """Class of each leaf of the deep tree (left to right) in the tree cut to
-    at most ``max_nodes`` leaves (ties: the split found first)."""
-    return [c for c, leaves in cut_leaves(root, max_nodes) for _ in range(leaves)]
-
-
-def cut_leaves(root: dict, max_nodes: int) -> list[tuple[float, int]]:
-    """The leaves of the cut tree, left to right: class, and how many leaves
-    of the deep tree they hold."""
-    opened, heap, n, found = set(), [], 1, 0
-    if "l" in root:
-        heap.append((-root["w"], 0, id(root), root))
-    while heap and n < max_nodes:
-        _, _, key, node = heapq.heappop(heap)
-        opened.add(key)
-        n += 1
-        for child in (node["l"], node["r"]):
-            if "l" in child:
-                found += 1
-                heapq.heappush(heap, (-child["w"], found, id(child), child))
-    out: list[tuple[float, int]] = []
-
-    def walk(node):
-        if id(node) in opened:
-            walk(node["l"])
-            walk(node["r"])
+    def look(rows):
+        for node, gain, f, b, counts in sorted(_best_splits(rows, classes)):
+            assert node == len(nodes)
+            nodes.append({"gain": gain, "f": f, "b": b, "l": None, "r": None,
+                          "p": classes[max(range(len(classes)), key=lambda i: (counts[i], -i))]})
+    look(rows)
+    held, rounds = [rows], 0
+    while True:
+        order = _opening_order(nodes, max_nodes)
+        fresh = [i for i in order if nodes[i]["l"] is None]
+        if not fresh:
+            break
+        moves = []
+        for j, i in enumerate(fresh):
+            nodes[i]["l"], nodes[i]["r"] = len(nodes) + 2 * j, len(nodes) + 2 * j + 1
+            moves.append((i, nodes[i]["f"], nodes[i]["b"], nodes[i]["l"], nodes[i]["r"]))
+        # max_nodes rows at most; rows of leaves that stay closed are done
+        moves = F.broadcast(spark.createDataFrame(moves, "node int, f int, bin int, l int, r int"))
+        rows = rows.join(moves, "node").select("b", "y", F.when(
+            F.element_at("b", F.col("f") + 1) <= F.col("bin"), F.col("l")).otherwise(F.col("r")).alias("node"))
+        rounds += 1
+        rows = reliable(rows) if rounds % _CUT == 0 else rows.persist(StorageLevel.MEMORY_AND_DISK)
+        look(rows)
+        held.append(rows)
+        if len(held) > 2:
+            held.pop(0).unpersist()
+    for r in held:
+        r.unpersist()
+    # what was opened, numbered anew
+    place, out = {i: n for n, i in enumerate(order, 1)}, []
+
+    def keep(i):
+        at = len(out)
+        out.append({"p": nodes[i]["p"]})
+        todo.append((i, at))
+        return at
+    todo: list = []
+    keep(0)
+    while todo:
+        i, at = todo.pop()
+        if i in place:
+            n = nodes[i]
+            out[at] |= {"o": place[i], "f": n["f"], "t": cuts[n["f"]][n["b"]], "l": keep(n["l"]), "r": keep(n["r"])}
+    return out
+
+
+def leaf_classes(tree: list[dict], max_nodes: int) -> dict[int, float]:
+    """Class of each leaf of the tree in the tree cut to ``max_nodes`` leaves."""
+    out, todo = {}, [(0, None)]
+    while todo:
+        i, told = todo.pop()
+        node = tree[i]
+        if told is None and node.get("o", max_nodes) >= max_nodes:
+            told = node["p"]                     # closed in the cut tree
+        if "o" in node:
+            todo += [(node["l"], told), (node["r"], told)]
         else:
-            out.append((node["p"], _leaves(node)))
-    walk(root)
+            out[i] = told
     return out
 
 
-def class_of(leaf: Column, classes: list[float]) -> Column:
-    """Lookup of a leaf's class (an array that the planner folds once)."""
-    return F.element_at(F.from_json(F.lit(json.dumps(classes)), "array<double>"), leaf.cast("int") + 1)
+def n_leaves(tree: list[dict], max_nodes: int | None = None) -> int:
+    """Leaves of the tree, or of its cut to ``max_nodes``."""
+    opened = sum("o" in n for n in tree)
+    return 1 + (opened if max_nodes is None else min(opened, max_nodes - 1))
+
+
+def _depth(tree: list[dict]) -> int:
+    most, todo = 0, [(0, 0)]
+    while todo:
+        i, d = todo.pop()
+        most = max(most, d)
+        if "o" in tree[i]:
+            todo += [(tree[i]["l"], d + 1), (tree[i]["r"], d + 1)]
+    return most
+
+
+def leaf_of(tree: list[dict], inputs: list[str]) -> Column:
+    """Number of the leaf that a row falls into: a walk down an array of
+    nodes, which the planner builds once."""
+    rows = [{"f": n.get("f", -1), "t": n.get("t", 0.0), "l": n.get("l", 0), "r": n.get("r", 0)} for n in tree]
+    nodes = F.from_json(F.lit(json.dumps(rows)), "array<struct<f:int,t:double,l:int,r:int>>")
+    x = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in inputs])
+    depth = _depth(tree)
+    if not depth:
+        return F.lit(0)
+
+    def step(at, _):
+        n = F.element_at(nodes, at + 1)
+        return F.when(n["f"] < 0, at).when(F.element_at(x, n["f"] + 1) <= n["t"], n["l"]).otherwise(n["r"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+
+
+class _TreeParams(Params):
+    inputCols = Param(Params._dummy(), "inputCols", "numeric feature columns", typeConverter=TypeConverters.toListString)
+    labelCol = Param(Params._dummy(), "labelCol", "class column (a number)", typeConverter=TypeConverters.toString)
+    maxNodes = Param(Params._dummy(), "maxNodes", "leaves at most", typeConverter=TypeConverters.toInt)
+    bins = Param(Params._dummy(), "bins", "bins per feature", typeConverter=TypeConverters.toInt)
+    predictionCol = Param(Params._dummy(), "predictionCol", "predicted class", typeConverter=TypeConverters.toString)
+    leafCol = Param(Params._dummy(), "leafCol", "number of the row's leaf; none if empty", typeConverter=TypeConverters.toString)
+
+
+class BoundedTree(Estimator, _TreeParams, DefaultParamsReadable, DefaultParamsWritable):
+    """A tree of at most ``maxNodes`` leaves, opened best split first, as a
+    stage of a pipeline."""
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, labelCol="label", maxNodes=32, bins=BINS, predictionCol="predicted", leafCol=""):
+        super().__init__()
+        self._setDefault(labelCol="label", maxNodes=32, bins=BINS, predictionCol="predicted", leafCol="")
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> BoundedTreeModel:
+        get = self.getOrDefault
+        tree = grow(dataset, get("inputCols"), get("labelCol"), get("maxNodes"), get("bins"))
+        return self._copyValues(BoundedTreeModel(state=json.dumps(tree)))
 
 
-class BoundedTree:
-    """Stages, then a decision-tree classifier of at most ``max_nodes``
-    leaves.  ``fit`` returns a transformer that adds ``predicted``."""
+class BoundedTreeModel(Model, _TreeParams, DefaultParamsReadable, DefaultParamsWritable):
+    """The fitted tree.  It is one of the stage's parameters, so it is
+    written and read with the pipeline."""
 
-    def __init__(self, stages: list, inputs: list[str], label: str, max_nodes: int, seed: int = 1):
-        self.max_nodes = max_nodes
-        self.pipeline = Pipeline(stages=stages + [
-            VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"),
-            DecisionTreeClassifier(featuresCol="_features", labelCol=label, predictionCol="_deep", leafCol="_leaf",
-                                   maxDepth=min(30, depth_for_nodes(max_nodes) + SPARE_DEPTH), seed=seed,
-                                   rawPredictionCol="_raw", probabilityCol="_prob")])
+    state = Param(Params._dummy(), "state", "the tree's nodes as JSON", typeConverter=TypeConverters.toString)
 
-    def fit(self, train: DataFrame) -> BoundedTreeModel:
-        model = self.pipeline.fit(train)
-        return BoundedTreeModel(model, cut_leaves(tree_nodes(model.stages[-1]), self.max_nodes))
+    @keyword_only
+    def __init__(self, *, state=None):
+        super().__init__()
+        self._setDefault(labelCol="label", maxNodes=32, bins=BINS, predictionCol="predicted", leafCol="")
+        self._set(**self._input_kwargs)
 
+    @property
+    def tree(self) -> list[dict]:
+        return json.loads(self.getOrDefault("state"))
 
-class BoundedTreeModel:
-    def __init__(self, model, leaves: list[tuple[float, int]]):
-        self.model, self.n_leaves = model, len(leaves)
-        self.classes = [c for c, n in leaves for _ in range(n)]
+    @property
+    def n_leaves(self) -> int:
+        return n_leaves(self.tree)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return (self.model.transform(df).withColumn("predicted", class_of(F.col("_leaf"), self.classes))
-                .drop("_deep", "_leaf", "_raw", "_prob", "_features", "_loc"))
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        get, tree = self.getOrDefault, self.tree
+        classes = F.from_json(F.lit(json.dumps([n["p"] for n in tree])), "array<double>", {"allowNonNumericNumbers": "true"})
+        leaf = get("leafCol") or "_leaf_of_row"
+        out = dataset.withColumn(leaf, leaf_of(tree, get("inputCols")))
+        out = out.withColumn(get("predictionCol"), F.element_at(classes, F.col(leaf) + 1))
+        return out if get("leafCol") else out.drop(leaf)

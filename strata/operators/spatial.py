@@ -159,8 +159,9 @@ def polygon_names(points: DataFrame, polys: DataFrame, id_col: str, ends: list[t
 
 
 def nearest_centre(points: DataFrame, centres: list[tuple], cols: list[str],
-                   out_col: str = "cluster") -> DataFrame:
-    """Index of the nearest centre (squared Euclidean; ties -> lower index).
+                   out_col: str = "cluster", dist_col: str | None = None) -> DataFrame:
+    """Index of the nearest centre (squared Euclidean; ties -> lower index),
+    and in ``dist_col`` its squared distance.
 
     ``centres`` is a short driver-side list (k fitted or sampled centres,
     bounded by k); it travels inside the expression as an array literal,
@@ -176,7 +177,9 @@ def nearest_centre(points: DataFrame, centres: list[tuple], cols: list[str],
         return F.struct(F.aggregate(d, F.lit(0.0), lambda acc, v: acc + v).alias("d"),
                         cen["id"].alias("id"))
     best = F.array_min(F.transform(arr, dist))
-    return points.withColumn(out_col, best["id"])
+    if dist_col is None:
+        return points.withColumn(out_col, best["id"])
+    return points.withColumn("_best", best).withColumns({out_col: F.col("_best.id"), dist_col: F.col("_best.d")}).drop("_best")
 
 
 def lloyd_kmeans(points: DataFrame, cols: list[str], init: list[tuple], iterations: int) -> list[list[float]]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.models import features as feat
 from strata.models import learn
-from strata.models.flows import leaderboard, right_size, tree_flow, tree_grid_scores
+from strata.models.flows import leaderboard, right_size, save_and_load_flow, tree_flow, tree_grid_scores
 from strata.operators.ordering import kfold_assign, train_test_split
 from strata.plans import cat_daily  # noqa: F401  (registers ols_dow, reused below)
 from strata.plans import daily as flow
@@ -269,11 +269,11 @@ def _clusters(spark, d):
     return gen.gaussian_clusters(keys, "id", CENTRES, seed=11).withColumn("cls", F.col("cls").cast("double"))
 
 
-def _against_mean(pred, trips):
-    """Facts about real predictions per split: rows, non-null predictions,
-    and whether the absolute error on the training split is below that of
-    the training mean."""
-    mean = trips.filter(F.col("split") == "train").select(F.avg("dur")).scalar()
+def _against_mean(pred):
+    """Facts about real predictions (split, predicted, dur) per split: rows,
+    non-null predictions, and whether the absolute error on the training
+    split is below that of the training mean."""
+    mean = pred.filter(F.col("split") == "train").select(F.avg("dur")).scalar()
     each = pred.select("split", "predicted", F.abs(F.col("predicted") - F.col("dur")).alias("e"),
                        F.abs(F.col("dur") - mean).alias("base"))
     per = each.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count("predicted").alias("n_predicted"),
@@ -294,7 +294,7 @@ def gbt_regression(spark, d):
     t = train_test_split(taxi.taxi_trips(spark, d), "id", 0.7)
     train = t.filter(F.col("split") == "train")
     model = learn.fit_gbt(train, "dur", taxi.BASE, max_iter=20, seed=1)
-    return _against_mean(learn.predict_model(t, model, taxi.BASE), t)
+    return _against_mean(learn.predict_model(t, model, taxi.BASE))
 
 
 _CLUSTERS_SQL = "(SELECT c_custkey AS id, CAST(c_custkey % 8 AS DOUBLE) AS cls FROM customer)"
@@ -318,7 +318,7 @@ def decision_tree(spark, d):
     c = _clusters(spark, d)
     model = tree_flow(["x", "y"], "cls", 5).fit(c)
     return _against_majority(model.transform(c), []).withColumns({
-        "max_leaves": F.lit(5), "within_bound": F.lit(model.n_leaves <= 5)})
+        "max_leaves": F.lit(5), "within_bound": F.lit(model.stages[-1].n_leaves <= 5)})
 
 
 @query("cluster_feature_model", f"""
@@ -337,7 +337,7 @@ def taxi_duration_model(spark, d):
     """Flagship flow: location clusters + time features -> boosted trees;
     fitted state only (centres, trees) is carried to the test split."""
     _, pred = taxi.run_flow(spark, d, n_clusters=10)
-    return _against_mean(pred, train_test_split(taxi.taxi_trips(spark, d), "id", 0.7, seed=1))
+    return _against_mean(pred)
 
 
 @query("hyper_compare", f"""
@@ -373,19 +373,20 @@ def cv_decision_tree(spark, d):
     return scores.select("setting", "fold", "n_valid", (mean > 0.125).alias("better_than_chance"))
 
 
-@query("grid_leaderboard", f"""
-SELECT 'tree-' || nb || suffix AS setting, {GRID_FOLDS} AS n_folds, best AND nb >= 2 AS best_is_above_mean
-FROM (VALUES {", ".join(f"({nb})" for nb in GRID_NODE_BOUNDS)}) b(nb), (VALUES (''), ('+cluster')) s(suffix),
-     (SELECT count(*) > 0 AS best FROM customer)""")
+@query("grid_leaderboard")
 def grid_leaderboard(spark, d):
     """15 node bounds x cluster feature on/off, 10 folds each, on the
-    training split: the settings of the leaderboard, best fold first."""
+    training split, best fold first: the leaves of the largest of the
+    setting's trees, its held-out rows and how many were right, and the
+    metric of the best fold with the mean over the folds."""
     train = train_test_split(_clusters(spark, d), "id", 0.7).filter(F.col("split") == "train").drop("split")
     c = right_size(kfold_assign(train, "id", k=GRID_FOLDS))
     scores = tree_grid_scores(spark, c, "fold", GRID_FOLDS, ["x", "y"], "cls", GRID_NODE_BOUNDS, cluster_k=8)
     c.unpersist()
-    return leaderboard(scores).select("setting", F.col("n_folds").cast("int").alias("n_folds"),
-                                      (F.col("metric") >= F.col("mean")).alias("best_is_above_mean"))
+    grown = scores.groupBy("setting").agg(F.max("leaves").alias("leaves"), F.sum("n_valid").alias("n_valid"),
+                                          F.sum("n_right").alias("n_right"))
+    return rounded(leaderboard(scores).join(grown, "setting").select(
+        "rank", "setting", "leaves", "n_valid", "n_right", F.col("n_folds").cast("int").alias("n_folds"), "metric", "mean"))
 
 
 # mean models per group of the trips: each fold is predicted by the mean of the other folds' group
@@ -403,7 +404,8 @@ def _mean_board_sql() -> str:
     return f"""
 WITH f AS (SELECT id, dur, k, pickup, fold FROM {_folds_sql("(SELECT event_id AS id, value AS dur, event_type AS k, ts AS pickup FROM events)", "id", CV_FOLDS)}),
 scores AS ({" UNION ALL ".join(parts)})
-SELECT setting, round(CAST(min(metric) AS DOUBLE), 4) AS metric, round(avg(CAST(metric AS DOUBLE)), 4) AS mean,
+SELECT CAST(row_number() OVER (ORDER BY min(metric), avg(CAST(metric AS DOUBLE)), setting) AS INTEGER) AS rank, setting,
+       round(CAST(min(metric) AS DOUBLE), 4) AS metric, round(avg(CAST(metric AS DOUBLE)), 4) AS mean,
        count(*) AS n_folds FROM scores GROUP BY setting"""
 
 
@@ -427,3 +429,62 @@ def mean_leaderboard(spark, d):
             .alias("metric")).select(F.lit(name).alias("setting"), "fold", "metric"))
     scores = boards[0].unionByName(boards[1]).unionByName(boards[2])
     return rounded(leaderboard(scores, higher_is_better=False), 4)
+
+
+CV_OLS_FOLDS = 5
+
+
+def _cv_ols_sql() -> str:
+    days = with_views("SELECT date, n, day_of_week FROM daily_with_dow", "daily_with_dow")
+    return f"""
+WITH f AS (SELECT * FROM {_folds_sql("(" + days + ")", "date", CV_OLS_FOLDS)}),
+k AS (SELECT DISTINCT fold FROM f),
+m AS (SELECT k.fold, day_of_week, avg(n) AS m FROM k JOIN f ON f.fold <> k.fold GROUP BY 1, 2),
+size AS (SELECT k.fold, count(*) AS n_train FROM k JOIN f ON f.fold <> k.fold GROUP BY 1),
+score AS (SELECT f.fold, count(*) AS n_valid, sum((n - m) * (n - m)) AS error, var_pop(n) * count(*) AS spread
+          FROM f JOIN m ON m.fold = f.fold AND m.day_of_week = f.day_of_week GROUP BY 1)
+SELECT s.fold, n_train, n_valid, round(sqrt(error / n_valid), 6) AS rmse, round(1 - error / spread, 6) AS r2,
+       CASE WHEN a.day_of_week = 'Mon' THEN '(intercept)' ELSE 'day_of_week-' || a.day_of_week END AS term,
+       round(a.m - CASE WHEN a.day_of_week = 'Mon' THEN 0 ELSE b.m END, 6) AS coefficient
+FROM score s JOIN size USING (fold) JOIN m a ON a.fold = s.fold JOIN m b ON b.fold = s.fold AND b.day_of_week = 'Mon'"""
+
+
+@query("cv_ols_dow", _cv_ols_sql())
+def cv_ols_dow(spark, d):
+    """The weekday regression cross-validated over 5 folds of days: each
+    fold's coefficients, error and share of variance, from one scan."""
+    days = kfold_assign(flow.weekday_onehot(spark, d), "date", k=CV_OLS_FOLDS)
+    return rounded(learn.cross_validated_ols(spark, days, "n", flow.DUMMIES, "fold"))
+
+
+@query("kmeans_converged")
+def kmeans_converged(spark, d):
+    """k-means of all pickup points from oversampled starting centres, run
+    until the cost hardly falls: centres, sizes and each cluster's cost."""
+    from strata.models.clusters import fit_centres
+    from strata.operators.spatial import nearest_centre
+    g = views.geo(spark, d).select("id", "plat", "plong")
+    centres, _ = fit_centres(g, ["plat", "plong"], "id", 8)
+    near = nearest_centre(g, centres, ["plat", "plong"], "cluster", "_d").groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("_d").cast("decimal(38,12)")).alias("cost"))
+    table_ = spark.createDataFrame([(i, *c) for i, c in enumerate(centres)], "cluster int, plat double, plong double")
+    return rounded(table_.join(near, "cluster", "left").fillna({"n": 0}))
+
+
+@query("flow_roundtrip", f"""
+SELECT count(*) AS n, count(*) AS n_predicted, true AS better_than_majority, CAST(0 AS BIGINT) AS n_changed
+FROM {_CLUSTERS_SQL} WHERE NOT ({_unit('id')} < 0.7)""")
+def flow_roundtrip(spark, d):
+    """The cluster-feature flow fitted on the training split, written to
+    shared storage and read back with its centres and its tree: predictions
+    of the test split by the stored flow, and how many the one in memory
+    would make otherwise."""
+    c = train_test_split(_clusters(spark, d), "id", 0.7)
+    test = c.filter(F.col("split") == "test")
+    model = tree_flow(["x", "y"], "cls", 32, cluster_k=8).fit(c.filter(F.col("split") == "train"))
+    stored = save_and_load_flow(model, scratch_path(spark, "cluster-flow"))
+    both = stored.transform(test).withColumnRenamed("predicted", "_stored").drop("cluster", "_loc", *[f"cluster-{i}" for i in range(8)])
+    both = model.transform(both).withColumn("_changed", (~F.col("predicted").eqNullSafe(F.col("_stored"))).cast("long"))
+    changed = both.agg(F.sum("_changed")).first()[0]
+    return _against_majority(both.drop("predicted").withColumnRenamed("_stored", "predicted"), []).withColumn(
+        "n_changed", F.lit(changed or 0).cast("long"))

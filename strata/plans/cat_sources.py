@@ -81,18 +81,17 @@ def sink_csv_roundtrip(spark, d):
 
 
 @query("scan_images", """
-SELECT vec_id AS img, CAST((p - 1) // 16 AS INTEGER) AS i, CAST(((p - 1) // 4) % 4 AS INTEGER) AS j,
-       CAST((p - 1) % 4 AS INTEGER) AS k,
-       CAST(least(greatest(floor(abs(embedding[p]::DOUBLE) * 255.0), 0), 255) AS INTEGER) AS v
-FROM embeddings, range(1, len(embedding) + 1) t(p)""")
+SELECT vec_id AS img, CAST(p // 33 AS INTEGER) AS i, CAST((p // 3) % 11 AS INTEGER) AS j, CAST(p % 3 AS INTEGER) AS k,
+       CAST(least(greatest(floor(coalesce(abs(embedding[p + 1]::DOUBLE), 0) * 255.0), 0), 255) AS INTEGER) AS v
+FROM embeddings, range(0, 66) t(p)""")
 def scan_images(spark, d):
-    """Each embedding as a 4 x 4 BGRA image in the columns of Spark's image
-    source, unpacked to pixel rows."""
+    """Each embedding as a 2 x 11 image of three channels (its 64 values and
+    two zeros), written as bitmap files, one per image, read by Spark's image
+    source and unpacked to pixel rows."""
     em = table(spark, d, "embeddings")
-    two = F.transform("embedding", lambda e: F.lpad(F.hex(F.least(F.greatest(
-        F.floor(F.abs(e.cast("double")) * F.lit(255.0)), F.lit(0)), F.lit(255)).cast("long")), 2, "0"))
-    four = F.lit(4)
-    im = em.select(F.concat(F.lit("img-"), F.col("vec_id").cast("string"), F.lit(".png")).alias("origin"),
-                   four.alias("height"), F.expr("size(embedding) div 16").cast("int").alias("width"),
-                   four.alias("nChannels"), F.unhex(F.array_join(two, "")).alias("data"))
-    return images.images_to_pixels(im)
+    two = F.transform(F.concat("embedding", F.array(*[F.lit(0.0).cast("float")] * 2)), lambda e: F.lpad(F.hex(F.least(
+        F.greatest(F.floor(F.abs(e.cast("double")) * F.lit(255.0)), F.lit(0)), F.lit(255)).cast("long")), 2, "0"))
+    im = em.select(F.col("vec_id").alias("img"), F.lit(2).alias("height"), F.lit(11).alias("width"),
+                   F.unhex(F.array_join(two, "")).alias("data"))
+    path = images.write_bitmaps(im, scratch_path(spark, "bitmaps"))
+    return images.images_to_pixels(images.read_images(spark, path), r"img=(\d+)/")

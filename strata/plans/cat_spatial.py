@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.geo import haversine, lcc_project, planar_distance
+from strata.functions.geo import haversine, lcc_project, planar_distance, project_rings
 from strata.operators import ordering, spatial
 from strata.plans import views
 from strata.plans.registry import query, rounded
@@ -97,7 +97,7 @@ def polygon_bbox(spark, d):
     return rounded(t.select("poly_id", "min_x", "max_x", "min_y", "max_y"))
 
 
-def _hits(x: str = "x", y: str = "y", name: str = "hits") -> str:
+def _hits(x: str = "x", y: str = "y", name: str = "hits", points: str = "points", edges: str = "area_edges") -> str:
     """DuckDB CTE: (id, poly_id, name) for points in or on an area polygon,
     by the even-odd crossing count over all ring edges plus an on-edge test."""
     return f"""{name} AS (
@@ -109,7 +109,7 @@ def _hits(x: str = "x", y: str = "y", name: str = "hits") -> str:
       sum(CASE WHEN ((e.y1 > p.{y}) <> (e.y2 > p.{y}))
                 AND ((p.{x} - e.x1) * (e.y2 - e.y1) - (e.x2 - e.x1) * (p.{y} - e.y1)) * sign(e.y2 - e.y1) < 0
                THEN 1 ELSE 0 END) AS crossings
-    FROM points p, area_edges e GROUP BY p.id, e.poly_id, e.name)
+    FROM {points} p, {edges} e GROUP BY p.id, e.poly_id, e.name)
   WHERE on_edge OR crossings % 2 = 1)"""
 
 
@@ -173,3 +173,38 @@ def nearest_centroid(spark, d):
                ordering.sample_n(g.select("id", "plat", "plong"), K_CENTRES, "id").collect()]
     return spatial.nearest_centre(g.select("id", "plat", "plong"), centres, ["plat", "plong"]) \
         .select("id", F.col("cluster").cast("int").alias("cluster"))
+
+
+# the areas as parts of a map near New York, in degrees; edges are cut for the projection at this length
+MAP_X, MAP_Y, MAP_SCALE, BEND_STEP = -74.3, 40.2, 0.5, 0.02
+
+
+def _feet_sql() -> str:
+    def at(j):
+        return tuple(f"CASE WHEN {j} = n THEN {c}2 ELSE {c}1 + ({c}2 - {c}1) * {j} / n END" for c in ("x", "y"))
+    (ax, ay), (bx, by) = at("j"), at("(j + 1)")
+    x1, y1 = _lcc_sql(f"({ay})", f"({ax})")
+    x2, y2 = _lcc_sql(f"({by})", f"({bx})")
+    return with_views("SELECT id, poly_id, name FROM hits", "geo", "area_edges", ctes=(
+        f"""degrees AS (SELECT poly_id, name, {MAP_X} + {MAP_SCALE} * x1 AS x1, {MAP_Y} + {MAP_SCALE} * y1 AS y1,
+              {MAP_X} + {MAP_SCALE} * x2 AS x2, {MAP_Y} + {MAP_SCALE} * y2 AS y2 FROM area_edges)""",
+        f"""pieces AS (SELECT *, unnest(range(0, n)) AS j FROM (
+              SELECT *, greatest(1, CAST(ceil(greatest(abs(x2 - x1), abs(y2 - y1)) / {BEND_STEP}) AS BIGINT)) AS n FROM degrees))""",
+        f"feet AS (SELECT poly_id, name, {x1} AS x1, {y1} AS y1, {x2} AS x2, {y2} AS y2 FROM pieces)",
+        f"places AS (SELECT id, {_PX} AS x, {_PY} AS y FROM geo)",
+        _hits(points="places", edges="feet")))
+
+
+@query("join_in_feet", _feet_sql())
+def join_in_feet(spark, d):
+    """Pickup points and polygons given in degrees, both projected to feet,
+    the polygons with vertices added where a straight edge bends; then the
+    points in or on each polygon."""
+    def to_degrees(ring):
+        return F.transform(ring, lambda p: F.struct((F.lit(MAP_X) + F.lit(MAP_SCALE) * p["x"]).alias("x"),
+                                                    (F.lit(MAP_Y) + F.lit(MAP_SCALE) * p["y"]).alias("y")))
+    polys = views.areas(spark, d).withColumn("rings", F.transform("rings", to_degrees))
+    polys = polys.withColumn("rings", project_rings("rings", BEND_STEP))
+    x, y = lcc_project(F.col("plat"), F.col("plong"))
+    places = views.geo(spark, d).select("id", x.alias("x"), y.alias("y"))
+    return spatial.spatial_join(places, polys).select("id", "poly_id", "name")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.models.flows import duration_flow, ensure_parallelism
 from strata.operators.ordering import sample_n, train_test_split
+from strata.session import reliable
 
 LOC = ["plat", "plong"]
 BASE = ["dist_km", "hour", "dow", "is_click", "is_view", "is_error"]
@@ -39,17 +40,17 @@ def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, g
     """Fit on the training split, transform both splits.  Returns
     (fitted PipelineModel, predictions DataFrame with a ``split`` column).
     ``sample_rows`` first takes an exact seeded sample (the studies used
-    10,000 rows); by default every trip is used."""
+    10,000 rows); by default every trip is used.  The located trips are
+    computed once, into the checkpoint folder: the fit's rounds, the
+    predictions and their users read them from there."""
     src = taxi_trips(spark, d)
     if sample_rows:
         src = sample_n(src, sample_rows, "id", seed=seed)
-    trips = ensure_parallelism(train_test_split(src, "id", 0.7, seed=seed)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    train = trips.filter(F.col("split") == "train")
+    trips = reliable(ensure_parallelism(train_test_split(src, "id", 0.7, seed=seed)))
+    train = trips.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
     model = duration_flow(LOC, BASE, "dur", n_clusters, seed=seed, gbt_iter=gbt_iter).fit(train)
-    trips.unpersist()
-    pred = model.transform(trips).select("id", "split", "cluster", "predicted", "dur")
-    return model, pred
+    train.unpersist()
+    return model, model.transform(trips).select("id", "split", "cluster", "predicted", "dur")
 
 
 def compare_settings(spark: SparkSession, d: str, cluster_counts=(3, 10, 100), seed: int = 1) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 _GEOMETRY = "struct<type: string, coordinates: string>"      # coordinates as JSON text: their depth depends on the type
 _FEATURE_COLUMNS = f"type string, properties map<string, string>, geometry {_GEOMETRY}"
 _FEATURE = f"struct<type: string, properties: map<string, string>, geometry: {_GEOMETRY}>"
+MAX_PROPERTIES = 10_000  # property names that become columns
 _RING = "array<array<array<double>>>"
 
 
@@ -32,7 +33,9 @@ def _rings(geometry: Column) -> Column:
 
 def _features_to_rows(feats: DataFrame, properties: list[str] | None) -> DataFrame:
     if properties is None:       # like schema inference: the names that occur
-        names = feats.select(F.explode(F.map_keys("properties")).alias("p")).distinct().collect()
+        names = feats.select(F.explode(F.map_keys("properties")).alias("p")).distinct().limit(MAX_PROPERTIES + 1).collect()
+        if len(names) > MAX_PROPERTIES:
+            raise ValueError(f"more than {MAX_PROPERTIES} property names; list those to read")
         properties = sorted(r["p"] for r in names)
     return feats.select(*[F.col("properties").getItem(p).alias(p) for p in properties],
                         F.col("geometry.type").alias("geometry_type"), _rings(F.col("geometry")).alias("rings"))

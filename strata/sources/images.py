@@ -1,7 +1,8 @@
 """Images: Spark's image source, unpacked to pixel rows.
 
 Spark's ``image`` format decodes each file into (origin, height, width,
-nChannels, data) with bytes in B, G, R(, A) order.
+nChannels, data) with bytes in B, G, R(, A) order.  ``write_bitmaps`` writes
+such rows as 24-bit bitmap files, one per image, in parallel.
 """
 
 from __future__ import annotations
@@ -26,3 +27,26 @@ def images_to_pixels(images: DataFrame, id_pattern: str = r"img-(\d+)\.png$") ->
     """Decoded images -> pixel rows; the image id is parsed from the file name."""
     with_id = images.withColumn("img", F.regexp_extract("origin", id_pattern, 1).cast("bigint"))
     return unpack_bytes(with_id, "img", "height", "width", "nChannels", "data")
+
+
+def _little(v, size: int):
+    """A whole number as hex, lowest byte first."""
+    text = F.lpad(F.hex(F.lit(v).cast("long") if isinstance(v, int) else v.cast("long")), 2 * size, "0")
+    return F.concat(*[F.substring(text, 2 * i + 1, 2) for i in reversed(range(size))])
+
+
+def write_bitmaps(images: DataFrame, path: str, id_col: str = "img") -> str:
+    """Rows (id, height, width, data: B, G, R bytes from the top row) as
+    uncompressed bitmap files ``<path>/<id_col>=<id>/part-*``."""
+    stride = F.floor((F.col("width") * 3 + 3) / 4) * 4
+    size = stride * F.col("height")
+    header = F.concat(F.lit("424D"), _little(size + 54, 4), _little(0, 4), _little(54, 4), _little(40, 4), _little(F.col("width"), 4),
+                      _little(F.col("height"), 4), _little(1, 2), _little(24, 2), _little(0, 4), _little(size, 4),
+                      _little(0, 4), _little(0, 4), _little(0, 4), _little(0, 4))
+    line = F.col("width") * 6
+    rows = F.transform(F.reverse(F.sequence(F.lit(0), F.col("height") - 1)), lambda i: F.rpad(
+        F.substr(F.hex("data"), (i * line + 1).cast("int"), line.cast("int")), (stride * 2).cast("int"), F.lit("0")))
+    # a file of raw bytes: one row, and the line end that follows it is beyond the bitmap's size
+    whole = F.unhex(F.concat(header, F.array_join(rows, ""))).cast("string")
+    images.select(id_col, whole.alias("value")).write.partitionBy(id_col).option("maxRecordsPerFile", 1).text(path)
+    return path

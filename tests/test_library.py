@@ -2,13 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from strata.functions.text import join_names
-from strata.models import features as feat
-from strata.models.flows import accuracy_of, cross_validate, tree_flow
 from strata.operators import aggregates as agg
 from strata.operators import ordering, verbs
-from strata.operators.ordering import kfold_assign
-from strata.plans.cat_models import _clusters
 
 
 def test_chain_split_and_group_helpers(spark, small_dir):
@@ -23,27 +18,6 @@ def test_chain_split_and_group_helpers(spark, small_dir):
     assert sum(n.values()) == chained.count() and set(n) == set(m)
 
 
-def test_label_index_forms_agree(spark, small_dir):
-    o = spark.read.parquet(f"{small_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
-    a = {r["o_orderkey"]: r["label_idx"] for r in feat.label_index(o, "o_orderpriority").collect()}
-    b = {r["o_orderkey"]: r["label_idx"] for r in feat.label_index_sql(o, "o_orderpriority").collect()}
-    assert a == b
-
-
-def test_generic_cross_validate_and_accuracy(spark, small_dir):
-    c = kfold_assign(_clusters(spark, small_dir), "id", k=3).cache()
-    scores = cross_validate(spark, c, "fold", 3, {"t4": lambda: tree_flow(["x", "y"], "cls", 16)},
-                            lambda df: accuracy_of(df, "predicted", "cls")).collect()
-    assert len(scores) == 3 and all(0.0 <= r["metric"] <= 1.0 for r in scores)
-    preds = tree_flow(["x", "y"], "cls", 16).fit(c).transform(c)
-    assert agg.accuracy(preds, "predicted", "cls").first()[0] == accuracy_of(preds, "predicted", "cls")
-
-
-def test_join_names(spark):
-    df = spark.createDataFrame([(["b", "a"],), ([],)], "names array<string>")
-    assert [r[0] for r in df.select(join_names("names")).collect()] == ["a | b", ""]
-
-
 def test_checkpoint_dir_is_read_from_the_session(spark):
     from strata.session import checkpoint_dir, scratch_path
     d = checkpoint_dir(spark)
