@@ -13,7 +13,10 @@ A node is unimportant when ``MIX`` * content + (1 - MIX) * presentation is
 below ``LEAST``, and noise when no box inside it is important either; a noisy
 branch is removed from each page.  A node without any text is neither.  A
 node that fewer than ``PAGES`` pages of its host have is judged by the merged
-tree of all hosts.
+tree of all hosts.  Running tags inside an article (paragraphs, headings,
+items, cells) share one node for text and boilerplate, so there a single
+text is judged: one of at most ``SHORT`` words that ``REPEATED`` percent of
+the host's pages with that node show goes.
 
 Elements that say what they are (navigation, forms, asides, scripts, ...) go
 by their tag or role.  Class and id names (adverts, comments, ...) are weaker:
@@ -21,7 +24,8 @@ a box goes by its name unless it holds the article or main element, or unless
 only a part of the name says so and it holds most of the text; if all text
 would go, what has the fewest and weakest such boxes around it stays.  Names of a state
 (with-sidebar), and names of headings and running text inside the main
-element, say nothing.  If a page has an article or main element, only its text
+element, say nothing; nor do names of tools there (search, related, share)
+on a box that holds running text.  If a page has an article or main element, only its text
 counts; of several, those with the fewest and weakest such boxes around.
 """
 
@@ -43,13 +47,18 @@ from strata.llm.storage import cut
 MIX = 0.9
 LEAST = 0.3
 PAGES = 10
-NOISE_ROWS = 1 << 17     # noisy nodes sent to every task, at most
+NOISE_ROWS = 1 << 17     # noisy nodes and texts sent to every task, at most
+REPEATED = 80            # percentage of a node's pages
+SHORT = 12               # words
+RUNNING = 12             # words of a block of running text
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template svg math iframe object select".split())
+RAW = frozenset("script style title textarea noscript template svg iframe object select annotation annotation-xml".split())
 GONE = RAW | frozenset("head nav footer aside form button label option dialog menu".split())
-INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span "
-                   "strike strong sub sup time tt u var wbr input acronym nobr".split())
+MATH = frozenset("math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle mpadded mphantom msub msup msubsup "
+                 "munder mover munderover mtable mtr mtd".split())
+INLINE = MATH | frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span "
+                          "strike strong sub sup time tt u var wbr input acronym nobr".split())
 MAIN = frozenset(["article", "main"])
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dt dd tr tbody thead table ul ol dl figure figcaption".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
@@ -63,14 +72,18 @@ HEADS = frozenset(["header"])
 # words that also title a part of a text, and words of names that tell a box's state
 SUBJECTS = frozenset("discussion feedback related search social share sharing notice notices form reply replies consent "
                      "copyright navigation advertising promotion gdpr".split())
+# names of tools, which say nothing about a box of the main element that holds running text
+TOOLS = frozenset("related search social share sharing form copyright navigation widget toolbar".split())
 STATES = frozenset("with without has have no not is hide show js open opened closed status enabled disabled".split())
 TEXT = (INLINE - {"a", "span"}) | frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dt dd tr figcaption".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 "
                      "h5 h6 header hr main menu nav ol p pre section table ul".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
-|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|[^<]+|<""", re.S | re.X)
-_ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# an attribute's value is quoted only right after its "="; elsewhere a quote is a character like others
+_ATTRIBUTES = r"""(?>[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?=>)|[^\s>"'][^\s>]*+))?+|=)*+"""
+_TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
+|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|[^<]+|<""", re.S | re.X)
+_ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _SPACE = re.compile(r"\s+")
 
 
@@ -79,17 +92,58 @@ def _hash(text: str) -> int:
 
 
 def _attributes(raw: str) -> dict:
-    return {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(raw)} if raw.strip(" /") else {}
+    return {k.lower(): v[1:-1] if v[:1] in ("'", '"') and v[-1:] == v[:1] else v
+            for k, v in _ATTR.findall(raw)} if raw.strip(" /") else {}
 
 
-class _Node:
-    """``weak``: numbers of the boxes around that go by their name, from the
-    outermost main element on if there is one; ``before``: of those around
-    that main element, None if there is none."""
-    __slots__ = ("tag", "path", "gone", "weak", "before", "children")
+_paths: dict = {}
+
+
+def _path(parent: int, step: str) -> int:
+    """Hash of a path, from its parent's and the last step."""
+    if (parent, step) not in _paths:
+        if len(_paths) >= 1 << 16:
+            _paths.clear()
+        _paths[parent, step] = _hash(f"{parent}>{step}")
+    return _paths[parent, step]
+
+
+class _Weak:
+    """The boxes around that go by their name, as a chain outwards; ``level``
+    is higher the more and the clearer names there are."""
+    __slots__ = ("up", "number", "level")
+
+    def __init__(self, up, number, level):
+        self.up, self.number, self.level = up, number, level
+
+    def numbers(self):
+        w = self
+        while w.up is not None:
+            yield w.number
+            w = w.up
+
+
+_NONE = _Weak(None, -1, 0)
+
+
+class _Box:
+    """A box of a page with the one around it; ``lo`` and ``hi`` are the
+    range of its blocks."""
+    __slots__ = ("path", "tag", "up", "lo", "hi")
 
-    def __init__(self, tag, path, gone, weak, before):
-        self.tag, self.path, self.gone, self.weak, self.before = tag, path, gone, weak, before
+    def __init__(self, path, tag, up):
+        self.path, self.tag, self.up, self.lo, self.hi = path, tag, up, None, None
+
+
+class _Node:
+    """An open element.  ``weak``: the boxes around that go by their name,
+    from the outermost main element on if there is one; ``before``: those
+    around that main element, None if there is none; ``box``: the innermost
+    box, itself or around."""
+    __slots__ = ("tag", "path", "gone", "weak", "before", "box", "children")
+
+    def __init__(self, tag, path, gone, weak, before, box):
+        self.tag, self.path, self.gone, self.weak, self.before, self.box = tag, path, gone, weak, before, box
         self.children: list[str] = []
 
     @property
@@ -105,7 +159,8 @@ def _names(attrs: dict, key: str):
 
 
 def _named(tag: str, attrs: dict, main: bool) -> str:
-    """Whether a 'whole' name, or a 'part' of one, says that a box is not main text."""
+    """Whether a 'whole' name, or a 'part' of one, says that a box is not
+    main text; 'tool' if that is a tool's, in the main element."""
     if tag in MAIN or tag in ("html", "body") or (main and tag in TEXT):
         return ""
     found = ""
@@ -114,9 +169,11 @@ def _named(tag: str, attrs: dict, main: bool) -> str:
         if main and (key == "id" or tag == "section"):
             known = known - SUBJECTS
         for words in _names(attrs, key):
-            if known.issuperset(words):
+            if not known.isdisjoint(words) and main and TOOLS.issuperset(known.intersection(words)):
+                found = found or "tool"
+            elif known.issuperset(words):
                 return "whole"
-            if not known.isdisjoint(words):
+            elif not known.isdisjoint(words):
                 found = "part"
     return found
 
@@ -133,55 +190,66 @@ def _open(parent: _Node, tag: str, raw: str, whole: list) -> _Node:
             or (tag in HEADS and not parent.main))
     weak, before = parent.weak, parent.before
     if tag in MAIN and not gone and before is None:
-        weak, before = (), weak
+        weak, before = _NONE, weak
     elif name and not gone:
-        weak += (len(whole),)
-        whole.append(name == "whole")
-    step = tag + "".join(f".{c}" for c in sorted(attrs.get("class", "").lower().split()))
-    return _Node(tag, f"{parent.path}>{step}", gone, weak, before)
+        weak = _Weak(weak, len(whole), weak.level + (2 if name == "whole" else 1))      # part of a name says less
+        whole.append(name)
+    path = _path(parent.path, tag + "".join(f".{c}" for c in sorted(attrs.get("class", "").lower().split())))
+    box = parent.box if tag in INLINE or tag in ("html", "body") else _Box(path, tag, parent.box)
+    return _Node(tag, path, gone, weak, before, box)
 
 
 def _by_name(blocks: list, boxes: list, whole: list) -> tuple[list, list]:
     """Without what goes by its class or id; blocks and boxes end in (weak, before)."""
-    def level(weak):
-        return sum(2 if whole[w] else 1 for w in weak)      # part of a name says less
-
-    fewest = min((level(b[3]) for b in blocks if b[3] is not None), default=None)
+    fewest = min((b[3].level for b in blocks if b[3] is not None), default=None)
 
     def main(before):
-        return before is not None and level(before) == fewest
-    kept = {w for b in blocks if main(b[3]) for w in b[3]}      # boxes around the main element
+        return before is not None and before.level == fewest
+    kept = {w for before in {b[3] for b in blocks if main(b[3])} for w in before.numbers()}     # boxes around the main element
     text = [b for b in blocks if fewest is None or main(b[3])]
     if text:
         held: dict = {}
         for b in text:
-            for w in b[2]:
+            for w in b[2].numbers():
                 held[w] = held.get(w, 0) + len(b[0])
+                if whole[w] == "tool" and len(b[0].split()) >= RUNNING:
+                    kept.add(w)
         most = sum(len(b[0]) for b in text) / 2
-        kept.update(w for w, n in held.items() if n > most and not whole[w])
-        if not any(kept.issuperset(b[2]) for b in text):
-            least = min(level(b[2]) for b in text)
-            kept.update(w for b in text if level(b[2]) == least for w in b[2])
-
-    def stays(weak, before):
-        return kept.issuperset(weak) and (before is None or kept.issuperset(before))
-    return ([(b[0], main(b[3]), b[1]) for b in blocks if stays(b[2], b[3])],
-            [(path, layout) for path, layout, weak, before in boxes if stays(weak, before)])
+        kept.update(w for w, n in held.items() if n > most and whole[w] != "whole")
+    seen: dict = {-1: True}
+
+    def stays(weak):
+        up, way = weak, []
+        while up.number not in seen:
+            way.append(up)
+            up = up.up
+        ok = seen[up.number]
+        for w in reversed(way):
+            ok = seen[w.number] = ok and w.number in kept
+        return ok
+    if text and not any(stays(b[2]) for b in text):
+        least = min(b[2].level for b in text)
+        kept.update(w for b in text if b[2].level == least for w in b[2].numbers())
+        seen = {-1: True}
+
+    def both(weak, before):
+        return stays(weak) and (before is None or stays(before))
+    return ([(b[0], main(b[3]), b[1]) for b in blocks if both(b[2], b[3])],
+            [(path, layout) for path, layout, weak, before in boxes if both(weak, before)])
 
 
 def parse(page: str) -> tuple[list, list]:
-    """(blocks, boxes): blocks (text, in main element, [paths of the boxes
-    around it, outermost first]) in page order without what goes by its
-    name; boxes (path, layout of children) of the remaining elements."""
-    root = _Node("", "", False, (), None)
+    """(blocks, boxes): blocks (text, in main element, innermost box) in page
+    order without what goes by its name; boxes (path, layout of children) of
+    the remaining elements.  A node costs the same at any depth."""
+    root = _Node("", 0, False, _NONE, None, None)
     stack, blocks, boxes, piece, whole = [root], [], [], [], []
 
     def flush():
         text = _SPACE.sub(" ", entities.unescape("".join(piece)).replace("\x00", "")).strip()
         piece.clear()
         if text:
-            around = [n.path for n in stack[1:] if n.tag not in INLINE and n.tag not in ("html", "body")]
-            blocks.append((text, around, stack[-1].weak, stack[-1].before))
+            blocks.append((text, stack[-1].box, stack[-1].weak, stack[-1].before))
 
     def close(depth):
         while len(stack) > depth:
@@ -257,42 +325,76 @@ def _texts(batch):
 
 
 def _spans(blocks: list) -> dict:
-    """Path of each box with text: ([its texts as ranges of blocks], paths of
-    the boxes around it)."""
-    spans, open_ = {}, []
-    for i, around in enumerate([*(b[2] for b in blocks), []]):
-        same = 0
-        while same < min(len(open_), len(around)) and open_[same][0] == around[same]:
-            same += 1
-        for path, first in open_[same:]:
-            spans[path][0].append((first, i))
-        for k in range(same, len(around)):
-            spans.setdefault(around[k], ([], around[:k]))
-        open_[same:] = [(path, i) for path in around[same:]]
+    """Path of each box with text: ([its texts as ranges of blocks], the box)."""
+    boxes: list = []
+    seen = set()
+    for i, b in enumerate(blocks):
+        box = b[2]
+        if box is not None:
+            box.lo, box.hi = (i if box.lo is None else box.lo), i + 1
+        while box is not None and id(box) not in seen:
+            seen.add(id(box))
+            boxes.append(box)
+            box = box.up
+    # a box comes after those inside it, if these are taken by their distance from the outermost one
+    depth: dict = {}
+    for box in boxes:
+        way = []
+        while box is not None and id(box) not in depth:
+            way.append(box)
+            box = box.up
+        at = depth[id(box)] if box is not None else 0
+        for b in reversed(way):
+            at = depth[id(b)] = at + 1
+    spans: dict = {}
+    for box in sorted(boxes, key=lambda b: -depth[id(b)]):
+        spans.setdefault(box.path, ([], box))[0].append((box.lo, box.hi))
+        up = box.up
+        if up is not None:
+            up.lo = box.lo if up.lo is None else min(up.lo, box.lo)
+            up.hi = box.hi if up.hi is None else max(up.hi, box.hi)
     return spans
 
 
+def _around(box: _Box, known: dict) -> list[int]:
+    """Paths of the boxes 1, 2, 4, ... steps further out."""
+    if box.path not in known:
+        way = []
+        while box is not None and box.path not in known:
+            way.append(box)
+            box = box.up
+        for b in reversed(way):
+            out = [b.up.path] if b.up is not None else []
+            while out and len(known[out[-1]]) >= len(out):
+                out.append(known[out[-1]][len(out) - 1])
+            known[b.path] = out
+        return known[way[0].path]
+    return known[box.path]
+
+
+_AROUND = 10             # kind of a box one step further out; 11: two steps, 12: four, ...
+
+
 def _stats_task(batches):
     """(kind, host, path, value): 0 a text inside, 1 a layout, 2 the page
-    itself, 3 a box inside."""
+    itself, from _AROUND on a box further out."""
     for batch in batches:
         out, size = [], 0
         for _, url, page in _texts(batch):
             blocks, boxes = parse(page)
             site = _hash(host(url))
             texts = np.array([_hash(b[0]) for b in blocks], np.int64)
-            code = {path: _hash(path) for path in {p for p, _ in boxes}}
-            for path, (ranges, around) in _spans(blocks).items():
-                at = code.get(path) or _hash(path)
+            known: dict = {}
+            for path, (ranges, box) in _spans(blocks).items():
                 inside = np.unique(np.concatenate([texts[i:j] for i, j in ranges]))
-                above = np.array([code.get(p) or _hash(p) for p in around], np.int64)
-                out += [_stat(0, site, at, inside), _stat(3, site, above, at)]
-                size += len(inside) + len(above)
+                out.append(_stat(0, site, path, inside))
+                out += [_stat(_AROUND + k, site, path, up) for k, up in enumerate(_around(box, known))]
+                size += len(inside) + len(known[path])
                 if size > 100_000:
                     yield _stat_rows(out)
                     out, size = [], 0
-            rows = {(1, site, code[path], _hash(layout)) for path, layout in boxes}
-            rows.update((2, site, x, 0) for x in code.values())
+            rows = {(1, site, path, _hash(layout)) for path, layout in boxes}
+            rows.update((2, site, path, 0) for path, _ in boxes)
             out.append(np.array(list(rows), np.int64).reshape(-1, 4))
             size += len(rows)
             if size > 100_000:
@@ -314,21 +416,28 @@ def _stat_rows(out):
 
 
 def noisy_nodes(pages: DataFrame) -> DataFrame:
-    """(host, path) hashes of the noisy nodes of each host's pages."""
+    """(host, path) hashes of the noisy nodes of each host's pages, and of
+    their repeated texts, whose hash is that of the path xor the text's."""
     seen = cut(pages.mapInArrow(_stats_task, "kind int, host long, path long, value long")
                .groupBy("kind", "host", "path", "value").agg(F.count("*").alias("n")))
     nodes = seen.where("kind < 3")
     every = nodes.groupBy("kind", "path", "value").agg(F.sum("n").alias("n"))
-    have = seen.where("kind = 2").select("host", "path")
+    have = seen.where("kind = 2").select("host", "path", F.col("n").alias("m"))
     own = _judged(nodes, ["host", "path"])
     of_all = _judged(every, ["path"]).withColumnRenamed("verdict", "verdict_all")
     judged = cut(have.join(own, ["host", "path"], "left").join(of_all, "path", "left")
                  .select("host", "path", F.coalesce("verdict", "verdict_all").alias("verdict"))
                  .where("verdict in ('noise', 'important')"))
-    inside = seen.where("kind = 3").select("host", F.col("value").alias("path"), F.col("path").alias("around"))
-    spared = (inside.join(judged.where("verdict = 'important'"), ["host", "path"])
-              .select("host", F.col("around").alias("path")).distinct())
-    return judged.where("verdict = 'noise'").select("host", "path").join(spared, ["host", "path"], "left_anti")
+    # boxes around important ones: of each found, those 1, 2, 4, ... steps further out in turn are all
+    spared = judged.where("verdict = 'important'").select("host", "path")
+    most = seen.agg(F.coalesce(F.max("kind"), F.lit(0))).first()[0]
+    for kind in range(_AROUND, most + 1):
+        step = seen.where(F.col("kind") == kind).select("host", "path", "value")
+        spared = cut(spared.unionByName(step.join(spared, ["host", "path"]).select("host", F.col("value").alias("path"))).distinct())
+    noise = judged.where("verdict = 'noise'").select("host", "path").join(spared, ["host", "path"], "left_anti")
+    told = seen.where(F.col("kind").eqNullSafe(0) & (F.col("n") >= PAGES)).select("host", "path", "value", "n").join(
+        have, ["host", "path"]).where(F.col("n") * 100 >= F.col("m") * REPEATED)
+    return noise.unionByName(told.select("host", F.col("path").bitwiseXOR(F.col("value")).alias("path")))
 
 
 def _judged(seen: DataFrame, node: list[str]) -> DataFrame:
@@ -363,16 +472,22 @@ def _text(blocks: list, site: int, noisy: set) -> str:
     chosen = [b for b in blocks if b[1] or not main]
     cache: dict = {}
 
-    def noise(path: str) -> bool:
-        if path not in cache:
+    def noise(box: _Box) -> bool:
+        """Is the box, or one around it, noise?"""
+        way = []
+        while box is not None and id(box) not in cache:
+            way.append(box)
+            box = box.up
+        out = cache[id(box)] if box is not None else False
+        for b in reversed(way):
             # the elements of running text inside a main element are never boxes
-            last = path.rsplit(">", 1)[1].split(".", 1)[0]
-            if main and (last in FLOW or last in MAIN):
-                cache[path] = False
-            else:
-                cache[path] = (site, _hash(path)) in noisy
-        return cache[path]
-    left = [b[0] for b in chosen if not any(noise(p) for p in b[2])]
+            out = cache[id(b)] = out or (not (main and (b.tag in FLOW or b.tag in MAIN)) and (site, b.path) in noisy)
+        return out
+
+    def repeated(text: str, box) -> bool:
+        return (main and box is not None and box.tag in FLOW and len(text.split()) <= SHORT
+                and (site, box.path ^ _hash(text)) in noisy)
+    left = [b[0] for b in chosen if not noise(b[2]) and not repeated(b[0], b[2])]
     return "\n".join(left or [b[0] for b in chosen])
 
 

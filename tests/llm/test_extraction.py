@@ -92,9 +92,52 @@ def test_deep_pages_are_counted_in_pieces():
     page = "".join(f"<div>text {i}" for i in range(600))
     rows = [r for b in ex._stats_task([pa.RecordBatch.from_pydict({"url": ["http://a.b/"], "html": [page]})])
             for r in b.to_pylist()]
-    for kind, want in ((0, 600 * 601 // 2), (1, 600), (2, 600), (3, 600 * 599 // 2)):
+    steps = {ex._AROUND + k: 600 - (1 << k) for k in range(10) if 600 > 1 << k}
+    for kind, want in ((0, 600 * 601 // 2), (1, 600), (2, 600), *steps.items()):
         got = [tuple(r.values()) for r in rows if r["kind"] == kind]
-        assert len(got) == len(set(got)) == want
+        assert len(got) == len(set(got)) == want, kind
+    assert max(r["kind"] for r in rows) == max(steps)
+
+
+def test_memory_does_not_grow_with_the_square_of_the_depth():
+    import subprocess
+    import sys
+    code = ("import resource, pyarrow as pa; from strata.llm import extraction as ex; "
+            "p = '<div>' * 30000 + 'deep'; base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; "
+            "n = sum(b.num_rows for b in ex._stats_task([pa.RecordBatch.from_pydict({'url': ['http://a.b/'], 'html': [p]})])); "
+            "assert ex._text(ex.parse(p)[0], 0, set()) == 'deep'; "
+            "print(n, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) // 1024)")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=str(__import__("pathlib").Path(ex.__file__).parents[2]))
+    rows, mb = map(int, out.stdout.split())
+    assert rows < 30_000 * 20 and mb < 300
+
+
+def test_quotes_inside_unquoted_values():
+    assert text("<p data-t=it's>First.</p><p data-t=it's>Second.</p>") == "First.\nSecond."
+    assert text("<p title='a > b' data-x=\"1 > 0\">One.</p><p x=\"'\" y=a\"b>Two.</p>") == "One.\nTwo."
+    assert text("<p class = ad >x</p><p a='unclosed>Gone? </p><p>Next.</p>") != ""
+    assert text("<div class=ad>Buy</div><p a==b c= d='e f'/ g>Text.</p>") == "Text."
+    long = "<p " + "a " * 50_000 + "'" * 50_000 + ">Text.</p>"       # no backtracking
+    assert text(long) == "Text."
+
+
+def test_formulas_stay_in_their_sentence():
+    assert text("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> then stop.</p>") == "If x=2 then stop."
+
+
+def test_tools_inside_an_article_go_unless_they_hold_running_text():
+    body = "We searched every archive of the region for letters that mention the flood of that year."
+    got = text(f"<article><p>Start.</p><div class='search'><p>{body}</p></div><ul class='related'><li>One</li><li>Two</li></ul>"
+               f"<div class='share'>Share this</div><div class='comments'><p>{body}</p></div><div class='cookie-notice'><p>{body}</p>"
+               "</div><p>End.</p></article>")
+    assert got == f"Start.\n{body}\nEnd."
+
+
+def test_repeated_lines_of_an_article_go(spark):
+    long = "This long paragraph opens each page of the host, but it is a text of more than a dozen words."
+    got = extracted(spark, [f"<article><h1>Head {i}</h1><p>{long}</p><p class='x9'>Read our other pages</p><p>Text {i}.</p>"
+                            + ("<p>Sometimes.</p>" if i % 2 else "") + "</article>" for i in range(30)])
+    assert got == {i: f"Head {i}\n{long}\nText {i}." + ("\nSometimes." if i % 2 else "") for i in range(30)}
 
 
 def test_wrappers_named_like_noise_keep_the_text():
