@@ -52,9 +52,11 @@ def _base(text):
 
 
 def _pairs(run):
-    """Codes first * 128 + second of a run's neighbouring characters."""
-    return F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda i: (
-        F.ascii(F.substring(run, i, 1)) * _CODES + F.ascii(F.substring(run, i + 1, 1))))
+    """Codes first * 128 + second of a run's neighbouring characters; the
+    run is cut into characters once, so the work is linear in its length."""
+    codes = F.transform(F.split(run, ""), lambda c: F.ascii(c))
+    n = F.greatest(F.size(codes) - 1, F.lit(0))
+    return F.zip_with(F.slice(codes, F.lit(1), n), F.slice(codes, F.lit(2), n), lambda a, b: a * _CODES + b)
 
 
 def train(samples: DataFrame) -> list[float]:

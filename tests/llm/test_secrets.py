@@ -68,3 +68,17 @@ def test_masking(spark):
 def test_runs_no_python(spark):
     plan = secrets.scan(spark.createDataFrame([(1, "x")], "doc_id int, text string")).agg(F.count("*"))
     assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_a_very_long_run_takes_linear_time(spark):
+    import random
+    import time
+    rng = random.Random(9)
+    pool = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(i, "token = " + "".join(rng.choice(pool) for _ in range(40))) for i in range(200)]
+    rows += [(300 + i, "call " + "_".join(rng.choice(["internal", "configuration", "handler", "builder", "environment"]) for _ in range(6))) for i in range(200)]
+    big = "".join(rng.choice(pool) for _ in range(1_000_000))
+    rows.append((999, f"see {big} there"))
+    start = time.time()
+    got = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got[999] == "random:4:1000004" and time.time() - start < 60
