@@ -46,7 +46,8 @@ WIDE_HINT = {0: r"@|\((?:at)\)|\[at\]", 1: r"[0-9]\x20?(?:\.|\[\.\])\x20?[0-9]",
 # gazetteers and context words (lists to be extended by the user)
 MAIL_ENDS = r"(?i)\.(?:com|net|org|edu|gov|info|io|co|de|fr|es|uk|eu)\z"
 ISSUERS = r"\A(?:4|5[1-5]|2[2-7]|3[47]|6011|65)"
-CALLING = r"\A(?:\+|00)?(?:1|7|2[07]|3[0-9]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+CALLING = r"\A\(?(?:\+|00)?\(?(?:1|7|2[07]|3[0-9]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+NATIONAL = r"\A1?[2-9][0-9]{2}[2-9][0-9]{6}\z"      # area code and exchange begin with 2 to 9
 UNLIKELY_IP = r"\A0|\A(?:[0-9]{1,2}\.){3}[0-9]\z"          # version-like or reserved
 CUES = [r"(?i)(?:e-?mail|mail|contact|write|correo|courriel|kontakt)\W*\z",
         r"(?i)(?:\bip|address|host|server|addr)\W*\z",
@@ -56,6 +57,7 @@ CUES = [r"(?i)(?:e-?mail|mail|contact|write|correo|courriel|kontakt)\W*\z",
 LABELERS = ["format", "gazetteer", "context"]
 FEATURES = ["length", "digits", "shape", "edge"]
 ROUNDS = 25              # of expectation-maximisation
+SHRINK = 3.0             # pseudo-counts of a feature's value
 ACCEPT = 0.8             # a span this probable is added
 BEFORE = 24              # characters of context
 
@@ -119,7 +121,8 @@ def _described(text: Column, found: Column) -> Column:
             _vote(m.rlike(r"\A[^\x20@]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z"), m.rlike(r"\A[._%+-]|--")),
             _vote(_valid(1)(m), ~_valid(1)(F.regexp_replace(m, r"[\x20\[\]]", ""))),
             _vote(_valid(2)(m), ~_luhn(m)),
-            _vote(F.length(d).between(10, 15), F.length(d) < 10)])
+            F.when(m.rlike(r"\A(?:\+|00)"), _vote(F.length(d).between(10, 15), F.length(d) < 10)).otherwise(
+                _vote(d.rlike(NATIONAL), ~d.rlike(NATIONAL)))])
         gaz = _by_kind(k, [
             _vote(m.rlike(MAIL_ENDS), m.rlike(r"(?i)\.(?:png|jpg|gif|js|css|py|txt)\z")),
             _vote(~m.rlike(UNLIKELY_IP), m.rlike(UNLIKELY_IP)),
@@ -167,13 +170,15 @@ def reliabilities(patterns: dict) -> tuple[dict, dict]:
 
 def train_classifier(counts: list) -> dict:
     """{(kind, feature, value): log ratio} and {kind: log prior odds} from
-    rows (k, votes, features, n), labelled by the votes' probabilities."""
+    rows (k, votes, features, n), labelled by the votes' probabilities.  A
+    value's counts are joined by ``SHRINK`` more in the kind's proportion, so
+    a value seen a few times says little."""
     patterns: dict = defaultdict(int)
     for r in counts:
         patterns[r["k"], tuple(r["votes"])] += r["n"]
     belief, _ = reliabilities(patterns)
     mass: dict = defaultdict(lambda: [1.0, 1.0])
-    part: dict = defaultdict(lambda: [0.5, 0.5])
+    part: dict = defaultdict(lambda: [0.0, 0.0])
     for r in counts:
         b = belief[r["k"], tuple(r["votes"])]
         for true, w in ((1, b), (0, 1 - b)):
@@ -181,7 +186,8 @@ def train_classifier(counts: list) -> dict:
             for name, value in zip(FEATURES + LABELERS, [*r["features"], *map(str, r["votes"])]):
                 part[r["k"], name, value][true] += r["n"] * w
     return {**{k: math.log(m[1] / m[0]) for k, m in mass.items()},
-            **{key: math.log(p[1] / mass[key[0]][1]) - math.log(p[0] / mass[key[0]][0]) for key, p in part.items()}}
+            **{key: math.log((p[1] / m[1] + SHRINK / sum(m)) / (p[0] / m[0] + SHRINK / sum(m)))
+               for key, p in part.items() for m in [mass[key[0]]]}}
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -86,3 +86,22 @@ def test_redaction(spark, odd_docs):
 def test_runs_no_python(spark):
     plan = privacy.scan(spark.createDataFrame([(1, "x 1.2.3.4")], "doc_id int, text string"))
     assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_bracketed_numbers_are_found_and_others_are_not(spark):
+    """Planted spans that no base pattern has: precision and recall."""
+    import random
+    rng = random.Random(12)
+    def number(area, exchange):
+        return f"({area}) {exchange}-{rng.randrange(1000, 9999)}"
+    rows, want = [], set()
+    for i in range(200):
+        real = i % 2 == 0
+        n = number(rng.randrange(200, 999), rng.randrange(200, 999)) if real else number(f"0{rng.randrange(10, 99)}", f"1{rng.randrange(10, 99)}")
+        lead = rng.choice(["call ", "phone: ", "tel ", "reach us at "]) if real else rng.choice(["item", "part no", "code x"])
+        rows.append((i, f"Please {lead}{n} today."))
+        if real:
+            want.add(i)
+    rows += [(1000 + i, f"call +1 415 555 {1000 + i} now") for i in range(40)]
+    got = {r.doc_id for r in privacy.find(spark.createDataFrame(rows, "doc_id long, text string")).where("size(added) > 0").collect()}
+    assert len(got & want) >= 0.95 * len(want) and len(got - want) <= 0.05 * len(want)
