@@ -55,7 +55,9 @@ def resemblance(a: str, b: str, size: int = SIZE) -> float:
     if a == b:
         return 1.0
     x, y = values(a), values(b)
-    low = np.union1d(x, y)[:size]
+    low = np.union1d(x, y)
+    if max(len(x), len(y)) >= size:                # else both sketches are whole sets
+        low = low[:size]
     both = np.intersect1d(x, y, assume_unique=True)
     return float(np.isin(low, both, assume_unique=True).sum() / len(low)) if len(low) else 1.0
 
@@ -168,7 +170,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .dropDuplicates(["part"]))
     dealt = (rows.select("part", "doc_id", "text", F.lit(False).alias("lead")).unionByName(leads)
              .withColumn("o", F.coalesce(-F.col("doc_id"), F.lit(0))).withColumn("h", F.sha2("text", 256)))
-    dealt = (dealt.repartition(len(cuts) + 2, "part").sortWithinPartitions("part", "lead", "o", "h")
+    # a task for each part, as large as the others
+    dealt = (dealt.repartitionById(len(cuts) + 2, "part").sortWithinPartitions("part", "lead", "o", "h")
              .select("part", "doc_id", "text", "lead"))
     return dealt.mapInArrow(_edit_task, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                         "edited_fingerprint string, near_edited double, near_next double")
