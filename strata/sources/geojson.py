@@ -1,8 +1,8 @@
 """GeoJSON polygons: FeatureCollection documents and feature-per-line files.
 
-A FeatureCollection is one JSON document, read whole by one task (boundary
-files of a few thousand polygons).  Large feature sets have one feature per
-line (``read_geojson_seq``), which splits.  Coordinates are [longitude,
+A FeatureCollection is one JSON document; it is cut into its features at byte
+ranges (``sources.features``), so a large one is read by many tasks, as is a
+file with one feature per line (``read_geojson_seq``).  Coordinates are [longitude,
 latitude]; the rings of a Polygon, or of all parts of a MultiPolygon, become
 ``array<array<struct<x: double, y: double>>>`` with x = longitude.  Malformed
 lines and other geometry types are errors; a feature without geometry has
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.features import feature_texts
+
 _GEOMETRY = "struct<type: string, coordinates: string>"      # coordinates as JSON text: their depth depends on the type
 _FEATURE_COLUMNS = f"type string, properties map<string, string>, geometry {_GEOMETRY}"
 _FEATURE = f"struct<type: string, properties: map<string, string>, geometry: {_GEOMETRY}>"
@@ -44,9 +46,8 @@ def _features_to_rows(feats: DataFrame, properties: list[str] | None) -> DataFra
 def read_geojson(spark: SparkSession, path: str, properties: list[str] | None = None) -> DataFrame:
     """FeatureCollection -> one row per feature: its properties (all, or
     those listed) as string columns, ``geometry_type`` and ``rings``."""
-    doc = spark.read.schema(f"type string, features array<{_FEATURE}>") \
-        .option("multiLine", True).option("mode", "FAILFAST").json(path)
-    return _features_to_rows(doc.select(F.explode("features").alias("f")).select("f.*"), properties)
+    feats = feature_texts(spark, path).select(F.from_json("text", _FEATURE, {"mode": "FAILFAST"}).alias("f"))
+    return _features_to_rows(feats.select("f.*"), properties)
 
 
 def read_geojson_seq(spark: SparkSession, path: str, properties: list[str] | None = None) -> DataFrame:

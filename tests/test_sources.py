@@ -84,3 +84,48 @@ def test_csv_inferred_schema_and_rename(spark, small_dir):
     assert dict(back.dtypes)["c-custkey"] in ("int", "bigint")
     assert back.count() == df.count()
     assert back.agg(F.sum("`c-custkey`")).first()[0] == df.agg(F.sum("c_custkey")).first()[0]
+
+
+def _collection(rnd, n):
+    odd = ["plain", "a } b", "{[\"", "quote \" and \\\\ \\", "}}}]", "é 日本 😀", "end\\\\", ""]
+    feats = []
+    for i in range(n):
+        k = rnd.randrange(4)
+        geometry = None if k == 0 else {"type": "Polygon", "coordinates": [[[float(i), 0.5], [i + 1.0, 0.5], [i + 1.0, 2.0], [float(i), 0.5]]]}
+        feats.append({"type": "Feature", "properties": {"id": str(i), "note": rnd.choice(odd) * rnd.randrange(3)}, "geometry": geometry})
+    return {"type": "FeatureCollection", "name": rnd.choice(odd), "crs": {"type": "name", "properties": {"name": "x}", "list": [1, {"a": 2}]}},
+            "bbox": [0, 1.5, 2, 3], "features": feats, "more": {"deep": {"er": ["}"]}}}
+
+
+@pytest.mark.parametrize("split", [64, 700, 1 << 20])
+def test_feature_collection_is_read_in_splits(spark, tmp_path, split):
+    """Braces and quotes in strings, other objects around, features across splits of any size."""
+    import random
+    rnd = random.Random(split)
+    docs = [_collection(rnd, n) for n in (0, 1, 40)]
+    for i, doc in enumerate(docs):
+        (tmp_path / f"{i}.json").write_text(json.dumps(doc, indent=[None, 1, 2][i], ensure_ascii=i == 1) + ["", "\n", " \n\n"][i])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        df = geojson.read_geojson(spark, str(tmp_path), ["id", "note"])
+        got = sorted((r["id"], r["note"], r["geometry_type"], r["rings"] and [[(p["x"], p["y"]) for p in ring] for ring in r["rings"]])
+                     for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = sorted((f["properties"]["id"], f["properties"]["note"], f["geometry"] and f["geometry"]["type"],
+                   f["geometry"] and [[tuple(p) for p in ring] for ring in f["geometry"]["coordinates"]])
+                  for doc in docs for f in doc["features"])
+    assert got == want
+
+
+def test_malformed_collections_are_errors(spark, tmp_path):
+    good = json.dumps(_collection(__import__("random").Random(3), 6))
+    bad = [good[:-1], good[:len(good) // 2], good + "}", good.replace("}, {\"type\": \"Feature\"", "} {\"type\": \"Feature\"", 1),
+           good.replace('"features": [', '"features": ', 1), good.replace('"features"', '"other"', 1), "[1]", "{}", good + good,
+           good.replace('"coordinates": [[[', '"coordinates": [[[oops', 1)]
+    for i, text in enumerate(bad):
+        p = tmp_path / f"bad{i}.json"
+        p.write_text(text)
+        with pytest.raises(Exception):
+            geojson.read_geojson(spark, str(p), ["id"]).collect()
