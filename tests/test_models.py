@@ -65,10 +65,11 @@ def _grown(rows, labels, cuts, classes, max_nodes):
             found += 1
 
 
-@pytest.mark.parametrize("max_nodes", [2, 7, 1 << 15])
-def test_tree_equals_one_grown_leaf_by_leaf(spark, max_nodes):
+@pytest.mark.parametrize("max_nodes,cells", [(2, 1 << 15), (7, 0), (1 << 15, 1 << 15), (1 << 15, 300)])
+def test_tree_equals_one_grown_leaf_by_leaf(spark, monkeypatch, max_nodes, cells):
     """Every bound on the way is a cut of the same tree; one-sided data, ties
-    and constant features included."""
+    and constant features included; splits found on the driver or in Spark."""
+    monkeypatch.setattr(trees, "CELLS", cells)
     rng = np.random.default_rng(max_nodes)
     n = 240
     x = np.column_stack([rng.normal(size=n).round(1), np.arange(n) % 7, np.full(n, 3.0), 2.0 ** (np.arange(n) % 30)])
