@@ -141,10 +141,8 @@ def grow(data: DataFrame, inputs: list[str], label: str, max_nodes: int, bins: i
     cuts = _thresholds(data, inputs, bins)
 
     def bin_of(c, thresholds):
-        x, out = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))), F.lit(0)
-        for t in thresholds:
-            out = out + (x > t).cast("int")
-        return out
+        x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan")))
+        return F.size(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: x > t)) if thresholds else F.lit(0)
     y = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("double")) - 1
     rows = data.select(F.array(*[bin_of(c, t) for c, t in zip(inputs, cuts)]).alias("b"), y.cast("int").alias("y"),
                        F.lit(0).alias("node")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -157,20 +155,22 @@ def grow(data: DataFrame, inputs: list[str], label: str, max_nodes: int, bins: i
             nodes.append({"gain": gain, "f": f, "b": b, "l": None, "r": None,
                           "p": classes[max(range(len(classes)), key=lambda i: (counts[i], -i))]})
     look(rows, 1)
-    held, rounds = [rows], 0
+    held, rounds, first = [rows], 0, 0
     while True:
         order = _opening_order(nodes, max_nodes)
         fresh = [i for i in order if nodes[i]["l"] is None]
         if not fresh:
             break
-        moves = []
+        # only leaves of the last round can be opened; an array of their moves, which the planner builds once
+        moves: list = [None] * (len(nodes) - first)
         for j, i in enumerate(fresh):
             nodes[i]["l"], nodes[i]["r"] = len(nodes) + 2 * j, len(nodes) + 2 * j + 1
-            moves.append((i, nodes[i]["f"], nodes[i]["b"], nodes[i]["l"], nodes[i]["r"]))
-        # max_nodes rows at most; rows of leaves that stay closed are done
-        moves = F.broadcast(spark.createDataFrame(moves, "node int, f int, bin int, l int, r int"))
-        rows = rows.join(moves, "node").select("b", "y", F.when(
-            F.element_at("b", F.col("f") + 1) <= F.col("bin"), F.col("l")).otherwise(F.col("r")).alias("node"))
+            moves[i - first] = {"f": nodes[i]["f"], "bin": nodes[i]["b"], "l": nodes[i]["l"], "r": nodes[i]["r"]}
+        told = F.from_json(F.lit(json.dumps(moves)), "array<struct<f:int,bin:int,l:int,r:int>>")
+        # rows of leaves that stay closed are done
+        rows = rows.withColumn("m", F.element_at(told, F.col("node") - first + 1)).where("m is not null").select("b", "y", F.when(
+            F.element_at("b", F.col("m.f") + 1) <= F.col("m.bin"), F.col("m.l")).otherwise(F.col("m.r")).alias("node"))
+        first = len(nodes)
         rounds += 1
         rows = reliable(rows) if rounds % _CUT == 0 else rows.persist(StorageLevel.MEMORY_AND_DISK)
         look(rows, 2 * len(fresh))
