@@ -122,6 +122,12 @@ def ring_edges(rings) -> Column:
     return F.flatten(F.transform(_c(rings), edges_of))
 
 
+def finite_edges(edges) -> Column:
+    """The edges whose ends both have finite coordinates."""
+    return F.filter(_c(edges), lambda e: (F.abs(e["x1"]) < math.inf) & (F.abs(e["y1"]) < math.inf)
+                    & (F.abs(e["x2"]) < math.inf) & (F.abs(e["y2"]) < math.inf))
+
+
 def point_on_edges(px, py, edges) -> Column:
     """True when the point lies on any edge (collinear and within its box)."""
     px, py = _c(px), _c(py)

@@ -5,7 +5,10 @@ Polygons are rows ``(poly_id, name, rings)`` where ``rings`` is
 The join never compares every point with every polygon, nor a point with a
 whole polygon: polygons are cut into grid cells that hold only the edges
 that cross them and whether their corner lies inside, and a point is tested
-against the cell that it falls into, all as JVM expressions.
+against the cell that it falls into, all as JVM expressions.  An edge whose
+end has no finite coordinates (a vertex outside of a projection) is touched
+and crossed by no point; the polygons left open by it go through a join of
+their own.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.geo import corner_inside, point_in_cell, ring_edges
+from strata.functions.geo import corner_inside, finite_edges, point_in_cell, point_in_polygon, ring_edges
 from strata.session import reliable
 
 
@@ -65,12 +68,25 @@ def _crossing(edges: Column, cx: Column, cy: Column, level: Column) -> Column:
     return F.filter(edges, touches)
 
 
+def _edge_table(polys: DataFrame) -> DataFrame:
+    """(poly_id, name, edges, min_x, max_x, min_y, max_y, open): the edges
+    with finite ends, their extent, and whether others were left out."""
+    every = polys.select("poly_id", "name", ring_edges("rings").alias("_every"))
+    sound = every.select("poly_id", "name", F.size("_every").alias("_n"), finite_edges("_every").alias("edges"))
+
+    def over(reduce, pick, c):
+        return reduce(F.transform("edges", lambda e: pick(e[f"{c}1"], e[f"{c}2"])))
+    return sound.select("poly_id", "name", "edges", (F.size("edges") < F.col("_n")).alias("open"),
+                        *[over(reduce, pick, c).alias(f"{end}_{c}") for c in ("x", "y")
+                          for end, reduce, pick in (("min", F.array_min, F.least), ("max", F.array_max, F.greatest))])
+
+
 def cell_index(polys: DataFrame, most: int = EDGES) -> DataFrame:
     """(poly_id, name, _level, _cx, _cy, _inside, _edges): each polygon as
     disjoint cells of 2^_level units.  ``_edges`` are the edges that cross
     the cell and ``_inside`` tells whether its lower left corner (a hair
     above and to the right of it) lies inside; cells without either are left
-    out.
+    out.  Polygons left open by edges without finite ends are not in it.
 
     A polygon begins as the at most four cells of the power of two above
     its extent, whatever the units of its coordinates.  A cell with more
@@ -80,7 +96,7 @@ def cell_index(polys: DataFrame, most: int = EDGES) -> DataFrame:
     coordinates.  So a cell's edges, and the work for a point, do not grow
     with the polygon.
     """
-    pt = polygon_table(polys)
+    pt = _edge_table(polys).where(~F.col("open"))
     extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
     largest = F.greatest(F.abs(F.col("min_x")), F.abs(F.col("max_x")), F.abs(F.col("min_y")), F.abs(F.col("max_y")))
     finest = F.when(largest > 0, F.ceil(F.log2(largest))).otherwise(F.lit(0)) - _DIGITS
@@ -126,17 +142,43 @@ def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y"
     coordinates hits none.  A point probes its one cell on each level of the
     polygons' ``cell_index`` (a scalar subquery; levels are binary
     exponents, so few) and is tested there with the cell's edges alone; AQE
-    splits a hot cell.
+    splits a hot cell.  The polygons, which several jobs read, are computed
+    once, into the checkpoint folder.
     """
+    polys = reliable(polys.select("poly_id", "name", "rings"))
     cells = cell_index(polys)
     levels = cells.agg(F.collect_set("_level")).scalar()
     lv = F.col("_level")
-    probe = points.withColumn("_level", F.explode(levels)).withColumns({
+    placed = points.where(~F.isnan(x) & ~F.isnan(y))
+    probe = placed.withColumn("_level", F.explode(levels)).withColumns({
         "_cx": _cell(F.col(x), lv), "_cy": _cell(F.col(y), lv)})
-    return (probe.join(cells, ["_level", "_cx", "_cy"])
+    hits = (probe.join(cells, ["_level", "_cx", "_cy"])
             .where(point_in_cell(F.col(x), F.col(y), F.col("_cx") * _size(lv), F.col("_cy") * _size(lv),
                                  F.col("_edges"), F.col("_inside")))
             .select(*points.columns, "poly_id", "name"))
+    unclosed = _edge_table(polys).where(F.col("open") & (F.size("edges") > 0))
+    return hits if unclosed.isEmpty() else hits.unionByName(_open_join(placed, unclosed, x, y))
+
+
+def _open_join(points: DataFrame, pt: DataFrame, x: str, y: str) -> DataFrame:
+    """``spatial_join`` with polygons left open.  What counts as inside may
+    reach without end to the left of the edges, but not above, below or to
+    the right of them: a polygon is cut into the at most two bands of the
+    power of two above its height, each with the edges that reach into it."""
+    height, largest = F.col("max_y") - F.col("min_y"), F.greatest(F.abs(F.col("min_y")), F.abs(F.col("max_y")))
+    finest = F.when(largest > 0, F.ceil(F.log2(largest))).otherwise(F.lit(0)) - _DIGITS
+    level = F.greatest(F.when(height > 0, F.ceil(F.log2(height))).otherwise(finest), finest).cast("int")
+    lv, cy = F.col("_level"), F.col("_cy")
+    bands = pt.withColumn("_level", level).withColumn(
+        "_cy", F.explode(F.sequence(_cell(F.col("min_y"), lv), _cell(F.col("max_y"), lv)))).withColumn(
+        "_edges", F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= (cy + 1) * _size(lv))
+                           & (F.greatest(e["y1"], e["y2"]) >= cy * _size(lv)))).select(
+        "poly_id", "name", "_level", "_cy", "_edges", "min_y", "max_y", "max_x")
+    levels = bands.agg(F.collect_set("_level")).scalar()
+    probe = points.withColumn("_level", F.explode(levels)).withColumn("_cy", _cell(F.col(y), lv))
+    near = F.col(y).between(F.col("min_y"), F.col("max_y")) & (F.col(x) <= F.col("max_x"))
+    return probe.join(bands, ["_level", "_cy"]).where(near & point_in_polygon(x, y, F.col("_edges"))).select(
+        *points.columns, "poly_id", "name")
 
 
 def polygon_names(points: DataFrame, polys: DataFrame, id_col: str, ends: list[tuple] | None = None,

@@ -203,7 +203,9 @@ def join_in_feet(spark, d):
     def to_degrees(ring):
         return F.transform(ring, lambda p: F.struct((F.lit(MAP_X) + F.lit(MAP_SCALE) * p["x"]).alias("x"),
                                                     (F.lit(MAP_Y) + F.lit(MAP_SCALE) * p["y"]).alias("y")))
-    polys = views.areas(spark, d).withColumn("rings", F.transform("rings", to_degrees))
+    # the projection is the work here, and a small table arrives in one task
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    polys = views.areas(spark, d).repartition(parts, "poly_id").withColumn("rings", F.transform("rings", to_degrees))
     polys = polys.withColumn("rings", project_rings("rings", BEND_STEP))
     x, y = lcc_project(F.col("plat"), F.col("plong"))
     places = views.geo(spark, d).select("id", x.alias("x"), y.alias("y"))
