@@ -47,6 +47,18 @@ def _thresholds(data: DataFrame, inputs: list[str], bins: int) -> list[list[floa
     return [sorted(set(q or [])) for q in r]
 
 
+def _binned(data: DataFrame, inputs: list[str], cuts: list[list[float]], y: Column) -> DataFrame:
+    """(b: bin numbers, y, node 0) per row.  The features are columns of a
+    projection of their own, so each is computed once per row, not once for
+    every threshold that it is compared with."""
+    x = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))).alias(f"x{i}") for i, c in enumerate(inputs)]
+
+    def above(i, cut):
+        return sum(((F.col(f"x{i}") > t).cast("int") for t in cut), F.lit(0))
+    return data.select(y.cast("int").alias("y"), *x).select(
+        F.array(*[above(i, cut) for i, cut in enumerate(cuts)]).alias("b"), "y", F.lit(0).alias("node"))
+
+
 def _counted(rows: DataFrame, classes: list[float]) -> DataFrame:
     """Rows of each class ``c0``, ``c1``, ... per (node, f, bin)."""
     return rows.select("node", "y", F.posexplode("b").alias("f", "bin")).groupBy("node", "f", "bin").agg(
@@ -139,13 +151,8 @@ def grow(data: DataFrame, inputs: list[str], label: str, max_nodes: int, bins: i
     if not classes:
         return [{"p": float("nan")}]
     cuts = _thresholds(data, inputs, bins)
-
-    def bin_of(c, thresholds):
-        x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan")))
-        return F.size(F.filter(F.array(*[F.lit(t) for t in thresholds]), lambda t: x > t)) if thresholds else F.lit(0)
     y = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label).cast("double")) - 1
-    rows = data.select(F.array(*[bin_of(c, t) for c, t in zip(inputs, cuts)]).alias("b"), y.cast("int").alias("y"),
-                       F.lit(0).alias("node")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _binned(data, inputs, cuts, y).persist(StorageLevel.MEMORY_AND_DISK)
     nodes: list[dict] = []
 
     def look(rows, new):
@@ -230,7 +237,8 @@ def _depth(tree: list[dict]) -> int:
 
 def leaf_of(tree: list[dict], inputs: list[str]) -> Column:
     """Number of the leaf that a row falls into: a walk down an array of
-    nodes, which the planner builds once."""
+    nodes, which the planner builds once.  The row's features are computed
+    once, not on every step."""
     rows = [{"f": n.get("f", -1), "t": n.get("t", 0.0), "l": n.get("l", 0), "r": n.get("r", 0)} for n in tree]
     nodes = F.from_json(F.lit(json.dumps(rows)), "array<struct<f:int,t:double,l:int,r:int>>")
     x = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in inputs])
@@ -238,10 +246,12 @@ def leaf_of(tree: list[dict], inputs: list[str]) -> Column:
     if not depth:
         return F.lit(0)
 
-    def step(at, _):
-        n = F.element_at(nodes, at + 1)
-        return F.when(n["f"] < 0, at).when(F.element_at(x, n["f"] + 1) <= n["t"], n["l"]).otherwise(n["r"])
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+    def walk(row):
+        def step(at, _):
+            n = F.element_at(nodes, at + 1)
+            return F.when(n["f"] < 0, at).when(F.element_at(row, n["f"] + 1) <= n["t"], n["l"]).otherwise(n["r"])
+        return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+    return F.element_at(F.transform(F.array(x), walk), 1)
 
 
 class _TreeParams(Params):

@@ -265,7 +265,9 @@ def model_roundtrip(spark, d):
 
 # ------------------------------------------------------------ trained models
 def _clusters(spark, d):
-    keys = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
+    # the points are computed from one narrow column, which a large table holds in a few small splits
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    keys = table(spark, d, "customer").select(F.col("c_custkey").alias("id")).repartition(parts, "id")
     return gen.gaussian_clusters(keys, "id", CENTRES, seed=11).withColumn("cls", F.col("cls").cast("double"))
 
 

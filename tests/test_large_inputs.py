@@ -45,3 +45,29 @@ def test_far_polygons_take_no_cells_without_end(spark):
     assert spatial.cell_index(polys).count() == 0
     got = spatial.spatial_join(points, polys).select(F.col("id")).collect()
     assert [r[0] for r in got] == []
+
+
+def test_a_tree_computes_a_feature_once_per_row(spark):
+    """Not once per threshold or step: the features may be long expressions."""
+    from strata.functions.hashing import hash_unit
+    from strata.models import trees
+    df = spark.range(40).select("id", (F.col("id") % 2).cast("double").alias("y"), hash_unit("id").alias("x"))
+
+    def optimized(d):
+        return d._jdf.queryExecution().optimizedPlan().toString()
+    binned = trees._binned(df, ["x"], [[i / 20 for i in range(1, 20)]], F.col("y"))
+    assert optimized(binned).count("md5(") == 1 and "lambdafunction" not in optimized(binned)
+    x = {r["id"]: r["x"] for r in df.collect()}
+    rows = df.select("id", "x", "y")
+    got = [r["b"][0] for r in trees._binned(rows.orderBy("id").coalesce(1), ["x"], [[i / 20 for i in range(1, 20)]], F.col("y")).collect()]
+    assert got == [sum(x[k] > i / 20 for i in range(1, 20)) for k in sorted(x)]
+    tree = [{"p": 0.0, "o": 1, "f": 0, "t": 0.5, "l": 1, "r": 2}, {"p": 0.0}, {"p": 1.0}]
+    placed = df.select("id", trees.leaf_of(tree, ["x"]).alias("leaf"))
+    plan = optimized(placed)
+    assert plan.index("md5(") < plan.index("aggregate(")
+    assert {r["id"]: r["leaf"] for r in placed.collect()} == {k: 1 if v <= 0.5 else 2 for k, v in x.items()}
+
+
+def test_points_of_one_small_split_are_made_by_many_tasks(spark, small_dir):
+    from strata.plans.cat_models import _clusters
+    assert _clusters(spark, small_dir).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
