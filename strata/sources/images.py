@@ -2,7 +2,10 @@
 
 Spark's ``image`` format decodes each file into (origin, height, width,
 nChannels, data) with bytes in B, G, R(, A) order.  ``write_bitmaps`` writes
-such rows as 24-bit bitmap files, one per image, in parallel.
+such rows as 24-bit bitmap files, one per image, in parallel.  With a file
+per image, whatever the driver does for each file alone sets the time: the
+files are written by many tasks, which put them in place themselves, and names are listed by tasks and
+not read as partition values.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from strata.operators.pixels import unpack_bytes
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     """Spark image source -> (origin, height, width, nChannels, data).  A
     file that is no readable image is an error, not a missing row."""
-    im = spark.read.format("image").option("dropInvalid", False).load(path).select("image.*")
+    im = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(path).select("image.*")
     bad = F.col("height") <= 0
     height = F.when(bad, F.raise_error(F.concat(F.lit("not an image: "), F.col("origin"))).cast("int")) \
         .otherwise(F.col("height"))
@@ -48,5 +51,8 @@ def write_bitmaps(images: DataFrame, path: str, id_col: str = "img") -> str:
         F.substr(F.hex("data"), (i * line + 1).cast("int"), line.cast("int")), (stride * 2).cast("int"), F.lit("0")))
     # a file of raw bytes: one row, and the line end that follows it is beyond the bitmap's size
     whole = F.unhex(F.concat(header, F.array_join(rows, ""))).cast("string")
-    images.select(id_col, whole.alias("value")).write.partitionBy(id_col).option("maxRecordsPerFile", 1).text(path)
+    spark = images.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    images.repartition(parts, id_col).select(id_col, whole.alias("value")).write.partitionBy(id_col).option("maxRecordsPerFile", 1).option(
+        "mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     return path

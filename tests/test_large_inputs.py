@@ -71,3 +71,14 @@ def test_a_tree_computes_a_feature_once_per_row(spark):
 def test_points_of_one_small_split_are_made_by_many_tasks(spark, small_dir):
     from strata.plans.cat_models import _clusters
     assert _clusters(spark, small_dir).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_bitmaps_of_one_split_are_written_by_many_tasks(spark, tmp_path):
+    from strata.sources import images
+    rows = [(i, 1, 2, bytes([i, 1, 2, 3, 4, 5])) for i in range(40)]
+    im = spark.createDataFrame(rows, "img long, height int, width int, data binary").coalesce(1)
+    path = images.write_bitmaps(im, str(tmp_path / "b"))
+    names = [f.name for f in (tmp_path / "b").glob("img=*/part-*")]
+    assert len(names) == 40 and len({n.split("-")[1] for n in names}) > 1
+    got = images.images_to_pixels(images.read_images(spark, path), r"img=(\d+)/").where("i = 0 and j = 0 and k = 0")
+    assert {r["img"]: r["v"] for r in got.collect()} == {i: i for i in range(40)}
