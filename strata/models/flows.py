@@ -67,12 +67,16 @@ def save_and_load_flow(model: PipelineModel, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a fit's input over at least ``defaultParallelism`` tasks when
-    it arrives in fewer partitions (a small file is one split); inputs that
-    already have that many partitions are left alone (no extra shuffle)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+ROWS_OF_A_TASK = 400_000  # of a fit's input: a boosted fit holds about 1 kB for a row of 116 features
+
+
+def ensure_parallelism(df: DataFrame, rows_per_task: int = ROWS_OF_A_TASK) -> DataFrame:
+    """A fit's input dealt evenly over as many tasks as its rows call for, at
+    least ``defaultParallelism``, whatever files or shuffle it comes from: a
+    scan deals a few large splits, some of them empty, and a shuffle may deal
+    more parts than the fit's many jobs should have tasks."""
+    want = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    return df.repartition(want)
 
 
 def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:

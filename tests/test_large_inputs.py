@@ -82,3 +82,16 @@ def test_bitmaps_of_one_split_are_written_by_many_tasks(spark, tmp_path):
     assert len(names) == 40 and len({n.split("-")[1] for n in names}) > 1
     got = images.images_to_pixels(images.read_images(spark, path), r"img=(\d+)/").where("i = 0 and j = 0 and k = 0")
     assert {r["img"]: r["v"] for r in got.collect()} == {i: i for i in range(40)}
+
+
+def test_fit_inputs_are_dealt_by_rows_whatever_split_they_come_from(spark):
+    """One large split among empty ones, and more parts than the rows call for."""
+    from strata.models.flows import ensure_parallelism
+    cores = spark.sparkContext.defaultParallelism
+    want = cores + 3
+    one = spark.range(0, 50 * want, 1, 1).union(spark.range(0, 0, 1, cores))
+    out = ensure_parallelism(one, rows_per_task=50)
+    sizes = [len(p) for p in out.rdd.glom().collect()]
+    assert len(sizes) == want and sum(sizes) == 50 * want and max(sizes) <= 60
+    many = spark.range(0, 100, 1, 4 * cores)
+    assert ensure_parallelism(many, rows_per_task=50).rdd.getNumPartitions() == max(cores, 2)
