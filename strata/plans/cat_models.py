@@ -348,8 +348,9 @@ FROM (VALUES (3), (10), (100)) t(k) WHERE (SELECT count(*) FROM {_SPLIT_SQL} WHE
 def hyper_compare(spark, d):
     """Train / test error of the duration flow for 3, 10 and 100 clusters,
     against the error of the training mean."""
-    scores = taxi.compare_settings(spark, d, (3, 10, 100))
-    train = train_test_split(taxi.taxi_trips(spark, d), "id", 0.7, seed=1).filter(F.col("split") == "train")
+    trips = taxi.split_trips(taxi.taxi_trips(spark, d))
+    scores = taxi.compare_settings(trips, (3, 10, 100))
+    train = trips.filter(F.col("split") == "train")
     mean = train.select(F.avg("dur")).scalar()
     base = train.select(F.abs(F.col("dur") - mean).alias("e")).select(F.avg("e")).scalar()
     return scores.select("n_clusters", (F.col("mae_train") < base).alias("train_better_than_mean"),

@@ -35,6 +35,12 @@ def taxi_trips(spark: SparkSession, d: str) -> DataFrame:
         "dur")
 
 
+def split_trips(trips: DataFrame, seed: int = 1) -> DataFrame:
+    """The trips with their ``split``, computed once into the checkpoint
+    folder, in parts of a bounded number of rows."""
+    return reliable(train_test_split(ensure_parallelism(trips), "id", 0.7, seed=seed))
+
+
 def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, gbt_iter: int = 20,
              sample_rows: int | None = None):
     """Fit on the training split, transform both splits.  Returns
@@ -46,20 +52,19 @@ def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, g
     src = taxi_trips(spark, d)
     if sample_rows:
         src = sample_n(src, sample_rows, "id", seed=seed)
-    trips = reliable(ensure_parallelism(train_test_split(src, "id", 0.7, seed=seed)))
+    trips = split_trips(src, seed)
     train = trips.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
     model = duration_flow(LOC, BASE, "dur", n_clusters, seed=seed, gbt_iter=gbt_iter).fit(train)
     train.unpersist()
     return model, model.transform(trips).select("id", "split", "cluster", "predicted", "dur")
 
 
-def compare_settings(spark: SparkSession, d: str, cluster_counts=(3, 10, 100), seed: int = 1) -> DataFrame:
-    """MAE on train and test for each number of location clusters.  The
-    split input is persisted once and the flows are fitted in parallel."""
+def compare_settings(trips: DataFrame, cluster_counts=(3, 10, 100), seed: int = 1) -> DataFrame:
+    """MAE on train and test for each number of location clusters, from the
+    ``split_trips``.  The flows are fitted in parallel."""
     from concurrent.futures import ThreadPoolExecutor
-    trips = ensure_parallelism(train_test_split(taxi_trips(spark, d), "id", 0.7, seed=seed)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    train = trips.filter(F.col("split") == "train")
+    spark = trips.sparkSession
+    train = trips.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(k):
         model = duration_flow(LOC, BASE, "dur", k, seed=seed).fit(train)
@@ -69,5 +74,5 @@ def compare_settings(spark: SparkSession, d: str, cluster_counts=(3, 10, 100), s
         return k, by.get("train"), by.get("test")
     with ThreadPoolExecutor(max_workers=len(cluster_counts)) as pool:
         rows = list(pool.map(one, cluster_counts))
-    trips.unpersist()
+    train.unpersist()
     return spark.createDataFrame(rows, "n_clusters int, mae_train double, mae_test double")

@@ -95,3 +95,13 @@ def test_fit_inputs_are_dealt_by_rows_whatever_split_they_come_from(spark):
     assert len(sizes) == want and sum(sizes) == 50 * want and max(sizes) <= 60
     many = spark.range(0, 100, 1, 4 * cores)
     assert ensure_parallelism(many, rows_per_task=50).rdd.getNumPartitions() == max(cores, 2)
+
+
+def test_hyper_compare_locates_its_trips_once(spark, small_dir, monkeypatch):
+    from strata.plans import cat_models, taxi
+    calls, real = [], taxi.taxi_trips
+    monkeypatch.setattr(taxi, "taxi_trips", lambda *a: calls.append(a) or real(*a))
+    monkeypatch.setattr(cat_models.taxi, "compare_settings", lambda trips, ks: spark.createDataFrame(
+        [(k, 0.0, 1.0) for k in ks], "n_clusters int, mae_train double, mae_test double"))
+    rows = cat_models.hyper_compare(spark, small_dir).collect()
+    assert len(calls) == 1 and all(r["train_better_than_mean"] and r["has_test"] for r in rows)
