@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.models.trees import BoundedTree, leaf_classes, n_leaves
+from strata.session import reliable
 
 
 def one_hot_stage(col: str, n: int, prefix: str | None = None) -> SQLTransformer:
@@ -84,7 +85,9 @@ def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
 
     Model search runs hundreds of small fits over the same rows; tiny
     inputs spread over hundreds of tasks spend their time scheduling.
-    Large inputs keep (at least) their partitioning."""
+    Large inputs keep (at least) their partitioning.  The rows are computed
+    once, into the checkpoint folder, and counted there."""
+    df = reliable(df)
     have = df.rdd.getNumPartitions()
     if have <= 1:                       # nothing to merge: skip the count job
         return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -105,3 +105,18 @@ def test_hyper_compare_locates_its_trips_once(spark, small_dir, monkeypatch):
         [(k, 0.0, 1.0) for k in ks], "n_clusters int, mae_train double, mae_test double"))
     rows = cat_models.hyper_compare(spark, small_dir).collect()
     assert len(calls) == 1 and all(r["train_better_than_mean"] and r["has_test"] for r in rows)
+
+
+def test_a_search_computes_its_rows_once(spark):
+    """Not again for their number of parts, their count and their use."""
+    from strata.models.flows import right_size
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    out = right_size(spark.range(0, 100, 1, 4).mapInArrow(counted, "id long"), rows_per_partition=50)
+    assert sorted(r[0] for r in out.collect()) == list(range(100)) and out.rdd.getNumPartitions() == 2
+    assert out.count() == 100 and seen.value == 100
+    out.unpersist()
