@@ -94,4 +94,4 @@ def scan_images(spark, d):
     im = em.select(F.col("vec_id").alias("img"), F.lit(2).alias("height"), F.lit(11).alias("width"),
                    F.unhex(F.array_join(two, "")).alias("data"))
     path = images.write_bitmaps(im, scratch_path(spark, "bitmaps"))
-    return images.images_to_pixels(images.read_images(spark, path), r"img=(\d+)/")
+    return images.images_to_pixels(images.read_images(spark, path, images.many_tasks(spark)), r"img=(\d+)/")

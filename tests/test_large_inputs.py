@@ -120,3 +120,20 @@ def test_a_search_computes_its_rows_once(spark):
     assert sorted(r[0] for r in out.collect()) == list(range(100)) and out.rdd.getNumPartitions() == 2
     assert out.count() == 100 and seen.value == 100
     out.unpersist()
+
+
+def test_bitmaps_in_a_mounted_folder_start_no_process_and_few_tasks_read_them(spark, tmp_path):
+    """Hadoop's writer leaves a checksum file beside each file; rows of one id, and an id that is null, each get a file."""
+    from strata.sources import images
+    rows = [(i, 1, 2, bytes([i, 1, 2, 3, 4, 5])) for i in range(60)] + [(7, 1, 2, bytes(6)), (7, 1, 2, bytes(6)), (None, 1, 2, bytes(6))]
+    im = spark.createDataFrame(rows, "img long, height int, width int, data binary").repartition(3)
+    path = images.write_bitmaps(im, str(tmp_path / "b"))
+    files = [f for f in (tmp_path / "b").rglob("*") if f.is_file()]
+    assert len(files) == len(rows) and all(f.name.startswith("part-") for f in files)
+    read = images.read_images(spark, path, 4)
+    assert read.rdd.getNumPartitions() <= 4
+    assert sorted(bytes(r["data"]) for r in read.collect()) == sorted(r[3] for r in rows)
+    empty = images.write_bitmaps(im.limit(0), str(tmp_path / "none"))
+    assert images.read_images(spark, empty, 4).count() == 0
+    by_name = images.write_bitmaps(im.limit(5).withColumn("img", im["img"].cast("string")), str(tmp_path / "s"))
+    assert images.read_images(spark, by_name).count() == 5
