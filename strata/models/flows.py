@@ -14,7 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,21 +31,26 @@ def one_hot_stage(col: str, n: int, prefix: str | None = None) -> SQLTransformer
     return SQLTransformer(statement=f"SELECT *, {cases} FROM __THIS__")
 
 
-def cluster_feature_stages(loc_cols: list[str], k: int, seed: int = 1, out_col: str = "cluster"):
-    """Stages: assemble location -> k-means (fit on training rows only) ->
-    fixed-vocabulary one-hot of the cluster id."""
+def cluster_stages(loc_cols: list[str], k: int, seed: int = 1, out_col: str = "cluster"):
+    """Stages: assemble location -> k-means (fit on training rows only)."""
     return [VectorAssembler(inputCols=loc_cols, outputCol="_loc", handleInvalid="keep"),
-            KMeans(k=k, seed=seed, featuresCol="_loc", predictionCol=out_col, maxIter=20),
-            one_hot_stage(out_col, k)]
+            KMeans(k=k, seed=seed, featuresCol="_loc", predictionCol=out_col, maxIter=20)]
+
+
+def cluster_feature_stages(loc_cols: list[str], k: int, seed: int = 1, out_col: str = "cluster"):
+    """Stages: ``cluster_stages`` -> fixed-vocabulary one-hot of the cluster id."""
+    return cluster_stages(loc_cols, k, seed, out_col) + [one_hot_stage(out_col, k)]
 
 
 def duration_flow(loc_cols: list[str], base_features: list[str], label: str, n_clusters: int,
                   seed: int = 1, gbt_iter: int = 20) -> Pipeline:
     """Location clusters as one-hot features plus ``base_features`` ->
-    gradient-boosted regression of ``label``."""
-    hot = [f"cluster-{i}" for i in range(n_clusters)]
-    return Pipeline(stages=cluster_feature_stages(loc_cols, n_clusters, seed) + [
-        VectorAssembler(inputCols=base_features + hot, outputCol="_features", handleInvalid="keep"),
+    gradient-boosted regression of ``label``.  The one-hot values are one
+    sparse vector, of as many entries as k-means has centres: a column for
+    each of 100 clusters takes longer than all trees."""
+    return Pipeline(stages=cluster_stages(loc_cols, n_clusters, seed) + [
+        OneHotEncoder(inputCol="cluster", outputCol="_hot", dropLast=False),
+        VectorAssembler(inputCols=base_features + ["_hot"], outputCol="_features", handleInvalid="keep"),
         GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="predicted",
                      maxIter=gbt_iter, maxDepth=5, seed=seed)])
 

@@ -61,7 +61,8 @@ def run_flow(spark: SparkSession, d: str, n_clusters: int = 10, seed: int = 1, g
 
 def compare_settings(trips: DataFrame, cluster_counts=(3, 10, 100), seed: int = 1) -> DataFrame:
     """MAE on train and test for each number of location clusters, from the
-    ``split_trips``.  The flows are fitted in parallel."""
+    ``split_trips``.  The flows are fitted in parallel where one does not
+    fill the cores: there, others beside it would only hold their rows too."""
     from concurrent.futures import ThreadPoolExecutor
     spark = trips.sparkSession
     train = trips.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
@@ -72,7 +73,8 @@ def compare_settings(trips: DataFrame, cluster_counts=(3, 10, 100), seed: int =
             .agg(F.avg(F.abs(F.col("predicted") - F.col("dur"))).alias("mae")).collect()
         by = {r["split"]: r["mae"] for r in m}
         return k, by.get("train"), by.get("test")
-    with ThreadPoolExecutor(max_workers=len(cluster_counts)) as pool:
+    full = trips.rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    with ThreadPoolExecutor(max_workers=1 if full else len(cluster_counts)) as pool:
         rows = list(pool.map(one, cluster_counts))
     train.unpersist()
     return spark.createDataFrame(rows, "n_clusters int, mae_train double, mae_test double")

@@ -137,3 +137,56 @@ def test_bitmaps_in_a_mounted_folder_start_no_process_and_few_tasks_read_them(sp
     assert images.read_images(spark, empty, 4).count() == 0
     by_name = images.write_bitmaps(im.limit(5).withColumn("img", im["img"].cast("string")), str(tmp_path / "s"))
     assert images.read_images(spark, by_name).count() == 5
+
+
+def test_cluster_features_of_the_duration_flow_are_one_vector(spark, small_dir):
+    """No column for each cluster, and the values and predictions of columns (k-means may find fewer centres than asked for)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from strata.models.flows import cluster_feature_stages, duration_flow
+    from strata.plans import taxi
+    trips = taxi.split_trips(taxi.taxi_trips(spark, small_dir))
+    train = trips.where("split = 'train'").persist()
+    flow = duration_flow(taxi.LOC, taxi.BASE, "dur", 30, gbt_iter=3)
+    got = flow.fit(train).transform(trips)
+    assert not [c for c in got.columns if c.startswith("cluster-")]
+    plain = Pipeline(stages=cluster_feature_stages(taxi.LOC, 30) + [
+        VectorAssembler(inputCols=taxi.BASE + [f"cluster-{i}" for i in range(30)], outputCol="_features"), flow.getStages()[-1]])
+    want = {r[0]: r[1:] for r in plain.fit(train).transform(trips).select("id", "_features", "predicted").collect()}
+    have = {r[0]: r[1:] for r in got.select("id", "_features", "predicted").collect()}
+    train.unpersist()
+    def entries(v):
+        return {i: x for i, x in enumerate(v.toArray()) if x}
+    assert len(have) == trips.count() and all(
+        entries(have[i][0]) == entries(want[i][0]) and abs(have[i][1] - want[i][1]) < 1e-9 for i in want)
+
+
+def test_fits_that_fill_the_cores_run_one_by_one(spark, small_dir, monkeypatch):
+    import threading
+    import time
+    from strata.plans import taxi
+    trips = taxi.split_trips(taxi.taxi_trips(spark, small_dir))
+    running, most, lock, real = [0], [0], threading.Lock(), taxi.duration_flow
+
+    def flow(loc, base, label, k, seed=1, gbt_iter=20):
+        made = real(loc, base, label, k, seed=seed, gbt_iter=1)
+
+        class Watched:
+            def fit(self, train):
+                with lock:
+                    running[0] += 1
+                    most[0] = max(most[0], running[0])
+                time.sleep(0.5)
+                try:
+                    return made.fit(train)
+                finally:
+                    with lock:
+                        running[0] -= 1
+        return Watched()
+    monkeypatch.setattr(taxi, "duration_flow", flow)
+    want = taxi.compare_settings(trips, (2, 3)).collect()
+    assert most[0] == 2
+    most[0] = 0
+    many = trips.repartition(2 * spark.sparkContext.defaultParallelism + 1)
+    got = taxi.compare_settings(many, (2, 3)).collect()
+    assert most[0] == 1 and [r["n_clusters"] for r in got] == [r["n_clusters"] for r in want]
